@@ -121,12 +121,12 @@ def history_ctes(src: str, keys: str, order: str, ts: str, name: str = "h") -> s
 BRONZE_ORDER = "run_ts, ingested_at, page_name, type_ord, pos, event_id"
 
 
-def silver_ctes(src: str = "cl") -> str:
+def silver_ctes(src: str = "cl", out: str = "silver", h: str = "h") -> str:
     """Silver (34 columns) from a Bronze-shaped relation ``src``."""
     payload = ",\n    ".join(
         f"CASE WHEN NOT is_deleted THEN nullif({c}, '') END AS {c}" for c in _STR_PAYLOAD)
-    return history_ctes(src, "item_id, transaction_id", BRONZE_ORDER, "run_ts", "h") + f""",
-silver AS (
+    return history_ctes(src, "item_id, transaction_id", BRONZE_ORDER, "run_ts", h) + f""",
+{out} AS (
   SELECT plaid_env, institution, item_id, transaction_id,
     {payload},
     CASE WHEN NOT is_deleted THEN amount END AS amount,
@@ -137,7 +137,7 @@ silver AS (
     '{C.BUILT_AT}' AS silver_built_at,
     CASE WHEN NOT is_deleted THEN CAST(year(CAST(date AS DATE)) AS BIGINT) END AS txn_year,
     CASE WHEN NOT is_deleted THEN CAST(month(CAST(date AS DATE)) AS BIGINT) END AS txn_month
-  FROM h)"""
+  FROM {h})"""
 
 
 def with_silver(select: str, unknown: tuple[str, ...] = ()) -> str:
@@ -145,8 +145,7 @@ def with_silver(select: str, unknown: tuple[str, ...] = ()) -> str:
 
 
 def pages_cte() -> str:
-    """The page set of ``events`` with chained cursors, by plain windows over
-    the whole item."""
+    """The page set of ``events`` with chained cursors."""
     return events_base() + f""",
 pg0 AS (
   SELECT item_id, run_id, run_ts, page_no, page_name, page_path,

@@ -271,6 +271,331 @@ def q_dq_bronze(spark, sf):
     return quality.check_bronze(C.events_changelog(spark, sf))
 
 
+# ------------------------------------------------------------ export
+_EXPORT_COLS = ", ".join(schemas.EXPORT_COLUMNS)
+_EXPORT_ORDER = ("ORDER BY valid_from_ts NULLS LAST, institution NULLS LAST, "
+                 "item_id NULLS LAST, transaction_id NULLS LAST, version NULLS LAST")
+SILVER_PATH = "silver/events"
+WORKSHEET = "transactions"
+
+
+@register("export_current", O.with_silver(
+    f"SELECT {_EXPORT_COLS} FROM silver WHERE is_current = TRUE {_EXPORT_ORDER}"))
+def q_export_current(spark, sf):
+    return export.unsynced_rows(silver_of_events(spark, sf), "current", None)
+
+
+@register("export_all", O.with_silver(f"SELECT {_EXPORT_COLS} FROM silver {_EXPORT_ORDER}"))
+def q_export_all(spark, sf):
+    return export.unsynced_rows(silver_of_events(spark, sf), "all", None)
+
+
+def sync_log_of(silver_df: DataFrame) -> DataFrame:
+    """A sync log derived from Silver: daily exports of the first half of the
+    month in mode 'current', plus records that must not match: mode 'all'
+    and another environment, both covering every day."""
+    daily = silver_df.groupBy("source_run_id").agg(
+        F.count(F.lit(1)).alias("rows_synced"),
+        F.max("valid_from_ts").alias("last_synced_valid_from_ts"))
+
+    def rec(env, mode, keep):
+        d = daily.filter(keep)
+        return d.select(
+            F.concat(F.col("last_synced_valid_from_ts").substr(1, 10), F.lit("T23:59:59Z"))
+            .alias("timestamp"),
+            F.lit(env).alias("plaid_env"), F.lit(SILVER_PATH).alias("silver_delta_path"),
+            F.lit("sheet-1").alias("spreadsheet_id"), F.lit(WORKSHEET).alias("worksheet_name"),
+            F.lit(mode).alias("export_mode"), F.col("rows_synced").cast("bigint"),
+            "last_synced_valid_from_ts")
+    first_half = F.col("last_synced_valid_from_ts") < LEDGER_CUT
+    return (rec("sandbox", "current", first_half)
+            .unionByName(rec("sandbox", "all", F.lit(True)))
+            .unionByName(rec("production", "current", F.lit(True))))
+
+
+_SYNC_LOG_SQL = f""",
+daily AS (SELECT source_run_id, count(*) AS rows_synced,
+                 max(valid_from_ts) AS last_synced_valid_from_ts
+          FROM silver GROUP BY source_run_id),
+synclog AS (
+  SELECT 'sandbox' AS plaid_env, '{SILVER_PATH}' AS silver_delta_path,
+         '{WORKSHEET}' AS worksheet_name, 'current' AS export_mode, last_synced_valid_from_ts
+  FROM daily WHERE last_synced_valid_from_ts < '{LEDGER_CUT}'
+  UNION ALL SELECT 'sandbox', '{SILVER_PATH}', '{WORKSHEET}', 'all', last_synced_valid_from_ts
+  FROM daily
+  UNION ALL SELECT 'production', '{SILVER_PATH}', '{WORKSHEET}', 'current',
+         last_synced_valid_from_ts FROM daily)"""
+
+
+@register("sync_watermark", "WITH " + O.changelog_cte() + O.silver_ctes() + _SYNC_LOG_SQL + f"""
+, modes AS (SELECT 'current' AS export_mode UNION ALL SELECT 'all')
+SELECT m.export_mode, max(l.last_synced_valid_from_ts) AS last_synced_valid_from_ts,
+       count(l.export_mode) AS matching_records
+FROM modes m LEFT JOIN synclog l ON l.export_mode = m.export_mode
+  AND l.plaid_env = 'sandbox' AND l.worksheet_name = '{WORKSHEET}'
+  AND l.silver_delta_path = '{SILVER_PATH}'
+GROUP BY m.export_mode""")
+def q_sync_watermark(spark, sf):
+    log = sync_log_of(silver_of_events(spark, sf))
+    outs = [export.last_watermark_df(log, "sandbox", WORKSHEET, SILVER_PATH, m)
+            .select(F.lit(m).alias("export_mode"), "*") for m in export.MODES]
+    return outs[0].unionByName(outs[1]).select(
+        "export_mode", "last_synced_valid_from_ts",
+        F.col("matching_records").cast("bigint").alias("matching_records"))
+
+
+@register("export_incremental", "WITH " + O.changelog_cte() + O.silver_ctes() + _SYNC_LOG_SQL + f"""
+, wm AS (SELECT max(last_synced_valid_from_ts) AS w FROM synclog
+         WHERE plaid_env = 'sandbox' AND worksheet_name = '{WORKSHEET}'
+           AND silver_delta_path = '{SILVER_PATH}' AND export_mode = 'current')
+SELECT {_EXPORT_COLS} FROM silver
+WHERE is_current = TRUE AND valid_from_ts > (SELECT w FROM wm) {_EXPORT_ORDER}""")
+def q_export_incremental(spark, sf):
+    """Rows above the last logged watermark of this env/target/table/mode."""
+    s = silver_of_events(spark, sf)
+    wm = export.last_watermark(sync_log_of(s), "sandbox", WORKSHEET, SILVER_PATH, "current")
+    return export.unsynced_rows(s, "current", wm)
+
+
+ALIGN_HEADER = [c for c in schemas.EXPORT_COLUMNS if c != "city"] + ["notes"]
+
+
+def _sql_text(c: str) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.SILVER.fields}
+    k = kinds.get(c)
+    if c == "notes":
+        return "'' AS notes"
+    if k == "boolean":
+        return f"CASE WHEN {c} THEN 'True' WHEN NOT {c} THEN 'False' ELSE '' END AS {c}"
+    if k in ("bigint", "double"):
+        return f"coalesce(CAST({c} AS VARCHAR), '') AS {c}"
+    return f"coalesce({c}, '') AS {c}"
+
+
+@register("export_aligned", O.with_silver(
+    "SELECT " + ", ".join(_sql_text(c) for c in ALIGN_HEADER) +
+    " FROM silver WHERE is_current = TRUE"))
+def q_export_aligned(spark, sf):
+    """Export rows aligned to a target header that lacks ``city`` and has a
+    user column ``notes``; every cell as text."""
+    rows = export.unsynced_rows(silver_of_events(spark, sf), "current", None)
+    return export.stringify(export.align_to_header(rows, ALIGN_HEADER))
+
+
+@register("export_missed_rows", "WITH " + O.changelog_cte() + O.silver_ctes() + """,
+cl_early AS (SELECT * FROM cl WHERE event_type <> 'removed')""" + O.silver_ctes(
+    "cl_early", "silver_early", "he") + f"""
+, wm AS (SELECT max(valid_from_ts) AS w FROM silver_early)
+SELECT {O.SILVER_COLS} FROM silver s
+WHERE s.valid_from_ts <= (SELECT w FROM wm)
+  AND NOT EXISTS (SELECT 1 FROM silver_early t WHERE t.item_id = s.item_id
+                  AND t.transaction_id = s.transaction_id AND t.version = s.version)""")
+def q_export_missed(spark, sf):
+    """Rows never exported: the target got every version built before the
+    removals arrived (late); later versions at or below its watermark are
+    missed (strict ``>``), re-numbered versions included."""
+    full = silver_of_events(spark, sf)
+    early_bronze = C.events_changelog(spark, sf).filter(F.col("event_type") != "removed")
+    target = export.export_projection(
+        silver.silver_from_bronze(early_bronze, built_at=C.BUILT_AT))
+    wm = target.agg(F.max("valid_from_ts")).first()[0]
+    return export.missed_rows(full, target, wm, mode="all")
+
+
+# ------------------------------------------------------------ audit
+
+@register("page_log", "WITH " + O.pages_cte() + """
+SELECT run_id, page_no AS page, institution, item_id, cursor_in, cursor_out,
+       n_added AS added, n_modified AS modified, n_removed AS removed, has_more, page_path
+FROM pset""")
+def q_page_log(spark, sf):
+    return audit.page_log(C.events_pages(spark, sf))
+
+
+@register("page_counts", "WITH " + O.changelog_cte() + """
+SELECT institution, item_id, run_id, page_path,
+       count(*) FILTER (WHERE event_type = 'added') AS added,
+       count(*) FILTER (WHERE event_type = 'modified') AS modified,
+       count(*) FILTER (WHERE event_type = 'removed') AS removed
+FROM cl GROUP BY institution, item_id, run_id, page_path""")
+def q_page_counts(spark, sf):
+    return audit.page_counts(C.events_changelog(spark, sf))
+
+
+@register("run_summary", "WITH " + O.pages_cte() + """
+SELECT institution, item_id, run_id, count(*) AS pages, sum(n_added) AS added,
+       sum(n_modified) AS modified, sum(n_removed) AS removed,
+       arg_min(cursor_in, page_no) AS cursor_start, arg_max(cursor_out, page_no) AS cursor_end,
+       CASE WHEN arg_min(cursor_in, page_no) = '' THEN 'backfill' ELSE 'incremental' END AS mode
+FROM pset GROUP BY institution, item_id, run_id""")
+def q_run_summary(spark, sf):
+    return audit.run_summary(C.events_pages(spark, sf))
+
+
+@register("unfinished_runs", "WITH " + O.pages_cte() + """
+SELECT institution, item_id, run_id, max(page_no) AS last_page,
+       arg_max(cursor_out, page_no) AS cursor_end
+FROM pset GROUP BY institution, item_id, run_id HAVING arg_max(has_more, page_no)""")
+def q_unfinished_runs(spark, sf):
+    return audit.unfinished_runs(C.events_pages(spark, sf))
+
+
+@register("cursor_state", "WITH " + O.pages_cte() + """
+, ranked AS (SELECT *, row_number() OVER (PARTITION BY institution, item_id
+                 ORDER BY run_ts DESC, run_id DESC, page_no DESC) AS r FROM pset)
+SELECT institution, item_id, run_id, cursor_out AS next_cursor, page_no AS last_page_written,
+       (SELECT max(run_ts) FROM pset p WHERE p.item_id = ranked.item_id) AS updated_at
+FROM ranked WHERE r = 1""")
+def q_cursor_state(spark, sf):
+    return audit.cursor_state(C.events_pages(spark, sf))
+
+
+_CHAIN_SQL = "WITH " + O.pages_cte() + """
+, chain AS (
+  SELECT institution, item_id, run_id, page_no AS page, cursor_in,
+         coalesce(lag(cursor_out) OVER (PARTITION BY institution, item_id
+                                        ORDER BY run_ts, run_id, page_no), '')
+           AS expected_cursor_in, page_path
+  FROM pset)
+SELECT *, cursor_in IS DISTINCT FROM expected_cursor_in AS is_gap FROM chain"""
+
+
+@register("cursor_chain", _CHAIN_SQL)
+def q_cursor_chain(spark, sf):
+    return audit.cursor_chain(C.events_pages(spark, sf))
+
+
+@register("cursor_gaps", "SELECT * FROM (" + _CHAIN_SQL + ") WHERE is_gap")
+def q_cursor_gaps(spark, sf):
+    return audit.cursor_gaps(C.events_pages(spark, sf))
+
+
+@register("error_report", "WITH " + O.events_base() + """
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts, run_id, 'events' AS institution, item_id,
+       'incremental' AS mode, page_no AS page, '' AS cursor_in,
+       'ApiException' AS error_type, 'sync failed: ' || props AS message,
+       CAST(400 + (src_event_id % 3) * 50 AS BIGINT) AS status,
+       CASE (src_event_id % 3) WHEN 0 THEN 'Bad Request' WHEN 1 THEN 'Unknown'
+            ELSE 'Server Error' END AS reason,
+       'TRANSACTIONS_ERROR' AS plaid_error_type,
+       'E' || json_extract_string(props, '$.k') AS plaid_error_code,
+       props AS plaid_error_message, CAST(NULL AS VARCHAR) AS plaid_display_message,
+       substr(sha256(CAST(src_event_id AS VARCHAR)), 1, 12) AS plaid_request_id,
+       CAST(NULL AS VARCHAR) AS plaid_documentation_url,
+       CAST(NULL AS VARCHAR) AS plaid_suggested_action
+FROM ev WHERE src_type = 'error'""")
+def q_error_report(spark, sf):
+    return audit.errors(C.events_runs_log(spark, sf))
+
+
+# ------------------------------------------------------------ scalars
+
+@register("scalar_slugify", r"""
+SELECT 'part' AS src, p_partkey AS k, txt,
+       CASE WHEN s2 = '' THEN 'unknown' ELSE s2 END AS slug
+FROM (SELECT p_partkey, txt,
+             regexp_replace(regexp_replace(lower(trim(txt)), '\s+', '_', 'g'),
+                            '[^a-z0-9_\-]', '', 'g') AS s2
+      FROM (SELECT p_partkey, ' ' || p_type || ' & ' || p_brand || '  ' AS txt FROM part))
+UNION ALL
+SELECT 'nation', CAST(n_nationkey AS BIGINT), n_name,
+       CASE WHEN s2 = '' THEN 'unknown' ELSE s2 END
+FROM (SELECT n_nationkey, n_name,
+             regexp_replace(regexp_replace(lower(trim(n_name)), '\s+', '_', 'g'),
+                            '[^a-z0-9_\-]', '', 'g') AS s2 FROM nation)
+UNION ALL
+SELECT 'customer', c_custkey, c_mktsegment, CASE WHEN c_mktsegment IS NULL OR s2 = ''
+       THEN 'unknown' ELSE s2 END
+FROM (SELECT c_custkey, c_mktsegment,
+             regexp_replace(regexp_replace(lower(trim(coalesce(c_mktsegment, ''))), '\s+', '_', 'g'),
+                            '[^a-z0-9_\-]', '', 'g') AS s2 FROM customer)""")
+def q_scalar_slugify(spark, sf):
+    p = C.table(spark, sf, "part").select(
+        F.lit("part").alias("src"), F.col("p_partkey").alias("k"),
+        F.concat(F.lit(" "), "p_type", F.lit(" & "), "p_brand", F.lit("  ")).alias("txt"))
+    n = C.table(spark, sf, "nation").select(
+        F.lit("nation").alias("src"), F.col("n_nationkey").cast("bigint").alias("k"),
+        F.col("n_name").alias("txt"))
+    c = C.table(spark, sf, "customer").select(
+        F.lit("customer").alias("src"), F.col("c_custkey").alias("k"),
+        F.col("c_mktsegment").alias("txt"))
+    return p.unionByName(n).unionByName(c).withColumn("slug", S.slugify("txt"))
+
+
+# Texts the boolean rule is tried on, picked per row by p_size.
+BOOL_TEXTS = ["true", "Yes", " 0 ", "maybe", "N", "f", "1", ""]
+
+
+@register("scalar_bool", f"""
+SELECT p_partkey, txt,
+       CASE WHEN lower(trim(txt)) IN ('true', 't', '1', 'yes', 'y') THEN TRUE
+            WHEN lower(trim(txt)) IN ('false', 'f', '0', 'no', 'n') THEN FALSE END AS as_text,
+       (p_size - 25) <> 0 AS as_number
+FROM (SELECT p_partkey, p_size,
+             list_extract({BOOL_TEXTS!r}, (p_size % {len(BOOL_TEXTS)}) + 1) AS txt FROM part)""")
+def q_scalar_bool(spark, sf):
+    p = C.table(spark, sf, "part")
+    txt = F.element_at(F.array(*[F.lit(t) for t in BOOL_TEXTS]),
+                       (F.pmod("p_size", F.lit(len(BOOL_TEXTS))) + 1).cast("int"))
+    return p.select("p_partkey", txt.alias("txt"), (F.col("p_size") - 25).alias("n")).select(
+        "p_partkey", "txt", S.normalize_bool("txt").alias("as_text"),
+        S.normalize_bool("n", "int").alias("as_number"))
+
+
+@register("scalar_iso_date", r"""
+WITH d AS (
+  SELECT o_orderkey, CASE o_orderkey % 5
+      WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+      WHEN 1 THEN strftime(o_orderdate, '%Y%m%d')
+      WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+      WHEN 3 THEN strftime(o_orderdate, '%Y')
+      ELSE strftime(o_orderdate, '%Y-%-m-%-d') END AS txt
+  FROM orders),
+p AS (
+  SELECT o_orderkey, txt, CASE
+      WHEN regexp_matches(txt, '^\d{8}$')
+        THEN TRY_CAST(substr(txt, 1, 4) || '-' || substr(txt, 5, 2) || '-' || substr(txt, 7, 2) AS DATE)
+      WHEN regexp_matches(txt, '^\d{4}-\d{2}-\d{2}([T ].*)?$')
+        THEN TRY_CAST(substr(txt, 1, 10) AS DATE) END AS d
+  FROM d)
+SELECT o_orderkey, txt, CAST(year(d) AS BIGINT) AS y, CAST(month(d) AS BIGINT) AS m FROM p""")
+def q_scalar_iso_date(spark, sf):
+    o = C.table(spark, sf, "orders")
+    fmt = (F.when(F.pmod("o_orderkey", F.lit(5)) == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+           .when(F.pmod("o_orderkey", F.lit(5)) == 1, F.date_format("o_orderdate", "yyyyMMdd"))
+           .when(F.pmod("o_orderkey", F.lit(5)) == 2,
+                 F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+           .when(F.pmod("o_orderkey", F.lit(5)) == 3, F.date_format("o_orderdate", "yyyy"))
+           .otherwise(F.date_format("o_orderdate", "yyyy-M-d")))
+    d = o.select("o_orderkey", fmt.alias("txt"))
+    y, m = S.iso_date_parts("txt")
+    return d.select("o_orderkey", "txt", y.alias("y"), m.alias("m"))
+
+
+@register("scalar_coalesce", """
+SELECT c_custkey,
+       coalesce(CASE WHEN trim(a) <> '' THEN a END, CASE WHEN trim(b) <> '' THEN b END,
+                CASE WHEN trim(c) <> '' THEN c END) AS first_filled
+FROM (SELECT c_custkey,
+             CASE WHEN c_acctbal < 0 THEN '' ELSE NULL END AS a,
+             CASE WHEN c_nationkey % 2 = 0 THEN '   ' ELSE c_mktsegment END AS b,
+             c_name AS c
+      FROM customer)""")
+def q_scalar_coalesce(spark, sf):
+    c = C.table(spark, sf, "customer")
+    a = F.when(F.col("c_acctbal") < 0, F.lit(""))
+    b = F.when(F.pmod("c_nationkey", F.lit(2)) == 0, F.lit("   ")).otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", S.coalesce_blank(a, b, F.col("c_name")).alias("first_filled"))
+
+
+@register("scalar_page_name", "WITH " + O.events_base() + """
+SELECT DISTINCT page_path, page_name, CAST(page_no AS BIGINT) AS page, run_id FROM ev""")
+def q_scalar_page_name(spark, sf):
+    p = C.events_pages(spark, sf).select("page_path", "page_name")
+    return p.select("page_path", "page_name", S.page_number("page_name").alias("page"),
+                    S.page_run_id("page_name").alias("run_id"))
+
+
 def queries() -> dict[str, Query]:
     return dict(SPARK)
 
