@@ -316,3 +316,23 @@ def read_silver(spark, path: str) -> DataFrame:
     from lakeledger.sources import tables
     return tables.read_versioned(spark, path, schemas.SILVER,
                                  int_partitions={"txn_year"})
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    return (df.withColumn("item_id", _astype_str("item_id"))
+            .withColumn("transaction_id", _astype_str("transaction_id")))
+
+
+def refresh_scd2(old_silver: DataFrame | None, bronze: DataFrame, changed: DataFrame,
+                 built_at: str | None = None, form: str = "split") -> DataFrame:
+    """Silver after new events: keys touched by ``changed`` (any frame with
+    item_id, transaction_id) are rebuilt from their whole Bronze history (a
+    late event re-numbers later versions); other keys keep their rows.
+    Equal to a full rebuild up to ``silver_built_at`` of untouched keys."""
+    keys = ["item_id", "transaction_id"]
+    ck = _keyed(changed.select(*keys)).distinct()
+    rebuilt = silver_from_bronze(_keyed(bronze).join(ck, keys, "left_semi"), built_at, form)
+    if old_silver is None:
+        return rebuilt
+    kept = old_silver.join(ck, keys, "left_anti")
+    return kept.unionByName(rebuilt)

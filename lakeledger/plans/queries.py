@@ -596,6 +596,71 @@ def q_scalar_page_name(spark, sf):
                     S.page_run_id("page_name").alias("run_id"))
 
 
+
+# ------------------------------------------------------------ streaming
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    """A fresh folder below the shared checkpoint folder of the session."""
+    import uuid
+    from lakeledger.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/lakeledger-{what}-{uuid.uuid4().hex[:12]}"
+
+
+def _land(spark: SparkSession, sf: str, landing: str, part: str) -> None:
+    """Land the events page set as JSON lines: runs before the cut-off as
+    part a, the rest as part b."""
+    from lakeledger.streaming.streams import PAGE_LINE
+    pages = C.events_pages(spark, sf).select(*PAGE_LINE.fieldNames())
+    early = F.col("run_ts") < LEDGER_CUT
+    pages.filter(early if part == "a" else ~early).write.json(f"{landing}/{part}")
+
+
+@register("bronze_stream", SQL["page_roundtrip"])
+def q_bronze_stream(spark, sf):
+    """Pages landed in two drops, ingested by an availableNow stream run
+    after each drop and once more with nothing new; equals the batch result."""
+    from lakeledger.streaming import streams
+    base = _scratch(spark, "bronze-stream")
+    for part in ("a", "b", None):
+        if part:
+            _land(spark, sf, f"{base}/landing", part)
+        q = streams.bronze_stream(spark, f"{base}/landing", f"{base}/bronze",
+                                  f"{base}/checkpoint", now=C.INGESTED_AT, layout="lines")
+        q.awaitTermination()
+    rows = bronze.read_bronze(spark, f"{base}/bronze")
+    return rows.select(*_ROUNDTRIP_COLS,
+                       F.get_json_object("raw_transaction_json", "$.transaction_id")
+                       .alias("raw_id"))
+
+
+@register("silver_stream", "WITH " + O.changelog_cte() + """,
+cl_pages AS (SELECT * FROM cl WHERE src_type <> 'click')""" + O.silver_ctes("cl_pages") +
+    f"\nSELECT {O.SILVER_COLS} FROM silver")
+def q_silver_stream(spark, sf):
+    """foreachBatch keeps Silver current; each micro-batch rebuilds the
+    keys it touched.  Equals the Silver of the batch ingest."""
+    from lakeledger.streaming import streams
+    base = _scratch(spark, "silver-stream")
+    for part in ("a", "b"):
+        _land(spark, sf, f"{base}/landing", part)
+        q = streams.silver_stream(spark, f"{base}/landing", f"{base}/bronze", f"{base}/silver",
+                                  f"{base}/checkpoint", now=C.INGESTED_AT,
+                                  built_at=C.BUILT_AT, layout="lines")
+        q.awaitTermination()
+    return silver.read_silver(spark, f"{base}/silver")
+
+
+@register("scd2_refresh", O.with_silver(f"SELECT {O.SILVER_COLS} FROM silver"))
+def q_scd2_refresh(spark, sf):
+    """Key-wise refresh: Silver of the first half of the month, then the
+    second half's events; only touched keys are rebuilt.  Equals a full
+    rebuild."""
+    b = C.events_changelog(spark, sf)
+    early = F.col("run_ts") < LEDGER_CUT
+    old = silver.silver_from_bronze(b.filter(early), built_at=C.BUILT_AT)
+    return silver.refresh_scd2(old, b, b.filter(~early), built_at=C.BUILT_AT)
+
+
 def queries() -> dict[str, Query]:
     return dict(SPARK)
 

@@ -1,9 +1,10 @@
 """Table reads and writes on Parquet.
 
 Overwrite is made safe without a transactional format: every overwrite goes
-to a new version folder; readers take the newest folder whose job committed
-(``_SUCCESS``).  The folder listing itself is a Spark ``binaryFile`` scan, so
-it works on any Hadoop file system.
+to a new version folder, and only after that write has committed a one-line
+marker ``commits/<version>`` is written.  Readers take the newest version
+that has a marker, so they never see a half-written table.  Markers are read
+with Spark itself, so this works on any Hadoop file system.
 """
 
 from __future__ import annotations
@@ -54,11 +55,10 @@ def _version_name() -> str:
 def latest_version(spark: SparkSession, path: str) -> str | None:
     """Newest committed version folder under ``path`` (None if none)."""
     try:
-        ls = (spark.read.format("binaryFile")
-              .load(f"{path.rstrip('/')}/{VERSION_PREFIX}*/_SUCCESS")
-              .select(F.regexp_extract("path", rf"/({VERSION_PREFIX}[^/]+)/_SUCCESS$", 1)
-                      .alias("v")))
-        row = ls.agg(F.max("v").alias("v")).first()
+        m = spark.read.schema("version string, committed_at string").option(
+            "recursiveFileLookup", True).json(
+            f"{path.rstrip('/')}/commits")
+        row = m.agg(F.max("version").alias("v")).first()
     except AnalysisException:
         return None
     return row["v"] if row and row["v"] else None
@@ -66,13 +66,18 @@ def latest_version(spark: SparkSession, path: str) -> str | None:
 
 def write_versioned(df: DataFrame, path: str, partition_by=()) -> str:
     """Write ``df`` as a new version of the table at ``path``; return the
-    version folder.  The previous version stays readable until this one has
-    committed."""
-    target = f"{path.rstrip('/')}/{_version_name()}"
+    version folder.  The previous version stays the readable one until this
+    one's marker exists."""
+    name = _version_name()
+    target = f"{path.rstrip('/')}/{name}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
+    spark = df.sparkSession
+    now = _dt.datetime.now(_dt.UTC).isoformat()
+    (spark.createDataFrame([(name, now)], "version string, committed_at string")
+     .coalesce(1).write.mode("errorifexists").json(f"{path.rstrip('/')}/commits/{name}"))
     return target
 
 
