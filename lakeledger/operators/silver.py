@@ -20,6 +20,8 @@ Forms, all equal in result (tests check it):
                 1 PRECEDING`` over the reversed order), evaluated
                 incrementally: one exchange, one sort.
   "lead"        ``lead(ts)``; valid only when every type is known.
+  "auto"        (default) "fast" for ordinary keys and "split" for the
+                heaviest keys, found by one partial-aggregated count per key.
   "split"       two levels, for hot keys.  The order's leading
                 ``spec.split`` columns cut a key's chain into contiguous
                 segments (for the event log: one page of one run); level 1
@@ -39,7 +41,14 @@ from pyspark.sql import functions as F
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
 
-FORMS = ("split", "fast", "definition", "lead")
+FORMS = ("auto", "split", "fast", "definition", "lead")
+
+# Routing of the "auto" form: keys with more events than HOT_ROWS are hot;
+# at most HOT_KEYS_MAX of them (the heaviest) go to the split form, whose
+# key list is broadcast (so its size is bounded by construction).  Any other
+# key, hot or not, takes the fast form, which is exact for every key.
+HOT_ROWS = 2_000_000
+HOT_KEYS_MAX = 10_000
 
 
 @dataclass(frozen=True)
@@ -197,24 +206,21 @@ def _split(df, spec, ords):
     gkeys = spec_keys + seg
     rest = ords[p:]
 
-    # Level 1: inside one segment, read backwards.
+    # Level 1: inside one segment, read backwards.  The same pass also gives
+    # the segment's summary (size, first known ts, last ts) from whole-segment
+    # frames, so the input is shuffled and sorted once.
     d = Window.partitionBy(*gkeys).orderBy(*_desc(rest) if rest else [F.lit(1)])
     r = d.rowsBetween(Window.unboundedPreceding, -1)
+    whole = d.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = (df.withColumn("__rn_g", F.row_number().over(d))
             .withColumn("__nk_g", F.last(_known_ts(), ignorenulls=True).over(r))
-            .withColumn("__la_g", F.first("__ts").over(r)))
-
-    # One summary row per segment: size, first known ts, last ts.
-    order_struct = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
-    summ = df.groupBy(*gkeys).agg(
-        F.count(F.lit(1)).alias("__n_g"),
-        F.min_by(F.col("__ts"), F.when(F.col("__known"), order_struct)).alias("__fk_g"),
-        F.max_by(F.col("__ts"), order_struct).alias("__last_g"),
-    ) if rest else df.groupBy(*gkeys).agg(
-        F.count(F.lit(1)).alias("__n_g"),
-        F.first(_known_ts(), ignorenulls=True).alias("__fk_g"),
-        F.first("__ts").alias("__last_g"),
-    )
+            .withColumn("__la_g", F.first("__ts").over(r))
+            .withColumn("__n_g", F.count(F.lit(1)).over(whole))
+            .withColumn("__fk_g", F.last(_known_ts(), ignorenulls=True).over(whole))
+            .withColumn("__last_g", F.first("__ts").over(whole)))
+
+    # One summary row per segment: its last event (row 1 read backwards).
+    summ = rows.filter(F.col("__rn_g") == 1).select(*gkeys, "__n_g", "__fk_g", "__last_g")
 
     # Level 2: segments of one key, read backwards.
     d2 = Window.partitionBy(*spec_keys).orderBy(*[F.col(c).desc() for c in seg])
@@ -224,18 +230,53 @@ def _split(df, spec, ords):
             .withColumn("__total", F.sum("__n_g").over(Window.partitionBy(*spec_keys)))
             .withColumn("__nk_after", F.last("__fk_g", ignorenulls=True).over(r2))
             .withColumn("__la_after", F.first("__last_g").over(r2)))
-    summ = summ.select(*gkeys, "__n_g", "__after_g", "__total", "__nk_after", "__la_after")
+    summ = summ.select(*gkeys, F.col("__n_g").alias("__n_s"), "__after_g", "__total",
+                       "__nk_after", "__la_after")
+    rows = rows.drop("__n_g", "__fk_g", "__last_g")
 
     j = rows.join(summ, on=gkeys, how="inner")
-    before = F.col("__total") - F.col("__after_g") - F.col("__n_g")
-    return (j.withColumn("__version", before + F.col("__n_g") - F.col("__rn_g") + 1)
+    before = F.col("__total") - F.col("__after_g") - F.col("__n_s")
+    return (j.withColumn("__version", before + F.col("__n_s") - F.col("__rn_g") + 1)
             .withColumn("__n_after", F.col("__rn_g") - 1 + F.col("__after_g"))
             .withColumn("__next_known", F.coalesce("__nk_g", "__nk_after"))
             .withColumn("__last_any", F.coalesce("__la_after", "__la_g")))
 
 
+def hot_keys(df: DataFrame, keys, hot_rows: int = HOT_ROWS,
+             hot_keys_max: int = HOT_KEYS_MAX) -> list[tuple]:
+    """Keys with more than ``hot_rows`` events, heaviest first, at most
+    ``hot_keys_max`` of them: one partial-aggregated count per key and a
+    top-k, so only a bounded list reaches the driver."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
+    top = (counts.filter(F.col("__cnt") > hot_rows)
+           .orderBy(F.col("__cnt").desc()).limit(hot_keys_max))
+    return [tuple(r[k] for k in keys) for r in top.collect()]
+
+
+def _auto(df, spec, ords, hot_rows: int, hot_keys_max: int):
+    """Route keys: the heaviest (bounded list) to "split", the rest to "fast"."""
+    keys = list(spec.keys)
+    hot = hot_keys(df, keys, hot_rows, hot_keys_max)
+    if not hot:
+        return _fast(df, spec, ords)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    from pyspark.sql.types import StructField, StructType
+    hot_df = df.sparkSession.createDataFrame(
+        hot, StructType([StructField(k, types[k]) for k in keys]))
+    hot_df = hot_df.withColumn("__hot", F.lit(True))
+    cond = [df[k].eqNullSafe(hot_df[k]) for k in keys]
+    # the hot list has at most hot_keys_max rows: a bounded broadcast
+    flagged = df.join(F.broadcast(hot_df), cond, "left").select(df["*"], hot_df["__hot"])
+    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    cols = df.columns + ["__version", "__n_after", "__next_known", "__last_any"]
+    cold = _fast(flagged.filter(~is_hot).drop("__hot"), spec, ords).select(*cols)
+    warm = _split(flagged.filter(is_hot).drop("__hot"), spec, ords).select(*cols)
+    return cold.unionByName(warm)
+
+
 def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None = None,
-               form: str = "split") -> DataFrame:
+               form: str = "auto", hot_rows: int = HOT_ROWS,
+               hot_keys_max: int = HOT_KEYS_MAX) -> DataFrame:
     """Versions of every key of ``df``.
 
     Returns the input columns plus valid_from_ts, valid_to_ts, is_current,
@@ -246,10 +287,13 @@ def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None
         raise ValueError(f"form must be one of {FORMS}")
     built_at = built_at or now_iso()
     prepared, ords = _prepare(df, spec, built_at)
-    if form == "split" and spec.split <= 0:
+    if form in ("split", "auto") and spec.split <= 0:
         form = "fast"
-    body = {"definition": _definition, "fast": _fast, "lead": _lead,
-            "split": _split}[form](prepared, spec, ords)
+    if form == "auto":
+        body = _auto(prepared, spec, ords, hot_rows, hot_keys_max)
+    else:
+        body = {"definition": _definition, "fast": _fast, "lead": _lead,
+                "split": _split}[form](prepared, spec, ords)
     return _finish(body, spec, ords)
 
 
@@ -263,7 +307,7 @@ def _astype_str(c: str) -> Column:
 
 
 def silver_from_bronze(bronze: DataFrame, built_at: str | None = None,
-                       form: str = "split") -> DataFrame:
+                       form: str = "auto", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Silver table (schema ``SILVER``) from the Bronze event log."""
     built_at = built_at or now_iso()
     schemas.require_columns(bronze, {"item_id", "transaction_id", "event_type",
@@ -279,7 +323,7 @@ def silver_from_bronze(bronze: DataFrame, built_at: str | None = None,
          .withColumn("transaction_id", _astype_str("transaction_id"))
          .withColumn("event_id", _astype_str("event_id"))
          .withColumn("event_type", _astype_str("event_type")))
-    h = build_scd2(b, BRONZE_SPEC, built_at, form)
+    h = build_scd2(b, BRONZE_SPEC, built_at, form, hot_rows)
     tomb = F.col("is_deleted")
     payload = [F.when(~tomb, S.safe_str(c)).alias(c) for c in _STR_PAYLOAD]
     amount = F.when(~tomb, F.nanvl(F.col("amount"), F.lit(None).cast("double")))
@@ -324,7 +368,7 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 
 def refresh_scd2(old_silver: DataFrame | None, bronze: DataFrame, changed: DataFrame,
-                 built_at: str | None = None, form: str = "split") -> DataFrame:
+                 built_at: str | None = None, form: str = "auto") -> DataFrame:
     """Silver after new events: keys touched by ``changed`` (any frame with
     item_id, transaction_id) are rebuilt from their whole Bronze history (a
     late event re-numbers later versions); other keys keep their rows.

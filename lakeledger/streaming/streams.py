@@ -71,7 +71,7 @@ def bronze_stream(spark: SparkSession, root: str, bronze_path: str, checkpoint:
 
 def silver_batch(spark: SparkSession, batch: DataFrame, batch_id: int, bronze_path: str,
                  silver_path: str, now: str | None = None, built_at: str | None = None,
-                 form: str = "split") -> None:
+                 form: str = "auto") -> None:
     """One micro-batch of ``silver_stream`` (also usable from batch jobs)."""
     rows = B.explode_pages(batch, now)
     folder = f"{bronze_path.rstrip('/')}/batch_id={batch_id}"
@@ -89,7 +89,7 @@ def silver_batch(spark: SparkSession, batch: DataFrame, batch_id: int, bronze_pa
 def silver_stream(spark: SparkSession, root: str, bronze_path: str, silver_path: str,
                   checkpoint: str, now: str | None = None, built_at: str | None = None,
                   layout: str = "files", prefix: str = "", available_now: bool = True,
-                  form: str = "split"):
+                  form: str = "auto"):
     pages = page_stream(spark, root, layout, prefix)
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -91,3 +91,14 @@ def test_shuffled_input_same_result(spark):
     shuffled = rows[:]
     random.Random(1).shuffle(shuffled)
     assert run(spark, rows, "split") == run(spark, shuffled, "split")
+
+
+def test_auto_form_routes_hot_keys(spark):
+    """auto = walk, whether keys are routed to split (low threshold) or not."""
+    rows = random_log(random.Random(21), 1200, keys=3)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for hot_rows in (0, 100, 10 ** 9):
+        h = SV.build_scd2(df, SPEC, built_at="BUILT", form="auto", hot_rows=hot_rows,
+                          hot_keys_max=2)
+        got = sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr)
+        assert got == expected(rows), hot_rows
