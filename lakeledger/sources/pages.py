@@ -23,7 +23,8 @@ def root_uri(root: str) -> str:
 
 
 def read_pages(spark: SparkSession, root: str, prefix: str = "",
-               mode: str = "FAILFAST") -> DataFrame:
+               mode: str = "FAILFAST", institution: str | None = None,
+               item_id: str | None = None) -> DataFrame:
     """One row per page file found anywhere below ``root``.
 
     Columns: the ``PAGE`` fields, ``page_name`` (file name) and ``page_path``
@@ -37,6 +38,10 @@ def read_pages(spark: SparkSession, root: str, prefix: str = "",
           .option("recursiveFileLookup", True)
           .option("mode", mode)
           .json(root))
+    if institution is not None:
+        df = df.filter(S.slugify("institution") == S.slugify(F.lit(institution)))
+    if item_id is not None:
+        df = df.filter(F.col("item_id") == item_id)
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("page_name"),

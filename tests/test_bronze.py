@@ -133,3 +133,11 @@ def test_batches_in_name_order_equal_one_batch(spark, tmp):
     key = ["transaction_id", "version", "change_type", "valid_from_ts", "valid_to_ts"]
     assert sorted(map(tuple, one.select(*key).collect())) == \
         sorted(map(tuple, many.select(*key).collect()))
+
+
+def test_read_pages_item_filter(spark, tmp):
+    root = f"{tmp}/raw"
+    write_page(root, "American Express", "i1", 1, *R1, added=[tx("a")])
+    write_page(root, "bank", "i2", 1, *R1, added=[tx("b")])
+    assert P.read_pages(spark, root, institution="american express").count() == 1
+    assert P.read_pages(spark, root, item_id="i2").first().item_id == "i2"
