@@ -56,7 +56,7 @@ def export_projection(df: DataFrame) -> DataFrame:
 
 
 def export_order(df: DataFrame) -> DataFrame:
-    """Export order; nulls last as in the reference's SQL engine."""
+    """Export order; nulls sort last (ANSI engines' ascending default)."""
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in EXPORT_ORDER])
 
 
