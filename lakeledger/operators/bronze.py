@@ -158,16 +158,17 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     now = now or now_iso()
     pages = P.read_pages(spark, root, prefix, mode)
     todo = new_pages(pages, processed_pages(spark, ledger_path, bronze_path))
-    ckpt = todo.select(*schemas.PAGE.fieldNames(), "page_name", "page_path")
-    # The new-page set is used twice (rows, then ledger); pin it to storage so
-    # both see the same pages even if files land meanwhile.
+    # Pin the list of new pages (path and run only, not their content) in
+    # the shared checkpoint folder: rows and ledger then cover the same
+    # pages even if more files land meanwhile.
     from lakeledger.session import checkpoint_dir
     checkpoint_dir(spark)
-    ckpt = ckpt.checkpoint(eager=True)
+    pinned = todo.select("page_path", "run_id").checkpoint(eager=True)
     obs = Observation("bronze")
-    rows = explode_pages(ckpt, now, default_env).observe(
+    batch = pages.join(pinned.select("page_path"), "page_path", "left_semi")
+    rows = explode_pages(batch, now, default_env).observe(
         obs, F.count(F.lit(1)).alias("rows"))
     append_bronze(rows, bronze_path)
-    n_pages = ckpt.count()
-    mark_pages(ckpt, ledger_path, now)
+    n_pages = pinned.count()
+    mark_pages(pinned, ledger_path, now)
     return {"pages": n_pages, "rows": obs.get.get("rows", 0)}
