@@ -143,10 +143,13 @@ def lineitem_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("run_ts"))
 
 
+# A coarse, order-preserving segment (blocks of 64 turns) in front of the
+# turn, so that a very long conversation is cut into segments as well.
 CONVERSATIONS_SPEC = Scd2Spec(
     keys=("conv_id",), event_time="run_ts", event_type="event_type",
-    order=(OrderItem("turn", "-9223372036854775808"),),
-    split=0)
+    order=(OrderItem("floor(turn / 64)", "-9223372036854775808"),
+           OrderItem("turn", "-9223372036854775808")),
+    split=1)
 
 
 def conversations_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,7 +163,7 @@ cv AS (
     f"\nSELECT conv_id, turn, role, text_len, text_sha, {_HIST} FROM h")
 def q_scd2_conversations(spark, sf):
     h = silver.build_scd2(C.conversations_changelog(spark, sf), C.CONVERSATIONS_SPEC,
-                          C.BUILT_AT)
+                          C.BUILT_AT, form="split")
     return h.select("conv_id", "turn", "role", "text_len", "text_sha",
                     *[c.strip() for c in _HIST.split(",")])
 

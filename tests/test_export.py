@@ -93,3 +93,13 @@ def test_header_alignment_and_stringify(spark, tmp):
     assert c2.amount == "10000000.0" and c2.pending == "False" and c2.notes is None
     b = t.filter(F.col("transaction_id") == "b").first()
     assert b.is_deleted == "True" and b.amount is None  # '' reads back as null
+
+
+def test_export_filter_reaches_parquet_scan(spark, tmp, capsys):
+    s = three_rows(spark, tmp)
+    X.unsynced_rows(s, "current", R1[1]).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThan(valid_from_ts" in plan and "EqualTo(is_current,true)" in plan
+    V.as_of(s, R1[1]).select("item_id").explain()
+    plan = capsys.readouterr().out
+    assert "ReadSchema: struct<item_id:string,valid_from_ts:string,valid_to_ts:string>" in plan
