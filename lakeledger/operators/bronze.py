@@ -148,15 +148,33 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
            now: str | None = None, prefix: str = "", default_env: str = "sandbox",
-           mode: str = "FAILFAST") -> dict:
+           mode: str = "FAILFAST", quarantine_path: str | None = None) -> dict:
     """One batch: new pages below ``root`` -> Bronze append -> ledger.
 
     Idempotent: a second run over the same pages adds nothing, also after a
     crash between the append and the ledger write.  Pages without events are
-    marked all the same.  Returns counts.
+    marked all the same.  A malformed page fails the batch (``FAILFAST``);
+    with ``mode="PERMISSIVE"`` and a ``quarantine_path`` it is recorded there
+    once, left out and not marked, so a repaired file is taken next time.
+    Returns counts.
     """
     now = now or now_iso()
     pages = P.read_pages(spark, root, prefix, mode)
+    quarantined = 0
+    if P.CORRUPT in pages.columns:
+        bad = pages.filter(F.col(P.CORRUPT).isNotNull())
+        pages = pages.filter(F.col(P.CORRUPT).isNull()).drop(P.CORRUPT)
+        if quarantine_path:
+            seen = P.read_jsonl_log(spark, quarantine_path, schemas.QUARANTINE,
+                                    required="page_path").select("page_path")
+            q = (bad.select(F.lit(now).alias("ts"), "page_path",
+                            F.col("run_id"), F.col(P.CORRUPT).alias("content"))
+                 .join(seen, "page_path", "left_anti"))
+            from lakeledger.session import checkpoint_dir
+            checkpoint_dir(spark)
+            q = q.checkpoint(eager=True)
+            quarantined = q.count()
+            q.select(*schemas.QUARANTINE.fieldNames()).write.mode("append").json(quarantine_path)
     todo = new_pages(pages, processed_pages(spark, ledger_path, bronze_path))
     # Pin the list of new pages (path and run only, not their content) in
     # the shared checkpoint folder: rows and ledger then cover the same
@@ -171,4 +189,7 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     append_bronze(rows, bronze_path)
     n_pages = pinned.count()
     mark_pages(pinned, ledger_path, now)
-    return {"pages": n_pages, "rows": obs.get.get("rows", 0)}
+    out = {"pages": n_pages, "rows": obs.get.get("rows", 0)}
+    if quarantine_path:
+        out["quarantined"] = quarantined
+    return out

@@ -96,6 +96,8 @@ EXPORT_COLUMNS = [
 
 LEDGER = _struct("ts string, run_id string, page_path string")
 
+QUARANTINE = _struct("ts string, page_path string, run_id string, content string")
+
 SYNC_LOG = _struct(
     "timestamp string, plaid_env string, silver_delta_path string, "
     "spreadsheet_id string, worksheet_name string, export_mode string, "

@@ -6,13 +6,14 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
 
 PAGE_GLOB = "page_*.json"
+CORRUPT = "_corrupt_record"
 
 
 def root_uri(root: str) -> str:
@@ -30,10 +31,16 @@ def read_pages(spark: SparkSession, root: str, prefix: str = "",
     Columns: the ``PAGE`` fields, ``page_name`` (file name) and ``page_path``
     (path relative to ``root``, URL-decoded, with ``prefix`` in front: the
     text that goes into event ids and the ledger).  A bad file fails the
-    read by default (``mode="PERMISSIVE"`` turns it into a null row).
+    read by default; with ``mode="PERMISSIVE"`` it becomes a row whose
+    ``_corrupt_record`` holds the file text (see ``bronze.ingest``'s
+    quarantine).
     """
-    df = (spark.read.schema(schemas.PAGE)
+    schema = schemas.PAGE
+    if mode.upper() == "PERMISSIVE":
+        schema = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    df = (spark.read.schema(schema)
           .option("multiLine", True)
+          .option("columnNameOfCorruptRecord", CORRUPT)
           .option("pathGlobFilter", PAGE_GLOB)
           .option("recursiveFileLookup", True)
           .option("mode", mode)

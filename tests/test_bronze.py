@@ -141,3 +141,21 @@ def test_read_pages_item_filter(spark, tmp):
     write_page(root, "bank", "i2", 1, *R1, added=[tx("b")])
     assert P.read_pages(spark, root, institution="american express").count() == 1
     assert P.read_pages(spark, root, item_id="i2").first().item_id == "i2"
+
+
+def test_bad_page_fails_or_is_quarantined(spark, tmp):
+    import pytest
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, *R1, added=[tx("a")])
+    d = os.path.join(root, "bank", "i1", "sync_pages")
+    with open(os.path.join(d, "page_0002_20260101_000000.json"), "w") as f:
+        f.write('{"run_id": "20260101_000000", "added": [ broken')
+    with pytest.raises(Exception):
+        ingest(spark, root, tmp)
+    kw = dict(now=NOW, prefix="raw/", mode="PERMISSIVE", quarantine_path=f"{tmp}/q")
+    r1 = B.ingest(spark, root, f"{tmp}/bronze", f"{tmp}/ledger", **kw)
+    r2 = B.ingest(spark, root, f"{tmp}/bronze", f"{tmp}/ledger", **kw)
+    assert r1 == {"pages": 1, "rows": 1, "quarantined": 1}
+    assert r2 == {"pages": 0, "rows": 0, "quarantined": 0}
+    q = spark.read.json(f"{tmp}/q").collect()
+    assert [r.page_path for r in q] == ["raw/bank/i1/sync_pages/page_0002_20260101_000000.json"]
