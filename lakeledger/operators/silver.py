@@ -33,7 +33,7 @@ Forms, all equal in result (tests check it):
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,7 +125,7 @@ def _known_ts() -> Column:
     return F.when(F.col("__known"), F.col("__ts"))
 
 
-def _finish(df: DataFrame, spec: Scd2Spec, ords: list[str]) -> DataFrame:
+def _finish(df: DataFrame, spec: Scd2Spec) -> DataFrame:
     """From (__version, __n_after, __next_known, __last_any) to the SCD2
     columns; rows of unknown types are dropped only here (after the window)."""
     is_current = F.col("__n_after") == 0
@@ -294,7 +294,7 @@ def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None
     else:
         body = {"definition": _definition, "fast": _fast, "lead": _lead,
                 "split": _split}[form](prepared, spec, ords)
-    return _finish(body, spec, ords)
+    return _finish(body, spec)
 
 
 # ------------------------------------------------------------ event log form

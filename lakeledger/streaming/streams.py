@@ -48,11 +48,6 @@ def page_stream(spark: SparkSession, root: str, layout: str = "files",
     raise ValueError("layout must be 'files' or 'lines'")
 
 
-def _ingested_now(now: str | None):
-    # Without a fixed value every micro-batch stamps its own time.
-    return now if now else None
-
-
 def bronze_stream(spark: SparkSession, root: str, bronze_path: str, checkpoint: str,
                   now: str | None = None, layout: str = "files", prefix: str = "",
                   available_now: bool = True, processing_time: str | None = None):
@@ -60,6 +55,8 @@ def bronze_stream(spark: SparkSession, root: str, bronze_path: str, checkpoint:
     pages = page_stream(spark, root, layout, prefix)
     rows = B.explode_pages(pages, now or "1970-01-01T00:00:00.000000Z")
     if not now:
+        # Without a fixed value every micro-batch stamps its own time
+        # (current_timestamp is fixed per micro-batch).
         rows = rows.withColumn("ingested_at", S.iso_text(F.current_timestamp()))
     w = (rows.writeStream.format("parquet").option("path", bronze_path)
          .option("checkpointLocation", checkpoint).partitionBy("event_year")

@@ -37,3 +37,15 @@ def test_raw_payload_failures_counted(spark, tmp):
     res = {r.check: r.violations for r in
            Q.check_bronze(B.explode_pages(pages, "N"), B.raw_payload_failures(pages)).collect()}
     assert res["bad_amount"] == 1 and res["bad_pending"] == 1 and res["null_item_id"] == 0
+
+
+def test_cli_steps(spark, tmp):
+    from lakeledger.__main__ import main
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, *R1, added=[tx("a")])
+    assert main(["bronze", "--pages", root, "--bronze", f"{tmp}/b", "--ledger", f"{tmp}/l"]) == 0
+    assert main(["silver", "--bronze", f"{tmp}/b", "--silver", f"{tmp}/s"]) == 0
+    assert main(["check", "--silver", f"{tmp}/s"]) == 0
+    assert main(["export", "--silver", f"{tmp}/s", "--target", f"{tmp}/t",
+                 "--log", f"{tmp}/log"]) == 0
+    assert spark.read.option("header", True).csv(f"{tmp}/t").count() == 1
