@@ -13,7 +13,7 @@ __all__ = [
     "strip", "slugify", "parse_iso", "event_id", "coalesce_blank", "safe_str",
     "normalize_bool", "normalize_type", "iso_date_parts", "is_iso_date",
     "page_number", "page_run_id", "relative_path", "json_id", "is_json_object",
-    "iso_text",
+    "iso_text", "iso_date",
 ]
 
 # The vocabulary of truthy and falsy texts.
@@ -105,6 +105,12 @@ def is_iso_date(c) -> Column:
     return col.rlike(ISO_DATE_RE) | col.rlike(BASIC_DATE_RE)
 
 
+def iso_date(c) -> Column:
+    """The date written in an ISO date or date-time text (its own calendar
+    day, whatever the offset); null when the text is not such a date."""
+    return _as_date(c)
+
+
 def _as_date(c) -> Column:
     col = _c(c)
     basic = F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 5, 2),

@@ -23,14 +23,16 @@ EVENT_ARRAYS = [("added", 0), ("modified", 1), ("removed", 2)]
 def page_header(pages: DataFrame, now: str, default_env: str = "sandbox") -> list[Column]:
     """Header columns shared by all events of a page."""
     run_ts = F.coalesce(F.nullif(F.col("run_ts"), F.lit("")), F.lit(now))
-    t = S.parse_iso(run_ts)
+    # The run's own calendar day (as written, whatever its offset), when
+    # the text parses as a time at all.
+    day = F.when(S.parse_iso(run_ts).isNotNull(), S.iso_date(run_ts))
     return [
         S.coalesce_blank(F.col("plaid_env"), F.lit(default_env)).alias("plaid_env"),
         F.col("run_id"),
         run_ts.alias("run_ts"),
-        F.date_format(t, "yyyy-MM-dd").alias("event_date"),
-        F.year(t).cast("bigint").alias("event_year"),
-        F.month(t).cast("bigint").alias("event_month"),
+        F.date_format(day, "yyyy-MM-dd").alias("event_date"),
+        F.year(day).cast("bigint").alias("event_year"),
+        F.month(day).cast("bigint").alias("event_month"),
         F.col("mode"), F.col("institution"), F.col("item_id"),
         F.col("cursor_in"), F.col("cursor_out"),
         F.coalesce(F.col("has_more"), F.lit(False)).alias("has_more"),

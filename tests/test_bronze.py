@@ -159,3 +159,11 @@ def test_bad_page_fails_or_is_quarantined(spark, tmp):
     assert r2 == {"pages": 0, "rows": 0, "quarantined": 0}
     q = spark.read.json(f"{tmp}/q").collect()
     assert [r.page_path for r in q] == ["raw/bank/i1/sync_pages/page_0002_20260101_000000.json"]
+
+
+def test_event_date_is_the_run_time_own_day(spark, tmp):
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, "20260131_233000", "2026-01-31T23:30:00-05:00",
+               added=[tx("a")])
+    r = B.explode_pages(P.read_pages(spark, root), NOW).first()
+    assert (r.event_date, r.event_year, r.event_month) == ("2026-01-31", 2026, 1)
