@@ -107,16 +107,24 @@ def raw_payload_failures(pages: DataFrame) -> DataFrame:
 def processed_pages(spark: SparkSession, ledger_path: str,
                     bronze_path: str | None = None) -> DataFrame:
     """Page paths already processed: the ledger plus, to close the window
-    between a Bronze append and its ledger line, the pages found in Bronze."""
-    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path") \
-        .select("page_path")
+    between a Bronze append and its ledger line, the pages found in Bronze.
+
+    Only a batch newer than the last ledger line can be missing from the
+    ledger, and a batch stamps the same time on its rows and its ledger
+    lines, so Bronze is read from the last ledger time on (a filter the
+    Parquet scan prunes row groups with), not in whole."""
+    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path")
+    out = led.select("page_path")
     if bronze_path:
         try:
-            b = T.read_table(spark, bronze_path).select("page_path")
-            led = led.unionByName(b)
+            b = T.read_table(spark, bronze_path).select("page_path", "ingested_at")
         except T.TableNotFound:
-            pass
-    return led
+            return out
+        last = led.agg(F.max("ts")).first()[0]  # one value
+        if last:
+            b = b.filter(F.col("ingested_at") >= F.lit(last))
+        out = out.unionByName(b.select("page_path"))
+    return out
 
 
 def new_pages(pages: DataFrame, processed: DataFrame) -> DataFrame:

@@ -25,15 +25,19 @@ class TableNotFound(FileNotFoundError):
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
-               fmt: str = "parquet", int_partitions=()) -> DataFrame:
+               fmt: str = "parquet", int_partitions=(), merge_schema: bool = False) -> DataFrame:
     """Read a table; a missing path raises ``TableNotFound`` (not an
     analysis error deep in a plan).  Partition columns come back as int:
-    the given ones are cast to bigint."""
+    the given ones are cast to bigint.  Every writer here conforms to a fixed
+    schema, so schema merging (a footer read of every file) is off unless
+    asked for."""
     try:
         r = spark.read
         if schema is not None and fmt != "parquet":
             r = r.schema(schema)
-        df = r.format(fmt).option("mergeSchema", "true").load(path)
+        if merge_schema:
+            r = r.option("mergeSchema", "true")
+        df = r.format(fmt).load(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise TableNotFound(f"table not found at: {path}") from e
