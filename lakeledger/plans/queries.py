@@ -453,8 +453,8 @@ def q_page_counts(spark, sf):
 
 
 @register("run_summary", "WITH " + O.pages_cte() + """
-SELECT institution, item_id, run_id, count(*) AS pages, sum(n_added) AS added,
-       sum(n_modified) AS modified, sum(n_removed) AS removed,
+SELECT institution, item_id, run_id, count(*) AS pages, CAST(sum(n_added) AS BIGINT) AS added,
+       CAST(sum(n_modified) AS BIGINT) AS modified, CAST(sum(n_removed) AS BIGINT) AS removed,
        arg_min(cursor_in, page_no) AS cursor_start, arg_max(cursor_out, page_no) AS cursor_end,
        CASE WHEN arg_min(cursor_in, page_no) = '' THEN 'backfill' ELSE 'incremental' END AS mode
 FROM pset GROUP BY institution, item_id, run_id""")
