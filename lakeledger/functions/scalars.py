@@ -29,10 +29,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters Python's ``str.strip()`` removes: every code point whose
+# ``isspace()`` is true (derived from that rule, not listed by hand).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+
+
 def strip(c) -> Column:
-    """Remove leading and trailing Unicode white space (``trim`` removes
-    ASCII blanks only)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading and trailing Unicode white space (``trim`` alone
+    removes blanks only).  Most values have none: the two end characters
+    are looked up in the set first, and only then is ``btrim`` run."""
+    col = _c(c)
+    ws = list(WHITESPACE)
+    ends = F.substring(col, 1, 1).isin(ws) | F.substring(col, -1, 1).isin(ws)
+    return F.when(ends, F.btrim(col, F.lit(WHITESPACE))).otherwise(col)
 
 
 def slugify(c) -> Column:

@@ -328,7 +328,8 @@ def silver_from_bronze(bronze: DataFrame, built_at: str | None = None,
     payload = [F.when(~tomb, S.safe_str(c)).alias(c) for c in _STR_PAYLOAD]
     amount = F.when(~tomb, F.nanvl(F.col("amount"), F.lit(None).cast("double")))
     pending = F.when(~tomb, F.col("pending"))
-    year, month = S.iso_date_parts(F.when(~tomb, S.safe_str("date")))
+    h = h.withColumn("__d", S.iso_date(F.when(~tomb, S.safe_str("date"))))
+    year, month = F.year("__d").cast("bigint"), F.month("__d").cast("bigint")
     out = h.select(
         S.safe_str("plaid_env").alias("plaid_env"),
         S.safe_str("institution").alias("institution"),

@@ -42,54 +42,55 @@ def events_base(spark: SparkSession, sf_dir: str, unknown: tuple[str, ...] = ())
     """Per event: item, transaction, run, page and type (before payload).
 
     ``unknown`` lists source types left as they are (not mapped), so that
-    they reach Silver as unknown event types."""
+    they reach Silver as unknown event types.  Derived columns are built in
+    steps that refer to earlier columns, so no expression is repeated."""
     e = table(spark, sf_dir, "events")
     mapping = {k: v for k, v in TYPE_MAP.items() if k not in unknown}
-    day = F.date_format("ts", "yyyyMMdd")
-    et = F.coalesce(_map(F.col("event_type"), mapping), F.col("event_type"))
-    page_no = F.floor(F.col("event_id") / PAGE_SIZE).cast("bigint")
-    run_id = F.concat(day, F.lit("_000000"))
-    item = F.pmod(F.col("user_id"), F.lit(10)).cast("string")
-    page_name = F.concat(F.lit("page_"), F.format_string("%04d", page_no), F.lit("_"),
-                         run_id, F.lit(".json"))
-    return e.select(
+    b = e.select(
         F.col("event_id").alias("src_event_id"),
         F.col("ts"), F.col("user_id"), F.col("value"), F.col("props"),
         F.col("event_type").alias("src_type"),
-        item.alias("item_id"),
+        F.pmod(F.col("user_id"), F.lit(10)).cast("string").alias("item_id"),
         F.col("user_id").cast("string").alias("transaction_id"),
-        et.alias("event_type"),
-        run_id.alias("run_id"),
-        F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("T00:00:00.000000Z")).alias("run_ts"),
-        page_no.alias("page_no"),
-        page_name.alias("page_name"),
-        F.concat(F.lit(INSTITUTION + "/"), item, F.lit("/sync_pages/"), page_name)
-        .alias("page_path"),
-        F.coalesce(_map(et, TYPE_ORD), F.lit(1)).alias("type_ord"),
-        (F.col("event_id") - page_no * PAGE_SIZE).alias("pos"),
+        F.coalesce(_map(F.col("event_type"), mapping), F.col("event_type")).alias("event_type"),
+        F.date_format("ts", "yyyyMMdd").alias("day"),
+        F.date_format("ts", "yyyy-MM-dd").alias("iso_day"),
+        F.floor(F.col("event_id") / PAGE_SIZE).cast("bigint").alias("page_no"),
+    )
+    b = b.select(
+        "*",
+        F.concat(F.col("day"), F.lit("_000000")).alias("run_id"),
+        F.concat(F.col("iso_day"), F.lit("T00:00:00.000000Z")).alias("run_ts"),
+        F.coalesce(_map(F.col("event_type"), TYPE_ORD), F.lit(1)).alias("type_ord"),
+        (F.col("src_event_id") - F.col("page_no") * PAGE_SIZE).alias("pos"),
     )
+    b = b.withColumn("page_name", F.concat(
+        F.lit("page_"), F.format_string("%04d", F.col("page_no")), F.lit("_"),
+        F.col("run_id"), F.lit(".json")))
+    b = b.withColumn("page_path", F.concat(
+        F.lit(INSTITUTION + "/"), F.col("item_id"), F.lit("/sync_pages/"), F.col("page_name")))
+    return b.drop("day")
 
 
 def events_changelog(spark: SparkSession, sf_dir: str, unknown: tuple[str, ...] = ()) -> DataFrame:
     """``events`` as the Bronze event log (schema ``BRONZE``)."""
     b = events_base(spark, sf_dir, unknown)
     removed = F.col("event_type") == "removed"
-    t = F.to_timestamp(F.col("run_ts"))
     pay = {
         "account_id": F.concat(F.col("item_id"), F.lit("-"),
                                F.pmod(F.col("user_id"), F.lit(3)).cast("string")),
         "amount": F.col("value"),
         "iso_currency_code": F.lit("USD"),
-        "date": F.date_format("ts", "yyyy-MM-dd"),
+        "date": F.col("iso_day"),
         "name": F.col("src_type"),
         "merchant_name": F.get_json_object("props", "$.k"),
         "pending": F.col("value") < 10,
     }
     out = b.select(
         F.lit(PLAID_ENV).alias("plaid_env"), "run_id", "run_ts",
-        F.date_format(t, "yyyy-MM-dd").alias("event_date"),
-        F.year(t).cast("bigint").alias("event_year"),
-        F.month(t).cast("bigint").alias("event_month"),
+        F.col("iso_day").alias("event_date"),
+        F.year("ts").cast("bigint").alias("event_year"),
+        F.month("ts").cast("bigint").alias("event_month"),
         F.lit("incremental").alias("mode"),
         F.lit(INSTITUTION).alias("institution"), "item_id",
         "page_path", "event_type", "transaction_id",
