@@ -41,11 +41,15 @@ def page_header(pages: DataFrame, now: str, default_env: str = "sandbox") -> lis
 
 
 def _elements() -> Column:
-    """All elements of a page as one array of (event_type, type_ord, pos, j)."""
+    """All elements of a page as one array of (event_type, type_ord, pos, j,
+    tx): ``j`` is the element's JSON text, ``tx`` its parse (objects only).
+    Parsing inside the array, before the explode, makes every element's JSON
+    parsed exactly once."""
     def tag(name: str, ord_: int):
-        return lambda x, i: F.struct(F.lit(name).alias("event_type"),
-                                     F.lit(ord_).alias("type_ord"),
-                                     i.cast("bigint").alias("pos"), x.alias("j"))
+        return lambda x, i: F.struct(
+            F.lit(name).alias("event_type"), F.lit(ord_).alias("type_ord"),
+            i.cast("bigint").alias("pos"), x.alias("j"),
+            F.from_json(F.when(S.is_json_object(x), x), schemas.TX).alias("tx"))
     parts = [F.transform(F.coalesce(F.col(n), F.array().cast("array<string>")), tag(n, o))
              for n, o in EVENT_ARRAYS]
     return F.concat(*parts)
@@ -59,13 +63,13 @@ def explode_pages(pages: DataFrame, now: str | None = None,
     now = now or now_iso()
     ev = pages.select(*page_header(pages, now, default_env),
                       F.explode(_elements()).alias("e"))
-    j = F.col("e.j")
+    j, tx = F.col("e.j"), F.col("e.tx")
     removed = F.col("e.event_type") == "removed"
-    tx_id = F.when(removed, S.json_id(j)).otherwise(
-        F.when(S.is_json_object(j), F.get_json_object(j, "$.transaction_id")))
+    is_obj = S.is_json_object(j)
+    # removed: an object's id or a bare id; added/modified: objects only
+    tx_id = F.when(is_obj, tx["transaction_id"]).when(removed, j)
     ev = ev.select("*", tx_id.alias("transaction_id"))
     ev = ev.filter(F.col("transaction_id").isNotNull() & (F.col("transaction_id") != ""))
-    tx = F.from_json(F.when(~removed, j), schemas.TX)
     payload = {
         "account_id": tx["account_id"], "amount": tx["amount"].try_cast("double"),
         "iso_currency_code": tx["iso_currency_code"], "date": tx["date"],
@@ -96,7 +100,7 @@ def explode_pages(pages: DataFrame, now: str | None = None,
 def raw_payload_failures(pages: DataFrame) -> DataFrame:
     """Per page: elements whose amount or pending text did not cast."""
     ev = pages.select("page_path", F.explode(_elements()).alias("e"))
-    tx = F.from_json(F.col("e.j"), schemas.TX)
+    tx = F.col("e.tx")
     bad_amount = tx["amount"].isNotNull() & tx["amount"].try_cast("double").isNull()
     bad_pending = tx["pending"].isNotNull() & S.normalize_bool(tx["pending"]).isNull()
     return ev.groupBy("page_path").agg(
