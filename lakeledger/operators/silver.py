@@ -22,6 +22,10 @@ Forms, all equal in result (tests check it):
   "lead"        ``lead(ts)``; valid only when every type is known.
   "auto"        (default) "fast" for ordinary keys and "split" for the
                 heaviest keys, found by one partial-aggregated count per key.
+  "range"       "split" with segments cut by range partitioning on (key,
+                order): sampled bounds cut even one key into pieces of about
+                SEGMENT_ROWS events, whatever the order's columns hold; the
+                partition number, monotone along the order, is the segment.
   "split"       two levels, for hot keys.  The order's leading
                 ``spec.split`` columns cut a key's chain into contiguous
                 segments (for the event log: one page of one run); level 1
@@ -41,7 +45,7 @@ from pyspark.sql import functions as F
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
 
-FORMS = ("auto", "split", "fast", "definition", "lead")
+FORMS = ("auto", "split", "range", "fast", "definition", "lead")
 
 # Routing of the "auto" form: keys with more events than HOT_ROWS are hot;
 # at most HOT_KEYS_MAX of them (the heaviest) go to the split form, whose
@@ -49,6 +53,8 @@ FORMS = ("auto", "split", "fast", "definition", "lead")
 # key, hot or not, takes the fast form, which is exact for every key.
 HOT_ROWS = 2_000_000
 HOT_KEYS_MAX = 10_000
+# Target size of one range segment of a hot key (events).
+SEGMENT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -72,6 +78,9 @@ class Scd2Spec:
     delete_types: tuple[str, ...] = ("removed",)
     # number of leading order items that cut a key into segments ("split")
     split: int = 0
+    # True when those segments are bounded in size by the source (a page of
+    # the event log); otherwise hot keys are cut by range segments.
+    bounded_split: bool = False
 
     @property
     def known_types(self) -> tuple[str, ...]:
@@ -91,6 +100,7 @@ BRONZE_SPEC = Scd2Spec(
         OrderItem("event_id", "''"),
     ),
     split=3,
+    bounded_split=True,
 )
 
 
@@ -186,7 +196,7 @@ def _low_for(dtype) -> Column:
     return F.lit(None).cast(dtype)
 
 
-def _split(df, spec, ords):
+def _split(df, spec, ords, segments: list[str] | None = None):
     p = spec.split
     # Keys may hold nulls; windows group them, an equi-join would drop them.
     # Join on (value-or-low, is-null) pairs instead.
@@ -200,11 +210,14 @@ def _split(df, spec, ords):
     # Segment columns: the order's leading items with nulls mapped to the
     # type's low end (null and low then share one segment, which is still a
     # contiguous run of the order).
-    seg = [f"__g{i}" for i in range(p)]
-    for i in range(p):
-        df = df.withColumn(seg[i], F.coalesce(F.col(ords[i]), F.expr(spec.order[i].low)))
+    if segments is not None:  # given, non-null and monotone along the order
+        seg, rest = list(segments), list(ords)
+    else:
+        seg = [f"__g{i}" for i in range(p)]
+        for i in range(p):
+            df = df.withColumn(seg[i], F.coalesce(F.col(ords[i]), F.expr(spec.order[i].low)))
+        rest = ords[p:]
     gkeys = spec_keys + seg
-    rest = ords[p:]
 
     # Level 1: inside one segment, read backwards.  The same pass also gives
     # the segment's summary (size, first known ts, last ts) from whole-segment
@@ -245,16 +258,37 @@ def _split(df, spec, ords):
 def hot_keys(df: DataFrame, keys, hot_rows: int = HOT_ROWS,
              hot_keys_max: int = HOT_KEYS_MAX) -> list[tuple]:
     """Keys with more than ``hot_rows`` events, heaviest first, at most
-    ``hot_keys_max`` of them: one partial-aggregated count per key and a
-    top-k, so only a bounded list reaches the driver."""
+    ``hot_keys_max`` of them, with their counts: one partial-aggregated count
+    per key and a top-k, so only a bounded list reaches the driver."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
     top = (counts.filter(F.col("__cnt") > hot_rows)
            .orderBy(F.col("__cnt").desc()).limit(hot_keys_max))
-    return [tuple(r[k] for k in keys) for r in top.collect()]
+    return [(tuple(r[k] for k in keys), r["__cnt"]) for r in top.collect()]
+
+
+def _range(df, spec, ords, n_segments: int):
+    """Two levels with range segments.  The segment assignment is pinned in
+    the shared checkpoint folder, so every later branch and any recomputed
+    task sees the same segments."""
+    from lakeledger.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    order = ([F.col(k).asc_nulls_first() for k in spec.keys]
+             + [F.col(o).asc_nulls_first() for o in ords])
+    ranged = (df.repartitionByRange(max(1, n_segments), *order)
+              .withColumn("__rseg", F.spark_partition_id().cast("bigint"))
+              .checkpoint(eager=True))
+    return _split(ranged, spec, ords, segments=["__rseg"])
+
+
+def _hot_form(df, spec, ords, n_rows: int):
+    if spec.split > 0 and spec.bounded_split:
+        return _split(df, spec, ords)
+    return _range(df, spec, ords, -(-n_rows // SEGMENT_ROWS))
 
 
 def _auto(df, spec, ords, hot_rows: int, hot_keys_max: int):
-    """Route keys: the heaviest (bounded list) to "split", the rest to "fast"."""
+    """Route keys: the heaviest (bounded list) to a two-level form, the rest
+    to "fast"."""
     keys = list(spec.keys)
     hot = hot_keys(df, keys, hot_rows, hot_keys_max)
     if not hot:
@@ -262,7 +296,7 @@ def _auto(df, spec, ords, hot_rows: int, hot_keys_max: int):
     types = {f.name: f.dataType for f in df.schema.fields}
     from pyspark.sql.types import StructField, StructType
     hot_df = df.sparkSession.createDataFrame(
-        hot, StructType([StructField(k, types[k]) for k in keys]))
+        [k for k, _ in hot], StructType([StructField(k, types[k]) for k in keys]))
     hot_df = hot_df.withColumn("__hot", F.lit(True))
     cond = [df[k].eqNullSafe(hot_df[k]) for k in keys]
     # the hot list has at most hot_keys_max rows: a bounded broadcast
@@ -270,7 +304,8 @@ def _auto(df, spec, ords, hot_rows: int, hot_keys_max: int):
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
     cols = df.columns + ["__version", "__n_after", "__next_known", "__last_any"]
     cold = _fast(flagged.filter(~is_hot).drop("__hot"), spec, ords).select(*cols)
-    warm = _split(flagged.filter(is_hot).drop("__hot"), spec, ords).select(*cols)
+    warm = _hot_form(flagged.filter(is_hot).drop("__hot"), spec, ords,
+                     sum(c for _, c in hot)).select(*cols)
     return cold.unionByName(warm)
 
 
@@ -287,10 +322,13 @@ def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None
         raise ValueError(f"form must be one of {FORMS}")
     built_at = built_at or now_iso()
     prepared, ords = _prepare(df, spec, built_at)
-    if form in ("split", "auto") and spec.split <= 0:
-        form = "fast"
+    if form == "split" and spec.split <= 0:
+        form = "range"
     if form == "auto":
         body = _auto(prepared, spec, ords, hot_rows, hot_keys_max)
+    elif form == "range":
+        n = prepared.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        body = _range(prepared, spec, ords, int(n))
     else:
         body = {"definition": _definition, "fast": _fast, "lead": _lead,
                 "split": _split}[form](prepared, spec, ords)

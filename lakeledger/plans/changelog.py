@@ -150,7 +150,7 @@ CONVERSATIONS_SPEC = Scd2Spec(
     keys=("conv_id",), event_time="run_ts", event_type="event_type",
     order=(OrderItem("floor(turn / 64)", "-9223372036854775808"),
            OrderItem("turn", "-9223372036854775808")),
-    split=1)
+    split=1, bounded_split=True)
 
 
 def conversations_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:

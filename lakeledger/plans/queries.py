@@ -126,6 +126,21 @@ def q_scd2_orders(spark, sf):
                     *[c.strip() for c in _HIST.split(",")])
 
 
+@register("scd2_orders_hot_key", "WITH " + _ORDERS_SRC.replace(
+    "SELECT o_custkey,", "SELECT CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS o_custkey,")
+    + O.history_ctes("o", "o_custkey", "o_orderdate, o_orderkey", "run_ts") +
+    f"\nSELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority, {_HIST} FROM h")
+def q_scd2_orders_hot(spark, sf):
+    """Orders with one customer holding a third of all orders: the order's
+    columns bound no segment, so the hot key is cut by range segments."""
+    o = C.orders_changelog(spark, sf).withColumn(
+        "o_custkey", F.when(F.col("o_custkey") % 3 == 0, F.lit(0).cast("bigint"))
+        .otherwise(F.col("o_custkey")))
+    h = silver.build_scd2(o, C.ORDERS_SPEC, C.BUILT_AT, hot_rows=1000)
+    return h.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority",
+                    *[c.strip() for c in _HIST.split(",")])
+
+
 _LINEITEM_SRC = """
 li AS (
   SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_quantity, l_extendedprice,

@@ -142,3 +142,18 @@ def test_refresh_equals_rebuild(spark, cut):
             "is_active", "change_type", "source_event_id"]
     assert sorted(map(repr, new.select(*cols).collect())) == \
         sorted(map(repr, full.select(*cols).collect()))
+
+
+def test_range_form_equals_walk(spark):
+    """Range segments cut keys whatever the order's columns hold."""
+    rows = random_log(random.Random(51), 1500, keys=2, times=2)
+    assert run(spark, rows, "range") == expected(rows)
+
+
+def test_auto_routes_unbounded_spec_to_range_segments(spark, monkeypatch):
+    monkeypatch.setattr(SV, "SEGMENT_ROWS", 50)  # many small range segments
+    rows = random_log(random.Random(52), 1200, keys=3, times=1)
+    df = spark.createDataFrame(rows, SCHEMA)
+    h = SV.build_scd2(df, SPEC, built_at="BUILT", form="auto", hot_rows=100)
+    got = sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr)
+    assert got == expected(rows)
