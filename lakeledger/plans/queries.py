@@ -93,6 +93,12 @@ def q_scd2_fast(spark, sf):
     return silver_of_events(spark, sf, form="fast")
 
 
+@register("scd2_lead_form", O.with_silver(f"SELECT {O.SILVER_COLS} FROM silver"))
+def q_scd2_lead(spark, sf):
+    """``lead`` form: valid because the event log holds known types only."""
+    return silver_of_events(spark, sf, form="lead")
+
+
 @register("scd2_split_form", O.with_silver(f"SELECT {O.SILVER_COLS} FROM silver"))
 def q_scd2_split(spark, sf):
     """Every key through the two-level (segment) form."""
