@@ -219,21 +219,22 @@ def _split(df, spec, ords, segments: list[str] | None = None):
         rest = ords[p:]
     gkeys = spec_keys + seg
 
-    # Level 1: inside one segment, read backwards.  The same pass also gives
-    # the segment's summary (size, first known ts, last ts) from whole-segment
-    # frames, so the input is shuffled and sorted once.
+    # Level 1: inside one segment, read backwards.
     d = Window.partitionBy(*gkeys).orderBy(*_desc(rest) if rest else [F.lit(1)])
     r = d.rowsBetween(Window.unboundedPreceding, -1)
-    whole = d.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = (df.withColumn("__rn_g", F.row_number().over(d))
             .withColumn("__nk_g", F.last(_known_ts(), ignorenulls=True).over(r))
-            .withColumn("__la_g", F.first("__ts").over(r))
-            .withColumn("__n_g", F.count(F.lit(1)).over(whole))
-            .withColumn("__fk_g", F.last(_known_ts(), ignorenulls=True).over(whole))
-            .withColumn("__last_g", F.first("__ts").over(whole)))
-
-    # One summary row per segment: its last event (row 1 read backwards).
-    summ = rows.filter(F.col("__rn_g") == 1).select(*gkeys, "__n_g", "__fk_g", "__last_g")
+            .withColumn("__la_g", F.first("__ts").over(r)))
+
+    # One summary row per segment (size, first known ts, last ts) by an
+    # aggregation: partial aggregation in the map tasks means only about one
+    # row per segment and task is shuffled, not the rows themselves.  Struct
+    # comparison is field by field with nulls first, as the order.
+    order_struct = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    summ = df.groupBy(*gkeys).agg(
+        F.count(F.lit(1)).alias("__n_g"),
+        F.min_by(F.col("__ts"), F.when(F.col("__known"), order_struct)).alias("__fk_g"),
+        F.max_by(F.col("__ts"), order_struct).alias("__last_g"))
 
     # Level 2: segments of one key, read backwards.
     d2 = Window.partitionBy(*spec_keys).orderBy(*[F.col(c).desc() for c in seg])
@@ -245,7 +246,6 @@ def _split(df, spec, ords, segments: list[str] | None = None):
             .withColumn("__la_after", F.first("__last_g").over(r2)))
     summ = summ.select(*gkeys, F.col("__n_g").alias("__n_s"), "__after_g", "__total",
                        "__nk_after", "__la_after")
-    rows = rows.drop("__n_g", "__fk_g", "__last_g")
 
     j = rows.join(summ, on=gkeys, how="inner")
     before = F.col("__total") - F.col("__after_g") - F.col("__n_s")
