@@ -24,6 +24,17 @@ REQUIRED_CONF = {
 }
 
 
+def _default_driver_memory() -> str:
+    """Half of the machine's memory, at most 16g (local mode: the driver
+    heap holds every executor thread)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        gb = max(1, min(16, int(total / 2 ** 30 / 2)))
+    except (ValueError, OSError, AttributeError):
+        gb = 4
+    return f"{gb}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "lakeledger", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
@@ -31,7 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", os.environ.get("LAKELEDGER_DRIVER_MEM", "8g"))
+         .config("spark.driver.memory",
+                 os.environ.get("LAKELEDGER_DRIVER_MEM", _default_driver_memory()))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
