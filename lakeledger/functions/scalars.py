@@ -39,9 +39,11 @@ def strip(c) -> Column:
     removes blanks only).  Most values have none: the two end characters
     are looked up in the set first, and only then is ``btrim`` run."""
     col = _c(c)
-    ws = list(WHITESPACE)
-    ends = F.substring(col, 1, 1).isin(ws) | F.substring(col, -1, 1).isin(ws)
-    return F.when(ends, F.btrim(col, F.lit(WHITESPACE))).otherwise(col)
+    ws = F.lit(WHITESPACE)
+    # position('' in ws) is 1: an empty text also takes btrim, harmlessly
+    ends = (F.position(F.substring(col, 1, 1), ws) > 0) | \
+        (F.position(F.substring(col, -1, 1), ws) > 0)
+    return F.when(ends, F.btrim(col, ws)).otherwise(col)
 
 
 def slugify(c) -> Column:

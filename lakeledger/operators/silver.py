@@ -140,17 +140,18 @@ def _finish(df: DataFrame, spec: Scd2Spec) -> DataFrame:
     columns; rows of unknown types are dropped only here (after the window)."""
     is_current = F.col("__n_after") == 0
     is_deleted = F.col("__ct").isin(list(spec.delete_types))
-    out = (df.filter(F.col("__known"))
-           .withColumn("valid_from_ts", F.col("__ts"))
-           .withColumn("valid_to_ts", F.when(~is_current, F.coalesce(
-               F.col("__next_known"), F.col("__last_any"))))
-           .withColumn("is_current", is_current)
-           .withColumn("is_deleted", is_deleted)
-           .withColumn("is_active", is_current & ~is_deleted)
-           .withColumn("change_type", F.col("__ct"))
-           .withColumn("version", F.col("__version").cast("bigint")))
-    drop = [c for c in out.columns if c.startswith("__")]
-    return out.drop(*drop)
+    keep = [c for c in df.columns if not c.startswith("__")]
+    out = df.filter(F.col("__known")).select(
+        *keep,
+        F.col("__ts").alias("valid_from_ts"),
+        F.when(~is_current, F.coalesce(F.col("__next_known"), F.col("__last_any")))
+        .alias("valid_to_ts"),
+        is_current.alias("is_current"),
+        is_deleted.alias("is_deleted"),
+        (is_current & ~is_deleted).alias("is_active"),
+        F.col("__ct").alias("change_type"),
+        F.col("__version").cast("bigint").alias("version"))
+    return out
 
 
 def _definition(df, spec, ords):
@@ -165,14 +166,13 @@ def _definition(df, spec, ords):
 def _fast(df, spec, ords):
     d = Window.partitionBy(*spec.keys).orderBy(*_desc(ords))
     r = d.rowsBetween(Window.unboundedPreceding, -1)
-    rn = F.row_number().over(d)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*spec.keys))
-    return (df.withColumn("__rn", rn)
-            .withColumn("__n", n)
-            .withColumn("__version", F.col("__n") - F.col("__rn") + 1)
-            .withColumn("__n_after", F.col("__rn") - 1)
-            .withColumn("__next_known", F.last(_known_ts(), ignorenulls=True).over(r))
-            .withColumn("__last_any", F.first("__ts").over(r)))
+    df = df.withColumns({
+        "__rn": F.row_number().over(d),
+        "__n": F.count(F.lit(1)).over(Window.partitionBy(*spec.keys)),
+        "__next_known": F.last(_known_ts(), ignorenulls=True).over(r),
+        "__last_any": F.first("__ts").over(r)})
+    return df.withColumns({"__version": F.col("__n") - F.col("__rn") + 1,
+                           "__n_after": F.col("__rn") - 1})
 
 
 def _lead(df, spec, ords):

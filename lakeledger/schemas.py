@@ -124,17 +124,19 @@ _NUMERIC = (LongType, IntegerType, DoubleType)
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: missing columns become typed nulls,
     unknown columns are dropped, order is fixed, types are cast with
-    ``try_cast`` (a value that does not cast becomes null; see quality D8)."""
+    ``try_cast`` (a value that does not cast becomes null; see quality D8).
+    Built as one ``selectExpr`` over fixed column names and types."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    cols: list[Column] = []
+    exprs: list[str] = []
     for f in schema.fields:
+        name, typ = f"`{f.name}`", f.dataType.simpleString()
         if f.name not in have:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            exprs.append(f"CAST(NULL AS {typ}) AS {name}")
         elif have[f.name] == f.dataType:
-            cols.append(F.col(f.name))
+            exprs.append(name)
         else:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"try_cast({name} AS {typ}) AS {name}")
+    return df.selectExpr(*exprs)
 
 
 def require_columns(df: DataFrame, required) -> None:

@@ -44,7 +44,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory",
                  os.environ.get("LAKELEDGER_DRIVER_MEM", _default_driver_memory()))
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # Python call sites for error messages cost several JVM round trips
+         # per column function while a plan is being built.
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
