@@ -25,6 +25,10 @@ def _nested(name: str, inner: str) -> StructField:
     return StructField(name, _struct(inner))
 
 
+# The field and column names below are the feed's data model
+# (page files, Bronze, Silver, export and log records) and must stay as they
+# are for existing pages, tables and exports to keep working.
+
 # One sync page: header scalars and three arrays whose elements are kept as
 # their JSON source text (objects stay objects, bare ids stay ids).
 PAGE = StructType([
