@@ -162,7 +162,8 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
            now: str | None = None, prefix: str = "", default_env: str = "sandbox",
-           mode: str = "FAILFAST", quarantine_path: str | None = None) -> dict:
+           mode: str = "FAILFAST", quarantine_path: str | None = None,
+           layout: str = "files") -> dict:
     """One batch: new pages below ``root`` -> Bronze append -> ledger.
 
     Idempotent: a second run over the same pages adds nothing, also after a
@@ -173,7 +174,7 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     Returns counts.
     """
     now = now or now_iso()
-    pages = P.read_pages(spark, root, prefix, mode)
+    pages = P.read_pages(spark, root, prefix, mode, layout=layout)
     quarantined = 0
     if P.CORRUPT in pages.columns:
         bad = pages.filter(F.col(P.CORRUPT).isNotNull())

@@ -684,6 +684,23 @@ def q_bronze_stream(spark, sf):
                        .alias("raw_id"))
 
 
+@register("bronze_ingest_batch", SQL["page_roundtrip"])
+def q_bronze_ingest_batch(spark, sf):
+    """Batch ingest (F1, K1, K3, A8): the page set lands in two drops, each
+    followed by an ingest run, then one more run with nothing new.  Equals
+    the flattened pages; the repeat adds nothing."""
+    base = _scratch(spark, "bronze-batch")
+    for part in ("a", "b", None):
+        if part:
+            _land(spark, sf, f"{base}/landing", part)
+        bronze.ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/ledger",
+                      now=C.INGESTED_AT, layout="lines")
+    rows = bronze.read_bronze(spark, f"{base}/bronze")
+    return rows.select(*_ROUNDTRIP_COLS,
+                       F.get_json_object("raw_transaction_json", "$.transaction_id")
+                       .alias("raw_id"))
+
+
 @register("silver_stream", "WITH " + O.changelog_cte() + """,
 cl_pages AS (SELECT * FROM cl WHERE src_type <> 'click')""" + O.silver_ctes("cl_pages") +
     f"\nSELECT {O.SILVER_COLS} FROM silver")

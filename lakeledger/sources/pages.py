@@ -23,9 +23,22 @@ def root_uri(root: str) -> str:
     return "file:" + os.path.abspath(root).rstrip("/")
 
 
+# A page set stored as JSON lines carries its own name and path.
+PAGE_LINE = StructType(schemas.PAGE.fields + [StructField("page_name", StringType()),
+                                              StructField("page_path", StringType())])
+
+
+def read_page_lines(spark: SparkSession, root: str, mode: str = "FAILFAST") -> DataFrame:
+    """Pages stored as JSON lines (one page per line, with page_name and
+    page_path fields), e.g. as a landing zone written by another job."""
+    return (spark.read.schema(PAGE_LINE).option("mode", mode)
+            .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+            .json(root))
+
+
 def read_pages(spark: SparkSession, root: str, prefix: str = "",
                mode: str = "FAILFAST", institution: str | None = None,
-               item_id: str | None = None) -> DataFrame:
+               item_id: str | None = None, layout: str = "files") -> DataFrame:
     """One row per page file found anywhere below ``root``.
 
     Columns: the ``PAGE`` fields, ``page_name`` (file name) and ``page_path``
@@ -35,6 +48,15 @@ def read_pages(spark: SparkSession, root: str, prefix: str = "",
     ``_corrupt_record`` holds the file text (see ``bronze.ingest``'s
     quarantine).
     """
+    if layout == "lines":
+        df = read_page_lines(spark, root, mode)
+        if institution is not None:
+            df = df.filter(S.slugify("institution") == S.slugify(F.lit(institution)))
+        if item_id is not None:
+            df = df.filter(F.col("item_id") == item_id)
+        return df
+    if layout != "files":
+        raise ValueError("layout must be 'files' or 'lines'")
     schema = schemas.PAGE
     if mode.upper() == "PERMISSIVE":
         schema = StructType(schema.fields + [StructField(CORRUPT, StringType())])

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
@@ -24,9 +23,7 @@ from lakeledger.operators import silver as SV
 from lakeledger.sources import pages as P
 from lakeledger.sources import tables as T
 
-# A page set stored as JSON lines carries its own name and path.
-PAGE_LINE = StructType(schemas.PAGE.fields + [StructField("page_name", StringType()),
-                                              StructField("page_path", StringType())])
+PAGE_LINE = P.PAGE_LINE
 
 
 def page_stream(spark: SparkSession, root: str, layout: str = "files",
