@@ -211,12 +211,15 @@ def _split(df, spec, ords, segments: list[str] | None = None):
     # type's low end (null and low then share one segment, which is still a
     # contiguous run of the order).
     if segments is not None:  # given, non-null and monotone along the order
-        seg, rest = list(segments), list(ords)
+        parts, rest = [F.col(c) for c in segments], list(ords)
     else:
-        seg = [f"__g{i}" for i in range(p)]
-        for i in range(p):
-            df = df.withColumn(seg[i], F.coalesce(F.col(ords[i]), F.expr(spec.order[i].low)))
+        parts = [F.coalesce(F.col(ords[i]), F.expr(spec.order[i].low)) for i in range(p)]
         rest = ords[p:]
+    # One struct column is the segment: window partitioning and join keys are
+    # then the same attributes, and the optimizer cannot drop a field from
+    # one of them (a dropped field would force a reshuffle of all rows).
+    df = df.withColumn("__seg", F.struct(*[c.alias(f"s{i}") for i, c in enumerate(parts)]))
+    seg = ["__seg"]
     gkeys = spec_keys + seg
 
     # Level 1: inside one segment, read backwards.
@@ -280,15 +283,73 @@ def _range(df, spec, ords, n_segments: int):
     return _split(ranged, spec, ords, segments=["__rseg"])
 
 
-def _hot_form(df, spec, ords, n_rows: int):
-    if spec.split > 0 and spec.bounded_split:
-        return _split(df, spec, ords)
-    return _range(df, spec, ords, -(-n_rows // SEGMENT_ROWS))
+def _unified(flagged, spec, ords):
+    """Bounded segments, one shuffle for all rows: a hot key's rows are cut
+    into the spec's segments, a cold key is one segment.  Level 1 runs for
+    every row in one window pass; only hot rows are joined with the level-2
+    summaries, which an aggregation builds from the hot rows alone."""
+    p = spec.split
+    types = {f.name: f.dataType for f in flagged.schema.fields}
+    hot = F.coalesce(F.col("__hot"), F.lit(False))
+    kcols, seg = [], ["__seg"]
+    cols = {}
+    for i, k in enumerate(spec.keys):
+        cols[f"__kv{i}"] = F.coalesce(F.col(k), _low_for(types[k]))
+        cols[f"__kn{i}"] = F.col(k).isNull()
+        kcols += [f"__kv{i}", f"__kn{i}"]
+    lows = [F.expr(spec.order[i].low) for i in range(p)]
+    # one struct column, as in _split: the same attribute partitions the
+    # window and keys the join
+    cols["__seg"] = F.when(hot, F.struct(*[F.coalesce(F.col(ords[i]), lows[i]).alias(f"s{i}")
+                                           for i in range(p)])) \
+        .otherwise(F.struct(*[lows[i].alias(f"s{i}") for i in range(p)]))
+    cols["__hot"] = hot
+    df = flagged.withColumns(cols)
+    gkeys = kcols + seg
+
+    # Level 1 over (key, segment) in the full order (inside a hot segment the
+    # leading items are constant, so the full order is the segment's order).
+    d = Window.partitionBy(*gkeys).orderBy(*_desc(ords))
+    r = d.rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumns({
+        "__rn_g": F.row_number().over(d),
+        "__n_g": F.count(F.lit(1)).over(Window.partitionBy(*gkeys)),
+        "__nk_g": F.last(_known_ts(), ignorenulls=True).over(r),
+        "__la_g": F.first("__ts").over(r)})
+
+    # Level-2 summaries from the hot rows only (partial aggregation).
+    rest = ords[p:]
+    order_struct = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    summ = df.filter(F.col("__hot")).groupBy(*gkeys).agg(
+        F.count(F.lit(1)).alias("__n_s"),
+        F.min_by(F.col("__ts"), F.when(F.col("__known"), order_struct)).alias("__fk_g"),
+        F.max_by(F.col("__ts"), order_struct).alias("__last_g"))
+    d2 = Window.partitionBy(*kcols).orderBy(*[F.col(c).desc() for c in seg])
+    r2 = d2.rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumns({
+        "__after_g": F.coalesce(F.sum("__n_s").over(r2), F.lit(0)),
+        "__total": F.sum("__n_s").over(Window.partitionBy(*kcols)),
+        "__nk_after": F.last("__fk_g", ignorenulls=True).over(r2),
+        "__la_after": F.first("__last_g").over(r2)}).drop("__fk_g", "__last_g", "__n_s")
+
+    # Every row in one pass: a left join on (key, segment) keeps the rows'
+    # partitioning and order; cold rows find no summary and their one
+    # segment is their whole chain (total = segment size, nothing after it).
+    j = rows.join(summ, on=gkeys, how="left")
+    total = F.coalesce(F.col("__total"), F.col("__n_g"))
+    after = F.coalesce(F.col("__after_g"), F.lit(0))
+    j = j.withColumns({
+        "__version": total - after - F.col("__rn_g") + 1,
+        "__n_after": F.col("__rn_g") - 1 + after,
+        "__next_known": F.coalesce("__nk_g", "__nk_after"),
+        "__last_any": F.coalesce("__la_after", "__la_g")})
+    out = flagged.columns[:-1] + ["__version", "__n_after", "__next_known", "__last_any"]
+    return j.select(*out)
 
 
 def _auto(df, spec, ords, hot_rows: int, hot_keys_max: int):
     """Route keys: the heaviest (bounded list) to a two-level form, the rest
-    to "fast"."""
+    to the one-window form."""
     keys = list(spec.keys)
     hot = hot_keys(df, keys, hot_rows, hot_keys_max)
     if not hot:
@@ -301,11 +362,13 @@ def _auto(df, spec, ords, hot_rows: int, hot_keys_max: int):
     cond = [df[k].eqNullSafe(hot_df[k]) for k in keys]
     # the hot list has at most hot_keys_max rows: a bounded broadcast
     flagged = df.join(F.broadcast(hot_df), cond, "left").select(df["*"], hot_df["__hot"])
+    if spec.split > 0 and spec.bounded_split:
+        return _unified(flagged, spec, ords)
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
     cols = df.columns + ["__version", "__n_after", "__next_known", "__last_any"]
     cold = _fast(flagged.filter(~is_hot).drop("__hot"), spec, ords).select(*cols)
-    warm = _hot_form(flagged.filter(is_hot).drop("__hot"), spec, ords,
-                     sum(c for _, c in hot)).select(*cols)
+    warm = _range(flagged.filter(is_hot).drop("__hot"), spec, ords,
+                  -(-sum(c for _, c in hot) // SEGMENT_ROWS)).select(*cols)
     return cold.unionByName(warm)
 
 

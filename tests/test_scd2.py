@@ -157,3 +157,17 @@ def test_auto_routes_unbounded_spec_to_range_segments(spark, monkeypatch):
     h = SV.build_scd2(df, SPEC, built_at="BUILT", form="auto", hot_rows=100)
     got = sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr)
     assert got == expected(rows)
+
+
+def test_auto_unified_path_for_bounded_segments(spark):
+    """Bounded segments: hot keys are cut by the spec's segments in the same
+    shuffle as the cold keys."""
+    spec = Scd2Spec(keys=("k",), event_time="ts", event_type="event_type",
+                    order=SPEC.order, split=1, bounded_split=True)
+    rows = random_log(random.Random(61), 1500, keys=4, times=6)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for hot_rows in (0, 200, 350, 10 ** 9):
+        h = SV.build_scd2(df, spec, built_at="BUILT", form="auto", hot_rows=hot_rows,
+                          hot_keys_max=3)
+        got = sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr)
+        assert got == expected(rows), hot_rows
