@@ -55,3 +55,12 @@ def test_page_name_parts_and_relative_path(spark):
     u = spark.createDataFrame([("file:/data/raw/a%20b/page_1_x.json",)], "u string")
     assert u.select(S.relative_path(F.col("u"), "file:/data/raw", "raw/")).first()[0] == \
         "raw/a b/page_1_x.json"
+
+
+def test_json_id_and_is_iso_date(spark):
+    got = one(spark, [('{"transaction_id": "t1"}',), ('{"transaction_id": 7}',), ("r9",),
+                      ("{}",), (None,)], "s string", S.json_id("s"))
+    assert got == ["t1", "7", "r9", None, None]
+    ok = one(spark, [("2026-01-10",), ("20260111",), ("2026",), ("2026-1-5",)], "s string",
+             S.is_iso_date("s"))
+    assert ok == [True, True, False, False]
