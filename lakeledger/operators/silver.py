@@ -458,10 +458,11 @@ def write_silver(df: DataFrame, path: str, partition_by: str = "txn_year") -> st
     return tables.write_versioned(df, path, partition_by=[partition_by])
 
 
-def read_silver(spark, path: str) -> DataFrame:
+def read_silver(spark, path: str, version: str | None = None) -> DataFrame:
+    """Current Silver, or an older committed version (see tables.versions)."""
     from lakeledger.sources import tables
     return tables.read_versioned(spark, path, schemas.SILVER,
-                                 int_partitions={"txn_year"})
+                                 int_partitions={"txn_year"}, version=version)
 
 
 def _keyed(df: DataFrame) -> DataFrame:

@@ -85,9 +85,18 @@ def write_versioned(df: DataFrame, path: str, partition_by=()) -> str:
     return target
 
 
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """Committed versions of the table at ``path`` (version, committed_at),
+    from the commit markers."""
+    return (spark.read.schema("version string, committed_at string")
+            .option("recursiveFileLookup", True).json(f"{path.rstrip('/')}/commits"))
+
+
 def read_versioned(spark: SparkSession, path: str, schema: StructType | None = None,
-                   int_partitions=()) -> DataFrame:
-    v = latest_version(spark, path)
+                   int_partitions=(), version: str | None = None) -> DataFrame:
+    """The newest committed version, or the given one (a read of an older
+    state of the table)."""
+    v = version or latest_version(spark, path)
     if v is None:
         raise TableNotFound(f"no committed version of the table at: {path}")
     return read_table(spark, f"{path.rstrip('/')}/{v}", schema,
