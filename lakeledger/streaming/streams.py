@@ -65,13 +65,26 @@ def bronze_stream(spark: SparkSession, root: str, bronze_path: str, checkpoint:
 
 def silver_batch(spark: SparkSession, batch: DataFrame, batch_id: int, bronze_path: str,
                  silver_path: str, now: str | None = None, built_at: str | None = None,
-                 form: str = "auto") -> None:
-    """One micro-batch of ``silver_stream`` (also usable from batch jobs)."""
+                 form: str = "auto", bucketed: bool = False) -> None:
+    """One micro-batch of ``silver_stream`` (also usable from batch jobs).
+
+    ``bucketed=False``: Silver is refreshed for the touched keys and written
+    as a new table version.  ``bucketed=True``: Silver is laid out by key
+    bucket and only the touched buckets are rewritten in place."""
     rows = B.explode_pages(batch, now)
     folder = f"{bronze_path.rstrip('/')}/batch_id={batch_id}"
     rows.write.mode("overwrite").partitionBy("event_year").parquet(folder)
     bronze_all = B.read_bronze(spark, bronze_path)
     changed = T.read_table(spark, folder).select("item_id", "transaction_id")
+    if bucketed:
+        try:
+            SV.read_silver_bucketed(spark, silver_path)
+        except T.TableNotFound:
+            SV.write_silver_bucketed(SV.silver_from_bronze(bronze_all, built_at, form),
+                                     silver_path)
+            return
+        SV.refresh_buckets(spark, bronze_all, changed, silver_path, built_at, form=form)
+        return
     try:
         old = SV.read_silver(spark, silver_path)
     except T.TableNotFound:
@@ -83,13 +96,14 @@ def silver_batch(spark: SparkSession, batch: DataFrame, batch_id: int, bronze_pa
 def silver_stream(spark: SparkSession, root: str, bronze_path: str, silver_path: str,
                   checkpoint: str, now: str | None = None, built_at: str | None = None,
                   layout: str = "files", prefix: str = "", available_now: bool = True,
-                  form: str = "auto"):
+                  form: str = "auto", bucketed: bool = False):
     pages = page_stream(spark, root, layout, prefix)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        silver_batch(spark, batch, batch_id, bronze_path, silver_path, now, built_at, form)
+        silver_batch(spark, batch, batch_id, bronze_path, silver_path, now, built_at, form,
+                     bucketed)
 
     w = pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

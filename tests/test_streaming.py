@@ -44,3 +44,17 @@ def test_silver_stream_equals_rebuild(spark, tmp):
     assert rows(streamed) == rows(rebuilt)
     a = [r for r in rows(streamed) if r[1] == "a"]
     assert [(r[2], r[4]) for r in a] == [(1, R1[1]), (2, R2[1])]
+
+
+def test_silver_stream_bucketed_equals_rebuild(spark, tmp):
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, *R2, added=[tx("a"), tx("b")])
+    kw = dict(now="N", built_at="B", prefix="raw/", bucketed=True)
+    streams.silver_stream(spark, root, f"{tmp}/b", f"{tmp}/s", f"{tmp}/ck", **kw) \
+        .awaitTermination()
+    write_page(root, "bank", "i1", 1, *R1, added=[tx("a")], removed=["x"])
+    streams.silver_stream(spark, root, f"{tmp}/b", f"{tmp}/s", f"{tmp}/ck", **kw) \
+        .awaitTermination()
+    streamed = SV.read_silver_bucketed(spark, f"{tmp}/s")
+    rebuilt = SV.silver_from_bronze(B.read_bronze(spark, f"{tmp}/b"), built_at="B")
+    assert rows(streamed) == rows(rebuilt)
