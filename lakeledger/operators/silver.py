@@ -286,8 +286,9 @@ def _range(df, spec, ords, n_segments: int):
 def _unified(flagged, spec, ords):
     """Bounded segments, one shuffle for all rows: a hot key's rows are cut
     into the spec's segments, a cold key is one segment.  Level 1 runs for
-    every row in one window pass; only hot rows are joined with the level-2
-    summaries, which an aggregation builds from the hot rows alone."""
+    every row in one window pass; a left join adds the level-2 summaries,
+    which an aggregation builds from the hot rows alone (cold rows find
+    none and need none)."""
     p = spec.split
     types = {f.name: f.dataType for f in flagged.schema.fields}
     hot = F.coalesce(F.col("__hot"), F.lit(False))
