@@ -131,6 +131,9 @@ def stringify(df: DataFrame) -> DataFrame:
 
 
 def target_header(spark: SparkSession, target: str) -> list[str] | None:
+    from lakeledger.sources.tables import path_exists
+    if not path_exists(spark, target):
+        return None
     try:
         return spark.read.option("header", True).csv(target).columns or None
     except AnalysisException:

@@ -84,6 +84,9 @@ def read_jsonl_log(spark: SparkSession, path: str, schema: StructType,
     """Tolerant JSON-lines read: an absent log is empty; blank and malformed
     lines are dropped (a malformed line parses to an all-null row); with
     ``required`` set, records without that field are dropped too."""
+    from lakeledger.sources.tables import path_exists
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     try:
         df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
     except AnalysisException as e:

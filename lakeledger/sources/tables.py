@@ -24,6 +24,16 @@ class TableNotFound(FileNotFoundError):
     pass
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that serves
+    it (local, HDFS, object stores): a read of a missing path would fail
+    inside Spark and be logged by its listeners."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str = "parquet", int_partitions=(), merge_schema: bool = False) -> DataFrame:
     """Read a table; a missing path raises ``TableNotFound`` (not an
@@ -31,6 +41,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     the given ones are cast to bigint.  Every writer here conforms to a fixed
     schema, so schema merging (a footer read of every file) is off unless
     asked for."""
+    if not path_exists(spark, path):
+        raise TableNotFound(f"table not found at: {path}")
     try:
         r = spark.read
         if schema is not None and fmt != "parquet":
@@ -58,6 +70,8 @@ def _version_name() -> str:
 
 def latest_version(spark: SparkSession, path: str) -> str | None:
     """Newest committed version folder under ``path`` (None if none)."""
+    if not path_exists(spark, f"{path.rstrip('/')}/commits"):
+        return None
     try:
         m = spark.read.schema("version string, committed_at string").option(
             "recursiveFileLookup", True).json(
