@@ -167,3 +167,51 @@ def test_event_date_is_the_run_time_own_day(spark, tmp):
                added=[tx("a")])
     r = B.explode_pages(P.read_pages(spark, root), NOW).first()
     assert (r.event_date, r.event_year, r.event_month) == ("2026-01-31", 2026, 1)
+
+
+def _flatten_rule(page):
+    """Plain reading of the rules: objects with an id in added/modified;
+    objects with an id or non-empty bare ids in removed."""
+    out = []
+    for et in ("added", "modified", "removed"):
+        for i, el in enumerate(page[et] or []):
+            if isinstance(el, dict):
+                tid = el.get("transaction_id")
+                tid = None if tid is None else str(tid)
+            elif et == "removed" and isinstance(el, str):
+                tid = el
+            else:
+                tid = None
+            if tid:
+                out.append((et, tid, i))
+    return sorted(out)
+
+
+def test_property_flatten_equals_rule(spark):
+    import json
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+    elem = st.one_of(
+        st.none(), st.sampled_from(["", "r1", "junk"]),
+        st.builds(lambda t: {"transaction_id": t, "amount": 1.5},
+                  st.one_of(st.none(), st.sampled_from(["", "a", "b"]), st.integers(0, 9))),
+        st.just({"amount": 2}))
+    arrays = st.lists(elem, max_size=5)
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(arrays, arrays, arrays), min_size=1, max_size=4))
+    def check(pages):
+        rows, expected = [], []
+        for n, (a, m, r) in enumerate(pages):
+            page = {"added": a, "modified": m, "removed": r}
+            enc = {k: [None if e is None else (e if isinstance(e, str) else json.dumps(e))
+                       for e in v] for k, v in page.items()}
+            rows.append(("run", "2026-01-01T00:00:00Z", "backfill", "bank", "i1", "sandbox",
+                         "", "c", False, enc["added"], enc["modified"], enc["removed"],
+                         f"page_{n:04d}_run.json", f"p{n}"))
+            expected += [(f"p{n}",) + t for t in _flatten_rule(page)]
+        df = spark.createDataFrame(rows, P.PAGE_LINE)
+        got = sorted((r.page_path, r.event_type, r.transaction_id, r.pos)
+                     for r in B.explode_pages(df, NOW).collect())
+        assert got == sorted(expected)
+    check()
