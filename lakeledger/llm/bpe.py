@@ -36,6 +36,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: Arcs that a worker keeps before it starts anew (matches: twice, words:
 #: half as many).
@@ -349,9 +350,8 @@ def _over_text(df: DataFrame, text: str, fields: list[tuple[str, pa.DataType, st
     keep = [c for c in df.columns if c not in {f[0] for f in fields}]
     inner = df.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"),
                       *[F.col(f"`{c}`") for c in keep])
-    schema = inner.drop("__text").schema
-    for name, _, kind in fields:
-        schema = schema.add(name, kind)
+    schema = StructType(inner.drop("__text").schema.fields
+                        + [StructField(name, DataType.fromDDL(kind)) for name, _, kind in fields])
 
     def run(batches):
         for b in batches:
