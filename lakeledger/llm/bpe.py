@@ -344,10 +344,11 @@ def send_ranks(spark, path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def _over_text(df: DataFrame, text: str, fields: list[tuple[str, pa.DataType, str]], make) -> DataFrame:
+def _over_text(df: DataFrame, text: str, fields: list[tuple[str, pa.DataType, str]], make,
+               drop_text: bool = False) -> DataFrame:
     """``df`` with further columns computed from its text column, batch by
     batch; names that ``df`` already has are replaced."""
-    keep = [c for c in df.columns if c not in {f[0] for f in fields}]
+    keep = [c for c in df.columns if c not in {f[0] for f in fields} | ({text} if drop_text else set())]
     inner = df.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"),
                       *[F.col(f"`{c}`") for c in keep])
     schema = StructType(inner.drop("__text").schema.fields
@@ -377,8 +378,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
 
 
 def digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """Encodes, decodes the ids again, and adds n_tokens, ids_sha256 and
-    decoded_sha256."""
+    """Encodes, decodes the ids again, and puts n_tokens, ids_sha256 and
+    decoded_sha256 in place of the text."""
     name = send_ranks(df.sparkSession, ranks_path)
 
     def make(texts):
@@ -392,7 +393,7 @@ def digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
         return [n, a, b]
 
     return _over_text(df, text, [("n_tokens", pa.int64(), "bigint"), ("ids_sha256", pa.string(), "string"),
-                                 ("decoded_sha256", pa.string(), "string")], make)
+                                 ("decoded_sha256", pa.string(), "string")], make, drop_text=True)
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
