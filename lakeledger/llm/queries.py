@@ -7,7 +7,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeledger.llm import bpe
+from lakeledger.llm import bpe, decontam
 from lakeledger.llm.util import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,8 +18,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.scan(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                        table(spark, sf_dir, "benchmark"))
+    return out.drop("spans")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op8_decontamination": op8_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_decontamination": decontam.ORACLE,
+}
