@@ -7,8 +7,8 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeledger.llm import bpe, decontam
-from lakeledger.llm.util import table
+from lakeledger.llm import bpe, decontam, warc
+from lakeledger.llm.util import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -18,6 +18,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.scan(table(spark, sf_dir, "documents").select("doc_id", "text"),
                         table(spark, sf_dir, "benchmark"))
@@ -26,9 +31,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op5_warc": op5_warc,
     "op8_decontamination": op8_decontamination,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_warc": warc.ORACLE,
     "op8_decontamination": decontam.ORACLE,
 }
