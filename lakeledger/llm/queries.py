@@ -7,7 +7,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeledger.llm import bpe, decontam, warc
+from lakeledger.llm import bpe, decontam, urlfilter, warc
 from lakeledger.llm.util import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -29,10 +29,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("spans")
 
 
+#: (verdict, host and path).
+RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+         ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    out = urlfilter.judge(pages.select("page_id", "url"), RULES, urlfilter.fit(pages))
+    return out.select("page_id", "host", "path", "rule", "verdict", "log_odds")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op5_warc": op5_warc,
     "op8_decontamination": op8_decontamination,
+    "op9_url_filter": op9_url_filter,
 }
 
 ORACLE: dict[str, str] = {
