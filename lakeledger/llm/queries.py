@@ -6,8 +6,9 @@ from __future__ import annotations
 import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontam, urlfilter, warc
+from lakeledger.llm import bpe, decontam, quality, urlfilter, warc
 from lakeledger.llm.util import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -40,11 +41,20 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", "log_odds")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, machine).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op5_warc": op5_warc,
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
