@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontam, quality, urlfilter, warc
+from lakeledger.llm import bpe, decontam, langid, quality, urlfilter, warc
 from lakeledger.llm.util import shared_path, table
 
+PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -24,6 +25,13 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, PIECES)
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.scan(table(spark, sf_dir, "documents").select("doc_id", "text"),
                         table(spark, sf_dir, "benchmark"))
@@ -52,6 +60,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op5_warc": op5_warc,
+    "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_quality": op10_quality,
