@@ -24,6 +24,7 @@ results and an empty table an empty one.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,7 +45,7 @@ ROUNDS, ADDED = 3, 0.05
 #: Probability of a letter that no piece covers.
 FLOOR = 1e-8
 #: Words whose probabilities a worker keeps before it starts anew.
-KEPT = 400_000
+KEPT = 600_000
 
 _LETTERS = re.compile(r"[^\W\d_]{1,%d}" % RUN)
 
@@ -66,32 +67,67 @@ def pieces_of(path: str) -> list[str]:
     return sorted(out)
 
 
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Lattice:
-    """All cuts of words into pieces, many words at once."""
+    """All cuts of words into pieces, many words at once.
+
+    Pieces are found by 64-bit hashes of their letters, in an open hash table."""
+
+    SLOTS = 1 << 18
 
     def __init__(self, pieces: list[str]):
         self.number = {p: i + 1 for i, p in enumerate(pieces)}  # 0: not a piece
-        self.starts = {p[:i] for p in pieces for i in range(1, len(p) + 1)}
+        self.keys = np.zeros(self.SLOTS, np.uint64)
+        self.values = np.zeros(self.SLOTS, np.int32)
+        self.probes = 1
+        for p, number in self.number.items():
+            h = np.zeros(1, np.uint64)
+            for c in p:
+                h = h * _MULTIPLIER + np.uint64(ord(c) + 1)
+            slot, tries = int(self._slot(h)[0]), 1
+            while self.values[slot]:
+                slot, tries = (slot + 1) % self.SLOTS, tries + 1
+            self.keys[slot], self.values[slot] = h[0], number
+            self.probes = max(self.probes, tries)
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (((h ^ (h >> np.uint64(29))) * _MULTIPLIER) >> np.uint64(64 - 18)).astype(np.int64)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        slot = self._slot(h)
+        out, same = self.values[slot], self.keys[slot] == h
+        # Another piece has the slot: look in the next ones.
+        open_ = np.flatnonzero(~same & (out != 0))
+        out[~same] = 0
+        for i in range(1, self.probes):
+            if not len(open_):
+                break
+            at = (slot[open_] + i) % self.SLOTS
+            hit = self.keys[at] == h[open_]
+            out[open_[hit]] = self.values[at[hit]]
+            open_ = open_[~hit & (self.values[at] != 0)]
+        return out
 
     def cuts(self, words: list[str]) -> np.ndarray:
-        """[word, end, length - 1] -> piece number; the last entry of a
-        length of one letter is -1 where no piece is that letter."""
-        longest = max(map(len, words)) + 1
-        out = np.zeros((len(words), longest + 1, PIECE), np.int32)
-        number, starts = self.number, self.starts
-        for w, word in enumerate(words):
-            s = " " + word
-            n, row = len(s), out[w]
-            for i in range(n):
-                if s[i] not in number:
-                    row[i + 1, 0] = -1
-                for j in range(i + 1, min(n, i + PIECE) + 1):
-                    part = s[i:j]
-                    k = number.get(part)
-                    if k is not None:
-                        row[j, j - i - 1] = k
-                    elif part not in starts:
-                        break
+        """[word, end, length - 1] -> number of the piece that ends there;
+        -1 for a single letter that is no piece."""
+        lengths = np.array([len(w) + 1 for w in words])
+        ends = int(lengths.max())
+        flat = np.frombuffer("".join(" " + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters = np.zeros((len(words), ends), np.uint64)
+        inside = np.arange(ends) < lengths[:, None]
+        letters[inside] = flat + np.uint64(1)
+        out = np.zeros((len(words), ends + 1, PIECE), np.int32)
+        h = np.zeros_like(letters)
+        for k in range(1, min(PIECE, ends) + 1):
+            h = h[:, :ends - k + 1] * _MULTIPLIER + letters[:, k - 1:]
+            valid = inside[:, k - 1:]
+            found = self._find(h[valid])
+            if k == 1:
+                found[found == 0] = -1
+            out[:, k:, k - 1][valid] = found
         return out
 
     @staticmethod
@@ -139,6 +175,7 @@ class Model:
     priors: np.ndarray  # logarithms
     pieces: list[str]
     table: np.ndarray  # [piece number, language]
+    name: str = ""
 
 
 class Scorer:
@@ -178,6 +215,17 @@ class Scorer:
             yield self.model.langs[best], float(1 / np.exp(z - z[best]).sum())
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """One scorer for each Python worker; it keeps its words over tasks."""
+    if model.name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.name] = Scorer(model)
+    return _SCORERS[model.name]
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that never train."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
@@ -193,7 +241,7 @@ def fit(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, per_language: in
     flat = np.zeros((len(pieces) + 2, len(langs)))
     flat[1:-1], flat[-1] = 1 / len(pieces), FLOOR
     if not langs:
-        return Model([], np.zeros(0), pieces, flat)
+        return Model([], np.zeros(0), pieces, flat, uuid.uuid4().hex)
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
@@ -236,7 +284,7 @@ def fit(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, per_language: in
         table[-1] = FLOOR
         said.unpersist()
     priors = np.log(np.array([sizes[x] for x in langs]) / sum(sizes.values()))
-    return Model(langs, priors, pieces, table)
+    return Model(langs, priors, pieces, table, uuid.uuid4().hex)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -246,7 +294,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     inner = docs.select(F.col(f"`{text}`").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in keep])
 
     def run(batches):
-        scorer = Scorer(said.value)
+        scorer = _scorer(said.value)
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
