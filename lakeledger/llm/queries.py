@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontam, langid, quality, urlfilter, warc
+from lakeledger.llm import bpe, decontam, jaccard, langid, quality, urlfilter, warc
 from lakeledger.llm.util import shared_path, table
 
 PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,6 +25,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, PIECES)
@@ -60,6 +64,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op5_warc": op5_warc,
+    "op6_jaccard": op6_jaccard,
     "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
@@ -68,5 +73,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op5_warc": warc.ORACLE,
+    "op6_jaccard": jaccard.ORACLE,
     "op8_decontamination": decontam.ORACLE,
 }
