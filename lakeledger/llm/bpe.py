@@ -31,6 +31,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -396,20 +397,18 @@ def digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
                                  ("decoded_sha256", pa.string(), "string")], make, drop_text=True)
 
 
-def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``df`` with its text encoded and decoded again, and its token count
-    in ``n_tokens``.  Texts come back unchanged."""
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``df`` with the ids of its text and their number in ``n_tokens``; the
+    text is what the ids decode to (the same, null as empty)."""
     name = send_ranks(df.sparkSession, ranks_path)
-    order = df.columns
+    order = [c for c in df.columns if c not in ("n_tokens", ids)]
 
     def make(texts):
         enc, dec = _worker(name, pattern)
-        n, back = [], []
-        for t in texts:
-            ids = array("I", enc.encode_bytes(t))
-            n.append(len(ids))
-            back.append(dec.decode_bytes(ids).decode("utf-8", "replace"))
-        return [n, back]
+        coded = [np.frombuffer(enc.encode_bytes(t), np.uint32).astype(np.int32) for t in texts]
+        back = [dec.decode_bytes(i.tolist()).decode("utf-8", "replace") for i in coded]
+        return [[len(i) for i in coded], back, coded]
 
-    out = _over_text(df, text, [("n_tokens", pa.int64(), "bigint"), (text, pa.string(), "string")], make)
-    return out.select(*[F.col(f"`{c}`") for c in order if c != "n_tokens"], "n_tokens")
+    out = _over_text(df, text, [("n_tokens", pa.int64(), "bigint"), (text, pa.string(), "string"),
+                                (ids, pa.list_(pa.int32()), "array<int>")], make)
+    return out.select(*[F.col(f"`{c}`") for c in order], "n_tokens", ids)

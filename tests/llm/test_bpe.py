@@ -78,4 +78,5 @@ def test_table_with_nulls_repeats_and_clashing_names(spark):
     assert bpe.digests(df.limit(0), PATH, PATTERN).count() == 0
     assert bpe.encode(df, PATH, PATTERN).select("ids").where("size(ids) = 2").count() == 2
     back = bpe.round_trip(df, PATH, PATTERN)
-    assert [f.name for f in back.schema] == ["doc_id", "text", "n_tokens"]
+    assert [f.name for f in back.schema] == ["doc_id", "text", "n_tokens", "ids"]
+    assert [r.ids for r in back.where("doc_id = 1").collect()] == [[]]
