@@ -1,24 +1,55 @@
 """The corpus pipeline: STAGES applied to ``documents`` one after another,
-each on what its predecessor wrote."""
+each on what its predecessor wrote.
+
+1. ``quality``: documents that the quality classifier rejects go.
+2. ``near_duplicates``: of documents linked by similar shingle sets, directly
+   or over others, that with the smallest id stays.
+3. ``decontamination``: documents that hold a window of a benchmark item go.
+4. ``personal_data``: found spans are replaced by their kind.
+5. ``tokens``: texts are encoded; the ids and their number are added, and the
+   text is what the ids decode to.
+
+Null texts are scored as empty, link with nothing, hold no window and no
+personal data, and have no ids (they come out of the last stage as empty).
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeledger.llm import bpe
+from lakeledger.llm import bpe, decontam, jaccard, pii, quality
 from lakeledger.llm.util import prepare, shared_path, table
 
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    machine = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.keep_good(docs, machine)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.remove_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs)
+
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes and decodes again; adds the token count."""
-    prepare(spark)
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(docs, RANKS, PATTERN)
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [("quality", good), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("personal_data", personal_data), ("tokens", tokens)]
 
-#: The classifier and the similarity join have no SQL; see tests/llm.
+#: The classifier, the bootstrapping and the encoder have no SQL; tests/llm
+#: compares run() with a plain version on a small table.
 ORACLE_SQL = None
 
 
@@ -27,6 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        stage(prepare(spark), docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
