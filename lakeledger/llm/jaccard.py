@@ -262,6 +262,32 @@ class Meetings:
         return out
 
 
+def meetings(entries: DataFrame) -> DataFrame:
+    """(a, b, star, sure) from (key, id, sure): pairs of ids that meet in a
+    key, its lowest three bits being the kind.  Where sure, key is an id."""
+    def meet(batches):
+        meetings = Meetings()
+        for batch in batches:
+            sure = batch.column(2).to_numpy(zero_copy_only=False)
+            keys = batch.column(0).to_numpy().view(np.uint64)
+            ids = batch.column(1).to_numpy()
+            pairs = [(min(a, b), max(a, b), False, True)
+                     for a, b in zip(keys[sure].view(np.int64).tolist(), ids[sure].tolist())]
+            if not sure.all():
+                pairs += [(*p, False) for p in meetings.feed(keys[~sure], ids[~sure])]
+            cols = list(zip(*pairs)) if pairs else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.bool_()),
+                 pa.array(cols[3], pa.bool_())], names=["a", "b", "star", "sure"])
+
+    # The sort has to bring equal hashes together, probes first.
+    h = F.shiftrightunsigned("key", 3)
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (entries.repartition(n, h, F.when(F.col("sure"), F.col("id")))
+            .sortWithinPartitions("sure", h, F.col("key").bitwiseAND(F.lit(7)), "id")
+            .mapInArrow(meet, "a long, b long, star boolean, sure boolean").distinct())
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """(a, b, star, sure): pairs that may be similar.  ``docs`` has doc_id and
     text.  Equal sets that one task reads are paired at once (sure) and only
@@ -294,29 +320,9 @@ def candidates(docs: DataFrame) -> DataFrame:
                     [pa.array(k.view(np.int64)), pa.array(i), pa.array(np.zeros(len(k), bool))],
                     names=["key", "id", "sure"])
 
-    def meet(batches):
-        meetings = Meetings()
-        for batch in batches:
-            sure = batch.column(2).to_numpy(zero_copy_only=False)
-            keys = batch.column(0).to_numpy().view(np.uint64)
-            ids = batch.column(1).to_numpy()
-            pairs = [(min(a, b), max(a, b), False, True)
-                     for a, b in zip(keys[sure].view(np.int64).tolist(), ids[sure].tolist())]
-            if not sure.all():
-                pairs += [(*p, False) for p in meetings.feed(keys[~sure], ids[~sure])]
-            cols = list(zip(*pairs)) if pairs else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.bool_()),
-                 pa.array(cols[3], pa.bool_())], names=["a", "b", "star", "sure"])
-
     entries = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(
         emit, "key long, id long, sure boolean")
-    # Unsigned order of the hash: the sort only has to bring equal hashes together, probes first.
-    h = F.shiftrightunsigned("key", 3)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (entries.repartition(n, h, F.when(F.col("sure"), F.col("id")))
-            .sortWithinPartitions("sure", h, F.col("key").bitwiseAND(F.lit(7)), "id")
-            .mapInArrow(meet, "a long, b long, star boolean, sure boolean").distinct())
+    return meetings(entries)
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
