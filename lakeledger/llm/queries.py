@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontam, jaccard, langid, pii, quality, urlfilter, vectors, warc
+from lakeledger.llm import bpe, decontam, html_extract, jaccard, langid, pii, quality, urlfilter, vectors, warc
 from lakeledger.llm.util import shared_path, table
 
 PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,6 +28,10 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc.archive(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -73,6 +77,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
     "op3_embeddings": op3_embeddings,
+    "op4_html": op4_html,
     "op5_warc": op5_warc,
     "op6_jaccard": op6_jaccard,
     "op7_langid": op7_langid,
