@@ -32,12 +32,16 @@ def main(argv=None) -> int:
     b.add_argument("--env", default="sandbox")
     b.add_argument("--permissive", action="store_true")
     b.add_argument("--quarantine")
+    b.add_argument("--institution")
+    b.add_argument("--item")
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
     s.add_argument("--form", default="auto")
     c = sub.add_parser("check")
     c.add_argument("--silver", required=True)
+    c.add_argument("--bronze")
+    c.add_argument("--pages")
     e = sub.add_parser("export")
     e.add_argument("--silver", required=True)
     e.add_argument("--target", required=True)
@@ -59,12 +63,12 @@ def main(argv=None) -> int:
         from lakeledger.operators import bronze as B
         out = B.ingest(spark, a.pages, a.bronze, a.ledger, prefix=a.prefix, default_env=a.env,
                        mode="PERMISSIVE" if a.permissive else "FAILFAST",
-                       quarantine_path=a.quarantine)
+                       quarantine_path=a.quarantine, institution=a.institution, item_id=a.item)
     elif a.cmd == "silver":
         out = jobs.run_silver(spark, a.bronze, a.silver, form=a.form)
     elif a.cmd == "check":
-        checks = jobs.run_checks(spark, a.silver, raise_on_failure=False)
-        rows = [r.asDict() for r in checks.collect()]  # six rows
+        checks = jobs.run_checks(spark, a.silver, False, a.bronze, a.pages)
+        rows = [r.asDict() for r in checks.collect()]  # a dozen rows
         print(json.dumps(rows, indent=2))
         return 0 if all(r["passed"] for r in rows) else 1
     elif a.cmd == "export":

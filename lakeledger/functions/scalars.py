@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "strip", "slugify", "parse_iso", "event_id", "coalesce_blank", "safe_str",
     "normalize_bool", "normalize_type", "iso_date_parts", "is_iso_date",
-    "page_number", "page_run_id", "relative_path", "json_id", "is_json_object",
+    "page_number", "page_run_id", "relative_path", "json_id", "variant_id", "is_json_object",
     "iso_text", "iso_date",
 ]
 
@@ -20,8 +20,10 @@ __all__ = [
 TRUE_TEXTS = ["true", "t", "1", "yes", "y"]
 FALSE_TEXTS = ["false", "f", "0", "no", "n"]
 
-# Accepted date texts: ISO date with optional time part, or eight digits.
-ISO_DATE_RE = r"^\d{4}-\d{2}-\d{2}([T ].*)?$"
+# Accepted date texts: ISO date with an optional time of day and offset, or
+# eight digits.
+ISO_DATE_RE = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d{1,9})?)?)?"
+               r"\s?(Z|z|[+-]\d{2}(:?\d{2})?)?)?$")
 BASIC_DATE_RE = r"^\d{8}$"
 
 
@@ -147,18 +149,28 @@ def page_run_id(page_name) -> Column:
 
 
 def relative_path(uri, root_uri: str, prefix: str = "") -> Column:
-    """Path of a file relative to the scanned root, URL-decoded, with an
-    optional prefix.  ``_metadata.file_path`` is a ``file:/`` URI."""
+    """Path of a file relative to the scanned root, percent-decoded (a ``+``
+    stays), with an optional prefix.  ``_metadata.file_path`` and the root
+    are URIs in the form Hadoop gives them."""
     root = root_uri.rstrip("/") + "/"
-    rel = F.when(F.startswith(_c(uri), F.lit(root)),
-                 F.substr(_c(uri), F.lit(len(root) + 1))).otherwise(_c(uri))
-    return F.concat(F.lit(prefix), F.url_decode(rel))
+    # Local files are file:/x for some readers and file:///x for others.
+    full = F.regexp_replace(_c(uri), "^file:/+", "file:/")
+    rel = F.when(F.startswith(full, F.lit(root)), F.substr(full, F.lit(len(root) + 1))).otherwise(full)
+    return F.concat(F.lit(prefix), F.url_decode(F.replace(rel, F.lit("+"), F.lit("%2B"))))
 
 
 def is_json_object(c) -> Column:
     return F.ltrim(_c(c)).startswith("{")
 
 
+def variant_id(v, field: str = "transaction_id") -> Column:
+    """Id of an element of unknown type: a string itself, or the named field
+    of an object; null for numbers, booleans, arrays and nulls."""
+    kind = F.schema_of_variant(_c(v))
+    return (F.when(kind == "STRING", F.try_variant_get(_c(v), "$", "string"))
+            .when(kind.startswith("OBJECT"), F.try_variant_get(_c(v), f"$.{field}", "string")))
+
+
 def json_id(c, field: str = "transaction_id") -> Column:
     """Id of an element: the named field of an object, the text itself for a
     bare string; null otherwise."""

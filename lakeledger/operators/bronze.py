@@ -7,12 +7,16 @@ partitioned batch and then records the pages in the ledger.
 
 from __future__ import annotations
 
+import itertools
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
 from lakeledger.operators.silver import now_iso
+from lakeledger.session import checkpoint_dir
 from lakeledger.sources import pages as P
 from lakeledger.sources import tables as T
 
@@ -20,12 +24,22 @@ from lakeledger.sources import tables as T
 EVENT_ARRAYS = [("added", 0), ("modified", 1), ("removed", 2)]
 
 
-def page_header(pages: DataFrame, now: str, default_env: str = "sandbox") -> list[Column]:
-    """Header columns shared by all events of a page."""
-    run_ts = F.coalesce(F.nullif(F.col("run_ts"), F.lit("")), F.lit(now))
-    # The run's own calendar day (as written, whatever its offset), when
-    # the text parses as a time at all.
-    day = F.when(S.parse_iso(run_ts).isNotNull(), S.iso_date(run_ts))
+def bad_run_ts(c="run_ts") -> Column:
+    """Whether a page's run time is given but cannot be read as a time."""
+    t = F.nullif(F.col(c), F.lit(""))
+    return t.isNotNull() & S.parse_iso(t).isNull()
+
+
+def page_header(pages: DataFrame, now, default_env: str = "sandbox") -> list[Column]:
+    """Header columns shared by all events of a page.  ``now`` (text or a
+    column) is the run time of pages without one; a run time that cannot be
+    read fails the job."""
+    now = now if isinstance(now, Column) else F.lit(now)
+    refuse = F.raise_error(F.concat(F.lit("unreadable run_ts in page "), F.coalesce("page_path", F.lit("?")),
+                                    F.lit(": "), F.col("run_ts"))).cast("string")
+    run_ts = F.when(bad_run_ts(), refuse).otherwise(F.coalesce(F.nullif(F.col("run_ts"), F.lit("")), now))
+    # The run's own calendar day (as written, whatever its offset).
+    day = S.iso_date(run_ts)
     return [
         S.coalesce_blank(F.col("plaid_env"), F.lit(default_env)).alias("plaid_env"),
         F.col("run_id"),
@@ -40,34 +54,44 @@ def page_header(pages: DataFrame, now: str, default_env: str = "sandbox") -> lis
     ]
 
 
-def _elements() -> Column:
+def _elements(pages: DataFrame) -> Column:
     """All elements of a page as one array of (event_type, type_ord, pos, j,
-    tx): ``j`` is the element's JSON text, ``tx`` its parse (objects only).
-    Parsing inside the array, before the explode, makes every element's JSON
-    parsed exactly once."""
+    id, tx): ``j`` is the element's JSON text, ``tx`` its parse (objects
+    only).  Parsing inside the array, before the explode, makes every
+    element's JSON parsed exactly once.  ``removed`` is an array of variants,
+    or of ids for pages that are not read from JSON."""
+    typed = "variant" in pages.schema["removed"].dataType.simpleString()
+
     def tag(name: str, ord_: int):
-        return lambda x, i: F.struct(
-            F.lit(name).alias("event_type"), F.lit(ord_).alias("type_ord"),
-            i.cast("bigint").alias("pos"), x.alias("j"),
-            F.from_json(F.when(S.is_json_object(x), x), schemas.TX).alias("tx"))
-    parts = [F.transform(F.coalesce(F.col(n), F.array().cast("array<string>")), tag(n, o))
+        def element(x, i):
+            if name != "removed":
+                j, id_ = x, F.lit(None).cast("string")
+            elif typed:
+                j, id_ = F.lit(None).cast("string"), S.variant_id(x)
+            else:
+                j, id_ = F.lit(None).cast("string"), S.json_id(x)
+            tx = F.from_json(F.when(S.is_json_object(j), j), schemas.TX)
+            return F.struct(F.lit(name).alias("event_type"), F.lit(ord_).alias("type_ord"),
+                            i.cast("bigint").alias("pos"), j.alias("j"), id_.alias("id"), tx.alias("tx"))
+        return element
+
+    parts = [F.transform(F.coalesce(F.col(n), F.array().cast(pages.schema[n].dataType)), tag(n, o))
              for n, o in EVENT_ARRAYS]
     return F.concat(*parts)
 
 
-def explode_pages(pages: DataFrame, now: str | None = None,
-                  default_env: str = "sandbox") -> DataFrame:
+def explode_pages(pages: DataFrame, now=None, default_env: str = "sandbox") -> DataFrame:
     """Pages -> Bronze rows (schema ``BRONZE``): added, modified, removed in
     that order, skipping non-objects in added/modified and elements without
-    an id.  Removed rows carry no payload and no raw JSON."""
-    now = now or now_iso()
+    an id.  Removed rows carry no payload and no raw JSON.  ``now`` is a text
+    or a column."""
+    now = now_iso() if now is None else now
     ev = pages.select(*page_header(pages, now, default_env),
-                      F.explode(_elements()).alias("e"))
+                      F.explode(_elements(pages)).alias("e"))
     j, tx = F.col("e.j"), F.col("e.tx")
     removed = F.col("e.event_type") == "removed"
-    is_obj = S.is_json_object(j)
-    # removed: an object's id or a bare id; added/modified: objects only
-    tx_id = F.when(is_obj, tx["transaction_id"]).when(removed, j)
+    # removed: an object's id or a string; added/modified: objects only
+    tx_id = F.when(removed, F.col("e.id")).otherwise(tx["transaction_id"])
     ev = ev.select("*", tx_id.alias("transaction_id"))
     ev = ev.filter(F.col("transaction_id").isNotNull() & (F.col("transaction_id") != ""))
     payload = {
@@ -90,7 +114,7 @@ def explode_pages(pages: DataFrame, now: str | None = None,
                    "transaction_id").alias("event_id"),
         *[F.when(~removed, v).alias(k) for k, v in payload.items()],
         F.when(~removed, j).alias("raw_transaction_json"),
-        F.lit(now).alias("ingested_at"),
+        (now if isinstance(now, Column) else F.lit(now)).alias("ingested_at"),
         F.col("e.type_ord").alias("type_ord"),
         F.col("e.pos").alias("pos"),
     )
@@ -99,7 +123,7 @@ def explode_pages(pages: DataFrame, now: str | None = None,
 
 def raw_payload_failures(pages: DataFrame) -> DataFrame:
     """Per page: elements whose amount or pending text did not cast."""
-    ev = pages.select("page_path", F.explode(_elements()).alias("e"))
+    ev = pages.select("page_path", F.explode(_elements(pages)).alias("e"))
     tx = F.col("e.tx")
     bad_amount = tx["amount"].isNotNull() & tx["amount"].try_cast("double").isNull()
     bad_pending = tx["pending"].isNotNull() & S.normalize_bool(tx["pending"]).isNull()
@@ -108,27 +132,39 @@ def raw_payload_failures(pages: DataFrame) -> DataFrame:
         F.count_if(bad_pending).alias("bad_pending"))
 
 
+def pages_in_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """(page_path, run_id) of the pages with rows in Bronze: two columns of
+    the table, reduced in the map tasks."""
+    try:
+        b = T.read_table(spark, bronze_path, schemas.BRONZE, int_partitions=("event_year",))
+    except T.TableNotFound:
+        return spark.createDataFrame([], "page_path string, run_id string")
+    return b.groupBy("page_path").agg(F.max("run_id").alias("run_id"))
+
+
 def processed_pages(spark: SparkSession, ledger_path: str,
                     bronze_path: str | None = None) -> DataFrame:
     """Page paths already processed: the ledger plus, to close the window
     between a Bronze append and its ledger line, the pages found in Bronze.
-
-    Only a batch newer than the last ledger line can be missing from the
-    ledger, and a batch stamps the same time on its rows and its ledger
-    lines, so Bronze is read from the last ledger time on (a filter the
-    Parquet scan prunes row groups with), not in whole."""
-    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path")
-    out = led.select("page_path")
+    All of Bronze counts: which batch left its pages out of the ledger, and
+    when, cannot be told from times."""
+    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path").select("page_path")
     if bronze_path:
-        try:
-            b = T.read_table(spark, bronze_path).select("page_path", "ingested_at")
-        except T.TableNotFound:
-            return out
-        last = led.agg(F.max("ts")).first()[0]  # one value
-        if last:
-            b = b.filter(F.col("ingested_at") >= F.lit(last))
-        out = out.unionByName(b.select("page_path"))
-    return out
+        led = led.unionByName(pages_in_bronze(spark, bronze_path).select("page_path"))
+    return led
+
+
+def recover_ledger(spark: SparkSession, ledger_path: str, bronze_path: str, now: str | None = None) -> int:
+    """Marks the pages that are in Bronze but not in the ledger (a crash came
+    between the two writes); returns their number."""
+    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path").select("page_path")
+    lost = pages_in_bronze(spark, bronze_path).join(led, "page_path", "left_anti")
+    checkpoint_dir(spark)
+    lost = lost.checkpoint(eager=True)
+    n = lost.count()
+    if n:
+        mark_pages(lost, ledger_path, now)
+    return n
 
 
 def new_pages(pages: DataFrame, processed: DataFrame) -> DataFrame:
@@ -152,59 +188,99 @@ def mark_pages(pages: DataFrame, ledger_path: str, now: str | None = None) -> No
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    df = T.read_table(spark, path, int_partitions=("event_year",))
-    schemas.require_columns(df, {"item_id", "transaction_id", "event_type",
-                                 "run_ts", "event_id"})
-    if "ingested_at" not in df.columns:
+    """Bronze with the declared columns (also those that only later files
+    have).  ``ingested_at`` is the run time where the table has no such
+    column; a null stays null and sorts first."""
+    try:
+        found = T.read_table(spark, path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return spark.createDataFrame([], schemas.BRONZE)  # only empty batches so far
+    schemas.require_columns(found, {"item_id", "transaction_id", "event_type",
+                                    "run_ts", "event_id"})
+    df = T.read_table(spark, path, schemas.BRONZE, int_partitions=("event_year",))
+    if "ingested_at" not in found.columns:
         df = df.withColumn("ingested_at", F.col("run_ts"))
     return schemas.conform(df, schemas.BRONZE)
 
 
+def _quarantine(spark: SparkSession, bad: DataFrame, path: str, now: str) -> int:
+    """Records malformed pages once; returns how many are new."""
+    seen = P.read_jsonl_log(spark, path, schemas.QUARANTINE, required="page_path").select("page_path")
+    q = (bad.select(F.lit(now).alias("ts"), "page_path", F.col("run_id"), F.col(P.CORRUPT).alias("content"))
+         .join(seen, "page_path", "left_anti"))
+    checkpoint_dir(spark)
+    q = q.checkpoint(eager=True)
+    n = q.count()
+    if n:
+        q.select(*schemas.QUARANTINE.fieldNames()).write.mode("append").json(path)
+    return n
+
+
 def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
            now: str | None = None, prefix: str = "", default_env: str = "sandbox",
            mode: str = "FAILFAST", quarantine_path: str | None = None,
-           layout: str = "files") -> dict:
-    """One batch: new pages below ``root`` -> Bronze append -> ledger.
+           layout: str = "files", institution: str | None = None,
+           item_id: str | None = None, files_per_batch: int = 20_000) -> dict:
+    """New pages below ``root`` -> Bronze append -> ledger.
+
+    With the ``files`` layout only paths are listed to find the new pages,
+    and only their files are opened, at most ``files_per_batch`` in one
+    batch; ``institution`` and ``item_id`` narrow the listing to a folder.
 
     Idempotent: a second run over the same pages adds nothing, also after a
-    crash between the append and the ledger write.  Pages without events are
-    marked all the same.  A malformed page fails the batch (``FAILFAST``);
-    with ``mode="PERMISSIVE"`` and a ``quarantine_path`` it is recorded there
-    once, left out and not marked, so a repaired file is taken next time.
-    Returns counts.
+    crash between the append and the ledger write, whose pages are marked
+    first.  Pages without events are marked all the same.  A malformed page,
+    or one whose run time cannot be read, fails the batch (``FAILFAST``);
+    with ``mode="PERMISSIVE"``, which needs a ``quarantine_path``, it is
+    recorded there once, left out and not marked, so a repaired file is taken
+    next time.  Returns counts.
     """
+    permissive = mode.upper() == "PERMISSIVE"
+    if permissive and not quarantine_path:
+        raise ValueError("PERMISSIVE needs a quarantine_path: malformed pages may not get lost")
     now = now or now_iso()
-    pages = P.read_pages(spark, root, prefix, mode, layout=layout)
-    quarantined = 0
-    if P.CORRUPT in pages.columns:
-        bad = pages.filter(F.col(P.CORRUPT).isNotNull())
-        pages = pages.filter(F.col(P.CORRUPT).isNull()).drop(P.CORRUPT)
-        if quarantine_path:
-            seen = P.read_jsonl_log(spark, quarantine_path, schemas.QUARANTINE,
-                                    required="page_path").select("page_path")
-            q = (bad.select(F.lit(now).alias("ts"), "page_path",
-                            F.col("run_id"), F.col(P.CORRUPT).alias("content"))
-                 .join(seen, "page_path", "left_anti"))
-            from lakeledger.session import checkpoint_dir
-            checkpoint_dir(spark)
-            q = q.checkpoint(eager=True)
-            quarantined = q.count()
-            q.select(*schemas.QUARANTINE.fieldNames()).write.mode("append").json(quarantine_path)
-    todo = new_pages(pages, processed_pages(spark, ledger_path, bronze_path))
-    # Pin the list of new pages (path and run only, not their content) in
-    # the shared checkpoint folder: rows and ledger then cover the same
-    # pages even if more files land meanwhile.
-    from lakeledger.session import checkpoint_dir
+    recover_ledger(spark, ledger_path, bronze_path, now)
+    done = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path").select("page_path")
     checkpoint_dir(spark)
-    pinned = todo.select("page_path", "run_id").checkpoint(eager=True)
-    obs = Observation("bronze")
-    batch = pages.join(pinned.select("page_path"), "page_path", "left_semi")
-    rows = explode_pages(batch, now, default_env).observe(
-        obs, F.count(F.lit(1)).alias("rows"))
-    append_bronze(rows, bronze_path)
-    n_pages = pinned.count()
-    mark_pages(pinned, ledger_path, now)
-    out = {"pages": n_pages, "rows": obs.get.get("rows", 0)}
-    if quarantine_path:
-        out["quarantined"] = quarantined
+    out = {"pages": 0, "rows": 0} | ({"quarantined": 0} if quarantine_path else {})
+
+    def batch(pages: DataFrame) -> None:
+        if permissive:
+            broken = F.col(P.CORRUPT).isNotNull() | bad_run_ts()
+            bad = pages.filter(broken).withColumn(P.CORRUPT, F.coalesce(
+                P.CORRUPT, F.concat(F.lit("unreadable run_ts: "), "run_ts")))
+            out["quarantined"] += _quarantine(spark, bad, quarantine_path, now)
+            pages = pages.filter(~F.coalesce(broken, F.lit(False))).drop(P.CORRUPT)
+        # The pages of this batch, pinned in the shared folder: rows and
+        # ledger cover the same pages even if more land meanwhile.
+        pinned = new_pages(pages, done).select("page_path", "run_id").groupBy("page_path").agg(
+            F.max("run_id").alias("run_id")).checkpoint(eager=True)
+        n = pinned.count()
+        obs = Observation()
+        chosen = pages.join(pinned.select("page_path"), "page_path", "left_semi")
+        if layout == "lines":
+            chosen = one_of_each_path(chosen)
+        rows = explode_pages(chosen, now, default_env).observe(obs, F.count(F.lit(1)).alias("rows"))
+        append_bronze(rows, bronze_path)
+        if n:
+            mark_pages(pinned, ledger_path, now)
+        out["pages"] += n
+        out["rows"] += obs.get.get("rows", 0)
+
+    if layout == "lines":
+        batch(P.read_pages(spark, root, prefix, mode, institution, item_id, layout))
+        return out
+    new = new_pages(P.list_pages(spark, root, prefix, institution, item_id), done)
+    new = new.select("path").checkpoint(eager=True)
+    paths = (r.path for r in new.toLocalIterator())
+    while files := list(itertools.islice(paths, files_per_batch)):
+        batch(P.read_pages(spark, root, prefix, mode, layout=layout, files=files))
     return out
+
+
+def one_of_each_path(pages: DataFrame) -> DataFrame:
+    """One page for each page_path: of the same page landed several times in
+    one batch, one copy (they are equal but for the file they stand in)."""
+    return pages.dropDuplicates(["page_path"])

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from lakeledger import schemas
-from lakeledger.functions import scalars as S
 from lakeledger.operators.silver import now_iso
 from lakeledger.sources import pages as P
 
@@ -39,15 +38,12 @@ def select_mode(df: DataFrame, mode: str) -> DataFrame:
     return df if p is None else df.filter(p)
 
 
-def unsynced_predicate(mode: str, watermark: str | None, typed: bool = False) -> Column:
+def unsynced_predicate(mode: str, watermark: str | None) -> Column:
     """Conjunction of the optional predicates (mode, watermark), built as
     Column objects, never as SQL text."""
     preds = [p for p in [mode_predicate(mode)] if p is not None]
     if watermark is not None:
-        if typed:
-            preds.append(S.parse_iso(WATERMARK_COL) > S.parse_iso(F.lit(watermark)))
-        else:
-            preds.append(F.col(WATERMARK_COL) > F.lit(watermark))
+        preds.append(F.col(WATERMARK_COL) > F.lit(watermark))
     return functools.reduce(operator.and_, preds) if preds else F.lit(True)
 
 
@@ -60,11 +56,10 @@ def export_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in EXPORT_ORDER])
 
 
-def unsynced_rows(silver: DataFrame, mode: str, watermark: str | None,
-                  typed: bool = False) -> DataFrame:
+def unsynced_rows(silver: DataFrame, mode: str, watermark: str | None) -> DataFrame:
     """Rows to export: filter (pushed to the Parquet scan), projection, order."""
     return export_order(export_projection(
-        silver.filter(unsynced_predicate(mode, watermark, typed))))
+        silver.filter(unsynced_predicate(mode, watermark))))
 
 
 # ------------------------------------------------------------------ the log
@@ -164,15 +159,14 @@ def missed_rows(silver: DataFrame, target: DataFrame, watermark: str | None,
 def incremental_export(spark: SparkSession, silver: DataFrame, target: str, log_path: str,
                        mode: str = "current", env: str = "sandbox",
                        worksheet: str = "transactions", table_path: str = "",
-                       spreadsheet_id: str = "", now: str | None = None,
-                       typed: bool = False) -> dict:
+                       spreadsheet_id: str = "", now: str | None = None) -> dict:
     """One export run; returns {rows, watermark}.  An empty run is logged
     too, with the previous watermark."""
     now = now or now_iso()
     mode = mode.strip().lower()
     wm = last_watermark(read_log(spark, log_path), env, worksheet, table_path, mode)
     obs = Observation("export")
-    rows = unsynced_rows(silver, mode, wm, typed).observe(
+    rows = unsynced_rows(silver, mode, wm).observe(
         obs, F.count(F.lit(1)).alias("rows"), F.max(WATERMARK_COL).alias("max_wm"))
     append_aligned(spark, rows, target)
     m = obs.get

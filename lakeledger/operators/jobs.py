@@ -15,12 +15,15 @@ from lakeledger.operators import quality as Q
 from lakeledger.operators import silver as SV
 from lakeledger.operators import views as V
 from lakeledger.operators.silver import now_iso
+from lakeledger.sources import pages as P
 
 
 def run_bronze(spark: SparkSession, pages_root: str, bronze_path: str, ledger_path: str,
-               now: str | None = None, prefix: str = "", default_env: str = "sandbox") -> dict:
-    """Ingest new pages; returns {pages, rows}."""
-    return B.ingest(spark, pages_root, bronze_path, ledger_path, now, prefix, default_env)
+               now: str | None = None, prefix: str = "", default_env: str = "sandbox",
+               institution: str | None = None, item_id: str | None = None) -> dict:
+    """Ingest new pages, of one institution or item if given; returns {pages, rows}."""
+    return B.ingest(spark, pages_root, bronze_path, ledger_path, now, prefix, default_env,
+                    institution=institution, item_id=item_id)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
@@ -38,11 +41,20 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str,
             "version": version}
 
 
-def run_checks(spark: SparkSession, silver_path: str, raise_on_failure: bool = True) -> DataFrame:
-    """Integrity checks on the current Silver; registers the three views."""
+def run_checks(spark: SparkSession, silver_path: str, raise_on_failure: bool = True,
+               bronze_path: str | None = None, pages_root: str | None = None) -> DataFrame:
+    """Integrity checks on the current Silver and, if given, on Bronze and on
+    values of the landed pages that did not cast; registers the three views."""
     silver = SV.read_silver(spark, silver_path)
     V.register(silver)
-    checks = Q.check_silver(silver).cache()  # a handful of rows, used twice
+    checks = Q.check_silver(silver)
+    if bronze_path is not None:
+        raw = None
+        if pages_root is not None:
+            raw = B.raw_payload_failures(P.read_pages(spark, pages_root))
+        checks = checks.unionByName(Q.check_bronze(B.read_bronze(spark, bronze_path), raw),
+                                    allowMissingColumns=True)
+    checks = checks.cache()  # a handful of rows, used twice
     if raise_on_failure:
         Q.assert_all(checks)
     return checks

@@ -20,23 +20,27 @@ Forms, all equal in result (tests check it):
                 1 PRECEDING`` over the reversed order), evaluated
                 incrementally: one exchange, one sort.
   "lead"        ``lead(ts)``; valid only when every type is known.
-  "auto"        (default) "fast" for ordinary keys and "split" for the
-                heaviest keys, found by one partial-aggregated count per key.
+  "auto"        (default) "fast" for ordinary keys and "range" for all with
+                more than HOT_ROWS events, found by one partially aggregated
+                count per key.
   "range"       "split" with segments cut by range partitioning on (key,
                 order): sampled bounds cut even one key into pieces of about
                 SEGMENT_ROWS events, whatever the order's columns hold; the
                 partition number, monotone along the order, is the segment.
-  "split"       two levels, for hot keys.  The order's leading
-                ``spec.split`` columns cut a key's chain into contiguous
-                segments (for the event log: one page of one run); level 1
-                is a window per (key, segment), level 2 a window over one
-                summary row per segment.  A key with a third of all rows is
-                then spread over as many tasks as it has segments.
+  "split"       two levels.  Segments cut a key's chain into contiguous
+                pieces; level 1 is a window per (key, segment), level 2 a
+                window over one summary row per segment.  Here the order's
+                leading ``spec.split`` columns are the segments (for the event
+                log: one page of one run), so level 2 has a row for each page
+                of a key; "range" bounds it by size / SEGMENT_ROWS.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import operator
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,25 +51,20 @@ from lakeledger.functions import scalars as S
 
 FORMS = ("auto", "split", "range", "fast", "definition", "lead")
 
-# Routing of the "auto" form: keys with more events than HOT_ROWS are hot;
-# at most HOT_KEYS_MAX of them (the heaviest) go to the split form, whose
-# key list is broadcast (so its size is bounded by construction).  Any other
-# key, hot or not, takes the fast form, which is exact for every key.
+# Routing of the "auto" form: all keys with more events than HOT_ROWS take the
+# range form, all others the fast form.  Both are exact for every key.
 HOT_ROWS = 2_000_000
-HOT_KEYS_MAX = 10_000
+# Hot keys up to which their list is broadcast; beyond it Spark chooses.
+HOT_SEND = 10_000
 # Target size of one range segment of a hot key (events).
 SEGMENT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class OrderItem:
-    """One component of the event order, ascending, nulls first.
-
-    ``expr`` is a SQL expression over the input columns; ``low`` is a literal
-    SQL value not above any real value of the type, used for nulls in segment
-    keys (nulls sort first, so segments stay contiguous)."""
+    """One component of the event order (a SQL expression over the input
+    columns), ascending, nulls first."""
     expr: str
-    low: str
 
 
 @dataclass(frozen=True)
@@ -78,9 +77,6 @@ class Scd2Spec:
     delete_types: tuple[str, ...] = ("removed",)
     # number of leading order items that cut a key into segments ("split")
     split: int = 0
-    # True when those segments are bounded in size by the source (a page of
-    # the event log); otherwise hot keys are cut by range segments.
-    bounded_split: bool = False
 
     @property
     def known_types(self) -> tuple[str, ...]:
@@ -91,16 +87,14 @@ class Scd2Spec:
 # page name, added < modified < removed, array position, event id.
 BRONZE_SPEC = Scd2Spec(
     order=(
-        OrderItem("try_to_timestamp(run_ts)", "TIMESTAMP'0001-01-01 00:00:00'"),
-        OrderItem("try_to_timestamp(coalesce(ingested_at, run_ts))",
-                  "TIMESTAMP'0001-01-01 00:00:00'"),
-        OrderItem("page_name", "''"),
-        OrderItem("type_ord", "-2147483648"),
-        OrderItem("pos", "-9223372036854775808"),
-        OrderItem("event_id", "''"),
+        OrderItem("try_to_timestamp(run_ts)"),
+        OrderItem("try_to_timestamp(ingested_at)"),
+        OrderItem("page_name"),
+        OrderItem("type_ord"),
+        OrderItem("pos"),
+        OrderItem("event_id"),
     ),
     split=3,
-    bounded_split=True,
 )
 
 
@@ -184,46 +178,20 @@ def _lead(df, spec, ords):
             .withColumn("__n_after", F.when(nxt.isNull(), 0).otherwise(1)))
 
 
-def _low_for(dtype) -> Column:
-    name = dtype.simpleString()
-    if name in ("string",):
-        return F.lit("")
-    if name in ("tinyint", "smallint", "int", "bigint", "float", "double") or \
-            name.startswith("decimal"):
-        return F.lit(0).cast(dtype)
-    if name == "boolean":
-        return F.lit(False)
-    return F.lit(None).cast(dtype)
-
-
 def _split(df, spec, ords, segments: list[str] | None = None):
-    p = spec.split
-    # Keys may hold nulls; windows group them, an equi-join would drop them.
-    # Join on (value-or-low, is-null) pairs instead.
-    types = {f.name: f.dataType for f in df.schema.fields}
-    kcols = []
-    for i, k in enumerate(spec.keys):
-        df = (df.withColumn(f"__kv{i}", F.coalesce(F.col(k), _low_for(types[k])))
-              .withColumn(f"__kn{i}", F.col(k).isNull()))
-        kcols += [f"__kv{i}", f"__kn{i}"]
-    spec_keys = kcols
-    # Segment columns: the order's leading items with nulls mapped to the
-    # type's low end (null and low then share one segment, which is still a
-    # contiguous run of the order).
-    if segments is not None:  # given, non-null and monotone along the order
-        parts, rest = [F.col(c) for c in segments], list(ords)
-    else:
-        parts = [F.coalesce(F.col(ords[i]), F.expr(spec.order[i].low)) for i in range(p)]
-        rest = ords[p:]
-    # One struct column is the segment: window partitioning and join keys are
-    # then the same attributes, and the optimizer cannot drop a field from
-    # one of them (a dropped field would force a reshuffle of all rows).
-    df = df.withColumn("__seg", F.struct(*[c.alias(f"s{i}") for i, c in enumerate(parts)]))
-    seg = ["__seg"]
-    gkeys = spec_keys + seg
-
-    # Level 1: inside one segment, read backwards.
-    d = Window.partitionBy(*gkeys).orderBy(*_desc(rest) if rest else [F.lit(1)])
+    # Keys and order columns may hold nulls.  Inside a struct, which is never
+    # null itself, nulls are values like others for windows, groups, joins
+    # and comparisons (nulls first), so a null and the lowest value differ.
+    parts = [F.col(c) for c in (segments or ords[:spec.split])]
+    # The segment is one struct column: window partitioning and join keys are
+    # the same attributes, and no field can be dropped from one of them.
+    df = df.withColumns({
+        "__key": F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(spec.keys)]),
+        "__seg": F.struct(*[c.alias(f"s{i}") for i, c in enumerate(parts)])})
+    gkeys = ["__key", "__seg"]
+
+    # Level 1: inside one segment, read backwards in the full order.
+    d = Window.partitionBy(*gkeys).orderBy(*_desc(ords))
     r = d.rowsBetween(Window.unboundedPreceding, -1)
     rows = (df.withColumn("__rn_g", F.row_number().over(d))
             .withColumn("__nk_g", F.last(_known_ts(), ignorenulls=True).over(r))
@@ -231,24 +199,22 @@ def _split(df, spec, ords, segments: list[str] | None = None):
 
     # One summary row per segment (size, first known ts, last ts) by an
     # aggregation: partial aggregation in the map tasks means only about one
-    # row per segment and task is shuffled, not the rows themselves.  Struct
-    # comparison is field by field with nulls first, as the order.
-    order_struct = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    # row per segment and task is shuffled, not the rows themselves.
+    order_struct = F.struct(*[F.col(c) for c in ords])
     summ = df.groupBy(*gkeys).agg(
-        F.count(F.lit(1)).alias("__n_g"),
+        F.count(F.lit(1)).alias("__n_s"),
         F.min_by(F.col("__ts"), F.when(F.col("__known"), order_struct)).alias("__fk_g"),
         F.max_by(F.col("__ts"), order_struct).alias("__last_g"))
 
     # Level 2: segments of one key, read backwards.
-    d2 = Window.partitionBy(*spec_keys).orderBy(*[F.col(c).desc() for c in seg])
+    d2 = Window.partitionBy("__key").orderBy(F.col("__seg").desc())
     r2 = d2.rowsBetween(Window.unboundedPreceding, -1)
     summ = (summ
-            .withColumn("__after_g", F.coalesce(F.sum("__n_g").over(r2), F.lit(0)))
-            .withColumn("__total", F.sum("__n_g").over(Window.partitionBy(*spec_keys)))
+            .withColumn("__after_g", F.coalesce(F.sum("__n_s").over(r2), F.lit(0)))
+            .withColumn("__total", F.sum("__n_s").over(Window.partitionBy("__key")))
             .withColumn("__nk_after", F.last("__fk_g", ignorenulls=True).over(r2))
             .withColumn("__la_after", F.first("__last_g").over(r2)))
-    summ = summ.select(*gkeys, F.col("__n_g").alias("__n_s"), "__after_g", "__total",
-                       "__nk_after", "__la_after")
+    summ = summ.select(*gkeys, "__n_s", "__after_g", "__total", "__nk_after", "__la_after")
 
     j = rows.join(summ, on=gkeys, how="inner")
     before = F.col("__total") - F.col("__after_g") - F.col("__n_s")
@@ -258,17 +224,6 @@ def _split(df, spec, ords, segments: list[str] | None = None):
             .withColumn("__last_any", F.coalesce("__la_after", "__la_g")))
 
 
-def hot_keys(df: DataFrame, keys, hot_rows: int = HOT_ROWS,
-             hot_keys_max: int = HOT_KEYS_MAX) -> list[tuple]:
-    """Keys with more than ``hot_rows`` events, heaviest first, at most
-    ``hot_keys_max`` of them, with their counts: one partial-aggregated count
-    per key and a top-k, so only a bounded list reaches the driver."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
-    top = (counts.filter(F.col("__cnt") > hot_rows)
-           .orderBy(F.col("__cnt").desc()).limit(hot_keys_max))
-    return [(tuple(r[k] for k in keys), r["__cnt"]) for r in top.collect()]
-
-
 def _range(df, spec, ords, n_segments: int):
     """Two levels with range segments.  The segment assignment is pinned in
     the shared checkpoint folder, so every later branch and any recomputed
@@ -283,99 +238,29 @@ def _range(df, spec, ords, n_segments: int):
     return _split(ranged, spec, ords, segments=["__rseg"])
 
 
-def _unified(flagged, spec, ords):
-    """Bounded segments, one shuffle for all rows: a hot key's rows are cut
-    into the spec's segments, a cold key is one segment.  Level 1 runs for
-    every row in one window pass; a left join adds the level-2 summaries,
-    which an aggregation builds from the hot rows alone (cold rows find
-    none and need none)."""
-    p = spec.split
-    types = {f.name: f.dataType for f in flagged.schema.fields}
-    hot = F.coalesce(F.col("__hot"), F.lit(False))
-    kcols, seg = [], ["__seg"]
-    cols = {}
-    for i, k in enumerate(spec.keys):
-        cols[f"__kv{i}"] = F.coalesce(F.col(k), _low_for(types[k]))
-        cols[f"__kn{i}"] = F.col(k).isNull()
-        kcols += [f"__kv{i}", f"__kn{i}"]
-    lows = [F.expr(spec.order[i].low) for i in range(p)]
-    # one struct column, as in _split: the same attribute partitions the
-    # window and keys the join
-    cols["__seg"] = F.when(hot, F.struct(*[F.coalesce(F.col(ords[i]), lows[i]).alias(f"s{i}")
-                                           for i in range(p)])) \
-        .otherwise(F.struct(*[lows[i].alias(f"s{i}") for i in range(p)]))
-    cols["__hot"] = hot
-    df = flagged.withColumns(cols)
-    gkeys = kcols + seg
-
-    # Level 1 over (key, segment) in the full order (inside a hot segment the
-    # leading items are constant, so the full order is the segment's order).
-    d = Window.partitionBy(*gkeys).orderBy(*_desc(ords))
-    r = d.rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumns({
-        "__rn_g": F.row_number().over(d),
-        "__n_g": F.count(F.lit(1)).over(Window.partitionBy(*gkeys)),
-        "__nk_g": F.last(_known_ts(), ignorenulls=True).over(r),
-        "__la_g": F.first("__ts").over(r)})
-
-    # Level-2 summaries from the hot rows only (partial aggregation).
-    rest = ords[p:]
-    order_struct = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
-    summ = df.filter(F.col("__hot")).groupBy(*gkeys).agg(
-        F.count(F.lit(1)).alias("__n_s"),
-        F.min_by(F.col("__ts"), F.when(F.col("__known"), order_struct)).alias("__fk_g"),
-        F.max_by(F.col("__ts"), order_struct).alias("__last_g"))
-    d2 = Window.partitionBy(*kcols).orderBy(*[F.col(c).desc() for c in seg])
-    r2 = d2.rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.withColumns({
-        "__after_g": F.coalesce(F.sum("__n_s").over(r2), F.lit(0)),
-        "__total": F.sum("__n_s").over(Window.partitionBy(*kcols)),
-        "__nk_after": F.last("__fk_g", ignorenulls=True).over(r2),
-        "__la_after": F.first("__last_g").over(r2)}).drop("__fk_g", "__last_g", "__n_s")
-
-    # Every row in one pass: a left join on (key, segment) keeps the rows'
-    # partitioning and order; cold rows find no summary and their one
-    # segment is their whole chain (total = segment size, nothing after it).
-    j = rows.join(summ, on=gkeys, how="left")
-    total = F.coalesce(F.col("__total"), F.col("__n_g"))
-    after = F.coalesce(F.col("__after_g"), F.lit(0))
-    j = j.withColumns({
-        "__version": total - after - F.col("__rn_g") + 1,
-        "__n_after": F.col("__rn_g") - 1 + after,
-        "__next_known": F.coalesce("__nk_g", "__nk_after"),
-        "__last_any": F.coalesce("__la_after", "__la_g")})
-    out = flagged.columns[:-1] + ["__version", "__n_after", "__next_known", "__last_any"]
-    return j.select(*out)
-
-
-def _auto(df, spec, ords, hot_rows: int, hot_keys_max: int):
-    """Route keys: the heaviest (bounded list) to a two-level form, the rest
-    to the one-window form."""
+def _auto(df, spec, ords, hot_rows: int):
+    """All keys with more than ``hot_rows`` events to the range form, the
+    rest to the one-window form.  Their list stays distributed."""
+    from lakeledger.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
     keys = list(spec.keys)
-    hot = hot_keys(df, keys, hot_rows, hot_keys_max)
-    if not hot:
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
+           .filter(F.col("__cnt") > hot_rows).checkpoint(eager=True))
+    n_hot, total = hot.agg(F.count(F.lit(1)), F.sum("__cnt")).first()
+    if not n_hot:
         return _fast(df, spec, ords)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    from pyspark.sql.types import StructField, StructType
-    hot_df = df.sparkSession.createDataFrame(
-        [k for k, _ in hot], StructType([StructField(k, types[k]) for k in keys]))
-    hot_df = hot_df.withColumn("__hot", F.lit(True))
-    cond = [df[k].eqNullSafe(hot_df[k]) for k in keys]
-    # the hot list has at most hot_keys_max rows: a bounded broadcast
-    flagged = df.join(F.broadcast(hot_df), cond, "left").select(df["*"], hot_df["__hot"])
-    if spec.split > 0 and spec.bounded_split:
-        return _unified(flagged, spec, ords)
-    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    if n_hot <= HOT_SEND:
+        hot = F.broadcast(hot)
+    hot = hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
+    cond = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
     cols = df.columns + ["__version", "__n_after", "__next_known", "__last_any"]
-    cold = _fast(flagged.filter(~is_hot).drop("__hot"), spec, ords).select(*cols)
-    warm = _range(flagged.filter(is_hot).drop("__hot"), spec, ords,
-                  -(-sum(c for _, c in hot) // SEGMENT_ROWS)).select(*cols)
+    cold = _fast(df.join(hot, cond, "left_anti"), spec, ords).select(*cols)
+    warm = _range(df.join(hot, cond, "left_semi"), spec, ords, -(-total // SEGMENT_ROWS)).select(*cols)
     return cold.unionByName(warm)
 
 
 def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None = None,
-               form: str = "auto", hot_rows: int = HOT_ROWS,
-               hot_keys_max: int = HOT_KEYS_MAX) -> DataFrame:
+               form: str = "auto", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Versions of every key of ``df``.
 
     Returns the input columns plus valid_from_ts, valid_to_ts, is_current,
@@ -389,7 +274,7 @@ def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None
     if form == "split" and spec.split <= 0:
         form = "range"
     if form == "auto":
-        body = _auto(prepared, spec, ords, hot_rows, hot_keys_max)
+        body = _auto(prepared, spec, ords, hot_rows)
     elif form == "range":
         n = prepared.sparkSession.conf.get("spark.sql.shuffle.partitions")
         body = _range(prepared, spec, ords, int(n))
@@ -459,11 +344,11 @@ def write_silver(df: DataFrame, path: str, partition_by: str = "txn_year") -> st
     return tables.write_versioned(df, path, partition_by=[partition_by])
 
 
-def read_silver(spark, path: str, version: str | None = None) -> DataFrame:
-    """Current Silver, or an older committed version (see tables.versions)."""
+def read_silver(spark, path: str) -> DataFrame:
+    """Current Silver."""
     from lakeledger.sources import tables
     return tables.read_versioned(spark, path, schemas.SILVER,
-                                 int_partitions={"txn_year"}, version=version)
+                                 int_partitions={"txn_year"})
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -490,49 +375,74 @@ def refresh_scd2(old_silver: DataFrame | None, bronze: DataFrame, changed: DataF
 KEY_BUCKETS = 256
 
 
-def key_bucket(buckets: int = KEY_BUCKETS) -> Column:
+def key_bucket(buckets: int) -> Column:
     """Hash bucket of the Silver key (item_id, transaction_id)."""
     return F.pmod(F.xxhash64("item_id", "transaction_id"), F.lit(buckets)).cast("int")
 
 
+def bucket_count(spark, path: str) -> int | None:
+    """Number of buckets a bucketed Silver was written with, from the marker
+    that its first write leaves when it is complete; None without one."""
+    from lakeledger.sources import tables
+    marker = f"{path.rstrip('/')}/_layout"
+    if not tables.path_exists(spark, f"{marker}/_SUCCESS"):
+        return None
+    return spark.read.schema("buckets int").json(marker).first().buckets
+
+
 def write_silver_bucketed(df: DataFrame, path: str, buckets: int = KEY_BUCKETS) -> None:
     """Silver laid out by key bucket, for in-place refreshes of the buckets
-    that new events touch (``refresh_buckets``)."""
+    that new events touch (``refresh_buckets``).  The number of buckets is
+    stored with the table, after its data: without that marker a folder is no
+    table (a write that did not end is simply done again)."""
     # REBALANCE groups rows by bucket (few files per bucket folder) and lets
     # AQE split a bucket that a hot key makes large.
     (df.withColumn("key_bucket", key_bucket(buckets)).hint("rebalance", "key_bucket")
      .write.mode("overwrite").partitionBy("key_bucket").parquet(path))
+    (df.sparkSession.createDataFrame([(buckets,)], "buckets int").coalesce(1)
+     .write.mode("overwrite").json(f"{path.rstrip('/')}/_layout"))
 
 
 def read_silver_bucketed(spark, path: str) -> DataFrame:
     from lakeledger.sources import tables
+    if bucket_count(spark, path) is None:
+        raise tables.TableNotFound(f"no complete bucketed table at: {path}")
     return tables.read_table(spark, path, schemas.SILVER)
 
 
 def refresh_buckets(spark, bronze: DataFrame, changed: DataFrame, path: str,
-                    built_at: str | None = None, buckets: int = KEY_BUCKETS,
+                    built_at: str | None = None, buckets: int | None = None,
                     form: str = "auto") -> int:
     """Refresh a bucketed Silver in place: only the buckets holding keys of
     ``changed`` are read (partition pruning) and rewritten (dynamic partition
-    overwrite).  The touched bucket numbers are at most ``buckets`` ints.  The
-    new rows are pinned with ``checkpoint()`` first, since a job may not
-    overwrite files it reads.  Readers may see the swap of a bucket folder
-    while the job commits.  Returns the number of buckets rewritten."""
+    overwrite).  The number of buckets is the table's own; another one is
+    refused.  The touched bucket numbers are at most that many ints.  The new
+    rows are staged as Parquet in the shared folder first, since a job may not
+    overwrite files it reads, and the stage is removed.  Readers may see the
+    swap of a bucket folder while the job commits.  Returns the number of
+    buckets rewritten."""
     from lakeledger.session import checkpoint_dir
+    from lakeledger.sources import tables
+    stored = bucket_count(spark, path)
+    if stored is None:
+        raise tables.TableNotFound(f"no complete bucketed table at: {path}")
+    if buckets is not None and buckets != stored:
+        raise ValueError(f"the table has {stored} buckets, not {buckets}")
+    bucket = key_bucket(stored)
     keys = ["item_id", "transaction_id"]
-    ck = _keyed(changed.select(*keys)).distinct().withColumn("key_bucket", key_bucket(buckets))
-    touched = [r[0] for r in ck.select("key_bucket").distinct().collect()]  # <= buckets
+    ck = _keyed(changed.select(*keys)).distinct().withColumn("key_bucket", bucket)
+    touched = [r[0] for r in ck.select("key_bucket").distinct().collect()]  # <= stored
     if not touched:
         return 0
-    old = (spark.read.parquet(path).filter(F.col("key_bucket").isin(touched))
-           .join(ck.select(*keys), keys, "left_anti"))
-    rebuilt = silver_from_bronze(_keyed(bronze).join(ck.select(*keys), keys, "left_semi"),
-                                 built_at, form).withColumn("key_bucket", key_bucket(buckets))
     cols = schemas.SILVER.fieldNames() + ["key_bucket"]
-    out = old.select(*cols).unionByName(rebuilt.select(*cols))
-    checkpoint_dir(spark)
-    out = out.checkpoint(eager=True)
-    (out.hint("rebalance", "key_bucket")
+    old = tables.read_table(spark, path).filter(F.col("key_bucket").isin(touched)) \
+        .join(ck.select(*keys), keys, "left_anti")
+    rebuilt = silver_from_bronze(_keyed(bronze).join(ck.select(*keys), keys, "left_semi"),
+                                 built_at, form).withColumn("key_bucket", bucket)
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/refresh-{uuid.uuid4().hex}"
+    old.select(*cols).unionByName(rebuilt.select(*cols)).write.parquet(stage)
+    (spark.read.parquet(stage).hint("rebalance", "key_bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("key_bucket").parquet(path))
+    tables.remove(spark, stage)
     return len(touched)

@@ -107,8 +107,8 @@ def events_changelog(spark: SparkSession, sf_dir: str, unknown: tuple[str, ...]
 # ------------------------------------------------------------ other tables
 ORDERS_SPEC = Scd2Spec(
     keys=("o_custkey",), event_time="run_ts", event_type="event_type",
-    order=(OrderItem("o_orderdate", "TIMESTAMP_NTZ'0001-01-01 00:00:00'"),
-           OrderItem("o_orderkey", "-9223372036854775808")),
+    order=(OrderItem("o_orderdate"),
+           OrderItem("o_orderkey")),
     split=1)
 
 
@@ -123,14 +123,14 @@ def orders_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINEITEM_SPEC = Scd2Spec(
     keys=("l_partkey", "l_suppkey"), event_time="run_ts", event_type="event_type",
-    order=(OrderItem("l_shipdate", "TIMESTAMP_NTZ'0001-01-01 00:00:00'"),
-           OrderItem("l_orderkey", "-9223372036854775808"),
-           OrderItem("l_linenumber", "-2147483648"),
-           OrderItem("l_quantity", "CAST('-Infinity' AS DOUBLE)"),
-           OrderItem("l_extendedprice", "CAST('-Infinity' AS DOUBLE)"),
-           OrderItem("l_discount", "CAST('-Infinity' AS DOUBLE)"),
-           OrderItem("l_tax", "CAST('-Infinity' AS DOUBLE)"),
-           OrderItem("l_linestatus", "''")),
+    order=(OrderItem("l_shipdate"),
+           OrderItem("l_orderkey"),
+           OrderItem("l_linenumber"),
+           OrderItem("l_quantity"),
+           OrderItem("l_extendedprice"),
+           OrderItem("l_discount"),
+           OrderItem("l_tax"),
+           OrderItem("l_linestatus")),
     split=1)
 
 
@@ -148,9 +148,9 @@ def lineitem_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 # turn, so that a very long conversation is cut into segments as well.
 CONVERSATIONS_SPEC = Scd2Spec(
     keys=("conv_id",), event_time="run_ts", event_type="event_type",
-    order=(OrderItem("floor(turn / 64)", "-9223372036854775808"),
-           OrderItem("turn", "-9223372036854775808")),
-    split=1, bounded_split=True)
+    order=(OrderItem("floor(turn / 64)"),
+           OrderItem("turn")),
+    split=1)
 
 
 def conversations_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,12 +183,14 @@ def _tx_object() -> Column:
         (F.col("value") < 10).alias("pending")))
 
 
-def _array_of(et: str) -> Column:
+def _array_of(et: str, junk: bool) -> Column:
     """Elements of one page array in position order.  ``removed`` holds bare
-    ids; ``click`` events go into ``modified`` as bare ids too, which are
-    not objects and so must be skipped on ingest."""
+    ids; with ``junk``, ``click`` events go into ``modified`` as bare ids too,
+    which are not objects and so must be skipped on ingest."""
     if et == "removed":
         elem = F.col("transaction_id")
+    elif not junk:
+        elem = _tx_object()
     else:
         elem = F.when(F.col("src_type") == "click", F.col("transaction_id")) \
             .otherwise(_tx_object())
@@ -196,7 +198,7 @@ def _array_of(et: str) -> Column:
     return F.transform(F.sort_array(F.collect_list(picked)), lambda x: x["j"])
 
 
-def events_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_pages(spark: SparkSession, sf_dir: str, junk: bool = False) -> DataFrame:
     """``events`` nested into sync pages (schema ``PAGE`` + page_name,
     page_path, page_no), with cursors chained page to page.
 
@@ -208,8 +210,7 @@ def events_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     b = events_base(spark, sf_dir)
     g = b.groupBy("item_id", "run_id", "run_ts", "page_no", "page_name", "page_path").agg(
-        _array_of("added").alias("added"), _array_of("modified").alias("modified"),
-        _array_of("removed").alias("removed"),
+        *[_array_of(x, junk).alias(x) for x in ("added", "modified", "removed")],
         F.max_by("src_type", "pos").alias("last_type"))
     g = g.withColumn("cursor_out", F.concat(
         F.lit("c-"), F.col("item_id"), F.lit("-"), F.col("run_id"), F.lit("-"),

@@ -61,7 +61,7 @@ FROM cl WHERE src_type <> 'click'""")
 def q_page_roundtrip(spark, sf):
     """Events nested into page arrays and flattened again: click events sit
     in ``modified`` as bare ids (not objects) and must be skipped."""
-    rows = bronze.explode_pages(C.events_pages(spark, sf), now=C.INGESTED_AT)
+    rows = bronze.explode_pages(C.events_pages(spark, sf, junk=True), now=C.INGESTED_AT)
     return rows.select(*_ROUNDTRIP_COLS,
                        F.get_json_object("raw_transaction_json", "$.transaction_id")
                        .alias("raw_id"))
@@ -247,26 +247,21 @@ pk AS (
   SELECT item_id, transaction_id, count(*) AS n,
          sum(CASE WHEN is_current THEN 1 ELSE 0 END) AS curr, min(version) AS min_v
   FROM {src} GROUP BY item_id, transaction_id),
+row_counts AS (
+  SELECT count(*) AS n_rows,
+         count(*) FILTER (WHERE is_active AND NOT (is_current AND NOT is_deleted)) AS d3,
+         count(*) FILTER (WHERE NOT is_current AND NOT ended) AS d4,
+         count(*) FILTER (WHERE is_current AND ended) AS d5
+  FROM (SELECT *, coalesce(length(valid_to_ts), 0) > 0 AS ended FROM {src})),
 agg AS (
-  SELECT (SELECT count(*) FROM {src}) AS n_rows,
-         (SELECT coalesce(max(curr), 0) FROM pk) AS max_curr,
-         (SELECT count(*) FROM {src} WHERE is_active = TRUE
-            AND (is_current <> TRUE OR is_deleted = TRUE)) AS d3,
-         (SELECT count(*) FROM {src} WHERE is_current = FALSE
-            AND (valid_to_ts IS NULL OR CAST(valid_to_ts AS VARCHAR) = '')) AS d4,
-         (SELECT count(*) FROM {src} WHERE is_current = TRUE
-            AND valid_to_ts IS NOT NULL AND CAST(valid_to_ts AS VARCHAR) <> '') AS d5,
-         (SELECT count(*) FROM pk WHERE min_v IS NULL OR min_v <> 1) AS d6),
+  SELECT r.*, k.* FROM row_counts r,
+    (SELECT coalesce(max(curr), 0) AS max_curr,
+            count(*) FILTER (WHERE min_v IS DISTINCT FROM 1) AS d6 FROM pk) k),
 chk AS (
-  SELECT 'D1_readable' AS "check", 0 AS violations, 'Silver table is readable' AS detail FROM agg
-  UNION ALL SELECT 'D2_one_current_per_key', CASE WHEN max_curr > 1 THEN max_curr ELSE 0 END,
-    'At most 1 current row per (item_id, transaction_id)' FROM agg
-  UNION ALL SELECT 'D3_active_is_current_not_deleted', d3,
-    'is_active implies current + not deleted' FROM agg
-  UNION ALL SELECT 'D4_closed_rows_have_end', d4, 'Non-current rows have valid_to_ts' FROM agg
-  UNION ALL SELECT 'D5_current_rows_open', d5, 'Current rows have no valid_to_ts' FROM agg
-  UNION ALL SELECT 'D6_versions_start_at_1', d6,
-    'Version min is 1 per (item_id, transaction_id)' FROM agg)
+  SELECT unnest([{", ".join(f"'{n}'" for n in quality.SILVER_CHECKS)}]) AS "check",
+         unnest([0, CASE WHEN max_curr > 1 THEN max_curr ELSE 0 END, d3, d4, d5, d6]) AS violations,
+         unnest([{", ".join(f"'{t}'" for t in quality.SILVER_CHECKS.values())}]) AS detail
+  FROM agg)
 SELECT "check", CAST(violations AS BIGINT) AS violations,
        violations = 0 OR (SELECT n_rows FROM agg) = 0 AS passed, detail
 FROM chk"""
@@ -666,7 +661,11 @@ def _land(spark: SparkSession, sf: str, landing: str, part: str) -> None:
     pages.filter(early if part == "a" else ~early).write.json(f"{landing}/{part}")
 
 
-@register("bronze_stream", SQL["page_roundtrip"])
+# All events as Bronze rows, clicks included.
+_ALL_EVENTS = SQL["page_roundtrip"].replace(" WHERE src_type <> 'click'", "")
+
+
+@register("bronze_stream", _ALL_EVENTS)
 def q_bronze_stream(spark, sf):
     """Pages landed in two drops, ingested by an availableNow stream run
     after each drop and once more with nothing new; equals the batch result."""
@@ -684,7 +683,7 @@ def q_bronze_stream(spark, sf):
                        .alias("raw_id"))
 
 
-@register("bronze_ingest_batch", SQL["page_roundtrip"])
+@register("bronze_ingest_batch", _ALL_EVENTS)
 def q_bronze_ingest_batch(spark, sf):
     """Batch ingest (F1, K1, K3, A8): the page set lands in two drops, each
     followed by an ingest run, then one more run with nothing new.  Equals
@@ -701,9 +700,7 @@ def q_bronze_ingest_batch(spark, sf):
                        .alias("raw_id"))
 
 
-@register("silver_stream", "WITH " + O.changelog_cte() + """,
-cl_pages AS (SELECT * FROM cl WHERE src_type <> 'click')""" + O.silver_ctes("cl_pages") +
-    f"\nSELECT {O.SILVER_COLS} FROM silver")
+@register("silver_stream", O.with_silver(f"SELECT {O.SILVER_COLS} FROM silver"))
 def q_silver_stream(spark, sf):
     """foreachBatch keeps Silver current; each micro-batch rebuilds the
     keys it touched.  Equals the Silver of the batch ingest."""
@@ -743,6 +740,161 @@ def q_scd2_refresh_buckets(spark, sf):
     silver.refresh_buckets(spark, b, b.filter(~early), base, built_at=C.BUILT_AT)
     return silver.read_silver_bucketed(spark, base)
 
+
+def _land_files(spark: SparkSession, sf: str, landing: str, part: str) -> None:
+    """Land the events page set as the puller does: one file per page at
+    ``<institution>/<item>/sync_pages/page_*.json``, the first or second half
+    of the month (written by Spark, one folder a page, then moved)."""
+    pages = C.events_pages(spark, sf)
+    early = F.col("run_ts") < LEDGER_CUT
+    stage = f"{landing}-stage-{part}"
+    (pages.filter(early if part == "a" else ~early).drop("page_no", "page_path")
+     .withColumn("__dir", F.concat_ws("~", "institution", "item_id", "page_name"))
+     .repartition("__dir").write.partitionBy("__dir").json(stage))
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(stage)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = set()
+    for d in fs.listStatus(root):
+        name = d.getPath().getName()
+        if not name.startswith("__dir="):
+            continue
+        institution, item, page = name.removeprefix("__dir=").split("~")
+        folder = f"{landing}/{institution}/{item}/sync_pages"
+        if folder not in made:
+            fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+            made.add(folder)
+        file = next(f.getPath() for f in fs.listStatus(d.getPath()) if f.getPath().getName().startswith("part-"))
+        fs.rename(file, jvm.org.apache.hadoop.fs.Path(f"{folder}/{page}"))
+
+
+@register("bronze_ingest_crash", _ALL_EVENTS)
+def q_bronze_ingest_crash(spark, sf):
+    """S1, K1, K3, F1 over page files: a first run finds only pages without
+    events; a run over the first half of the month crashes after its append;
+    the next run finds the second half landed, and one more finds nothing
+    new.  Every event is in Bronze once and every page in the ledger."""
+    base = _scratch(spark, "bronze-crash")
+    paths = (f"{base}/bronze", f"{base}/ledger")
+    spark.range(2).select(F.lit("r0").alias("run_id"), F.lit("2023-12-31T00:00:00Z").alias("run_ts"),
+                          F.col("id")).repartition(2, "id").write.json(f"{base}/landing-empty")
+    _land_empty(spark, base)
+    bronze.ingest(spark, f"{base}/landing", *paths, now=C.INGESTED_AT)
+    _land_files(spark, sf, f"{base}/landing", "a")
+    todo = bronze.new_pages(bronze.P.read_pages(spark, f"{base}/landing"),
+                            bronze.processed_pages(spark, paths[1]))
+    bronze.append_bronze(bronze.explode_pages(todo, C.INGESTED_AT), paths[0])  # and no ledger line
+    _land_files(spark, sf, f"{base}/landing", "b")
+    for _ in range(2):
+        bronze.ingest(spark, f"{base}/landing", *paths, now=C.INGESTED_AT)
+    unmarked = bronze.P.list_pages(spark, f"{base}/landing").join(
+        bronze.processed_pages(spark, paths[1]), "page_path", "left_anti")
+    if not unmarked.isEmpty():
+        raise AssertionError("a page is not in the ledger")
+    rows = bronze.read_bronze(spark, paths[0])
+    return rows.select(*_ROUNDTRIP_COLS,
+                       F.get_json_object("raw_transaction_json", "$.transaction_id").alias("raw_id"))
+
+
+def _land_empty(spark: SparkSession, base: str) -> None:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{base}/landing-empty")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder = f"{base}/landing/{C.INSTITUTION}/0/sync_pages"
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+    parts = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("part-")]
+    for i, f in enumerate(parts):
+        fs.rename(f, jvm.org.apache.hadoop.fs.Path(f"{folder}/page_{i:04d}_r0.json"))
+
+
+# ------------------------------------------------------------ null keys
+
+_NULL_KEYS_SPEC = silver.Scd2Spec(
+    keys=("k_day", "k_flag"), event_time="run_ts", event_type="event_type",
+    order=(silver.OrderItem("o_day"), silver.OrderItem("o_orderkey")), split=1)
+
+
+@register("scd2_null_keys", """WITH o AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(date_trunc('year', o_orderdate) AS DATE) END AS k_day,
+         o_orderkey % 5 = 0 AS k_flag,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_day,
+         CASE o_orderkey % 4 WHEN 0 THEN 'added' WHEN 1 THEN 'modified' WHEN 2 THEN 'removed' ELSE 'other' END AS event_type,
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS run_ts
+  FROM orders)""" + O.history_ctes("o", "k_day, k_flag", "o_day NULLS FIRST, o_orderkey", "run_ts") + """
+SELECT k_day, k_flag, o_orderkey, version, valid_from_ts, valid_to_ts, is_current, is_deleted, is_active, change_type
+FROM h""")
+def q_scd2_null_keys(spark, sf):
+    """History with nullable date keys and a nullable leading order column;
+    a third of all rows has the null key, which is hot."""
+    k = F.col("o_orderkey")
+    o = C.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(k % 3 != 0, F.trunc(F.col("o_orderdate").cast("date"), "year")).alias("k_day"),
+        (k % 5 == 0).alias("k_flag"),
+        F.when(k % 11 != 0, F.col("o_orderdate").cast("date")).alias("o_day"),
+        F.element_at(F.array(*map(F.lit, ("added", "modified", "removed", "other"))), (k % 4 + 1).cast("int"))
+        .alias("event_type"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("run_ts"))
+    h = silver.build_scd2(o, _NULL_KEYS_SPEC, C.BUILT_AT, hot_rows=500)
+    return h.select("k_day", "k_flag", "o_orderkey", "version", "valid_from_ts", "valid_to_ts", "is_current",
+                    "is_deleted", "is_active", "change_type")
+
+
+# ------------------------------------------------------------ export runs
+
+@register("export_runs", "WITH " + O.changelog_cte() + O.silver_ctes() + f""",
+cl_early AS (SELECT * FROM cl WHERE run_ts < '{LEDGER_CUT}')""" + O.silver_ctes("cl_early", "silver_early", "he") + """,
+w1 AS (SELECT max(valid_from_ts) AS w FROM silver_early),
+second AS (SELECT * FROM silver WHERE valid_from_ts > (SELECT w FROM w1)),
+w2 AS (SELECT coalesce(max(valid_from_ts), (SELECT w FROM w1)) AS w FROM second)
+SELECT 'row' AS kind, item_id, transaction_id, CAST(version AS VARCHAR) AS version, valid_from_ts, CAST(NULL AS BIGINT) AS n
+FROM (SELECT * FROM silver_early UNION ALL SELECT * FROM second)
+UNION ALL SELECT 'log', NULL, NULL, NULL, (SELECT w FROM w1), (SELECT count(*) FROM silver_early)
+UNION ALL SELECT 'log', NULL, NULL, NULL, (SELECT w FROM w2), (SELECT count(*) FROM second)
+UNION ALL SELECT 'log', NULL, NULL, NULL, (SELECT w FROM w2), 0""")
+def q_export_runs(spark, sf):
+    """A stored Silver is exported, grows, is exported
+    again, and a third time with nothing new.  The target's rows and the
+    log's records."""
+    base = _scratch(spark, "export-runs")
+    b = C.events_changelog(spark, sf)
+    for part in (b.filter(F.col("run_ts") < LEDGER_CUT), b, None):
+        if part is not None:
+            silver.write_silver(silver.silver_from_bronze(part, built_at=C.BUILT_AT), f"{base}/silver")
+        export.incremental_export(spark, silver.read_silver(spark, f"{base}/silver"), f"{base}/target",
+                                  f"{base}/log", "all", table_path=SILVER_PATH, now=C.INGESTED_AT)
+    cols = ["item_id", "transaction_id", "version", "valid_from_ts"]
+    rows = spark.read.option("header", True).csv(f"{base}/target").select(
+        F.lit("row").alias("kind"), *[F.col(c).cast("string") for c in cols], F.lit(None).cast("bigint").alias("n"))
+    log = export.read_log(spark, f"{base}/log").select(
+        F.lit("log").alias("kind"), *[F.lit(None).cast("string").alias(c) for c in cols[:3]],
+        F.col("last_synced_valid_from_ts").alias("valid_from_ts"), F.col("rows_synced").alias("n"))
+    return rows.unionByName(log)
+
+
+@register("dq_bronze_broken", "WITH " + O.changelog_cte() + """,
+broken AS (
+  SELECT event_id, CASE WHEN pos % 7 = 0 THEN NULL ELSE item_id END AS item_id,
+         CASE WHEN pos % 9 = 0 THEN NULL ELSE transaction_id END AS transaction_id,
+         CASE WHEN pos % 11 = 0 THEN 'yesterday' ELSE run_ts END AS run_ts
+  FROM cl UNION ALL SELECT event_id, item_id, transaction_id, run_ts FROM cl WHERE pos % 13 = 0),
+ids AS (SELECT event_id, count(*) AS n FROM broken GROUP BY event_id),
+counts AS (
+  SELECT count(*) FILTER (WHERE item_id IS NULL) AS a, count(*) FILTER (WHERE transaction_id IS NULL) AS b,
+         count(*) FILTER (WHERE run_ts = 'yesterday') AS c, count(*) - (SELECT count(*) FROM ids) AS d FROM broken)
+SELECT unnest(['null_item_id', 'null_transaction_id', 'bad_run_ts', 'repeated_event_id']) AS "check",
+       unnest([a, b, c, d]) AS violations, unnest([a = 0, b = 0, c = 0, d = 0]) AS passed FROM counts""")
+def q_dq_bronze_broken(spark, sf):
+    """Bronze broken on purpose: null keys, an unreadable run time, repeats."""
+    b = C.events_changelog(spark, sf)
+    pos = F.col("pos")
+    bad = b.withColumns({
+        "item_id": F.when(pos % 7 != 0, F.col("item_id")),
+        "transaction_id": F.when(pos % 9 != 0, F.col("transaction_id")),
+        "run_ts": F.when(pos % 11 == 0, F.lit("yesterday")).otherwise(F.col("run_ts"))})
+    return quality.check_bronze(bad.unionByName(b.filter(pos % 13 == 0)))
+
+
 def queries() -> dict[str, Query]:
     return dict(SPARK)
 

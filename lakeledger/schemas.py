@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
-                               LongType, StringType, StructField, StructType)
+                               LongType, StringType, StructField, StructType, VariantType)
 
 
 _TYPES = {"string": StringType(), "bigint": LongType(), "int": IntegerType(),
@@ -30,7 +30,8 @@ def _nested(name: str, inner: str) -> StructField:
 # are for existing pages, tables and exports to keep working.
 
 # One sync page: header scalars and three arrays whose elements are kept as
-# their JSON source text (objects stay objects, bare ids stay ids).
+# their JSON source text.  Elements of ``removed`` keep their JSON type: only
+# strings and objects are ids.
 PAGE = StructType([
     StructField("run_id", StringType()),
     StructField("run_ts", StringType()),
@@ -43,7 +44,7 @@ PAGE = StructType([
     StructField("has_more", BooleanType()),
     StructField("added", ArrayType(StringType())),
     StructField("modified", ArrayType(StringType())),
-    StructField("removed", ArrayType(StringType())),
+    StructField("removed", ArrayType(VariantType())),
 ])
 
 # Fields of a transaction object that are read into columns.  amount and

@@ -70,12 +70,15 @@ def ensure_session_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (tests, local runs) a fresh scratch folder is
-    created and registered.
+    Only a local session without the setting (tests, local runs) gets a fresh
+    scratch folder; on a cluster a folder of one machine would lose data, so
+    a missing setting is an error there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="lakeledger-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +16,16 @@ PAGE_GLOB = "page_*.json"
 CORRUPT = "_corrupt_record"
 
 
-def root_uri(root: str) -> str:
+def _qualified(spark: SparkSession, path: str):
+    """``path`` as the file system that serves it names it (a path without a
+    scheme goes to the session's default file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p)
+
+
+def root_uri(spark: SparkSession, root: str) -> str:
     """The form ``_metadata.file_path`` gives for files under ``root``."""
-    if "://" in root or root.startswith("file:"):
-        return root.rstrip("/")
-    return "file:" + os.path.abspath(root).rstrip("/")
+    return re.sub("^file:/+", "file:/", _qualified(spark, root).toUri().toString().rstrip("/"))
 
 
 # A page set stored as JSON lines carries its own name and path.
@@ -28,21 +33,71 @@ PAGE_LINE = StructType(schemas.PAGE.fields + [StructField("page_name", StringTyp
                                               StructField("page_path", StringType())])
 
 
+def _with_corrupt(schema: StructType, mode: str) -> StructType:
+    if mode.upper() == "PERMISSIVE":
+        return StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    return schema
+
+
 def read_page_lines(spark: SparkSession, root: str, mode: str = "FAILFAST") -> DataFrame:
     """Pages stored as JSON lines (one page per line, with page_name and
-    page_path fields), e.g. as a landing zone written by another job."""
-    return (spark.read.schema(PAGE_LINE).option("mode", mode)
-            .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
-            .json(root))
+    page_path fields), e.g. as a landing zone written by another job.  With
+    ``mode="PERMISSIVE"`` a malformed line is a row whose ``_corrupt_record``
+    holds its text and whose page_path names the file and the text's hash."""
+    df = (spark.read.schema(_with_corrupt(PAGE_LINE, mode)).option("mode", mode)
+          .option("columnNameOfCorruptRecord", CORRUPT)
+          .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+          .json(root))
+    if CORRUPT in df.columns:
+        bad = F.concat(F.col("_metadata.file_name"), F.lit("#"), F.sha2(F.col(CORRUPT), 256))
+        df = df.withColumn("page_path", F.when(F.col(CORRUPT).isNotNull(), F.coalesce("page_path", bad))
+                           .otherwise(F.col("page_path")))
+    return df
+
+
+def scope_of(root: str, institution: str | None, item_id: str | None) -> str:
+    """The folder of one institution, or one item, below the landing root."""
+    parts = [root.rstrip("/")]
+    if institution is not None:
+        parts.append(slug(institution))
+        if item_id is not None:
+            parts.append(item_id)
+    return "/".join(parts)
+
+
+def slug(text: str) -> str:
+    """``scalars.slugify`` for one value."""
+    s = re.sub(r"\s+", "_", text.strip().lower())
+    return re.sub(r"[^a-z0-9_\-]", "", s) or "unknown"
+
+
+def list_pages(spark: SparkSession, root: str, prefix: str = "", institution: str | None = None,
+               item_id: str | None = None) -> DataFrame:
+    """(path, page_path) of the page files below ``root``; no file is opened.
+    A folder that does not exist has no pages."""
+    from lakeledger.sources.tables import path_exists
+    folder = scope_of(root, institution, item_id)
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], "path string, page_path string")
+    base = _qualified(spark, root).toString().rstrip("/") + "/"
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", PAGE_GLOB)
+             .option("recursiveFileLookup", True).load(folder).select("path"))
+    # Local files are listed as file:/x by some readers and file:///x by others.
+    path = F.regexp_replace("path", "^file:/+", "file:/")
+    rel = F.substring(path, len(base) + 1, 1 << 20)
+    return files.select("path", F.concat(F.lit(prefix), F.when(path.startswith(base), rel).otherwise(path))
+                        .alias("page_path"))
 
 
 def read_pages(spark: SparkSession, root: str, prefix: str = "",
                mode: str = "FAILFAST", institution: str | None = None,
-               item_id: str | None = None, layout: str = "files") -> DataFrame:
-    """One row per page file found anywhere below ``root``.
+               item_id: str | None = None, layout: str = "files",
+               files: list[str] | None = None) -> DataFrame:
+    """One row per page file found anywhere below ``root`` (or for the given
+    ``files`` below it).
 
     Columns: the ``PAGE`` fields, ``page_name`` (file name) and ``page_path``
-    (path relative to ``root``, URL-decoded, with ``prefix`` in front: the
+    (path relative to ``root``, percent-decoded, with ``prefix`` in front: the
     text that goes into event ids and the ledger).  A bad file fails the
     read by default; with ``mode="PERMISSIVE"`` it becomes a row whose
     ``_corrupt_record`` holds the file text (see ``bronze.ingest``'s
@@ -50,31 +105,26 @@ def read_pages(spark: SparkSession, root: str, prefix: str = "",
     """
     if layout == "lines":
         df = read_page_lines(spark, root, mode)
-        if institution is not None:
-            df = df.filter(S.slugify("institution") == S.slugify(F.lit(institution)))
-        if item_id is not None:
-            df = df.filter(F.col("item_id") == item_id)
-        return df
-    if layout != "files":
+    elif layout == "files":
+        df = (spark.read.schema(_with_corrupt(schemas.PAGE, mode))
+              .option("multiLine", True)
+              .option("columnNameOfCorruptRecord", CORRUPT)
+              .option("pathGlobFilter", PAGE_GLOB)
+              .option("recursiveFileLookup", True)
+              .option("mode", mode)
+              .json(root if files is None else [re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in files]))
+    else:
         raise ValueError("layout must be 'files' or 'lines'")
-    schema = schemas.PAGE
-    if mode.upper() == "PERMISSIVE":
-        schema = StructType(schema.fields + [StructField(CORRUPT, StringType())])
-    df = (spark.read.schema(schema)
-          .option("multiLine", True)
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .option("pathGlobFilter", PAGE_GLOB)
-          .option("recursiveFileLookup", True)
-          .option("mode", mode)
-          .json(root))
     if institution is not None:
         df = df.filter(S.slugify("institution") == S.slugify(F.lit(institution)))
     if item_id is not None:
         df = df.filter(F.col("item_id") == item_id)
+    if layout == "lines":
+        return df
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("page_name"),
-        S.relative_path(F.col("_metadata.file_path"), root_uri(root), prefix)
+        S.relative_path(F.col("_metadata.file_path"), root_uri(spark, root), prefix)
         .alias("page_path"),
     )
 

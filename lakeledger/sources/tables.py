@@ -34,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder this library made."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str = "parquet", int_partitions=(), merge_schema: bool = False) -> DataFrame:
     """Read a table; a missing path raises ``TableNotFound`` (not an
@@ -53,7 +59,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise TableNotFound(f"table not found at: {path}") from e
+        if schema is not None and "UNABLE_TO_INFER_SCHEMA" in str(e):
+            # A write of no rows leaves a folder without data files.
+            return spark.createDataFrame([], schema)
         raise
+    if schema is not None and fmt == "parquet" and not merge_schema:
+        # The declared columns, whichever file's footer was asked: columns
+        # that only later files have are read too (null in the others).
+        declared = [f for f in df.schema.fields if f.name not in schema.fieldNames()]
+        files = {f.name: f for f in df.schema.fields}
+        parts = [files.get(f.name) if f.name in int_partitions else None for f in schema.fields]
+        df = spark.read.schema(StructType([p or f for p, f in zip(parts, schema.fields)] + declared)).parquet(path)
     for c in int_partitions:
         if c in df.columns:
             df = df.withColumn(c, F.col(c).cast("bigint"))
@@ -99,18 +115,10 @@ def write_versioned(df: DataFrame, path: str, partition_by=()) -> str:
     return target
 
 
-def versions(spark: SparkSession, path: str) -> DataFrame:
-    """Committed versions of the table at ``path`` (version, committed_at),
-    from the commit markers."""
-    return (spark.read.schema("version string, committed_at string")
-            .option("recursiveFileLookup", True).json(f"{path.rstrip('/')}/commits"))
-
-
 def read_versioned(spark: SparkSession, path: str, schema: StructType | None = None,
-                   int_partitions=(), version: str | None = None) -> DataFrame:
-    """The newest committed version, or the given one (a read of an older
-    state of the table)."""
-    v = version or latest_version(spark, path)
+                   int_partitions=()) -> DataFrame:
+    """The newest committed version."""
+    v = latest_version(spark, path)
     if v is None:
         raise TableNotFound(f"no committed version of the table at: {path}")
     return read_table(spark, f"{path.rstrip('/')}/{v}", schema,

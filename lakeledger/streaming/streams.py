@@ -27,21 +27,23 @@ PAGE_LINE = P.PAGE_LINE
 
 
 def page_stream(spark: SparkSession, root: str, layout: str = "files",
-                prefix: str = "", max_files: int | None = None) -> DataFrame:
+                prefix: str = "", max_files: int | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Streaming page rows.  ``files``: one pretty-printed page per file
     ``page_*.json`` anywhere below ``root``; ``lines``: JSON lines, one page
-    per line, with page_name and page_path fields."""
-    r = spark.readStream.option("recursiveFileLookup", True)
+    per line, with page_name and page_path fields (a page landed again is
+    dropped by its path).  A malformed page fails the stream: it must not be
+    checkpointed as done."""
+    r = spark.readStream.option("recursiveFileLookup", True).option("mode", mode)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if layout == "files":
         df = (r.schema(schemas.PAGE).option("multiLine", True)
               .option("pathGlobFilter", P.PAGE_GLOB).json(root))
         return df.select("*", F.col("_metadata.file_name").alias("page_name"),
-                         S.relative_path(F.col("_metadata.file_path"), P.root_uri(root), prefix)
+                         S.relative_path(F.col("_metadata.file_path"), P.root_uri(spark, root), prefix)
                          .alias("page_path"))
     if layout == "lines":
-        return r.schema(PAGE_LINE).option("pathGlobFilter", "*.json").json(root)
+        return r.schema(PAGE_LINE).option("pathGlobFilter", "*.json").json(root).dropDuplicates(["page_path"])
     raise ValueError("layout must be 'files' or 'lines'")
 
 
@@ -50,11 +52,9 @@ def bronze_stream(spark: SparkSession, root: str, bronze_path: str, checkpoint:
                   available_now: bool = True, processing_time: str | None = None):
     """Start the Bronze stream; returns the StreamingQuery."""
     pages = page_stream(spark, root, layout, prefix)
-    rows = B.explode_pages(pages, now or "1970-01-01T00:00:00.000000Z")
-    if not now:
-        # Without a fixed value every micro-batch stamps its own time
-        # (current_timestamp is fixed per micro-batch).
-        rows = rows.withColumn("ingested_at", S.iso_text(F.current_timestamp()))
+    # Without a fixed value every micro-batch stamps its own time
+    # (current_timestamp is fixed per micro-batch).
+    rows = B.explode_pages(pages, now or S.iso_text(F.current_timestamp()))
     w = (rows.writeStream.format("parquet").option("path", bronze_path)
          .option("checkpointLocation", checkpoint).partitionBy("event_year")
          .outputMode("append"))
@@ -75,7 +75,8 @@ def silver_batch(spark: SparkSession, batch: DataFrame, batch_id: int, bronze_pa
     folder = f"{bronze_path.rstrip('/')}/batch_id={batch_id}"
     rows.write.mode("overwrite").partitionBy("event_year").parquet(folder)
     bronze_all = B.read_bronze(spark, bronze_path)
-    changed = T.read_table(spark, folder).select("item_id", "transaction_id")
+    changed = T.read_table(spark, folder, schemas.BRONZE, int_partitions=("event_year",)).select(
+        "item_id", "transaction_id")
     if bucketed:
         try:
             SV.read_silver_bucketed(spark, silver_path)

@@ -1,7 +1,9 @@
 import hashlib
+import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeledger.operators import bronze as B
 from lakeledger.operators import silver as SV
@@ -105,8 +107,12 @@ def test_empty_page_reingest_and_crash(spark, tmp):
     write_page(root, "bank", "i1", 3, *R2, added=[tx("t9")])
     pages = P.read_pages(spark, root, "raw/").filter(F.col("page_name").startswith("page_0003"))
     B.append_bronze(B.explode_pages(pages, NOW), f"{tmp}/bronze")
+    # the next run has a further page; it marks the recovered one as well
+    write_page(root, "bank", "i1", 4, *R2, added=[tx("t10")])
+    assert ingest(spark, root, tmp) == {"pages": 1, "rows": 1}
     assert ingest(spark, root, tmp) == {"pages": 0, "rows": 0}
-    assert B.read_bronze(spark, f"{tmp}/bronze").count() == 2
+    assert B.read_bronze(spark, f"{tmp}/bronze").count() == 3
+    assert B.processed_pages(spark, f"{tmp}/ledger").count() == 4
 
 
 def test_broken_ledger_lines_ignored(spark, tmp):
@@ -161,6 +167,91 @@ def test_bad_page_fails_or_is_quarantined(spark, tmp):
     assert [r.page_path for r in q] == ["raw/bank/i1/sync_pages/page_0002_20260101_000000.json"]
 
 
+def test_first_batch_without_events(spark, tmp):
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, *R1)
+    assert ingest(spark, root, tmp) == {"pages": 1, "rows": 0}
+    assert B.read_bronze(spark, f"{tmp}/bronze").count() == 0
+    write_page(root, "bank", "i1", 2, *R1, added=[tx("a")])
+    assert ingest(spark, root, tmp) == {"pages": 1, "rows": 1}
+    assert B.read_bronze(spark, f"{tmp}/bronze").count() == 1
+
+
+def test_unreadable_run_time(spark, tmp):
+    import pytest
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, "r", "yesterday", added=[tx("a")])
+    with pytest.raises(Exception, match="unreadable run_ts"):
+        ingest(spark, root, tmp)
+    got = B.ingest(spark, root, f"{tmp}/b2", f"{tmp}/l2", now=NOW, mode="PERMISSIVE", quarantine_path=f"{tmp}/q")
+    assert got == {"pages": 0, "rows": 0, "quarantined": 1}
+    with pytest.raises(ValueError):
+        B.ingest(spark, root, f"{tmp}/b2", f"{tmp}/l2", mode="PERMISSIVE")
+
+
+def test_removed_takes_strings_and_objects_only(spark, tmp):
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, *R1,
+               removed=[123, ["x"], True, None, "id1", {"transaction_id": "id2"}, {"transaction_id": None}])
+    ingest(spark, root, tmp)
+    assert sorted(r.transaction_id for r in B.read_bronze(spark, f"{tmp}/bronze").collect()) == ["id1", "id2"]
+
+
+def test_paths_with_spaces_and_signs(spark, tmp):
+    root = f"{tmp}/raw pages+x"
+    write_page(root, "ba+nk", "i1", 1, *R1, added=[tx("a")])
+    write_page(root, "ba nk", "i1", 1, *R1, added=[tx("a")])
+    write_page(root, "b[a]{n}k", "i%1", 1, *R1, added=[tx("a")])
+    assert ingest(spark, root, tmp) == {"pages": 3, "rows": 3}
+    assert ingest(spark, root, tmp) == {"pages": 0, "rows": 0}
+    paths = {r.page_path for r in B.read_bronze(spark, f"{tmp}/bronze").collect()}
+    name = "sync_pages/page_0001_20260101_000000.json"
+    assert paths == {f"raw/ba+nk/i1/{name}", f"raw/ba nk/i1/{name}", f"raw/b[a]{{n}}k/i%1/{name}"}
+
+
+def test_lines_landed_twice_and_malformed_lines(spark, tmp):
+    os.makedirs(f"{tmp}/in")
+    page = {"run_id": "r", "run_ts": "2026-01-01T00:00:00Z", "item_id": "i", "added": [{"transaction_id": "a"}],
+            "page_name": "page_0001_r.json", "page_path": "bank/i/p1"}
+    with open(f"{tmp}/in/x.json", "w") as f:
+        f.write(json.dumps(page) + "\n" + json.dumps(page) + "\n")
+    kw = dict(now=NOW, layout="lines")
+    assert B.ingest(spark, f"{tmp}/in", f"{tmp}/b", f"{tmp}/l", **kw) == {"pages": 1, "rows": 1}
+    with open(f"{tmp}/in/y.json", "w") as f:
+        f.write('{"run_id": broken\n')
+    kw |= dict(mode="PERMISSIVE", quarantine_path=f"{tmp}/q")
+    for n in (1, 0):
+        assert B.ingest(spark, f"{tmp}/in", f"{tmp}/b", f"{tmp}/l", **kw) == {"pages": 0, "rows": 0, "quarantined": n}
+    assert B.processed_pages(spark, f"{tmp}/l").count() == 1
+
+
+def test_listing_opens_no_file_and_narrows_to_a_folder(spark, tmp, capsys):
+    root = f"{tmp}/raw"
+    for item in ("i1", "i2"):
+        write_page(root, "bank", item, 1, *R1, added=[tx("a")])
+    P.list_pages(spark, root).explain()
+    plan = capsys.readouterr().out
+    assert "ReadSchema: struct<path:string>" in plan and "content" not in plan
+    got = B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", now=NOW, institution="Bank", item_id="i2")
+    assert got == {"pages": 1, "rows": 1}
+    assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", now=NOW, institution="none") == {"pages": 0, "rows": 0}
+    assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", now=NOW, files_per_batch=1)["pages"] == 1
+
+
+def test_null_ingestion_time_sorts_first_and_later_columns_are_read(spark, tmp):
+    a = spark.createDataFrame([("i", "t", "added", "2026-01-01", "e1", "2026-01-02"),
+                               ("i", "t", "modified", "2026-01-01", "e2", None)],
+                              "item_id string, transaction_id string, event_type string, run_ts string, "
+                              "event_id string, ingested_at string")
+    a.withColumn("event_year", F.lit(2026)).write.partitionBy("event_year").parquet(f"{tmp}/b")
+    a.limit(1).withColumn("city", F.lit("Berlin")).withColumn("event_year", F.lit(2027)).write.mode(
+        "append").partitionBy("event_year").parquet(f"{tmp}/b")
+    b = B.read_bronze(spark, f"{tmp}/b")
+    assert b.where("city = 'Berlin'").count() == 1 and b.where("ingested_at is null").count() == 1
+    s = SV.silver_from_bronze(b.where("event_year = 2026"), built_at="B")
+    assert [(r.source_event_id, r.version) for r in s.orderBy("version").collect()] == [("e2", 1), ("e1", 2)]
+
+
 def test_event_date_is_the_run_time_own_day(spark, tmp):
     root = f"{tmp}/raw"
     write_page(root, "bank", "i1", 1, "20260131_233000", "2026-01-31T23:30:00-05:00",
@@ -210,7 +301,9 @@ def test_property_flatten_equals_rule(spark):
                          "", "c", False, enc["added"], enc["modified"], enc["removed"],
                          f"page_{n:04d}_run.json", f"p{n}"))
             expected += [(f"p{n}",) + t for t in _flatten_rule(page)]
-        df = spark.createDataFrame(rows, P.PAGE_LINE)
+        df = spark.createDataFrame(rows, T.StructType([
+            f if f.name != "removed" else T.StructField("removed", T.ArrayType(T.StringType()))
+            for f in P.PAGE_LINE.fields]))
         got = sorted((r.page_path, r.event_type, r.transaction_id, r.pos)
                      for r in B.explode_pages(df, NOW).collect())
         assert got == sorted(expected)

@@ -51,17 +51,12 @@ def test_cli_steps(spark, tmp):
     assert spark.read.option("header", True).csv(f"{tmp}/t").count() == 1
 
 
-def test_older_silver_versions_stay_readable(spark, tmp):
-    from lakeledger.operators import silver as SV
-    from lakeledger.sources import tables as T
+def test_checks_cover_bronze_and_raw_values(spark, tmp):
     root = f"{tmp}/raw"
-    write_page(root, "bank", "i1", 1, *R1, added=[tx("a")])
-    J.run_bronze(spark, root, f"{tmp}/b", f"{tmp}/l", now="N1")
-    first = J.run_silver(spark, f"{tmp}/b", f"{tmp}/s", built_at="B1")["version"]
-    write_page(root, "bank", "i1", 1, *R2, removed=["a"])
-    J.run_bronze(spark, root, f"{tmp}/b", f"{tmp}/l", now="N2")
-    J.run_silver(spark, f"{tmp}/b", f"{tmp}/s", built_at="B2")
-    assert T.versions(spark, f"{tmp}/s").count() == 2
-    assert SV.read_silver(spark, f"{tmp}/s").count() == 2
-    old = SV.read_silver(spark, f"{tmp}/s", version=first.rsplit("/", 1)[1])
-    assert [(r.change_type, r.is_active) for r in old.collect()] == [("added", True)]
+    write_page(root, "bank", "i1", 1, *R1, added=[tx("a", amount="much", pending="maybe"), tx("b")])
+    J.run_bronze(spark, root, f"{tmp}/b", f"{tmp}/l", now="N1", institution="bank", item_id="i1")
+    J.run_silver(spark, f"{tmp}/b", f"{tmp}/s", built_at="B1")
+    got = {r["check"]: r.violations for r in J.run_checks(
+        spark, f"{tmp}/s", False, f"{tmp}/b", root).collect()}
+    assert got["bad_amount"] == 1 and got["bad_pending"] == 1 and got["D2_one_current_per_key"] == 0
+    assert got["repeated_event_id"] == 0 and len(got) == 12

@@ -9,8 +9,8 @@ from lakeledger.operators.silver import OrderItem, Scd2Spec
 from tests.walk import walk
 
 SPEC = Scd2Spec(keys=("k",), event_time="ts", event_type="event_type",
-                order=(OrderItem("t", "-9223372036854775808"),
-                       OrderItem("seq", "-9223372036854775808")),
+                order=(OrderItem("t"),
+                       OrderItem("seq")),
                 split=1)
 SCHEMA = "k string, t bigint, seq bigint, event_type string, ts string"
 COLS = ["k", "t", "seq", "version", "valid_from_ts", "valid_to_ts", "is_current",
@@ -63,7 +63,7 @@ def test_lead_form_equals_when_all_types_known(spark):
 
 def test_split_without_rest_columns(spark):
     spec = Scd2Spec(keys=("k",), event_time="ts", event_type="event_type",
-                    order=(OrderItem("seq", "-9223372036854775808"),), split=1)
+                    order=(OrderItem("seq"),), split=1)
     rows = random_log(random.Random(11), 400)
     assert run(spark, rows, "split", spec) == expected(rows, by_seq_only=True)
 
@@ -98,8 +98,7 @@ def test_auto_form_routes_hot_keys(spark):
     rows = random_log(random.Random(21), 1200, keys=3)
     df = spark.createDataFrame(rows, SCHEMA)
     for hot_rows in (0, 100, 10 ** 9):
-        h = SV.build_scd2(df, SPEC, built_at="BUILT", form="auto", hot_rows=hot_rows,
-                          hot_keys_max=2)
+        h = SV.build_scd2(df, SPEC, built_at="BUILT", form="auto", hot_rows=hot_rows)
         got = sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr)
         assert got == expected(rows), hot_rows
 
@@ -163,12 +162,11 @@ def test_auto_unified_path_for_bounded_segments(spark):
     """Bounded segments: hot keys are cut by the spec's segments in the same
     shuffle as the cold keys."""
     spec = Scd2Spec(keys=("k",), event_time="ts", event_type="event_type",
-                    order=SPEC.order, split=1, bounded_split=True)
+                    order=SPEC.order, split=1)
     rows = random_log(random.Random(61), 1500, keys=4, times=6)
     df = spark.createDataFrame(rows, SCHEMA)
     for hot_rows in (0, 200, 350, 10 ** 9):
-        h = SV.build_scd2(df, spec, built_at="BUILT", form="auto", hot_rows=hot_rows,
-                          hot_keys_max=3)
+        h = SV.build_scd2(df, spec, built_at="BUILT", form="auto", hot_rows=hot_rows)
         got = sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr)
         assert got == expected(rows), hot_rows
 
@@ -189,3 +187,54 @@ def test_bucket_refresh_in_place_equals_rebuild(spark, tmp_path):
             "change_type", "source_event_id"]
     assert sorted(map(repr, got.select(*cols).collect())) == \
         sorted(map(repr, full.select(*cols).collect()))
+
+
+def test_bucket_number_is_the_tables_own(spark, tmp_path):
+    import pytest
+    from lakeledger.sources import tables as T
+    b = _bronze_like(spark, random_log(random.Random(3), 200, keys=6))
+    path = str(tmp_path / "s")
+    with pytest.raises(T.TableNotFound):
+        SV.read_silver_bucketed(spark, path)
+    silver = SV.silver_from_bronze(b, built_at="B")
+    SV.write_silver_bucketed(silver, path, buckets=4)
+    SV.refresh_buckets(spark, b, b, path, built_at="B")
+    assert SV.read_silver_bucketed(spark, path).count() == silver.count()
+    with pytest.raises(ValueError):
+        SV.refresh_buckets(spark, b, b, path, built_at="B", buckets=8)
+
+
+def test_null_keys_and_null_against_lowest_value(spark):
+    """Null and typed keys, and a null beside the lowest value in the leading
+    order column, in every form."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, 1]), rnd.choice([None, "0001-01-01", "2026-01-01"]), i,
+             rnd.choice(["added", "modified", "removed", "x"]), str(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "n int, d string, seq int, event_type string, ts string").select(
+        F.col("d").cast("date").alias("k1"), F.col("d").cast("date").cast("timestamp").alias("k2"),
+        F.col("d").cast("binary").alias("k3"),
+        F.when(F.col("n").isNull(), F.lit(None)).otherwise(F.lit(-2 ** 31)).cast("int").alias("o"),
+        "seq", "event_type", "ts")
+    spec = Scd2Spec(keys=("k1", "k2", "k3"), event_time="ts", event_type="event_type",
+                    order=(SV.OrderItem("o"), SV.OrderItem("seq")), split=1)
+    got = {}
+    for form, hot in (("fast", 0), ("definition", 0), ("split", 0), ("range", 0), ("auto", 0), ("auto", 90)):
+        h = SV.build_scd2(df, spec, built_at="B", form=form, hot_rows=hot)
+        got[form, hot] = sorted(map(repr, h.select("k1", "seq", "version", "valid_to_ts", "is_current").collect()))
+    assert len(got["fast", 0]) > 100 and all(v == got["fast", 0] for v in got.values())
+
+
+def test_level_two_rows_are_bounded_by_size(spark, monkeypatch):
+    """A hot key has about size / SEGMENT_ROWS segments, whatever its pages hold."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(SV, "SEGMENT_ROWS", 500)
+    seen = []
+    split = SV._split
+    monkeypatch.setattr(SV, "_split", lambda df, spec, ords, segments=None: (
+        seen.append(df.groupBy("k").agg(F.countDistinct(*segments)).collect()), split(df, spec, ords, segments))[1])
+    rows = [("hot", i, i, "added", str(i)) for i in range(4000)] + [("cold", 1, 1, "added", "1")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    h = SV.build_scd2(df, SPEC, built_at="B", form="auto", hot_rows=100)
+    assert h.where("k = 'hot'").agg(F.max("version")).first()[0] == 4000
+    assert [r[0] for r in seen[0]] == ["hot"] and seen[0][0][1] <= 8
