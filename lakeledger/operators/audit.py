@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
+from lakeledger.session import checkpoint_dir
 
 RUN = ["institution", "item_id", "run_id"]
 
@@ -102,10 +103,13 @@ def cursor_chain(pages: DataFrame) -> DataFrame:
     Level 1: inside a run, the previous page's ``cursor_out``.  Level 2: for
     a run's first page, the previous run's last ``cursor_out`` ('' for the
     item's first run)."""
-    p = _page_rows(pages)
+    # The pages' few columns are pinned once; both levels read that copy, not
+    # the page set again.
+    checkpoint_dir(pages.sparkSession)
+    p = _page_rows(pages).select(*RUN, "page", "cursor_in", "cursor_out", "page_path", "run_ts").checkpoint(eager=True)
     w = Window.partitionBy(*RUN).orderBy("page")
+    r = p.groupBy(*RUN).agg(F.max_by("cursor_out", "page").alias("cursor_end"), F.min("run_ts").alias("run_ts"))
     p = p.withColumn("prev_out", F.lag("cursor_out").over(w))
-    r = _run_rows(pages)
     w2 = Window.partitionBy("institution", "item_id").orderBy(
         S.parse_iso("run_ts").asc_nulls_first(), "run_id")
     r = r.select(*RUN, F.coalesce(F.lag("cursor_end").over(w2), F.lit(""))
