@@ -17,10 +17,15 @@ parts, which many sets share, only when nothing else is left.
 
 Keys are sorted within partitions and streamed, so a key of any number of sets
 takes constant memory.  Up to ``FEW`` probes of one key are paired with all
-they meet.  A key with more gives a star around its smallest id.  All pairs
-are verified on the whole sets.  Where a star's sets end up in one component
-nothing is left to do; else its sets are compared block by block, each block
-pair in a task of its own, and only spanning links leave the task.
+they meet.  A key with more gives a star around its smallest id.  A sketch of
+one bit for about each hash (the parity of the hashes in a cell) bounds the
+difference of two sets from below: pairs it rules out go, and the sets that
+stars connect are compared by it.  What may still be similar forms clusters.
+Their sets are read again, shuffled once by cluster, and all pairs in a
+cluster are verified on the whole sets.  A cluster of more than ``BLOCK`` sets
+is cut into blocks: first each block with itself and with the first one; only
+pairs of blocks that are not in one component after that are compared too.
+Spanning links, not pairs, leave a task.
 
 Defined results: null, empty and blank texts have no set and link with
 nothing; fewer words than a shingle are one shingle.  Rows that share an id
@@ -49,6 +54,8 @@ WORDS, NUM, DEN = 5, 80, 100
 BAND = 1.5
 #: Probes of one key that are paired one by one; sets in a block.
 FEW, BLOCK = 8, 256
+#: Ids up to which the documents to read again are sent to every task.
+SEND = 1_000_000
 #: Word hashes that a worker keeps before it starts anew.
 KEPT = 600_000
 
@@ -325,31 +332,85 @@ def candidates(docs: DataFrame) -> DataFrame:
     return meetings(entries)
 
 
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, z): the sets of the chosen documents, as bytes."""
+def sketch(z: np.ndarray) -> np.ndarray:
+    """Parity of the number of hashes in each of at least len(z) cells (a
+    power of two): sets that differ in d hashes have sketches that differ in
+    at most d bits.  Halves folded by exclusive or give the next shorter one."""
+    cells = 64
+    while cells < len(z):
+        cells *= 2
+    bits = np.bincount((z >> np.uint64(7)).astype(np.int64) & (cells - 1), minlength=cells) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+
+
+def may_link(left: np.ndarray, left_n: np.ndarray, right: np.ndarray, right_n: np.ndarray) -> np.ndarray:
+    """[left, right]: whether sketches of one length each, and the sizes,
+    leave a link possible.  The longer sketches are folded."""
+    while left.shape[1] > right.shape[1]:
+        half = left.shape[1] // 2
+        left = left[:, :half] ^ left[:, half:]
+    while right.shape[1] > left.shape[1]:
+        half = right.shape[1] // 2
+        right = right[:, :half] ^ right[:, half:]
+    differ = np.zeros((len(left), len(right)), np.int64)
+    for w in range(left.shape[1]):
+        differ += np.bitwise_count(left[:, w, None] ^ right[None, :, w])
+    total = left_n[:, None] + right_n[None, :]
+    return (differ <= (DEN - NUM) * total // (DEN + NUM)) & (
+        np.minimum(left_n[:, None], right_n[None, :]) * DEN >= np.maximum(left_n[:, None], right_n[None, :]) * NUM)
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, sketch) of each row."""
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part = b.slice(at, 200)
-                z = [shingles(t).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(z, pa.binary())], names=["id", "z"])
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                sets = [shingles(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(z) for z in sets], pa.int64()),
+                     pa.array([sketch(z).tobytes() if len(z) else None for z in sets], pa.binary())],
+                    names=["doc_id", "n_shingles", "sketch"])
 
-    chosen = docs.select("doc_id", "text").join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    return chosen.mapInArrow(run, "id long, z binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, sketch binary")
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+def likely(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches leave possible."""
     def run(batches):
         for b in batches:
-            keep = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                    for x, y in zip(b.column(2), b.column(3))]
+            na, nb = b.column(2).to_numpy(), b.column(3).to_numpy()
+            keep = [len(x) and bool(may_link(
+                np.frombuffer(x, np.uint64)[None, :], na[i:i + 1], np.frombuffer(y, np.uint64)[None, :], nb[i:i + 1])[0, 0])
+                for i, (x, y) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist()))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("z").alias("za")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b"))
-    return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
+    known = known.where("doc_id is not null and n_shingles > 0")
+    side = lambda c: known.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"),
+                                  F.col("sketch").alias(f"s{c}"))
+    near = F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM
+    return (pairs.join(side("a"), "a").join(side("b"), "b").where(near)
+            .select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long"))
+
+
+def _spanning(ids: list[int], links) -> list[tuple[int, int]]:
+    """Of links (i, j) between places in ``ids``, enough to connect the same."""
+    root, out = list(range(len(ids))), []
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        if a != b:
+            root[a] = b
+            if ids[i] != ids[j]:
+                out.append((ids[i], ids[j]))
+    return out
 
 
 def block_links(sets: list[np.ndarray], ids: list[int], left: int) -> list[tuple[int, int]]:
@@ -376,98 +437,136 @@ def block_links(sets: list[np.ndarray], ids: list[int], left: int) -> list[tuple
             m[owner[x:y], token[x:y] % wide] = 1
             count += m @ m.T
     linked = DEN * count.astype(np.int64) >= NUM * (size[:, None] + size[None, :] - count.astype(np.int64))
-    root = list(range(n))
+    pairs = zip(*(x.tolist() for x in np.nonzero(np.triu(linked, 1))))
+    return _spanning(ids, ((i, j) for i, j in pairs if left == n or (i < left) != (j < left)))
+
+
+def block_guesses(sizes: np.ndarray, raw: list[bytes], ids: list[int], left: int) -> list[tuple[int, int]]:
+    """Spanning pairs that sketches leave possible, like ``block_links``."""
+    width = np.array([len(x) for x in raw])
+    rows = {w: np.flatnonzero(width == w) for w in np.unique(width)}
+    sk = {w: np.stack([np.frombuffer(raw[i], np.uint64) for i in at]) for w, at in rows.items()}
+    found = []
+    for w, at in rows.items():
+        for v, other in rows.items():
+            if v <= w <= 4 * v:  # similar sizes have sketches of the same or the next length
+                for i, j in zip(*np.nonzero(may_link(sk[w], sizes[at], sk[v], sizes[other]))):
+                    x, y = sorted((int(at[i]), int(other[j])))
+                    if x != y and (left == len(raw) or (x < left) != (y < left)):
+                        found.append((x, y))
+    return _spanning(ids, found)
+
+
+def _cells(cluster: DataFrame) -> DataFrame:
+    """(cluster, node, mine, i, j) from (cluster, node): a set goes to each
+    pair of blocks with its own block.  ``first`` marks a block with itself
+    and pairs with the first block."""
+    size = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = cluster.join(size, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "cluster", "node", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+
+def _ordered(table):
+    """Places of the left block's rows, then the others'; how many are left."""
+    mine, i, j = (table.column(c).to_numpy() for c in ("mine", "i", "j"))
+    return np.argsort(mine != i, kind="stable"), int((mine == i).sum()) if i[0] != j[0] else len(mine)
+
+
+def guesses(stars: DataFrame, known: DataFrame) -> DataFrame:
+    """Spanning pairs, possible by their sketches, within each group of sets
+    that stars connect."""
+    group = components(stars).withColumnRenamed("component", "cluster")
+    sk = known.where("doc_id is not null and n_shingles > 0").select(
+        F.col("doc_id").alias("node"), "n_shingles", "sketch")
 
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    def run(table):
+        order, left = _ordered(table)
+        ids = table.column("node").to_numpy()[order].tolist()
+        raw = table.column("sketch").to_pylist()
+        links = block_guesses(table.column("n_shingles").to_numpy()[order], [raw[k] for k in order], ids, left)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()),
+                         "b": pa.array([b for _, b in links], pa.int64())})
 
-    out = []
-    for i, j in zip(*np.nonzero(np.triu(linked, 1))):
-        if left < n and (i < left) == (j < left):
-            continue
-        a, b = find(i), find(j)
-        if a != b:
-            root[a] = b
-            out.append((ids[i], ids[j]))
-    return out
+    return (_cells(group).join(sk, "node").select("cluster", "i", "j", "node", "mine", "n_shingles", "sketch")
+            .groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
 
 
-def star_links(stars: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
-    """Links among the sets of each connected group of stars that the
-    components ``known`` so far leave apart."""
-    group = components(stars).withColumnRenamed("component", "cluster")
-    member = group.join(known, "node", "left").select(
-        "node", "cluster", F.coalesce("component", "node").alias("component"))
-    size = (member.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
-                                          F.max("component").alias("high"))
-            .where("low != high").select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    placed = member.join(size, "cluster").select(
-        "cluster", "node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine"))
-    # A set goes to each pair of blocks with its own.
-    cells = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "cluster", "node", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        "mine")
-    # Pairs of blocks whose sets are all connected already need no work.
-    open_ = (cells.groupBy("cluster", "i", "j").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low != high").select("cluster", "i", "j"))
-    filled = cells.join(open_, ["cluster", "i", "j"]).join(sets.withColumnRenamed("id", "node"), "node")
+def exact_links(cells: DataFrame, docs: DataFrame) -> DataFrame:
+    """Spanning links among the sets of each cell, verified on whole sets."""
+    def read(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 200):
+                part = b.slice(at, 200)
+                z = [shingles(t).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(z, pa.binary())], names=["node", "z"])
 
     def run(table):
-        mine, i, j = (table.column(c).to_numpy() for c in ("mine", "i", "j"))
-        order = np.argsort(mine != i, kind="stable")
-        left = int((mine == i).sum()) if i[0] != j[0] else len(mine)
+        order, left = _ordered(table)
         ids = table.column("node").to_numpy()[order].tolist()
         z = table.column("z").to_pylist()
         links = block_links([np.frombuffer(z[k], np.uint64) for k in order], ids, left)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()),
                          "b": pa.array([b for _, b in links], pa.int64())})
 
-    return filled.select("cluster", "i", "j", "node", "mine", "z").groupBy("cluster", "i", "j").applyInArrow(
-        run, "a long, b long")
-
-
-def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles) of each row."""
-    def run(batches):
-        for b in batches:
-            n = [len(shingles(t)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["doc_id", "n_shingles"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long")
+    ids = cut(cells.select("node").distinct())
+    wanted = ids.withColumnRenamed("node", "doc_id")
+    if ids.count() <= SEND:
+        wanted = F.broadcast(wanted)
+    sets = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(read, "node long, z binary")
+    return (cells.join(sets, "node").select("cluster", "i", "j", "node", "mine", "z")
+            .groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
 
 
-def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(node, component) of the documents that link with another."""
-    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+def similar_components(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, component) of the documents that link with another; ``known``
+    are the sketches of ``docs`` (doc_id, text)."""
     found = cut(candidates(docs))
-    unsure = found.where("not sure").select("a", "b").distinct()
-    ids = unsure.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = cut(sets_of(docs, ids))
-    links = cut(verify(unsure, sets).unionByName(found.where("sure").select("a", "b")))
-    known = components(links)
-    stars = found.where("star").select("a", "b")
+    pairs = likely(found.where("not sure").select("a", "b").distinct(), known)
+    stars = found.where("star").select("a", "b").distinct()
     if not stars.isEmpty():
-        more = star_links(stars, sets, known)
-        known = components(links.unionByName(more))
-    return known
+        pairs = pairs.unionByName(guesses(stars, known))
+    sure = found.where("sure").select("a", "b")
+    # Rows that share an id make pairs of an id with itself nowhere: the
+    # versions of an id are read together.
+    cluster = cut(components(pairs).withColumnRenamed("component", "cluster"))
+    cells = _cells(cluster)
+    links = cut(exact_links(cells.where("i = j or i = 0"), docs).unionByName(sure))
+    done = components(links)
+    large = cells.where("not (i = j or i = 0)")
+    if not large.isEmpty():
+        state = large.join(done, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        # Only where a pair of blocks is not connected already.
+        open_ = (state.groupBy("cluster", "i", "j").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                 .where("low != high").select("cluster", "i", "j"))
+        rest = cut(large.join(open_, ["cluster", "i", "j"]))
+        if not rest.isEmpty():
+            done = components(links.unionByName(exact_links(rest, docs)))
+    return done
+
+
+def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles and component_id."""
-    own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    known = similar_components(own).withColumnRenamed("node", "doc_id")
-    return sizes(own).join(known, "doc_id", "left").select(
+    own = _own(docs, doc_id, text)
+    known = cut(sketches(own))
+    groups = similar_components(own, known).withColumnRenamed("node", "doc_id")
+    return known.select("doc_id", "n_shingles").join(groups, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component: that with the smallest
     id.  Rows without an id all stay."""
-    known = similar_components(docs, doc_id, text).where("node != component").select(F.col("node").alias("__node"))
-    return docs.join(known, docs[doc_id] == known["__node"], "left_anti")
+    own = _own(docs, doc_id, text)
+    groups = similar_components(own, cut(sketches(own)))
+    gone = cut(groups.where("node != component").select(F.col("node").alias("__node")))
+    if gone.count() <= SEND:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs[doc_id] == gone["__node"], "left_anti")
 
 
 #: The contract in DuckDB's SQL.
