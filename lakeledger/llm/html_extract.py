@@ -152,7 +152,7 @@ def dropped(node: Node, in_article: bool) -> bool:
         return True
     if node.name == "header" and not in_article:
         return True
-    if node.name in ("article", "main", "body", "html", "p") and not node.marks & {"comment", "comments", "ad", "ads"}:
+    if node.name in ("article", "main", "body", "html") and not node.marks & {"comment", "comments", "ad", "ads"}:
         return False
     return bool(node.marks & BAD) and not (node.marks & GOOD and not node.marks & {
         "comment", "comments", "sidebar", "footer", "related", "ad", "ads", "nav", "menu"})

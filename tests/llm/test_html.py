@@ -24,7 +24,7 @@ CASES = {
     "comments": (f"<article><p>{P1}</p><p>{P2}</p></article><div id='comments'><div class=comment><p>{P1}</p><p>{P1}</p>"
                  f"<p>{P1}</p></div></div>", f"{P1}\n{P2}"),
     "inside": (f"<article><p>{P1}</p><div class='ad'><p>{P2}</p></div><form><p>{P2}</p><input></form><script>var a='<p>"
-               f"{P2}</p>'</script><div class='cookie-notice'>{P2}</div><p>{P2}</p></article>", f"{P1}\n{P2}"),
+               f"{P2}</p>'</script><div class='cookie-notice'>{P2}</div><p class=notice>{P2}</p><p>{P2}</p></article>", f"{P1}\n{P2}"),
     "unclosed": (f"<div class=post><p>{P1}<p>{P2}<ul><li>one, two<li>three</ul></div>", f"{P1}\n{P2}\none, two\nthree"),
     "inline": (f"<article><p><b>{P1}<br>a&nbsp;b &amp; c &#233;&lt;x&gt;<p>  {P2}\n\n x </article>",
                f"{P1} a b & c é<x>\n{P2} x"),
