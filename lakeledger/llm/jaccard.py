@@ -56,8 +56,6 @@ BAND = 1.5
 FEW, BLOCK = 8, 256
 #: Ids up to which the documents to read again are sent to every task.
 SEND = 1_000_000
-#: Word hashes that a worker keeps before it starts anew.
-KEPT = 600_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                  0x85EBCA77C2B2AE63], np.uint64)
@@ -66,17 +64,7 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x2
 EXACT2, DELETED2, EXACT, INDEX, DELETED = range(5)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= KEPT:
-                self.clear()
-            self[word] = h
-        return h
-
-
-_HASHES = _Hashes()
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -85,17 +73,56 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as the
+    longest text so far has bytes."""
+
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, 2 ** 64)
+        self.up, self.down = self._first(4096)
+
+    def _first(self, n: int) -> list[np.ndarray]:
+        out = []
+        for base in self.bases:
+            p = np.ones(1, np.uint64)
+            while len(p) < n:
+                p = np.concatenate([p, p * np.uint64(pow(base, len(p), 2 ** 64))])
+            out.append(p)
+        return out
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            self.up, self.down = self._first(n)
+        return self.up, self.down
+
+
+_POWERS = _Powers(0xA24BAED4963EE407)
+
+
+def word_hashes(raw: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of a text's bytes: a polynomial in the
+    bytes, from differences of running sums, then mixed with the length."""
+    inside = ~_SPACE[raw]
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False]))))
+    start, end = edges[::2], edges[1::2]
+    up, down = _POWERS.get(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
+    return _mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _ODD[0])
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes."""
-    words = (text or "").encode("utf-8", "replace").lower().split()  # ASCII letters and white space
-    if not words:
+    raw = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)  # ASCII letters only
+    h = word_hashes(raw)
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     width = min(WORDS, len(h))
     out = np.full(len(h) - width + 1, width, np.uint64)
     for i in range(width):
         out += h[i:len(h) - width + 1 + i] * _ODD[i]
-    return np.unique(_mix(out))
+    out = np.sort(_mix(out))
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:

@@ -64,6 +64,16 @@ def test_components_equal_brute_force(spark, monkeypatch, seed, few, block):
         (d for d, _, c in brute(rows) if d == c), key=str)
 
 
+def test_word_hashes_tell_words_apart():
+    words = [b"a", b"b", b"ab", b"ba", b"aa", b"aaa", b"\x00", b"\x00\x00", "é".encode(), b"x" * 9000, b"x" * 9001]
+    raw = np.frombuffer(b" " + b"  ".join(words + words) + b"\t", np.uint8)
+    h = J.word_hashes(raw).tolist()
+    assert len(h) == 2 * len(words) and h[:len(words)] == h[len(words):] and len(set(h)) == len(words)
+    rng = np.random.default_rng(9)
+    many = {bytes(rng.integers(97, 123, rng.integers(1, 9)).astype(np.uint8)) for _ in range(100_000)}
+    assert len(set(J.word_hashes(np.frombuffer(b" ".join(many), np.uint8)).tolist())) == len(many)
+
+
 def test_no_pair_is_missed():
     """Pigeonhole: any two similar sets meet in a key, whatever their sizes."""
     rng = np.random.default_rng(4)
