@@ -39,9 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from lakeledger.llm.util import claim
+
 #: Arcs that a worker keeps before it starts anew (matches: twice, words:
 #: half as many).
-KEPT = 400_000
+KEPT = 200_000
 
 #: White space beside a space: such texts are split by the pattern alone.
 _BESIDE = re.compile(r" \s|\s ")
@@ -332,6 +334,7 @@ _WORKERS: dict[tuple[str, str], tuple[Encoder, Utf8Decoder]] = {}
 
 def _worker(name: str, pattern: str) -> tuple[Encoder, Utf8Decoder]:
     """One encoder and decoder for each Python worker."""
+    claim("bpe", _WORKERS.clear)
     if (name, pattern) not in _WORKERS:
         ranks = load_ranks(SparkFiles.get(name))
         enc = Encoder(ranks, pattern)

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.components import components
-from lakeledger.llm.util import cut
+from lakeledger.llm.util import claim, cut
 
 #: Words of a shingle; similarity as a ratio of whole numbers.
 WORDS, NUM, DEN = 5, 80, 100
@@ -327,6 +327,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     text.  Equal sets that one task reads are paired at once (sure) and only
     the first of them sends its keys."""
     def emit(batches):
+        claim("jaccard")
         first: dict[bytes, int] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -390,6 +391,7 @@ def may_link(left: np.ndarray, left_n: np.ndarray, right: np.ndarray, right_n: n
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, sketch) of each row."""
     def run(batches):
+        claim("jaccard")
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lakeledger.llm.bpe import load_ranks
+from lakeledger.llm.util import claim
 
 #: Labelled texts of a language that train, about.
 PER_LANGUAGE = 1500
@@ -220,6 +221,7 @@ _SCORERS: dict[str, Scorer] = {}
 
 def _scorer(model: Model) -> Scorer:
     """One scorer for each Python worker; it keeps its words over tasks."""
+    claim("langid", _SCORERS.clear)
     if model.name not in _SCORERS:
         _SCORERS.clear()
         _SCORERS[model.name] = Scorer(model)

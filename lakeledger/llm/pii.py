@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-from lakeledger.llm.util import cut
+from lakeledger.llm.util import claim, cut
 
 #: Kinds in the order of ties.
 KINDS = ("email", "ip", "card", "phone")
@@ -172,6 +172,7 @@ def occurrences(docs: DataFrame, text: str = "text") -> DataFrame:
                             ("instance", pa.string()), ("patterns", pa.list_(pa.string()))])
 
     def run(batches):
+        claim("pii")
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)

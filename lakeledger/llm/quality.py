@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from lakeledger.llm.util import claim
+
 #: Word buckets, factors of the interactions, bins of a statistic.
 WORDS, FACTORS, BINS = 1 << 14, 8, 16
 #: Labelled texts that train at most.
 SAMPLE = 4000
 #: Word hashes that a worker keeps before it starts anew.
-KEPT = 500_000
+KEPT = 250_000
 
 STATISTICS = ("length", "word length", "distinct words", "punctuation", "capitals", "digits", "repeated words",
               "longest repeat", "repeated lines", "bars", "sentence ends", "symbols")
@@ -155,6 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
               .orderBy(F.xxhash64(F.lit("quality"), F.col("doc_id")), "doc_id").limit(sample))
 
     def run(batches):
+        claim("quality", _HASHES.clear)
         for b in batches:
             got = [features(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -178,6 +181,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", out: str = "sco
                         *[F.col(f"`{c}`") for c in keep])
 
     def run(batches):
+        claim("quality", _HASHES.clear)
         m = said.value
         for b in batches:
             s = [m.score(*features(t.as_py())) for t in b.column(0)]

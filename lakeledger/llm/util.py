@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str, clear: Callable[[], None] | None = None) -> None:
+    """Called by an operator in a Python worker: the caches that others left
+    there (workers are used again) are emptied, and ``clear`` empties its own
+    when the next one comes."""
+    others = [k for k in _CACHES if k != name]
+    for other in others:
+        _CACHES.pop(other)()
+    if others:
+        gc.collect()
+    if clear is not None:
+        _CACHES[name] = clear
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
