@@ -14,6 +14,9 @@ from lakeledger.session import checkpoint_dir
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Lets Python workers import this package: the folder that holds it is
     put on their search path (on a cluster the package is installed or sent
@@ -23,6 +26,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     if _ROOT not in path.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, path] if path else [_ROOT])
     checkpoint_dir(spark)
+    # Texts are long: Spark's default of 10,000 rows a batch is tens of MB for
+    # each task, in the JVM and in Python.  A session's own setting stays.
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, "3000")
     return spark
 
 
