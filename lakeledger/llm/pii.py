@@ -6,8 +6,11 @@ or a token with an at sign that no base expression took), lies between words
 which give patterns: the two words before it, and the word on either side.
 Patterns and instances form a graph, which Spark scores in rounds:
 
-* a pattern's confidence for a kind is the sum of its instances' scores for
-  the kind over the number of its instances (plus one); it needs ``SUPPORT``;
+* a pattern's confidence for a kind is f / (f + conflicts + 1), where f is the
+  sum of its instances' scores for the kind and conflicts are its seeds of
+  other kinds and its candidates whose form rules the kind out; candidates that
+  may be of the kind count neither way, however many there are.  It needs
+  ``SUPPORT``;
 * a candidate's score is the chance that at least one of its confident
   patterns is right; above ``ACCEPT`` it becomes an instance of the kind, if
   its form allows that, and supports further patterns in the next round.
@@ -202,6 +205,17 @@ def _allowed(kind: Column, instance: Column) -> Column:
             .otherwise(F.lit(False)))
 
 
+def conflicts(edges: DataFrame) -> DataFrame:
+    """(pattern, kind, against): how many instances of a pattern speak against a
+    kind, as seeds of another one or by their form."""
+    seeded = edges.groupBy("pattern", "instance").agg(F.collect_set("seed").alias("seeds"))
+    against = lambda k: F.when(F.size("seeds") > 0, ~F.array_contains("seeds", k)).otherwise(
+        ~_allowed(F.lit(k), F.col("instance")))
+    counts = seeded.groupBy("pattern").agg(*[F.sum(against(k).cast("bigint")).alias(k) for k in KINDS])
+    return counts.select("pattern", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(k).alias("against")) for k in KINDS])).alias("c")).select("pattern", "c.*")
+
+
 def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """From rows of (digest, found): the accepted (instance, kind, score) and
     the confident (pattern, kind, confidence); None if nothing was found."""
@@ -210,14 +224,15 @@ def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     candidates = edges.where("seed is null").select("instance").distinct()
     members = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct() \
         .withColumn("score", F.lit(1.0))
-    number = edges.groupBy("pattern").agg(F.countDistinct("instance").alias("n"))
+    against = conflicts(edges)
     links = edges.select("pattern", "instance").distinct()
     accepted = confident = None
     for _ in range(ROUNDS):
         confident = cut(
             links.join(members, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("f"))
-            .where(F.col("f") >= SUPPORT).join(number, "pattern")
-            .withColumn("confidence", F.col("f") / (F.col("n") + 1)).where(F.col("confidence") >= CONFIDENT)
+            .where(F.col("f") >= SUPPORT).join(against, ["pattern", "kind"])
+            .withColumn("confidence", F.col("f") / (F.col("f") + F.col("against") + 1))
+            .where(F.col("confidence") >= CONFIDENT)
             .select("pattern", "kind", "confidence"))
         if confident.isEmpty():
             return None
@@ -233,7 +248,8 @@ def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
         if same:
             break
         members = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct() \
-            .withColumn("score", F.lit(1.0)).unionByName(new)
+            .withColumn("score", F.lit(1.0)).unionByName(new) \
+            .groupBy("instance", "kind").agg(F.max("score").alias("score"))
     return accepted, confident
 
 

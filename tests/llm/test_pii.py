@@ -78,6 +78,30 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
             assert r.spans == _join(base)
 
 
+def unseen():
+    """Text to the spans that patterns should add: as many unseen numbers as
+    seeds in one context; the same with one pattern in common; and a context
+    that short codes share."""
+    out = {}
+    for i in range(12):
+        w = chr(97 + i)
+        out[f"reach me by phone +1 (407) 555-77{i:02d} any time"] = 0
+        out[f"reach me by phone 407 555 12{i:02d} any time"] = 1
+        out[f"fax it over +1 (407) 556-77{i:02d} {w}"] = 0
+        out[f"fax it over 407 556 12{i:02d} {w}{w}"] = 1
+        out[f"order number +1 (407) 557-77{i:02d} sent"] = 0
+        out[f"order number 124{i:02d} sent"] = 0
+        out[f"order number 407 557 12{i:02d} sent"] = 0
+    return out
+
+
+def test_as_many_unseen_identifiers_as_seeds(spark):
+    want = unseen()
+    df = spark.createDataFrame([(t,) for t in want], "text string").selectExpr("text as id", "text")
+    got = {r.id: (len(r.spans.split(",")) if r.spans else 0) - r.n_phone for r in P.find(df).collect()}
+    assert got == want
+
+
 def test_redaction(spark):
     rows = corpus()
     df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars long")
