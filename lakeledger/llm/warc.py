@@ -99,26 +99,31 @@ def parse_header(raw: bytes) -> dict[str, str]:
 
 def records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header, block) of the records whose text, cut at blank lines, comes
-    piece by piece."""
+    piece by piece.  A block that ends in a line end is cut two bytes early;
+    what a piece holds beyond the Content-Length is the blank lines after the
+    block and the next header."""
+    end = _END.encode()
     header, parts, have, need = None, [], 0, 0
     for piece in pieces:
-        if header is None:
-            if not piece:
+        if header is not None:
+            parts.append(piece)
+            have += 4 + len(piece)
+            if have < need:
                 continue
-            if not piece.startswith(b"WARC/"):
-                raise ValueError("not the start of a record")
-            header, parts, have = parse_header(piece), [], -4
-            need = int(header["content-length"])
-            if need == 0:
-                yield header, b""
-                header = None
-            continue
-        parts.append(piece)
-        have += 4 + len(piece)
-        if have >= need:
-            if have > need:
+            whole = end.join(parts)
+            piece = whole[need:]
+            if piece and not piece.startswith(end):
                 raise ValueError("a record is longer than its Content-Length")
-            yield header, b"\r\n\r\n".join(parts)
+            yield header, whole[:need]
+            header, piece = None, piece[4:]
+        if not piece:
+            continue
+        if not piece.startswith(b"WARC/"):
+            raise ValueError("not the start of a record")
+        header, parts, have = parse_header(piece), [], -4
+        need = int(header["content-length"])
+        if need == 0:
+            yield header, b""
             header = None
     if header is not None:
         raise ValueError("the archive ends inside a record")

@@ -38,6 +38,26 @@ def test_equals_definition(spark, tmp):
     assert warc.archive(df.orderBy("html"), f"{tmp}/w2").where("record_type = 'revisit'").count() == 4
 
 
+ENDS = ["\r\n", "\r\n" * 3, "\r\n" * 5, "\r", "\n", "\r\n\r", "\n\r\n", "\r\n\n", "\r\r\n"]
+
+
+def test_payloads_that_end_in_line_ends(spark, tmp):
+    rows = [(i, "u", b + e) for i, (b, e) in enumerate((b, e) for b in ("", "a", "b" * 200) for e in ENDS)]
+    rows += [(100 + i, "u", b) for i, _, b in rows if i % 2]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    # One file, so that records follow each other in this order, and in the other.
+    for n, order in enumerate((df.page_id.asc(), df.page_id.desc())):
+        out = warc.archive(df.orderBy(order).coalesce(1), f"{tmp}/w{n}")
+        assert out.where("not resolved").count() == 0
+        got = out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+        assert sorted([tuple(r) for r in got], key=str) == want(rows)
+    # Each as the last record of its archive.
+    for i, e in enumerate(ENDS):
+        one = spark.createDataFrame([(i, "u", "c" + e)], "page_id long, url string, html string")
+        got = warc.archive(one, f"{tmp}/last{i}").collect()
+        assert [(r.payload_bytes, r.resolved) for r in got] == [(1 + len(e), True)], repr(e)
+
+
 def test_empty_table(spark, tmp):
     df = spark.createDataFrame(ROWS, "page_id long, url string, html string").limit(0)
     assert warc.archive(df, f"{tmp}/w").count() == 0
