@@ -4,7 +4,8 @@ The base expressions find emails, IP addresses, card and phone numbers.  These
 are the seeds.  Every occurrence of a seed, or of a candidate (a run of digits
 or a token with an at sign that no base expression took), lies between words
 which give patterns: the two words before it, and the word on either side.
-Patterns and instances form a graph, which Spark scores in rounds:
+Patterns and instances form a graph, which Spark scores in rounds until one
+accepts nothing new (accepted instances keep their score, so rounds end):
 
 * a pattern's confidence for a kind is f / (f + conflicts + 1), where f is the
   sum of its instances' scores for the kind and conflicts are its seeds of
@@ -41,9 +42,9 @@ from lakeledger.llm.util import claim, cut
 
 #: Kinds in the order of ties.
 KINDS = ("email", "ip", "card", "phone")
-#: Sum of scores a pattern needs, least confidence of a pattern, least score
-#: of an accepted candidate, and rounds.
-SUPPORT, CONFIDENT, ACCEPT, ROUNDS = 5.0, 0.75, 0.9, 3
+#: Sum of scores a pattern needs, least confidence of a pattern, and least
+#: score of an accepted candidate.
+SUPPORT, CONFIDENT, ACCEPT = 5.0, 0.75, 0.9
 #: Texts with found spans up to which these are sent to every task.
 SEND = 100_000
 
@@ -222,12 +223,12 @@ def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     occ = found.select(F.explode("found").alias("o")).select("o.*")
     edges = cut(occ.select(F.explode("patterns").alias("pattern"), "instance", F.col("kind").alias("seed")).distinct())
     candidates = edges.where("seed is null").select("instance").distinct()
-    members = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct() \
+    seeds = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct() \
         .withColumn("score", F.lit(1.0))
     against = conflicts(edges)
     links = edges.select("pattern", "instance").distinct()
-    accepted = confident = None
-    for _ in range(ROUNDS):
+    accepted, members = None, seeds
+    while True:
         confident = cut(
             links.join(members, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("f"))
             .where(F.col("f") >= SUPPORT).join(against, ["pattern", "kind"])
@@ -236,21 +237,18 @@ def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
             .select("pattern", "kind", "confidence"))
         if confident.isEmpty():
             return None
-        new = cut(
+        reached = (
             links.join(confident, "pattern").join(candidates, "instance", "left_semi")
             .where(_allowed(F.col("kind"), F.col("instance")))
             .groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence") + 1e-6)))).alias("score"))
             .where(F.col("score") >= ACCEPT))
-        same = accepted is not None and accepted.count() == new.count()
+        new = cut(reached if accepted is None else reached.join(accepted, ["instance", "kind"], "left_anti"))
         if new.isEmpty():
-            return None
+            return None if accepted is None else (accepted, confident)
+        if accepted is not None:
+            new = cut(accepted.unionByName(new).groupBy("instance", "kind").agg(F.max("score").alias("score")))
         accepted = new
-        if same:
-            break
-        members = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct() \
-            .withColumn("score", F.lit(1.0)).unionByName(new) \
-            .groupBy("instance", "kind").agg(F.max("score").alias("score"))
-    return accepted, confident
+        members = seeds.unionByName(accepted).groupBy("instance", "kind").agg(F.max("score").alias("score"))
 
 
 def discovered(found: DataFrame) -> DataFrame | None:

@@ -102,6 +102,21 @@ def test_as_many_unseen_identifiers_as_seeds(spark):
     assert got == want
 
 
+def chain(steps):
+    """Seeds in context a; numbers that are also in context b, whose other
+    numbers are also in context c, and so on."""
+    at = lambda k: f"{chr(97 + k) * 3} {chr(97 + k) * 2}"
+    rows = [f"{at(0)} +1 (407) 555-77{i:02d} {at(0)}" for i in range(12)]
+    for k in range(steps):
+        rows += [f"{at(c)} 407 5{k:02d} 12{i:02d} {at(c)}" for i in range(12) for c in (k, k + 1)]
+    return rows
+
+
+def test_rounds_until_nothing_is_new(spark):
+    df = spark.createDataFrame([(t,) for t in chain(6)], "text string").selectExpr("text as id", "text")
+    assert [r.id for r in P.find(df).collect() if not r.spans] == []
+
+
 def test_redaction(spark):
     rows = corpus()
     df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars long")
