@@ -12,8 +12,8 @@ piece.  The sample takes about ``PER_LANGUAGE`` texts of each language, by a
 hash of the id; the priors count all labelled texts.
 
 Only text and label train; the label, source and id of a row that is judged
-play no part.  Words are lower-cased runs of letters; runs of over ``RUN``
-letters are cut into pieces of that length.
+play no part.  Words are lower-cased runs of letters of any length; those of
+over ``RUN`` letters are summed one by one, rescaled at each letter.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0, and so is everything when nothing is labelled.  Ties go to the language
@@ -39,8 +39,9 @@ from lakeledger.llm.util import claim
 
 #: Labelled texts of a language that train, about.
 PER_LANGUAGE = 1500
-#: Longest piece, and longest run of letters that is cut as one word.
-PIECE, RUN = 9, 32
+#: Longest word that is summed together with others, without rescaling; letters
+#: of longer ones that are looked up at once.
+RUN, BLOCK = 32, 4096
 #: Rounds of expectation maximisation; added to each piece's expected count.
 ROUNDS, ADDED = 3, 0.05
 #: Probability of a letter that no piece covers.
@@ -48,7 +49,7 @@ FLOOR = 1e-8
 #: Words whose probabilities a worker keeps before it starts anew.
 KEPT = 600_000
 
-_LETTERS = re.compile(r"[^\W\d_]{1,%d}" % RUN)
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
@@ -63,7 +64,7 @@ def pieces_of(path: str) -> list[str]:
             s = raw.decode("utf-8")
         except UnicodeDecodeError:
             continue
-        if len(s) <= PIECE and s == s.lower() and re.fullmatch(r" ?[^\W\d_]+| ", s):
+        if s == s.lower() and re.fullmatch(r" ?[^\W\d_]+| ", s):
             out.add(s)
     return sorted(out)
 
@@ -80,6 +81,7 @@ class Lattice:
 
     def __init__(self, pieces: list[str]):
         self.number = {p: i + 1 for i, p in enumerate(pieces)}  # 0: not a piece
+        self.longest = max(map(len, pieces), default=1)
         self.keys = np.zeros(self.SLOTS, np.uint64)
         self.values = np.zeros(self.SLOTS, np.int32)
         self.probes = 1
@@ -114,15 +116,19 @@ class Lattice:
     def cuts(self, words: list[str]) -> np.ndarray:
         """[word, end, length - 1] -> number of the piece that ends there;
         -1 for a single letter that is no piece."""
-        lengths = np.array([len(w) + 1 for w in words])
+        return self._cuts([" " + w for w in words])
+
+    def _cuts(self, texts: list[str]) -> np.ndarray:
+        lengths = np.array([len(t) for t in texts])
         ends = int(lengths.max())
-        flat = np.frombuffer("".join(" " + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        letters = np.zeros((len(words), ends), np.uint64)
+        flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters = np.zeros((len(texts), ends), np.uint64)
         inside = np.arange(ends) < lengths[:, None]
         letters[inside] = flat + np.uint64(1)
-        out = np.zeros((len(words), ends + 1, PIECE), np.int32)
+        longest = min(self.longest, ends)
+        out = np.zeros((len(texts), ends + 1, longest), np.int32)
         h = np.zeros_like(letters)
-        for k in range(1, min(PIECE, ends) + 1):
+        for k in range(1, longest + 1):
             h = h[:, :ends - k + 1] * _MULTIPLIER + letters[:, k - 1:]
             valid = inside[:, k - 1:]
             found = self._find(h[valid])
@@ -135,36 +141,87 @@ class Lattice:
     def forward(cuts: np.ndarray, table: np.ndarray) -> np.ndarray:
         """[word, end, ...]: probability of the first letters of each word.
         ``table`` by piece number: row 0 is zero, the last row the floor."""
-        n, ends, _ = cuts.shape
+        n, ends, longest = cuts.shape
         alpha = np.zeros((n, ends, *table.shape[1:]))
         alpha[:, 0] = 1
         for j in range(1, ends):
-            for k in range(min(j, PIECE)):
+            for k in range(min(j, longest)):
                 alpha[:, j] += alpha[:, j - k - 1] * table[cuts[:, j, k]]
         return alpha
 
     @staticmethod
     def backward(cuts: np.ndarray, table: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        n, ends, _ = cuts.shape
+        n, ends, longest = cuts.shape
         beta = np.zeros((n, ends))
         beta[np.arange(n), lengths] = 1
         for j in range(ends - 1, 0, -1):
-            for k in range(min(j, PIECE)):
+            for k in range(min(j, longest)):
                 beta[:, j - k - 1] += beta[:, j] * table[cuts[:, j, k]]
         return beta
 
+    def _block(self, text: str, at: int) -> np.ndarray:
+        """[end - at - 1, length - 1]: the cuts of a long text that end behind
+        ``at``, up to ``BLOCK`` of them."""
+        first = max(0, at - self.longest + 1)
+        return self._cuts([text[first:at + BLOCK]])[0, at - first + 1:]
+
+    def long_forward(self, word: str, table: np.ndarray) -> np.ndarray:
+        """[end, ...]: logarithm of the probability of the first letters of a
+        word of any length; of the whole word only, if there are languages."""
+        text, one = " " + word, table.ndim == 1
+        logs = np.zeros(len(text) + 1) if one else np.zeros(table.shape[1])
+        last = np.zeros((self.longest, *table.shape[1:]))  # by the newest, which is 1
+        last[0] = 1
+        for at in range(0, len(text), BLOCK):
+            for j, row in enumerate(self._block(text, at), at + 1):
+                new = (last[:len(row)] * table[row]).sum(0)
+                last[1:] = last[:-1] / new
+                last[0] = 1
+                if one:
+                    logs[j] = logs[j - 1] + np.log(new)
+                else:
+                    logs += np.log(new)
+        return logs
+
+    def long_expected(self, word: str, count: float, table: np.ndarray, out: np.ndarray) -> None:
+        """Adds the expected counts of the pieces of a word of any length."""
+        text, alpha = " " + word, self.long_forward(word, table)
+        beta = np.zeros(len(text) + 1)
+        ahead = np.zeros(self.longest + 1)  # by that of the next end, which is 1
+        ahead[0] = 1
+        with np.errstate(divide="ignore"):
+            logs = np.log(table)
+        for at in reversed(range(0, len(text), BLOCK)):
+            cuts = self._block(text, at)
+            for j in range(at + len(cuts), at, -1):
+                row = cuts[j - at - 1]
+                ahead[1:len(row) + 1] += table[row]
+                beta[j - 1] = beta[j] + np.log(ahead[1])
+                ahead[:-1] = ahead[1:] / ahead[1]
+                ahead[-1] = 0
+            ends = np.arange(at + 1, at + len(cuts) + 1)
+            for k in range(cuts.shape[1]):
+                some = ends > k
+                pieces, end = cuts[some, k], ends[some]
+                np.add.at(out, pieces, count * np.exp(alpha[end - k - 1] + logs[pieces] + beta[end] - alpha[-1]))
+
 
 def expected(lattice: Lattice, words: list[str], counts: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Expected count of each piece over all cuts of the words."""
     out = np.zeros(len(table))
-    order = np.argsort([len(w) for w in words], kind="stable")
-    for part in np.array_split(order, max(1, len(words) // 2000)):
+    sizes = np.array([len(w) for w in words], np.int64)
+    for i in np.flatnonzero(sizes > RUN):
+        lattice.long_expected(words[i], counts[i], table, out)
+    order = np.argsort(sizes, kind="stable")[:int((sizes <= RUN).sum())]
+    for part in np.array_split(order, max(1, len(order) // 2000)):
+        if not len(part):
+            continue
         chosen = [words[i] for i in part]
         cuts, lengths = lattice.cuts(chosen), np.array([len(w) + 1 for w in chosen])
         alpha, beta = lattice.forward(cuts, table), lattice.backward(cuts, table, lengths)
         weight = counts[part] / alpha[np.arange(len(part)), lengths]
         for j in range(1, cuts.shape[1]):
-            for k in range(min(j, PIECE)):
+            for k in range(min(j, cuts.shape[2])):
                 at = cuts[:, j, k]
                 np.add.at(out, at, weight * alpha[:, j - k - 1] * table[at] * beta[:, j])
     return out
@@ -204,14 +261,19 @@ class Scorer:
         if len(self.rows) >= KEPT:
             self.rows.clear()
         new = {w for ws in split for w in ws if w not in self.rows}
+        # Long words are not kept.
+        long = {w: self.lattice.long_forward(w, self.model.table) for w in new if len(w) > RUN and self.model.langs}
+        new.difference_update(long)
         if new and self.model.langs:
             self.learn(sorted(new))
         for ws in split:
             if not ws or not self.model.langs:
                 yield "und", 0.0
                 continue
-            rows = np.fromiter(map(self.rows.__getitem__, ws), np.int64, len(ws))
+            rows = np.array([self.rows[w] for w in ws if w not in long], np.int64)
             z = self.model.priors + self.logs[rows].sum(0)
+            if len(rows) < len(ws):
+                z = z + sum(long[w] for w in ws if w in long)
             best = int(z.argmax())
             yield self.model.langs[best], float(1 / np.exp(z - z[best]).sum())
 

@@ -40,6 +40,37 @@ def test_forward_and_expected_counts_equal_the_sum_over_all_cuts():
     assert np.allclose(L.expected(lattice, words, counts, table), want)
 
 
+def test_long_words_equal_the_sum_over_all_cuts(monkeypatch):
+    pieces = [" ", " a", "a", "b", "ab", "ba", "abab", "bababababab", "abababababababababab"]
+    lattice = L.Lattice(pieces)
+    rng = np.random.default_rng(2)
+    table = np.concatenate([np.zeros((1, 2)), rng.random((len(pieces), 2)) / 9, np.full((1, 2), 1e-3)])
+    words = ["ab" * 18 + "x", "abab" * 10, "b" + "ab" * 17]
+    counts = np.array([2.0, 1, 3])
+    cut, lengths = lattice.cuts(words), np.array([len(w) + 1 for w in words])
+    alpha = lattice.forward(cut, table)
+    monkeypatch.setattr(L, "BLOCK", 7)
+    for i, w in enumerate(words):
+        assert L.words_of(w) == [w]
+        assert np.allclose(lattice.long_forward(w, table), np.log(alpha[i, len(w) + 1]))
+        assert np.allclose(np.exp(lattice.long_forward(w, table[:, 0])), alpha[i, :len(w) + 2, 0])
+    got = L.expected(lattice, words, counts, table[:, 0])
+    monkeypatch.setattr(L, "RUN", 1000)
+    assert np.allclose(got, L.expected(lattice, words, counts, table[:, 0]))
+    # The scorer takes the same way, also beside short words.
+    model = L.Model(["p", "q"], np.log([0.5, 0.5]), pieces, table)
+    texts = [words[0], f"ab {words[1]} ab"]
+    whole = list(L.Scorer(model).judge(texts))
+    monkeypatch.setattr(L, "RUN", 32)
+    assert [(a, round(b, 9)) for a, b in L.Scorer(model).judge(texts)] == [(a, round(b, 9)) for a, b in whole]
+    # Far too long for a plain product.
+    assert np.isfinite(lattice.long_forward("x" * 5000, table)).all()
+
+
+def test_long_pieces_are_used():
+    assert {" different", " important", " community"} <= set(L.pieces_of(PIECES))
+
+
 def test_held_out_accuracy(spark):
     got = op7_langid(spark, SF).collect()
     truth = {r.doc_id: (r.lang, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
