@@ -238,9 +238,10 @@ def _range(df, spec, ords, n_segments: int):
     return _split(ranged, spec, ords, segments=["__rseg"])
 
 
-def _auto(df, spec, ords, hot_rows: int):
-    """All keys with more than ``hot_rows`` events to the range form, the
-    rest to the one-window form.  Their list stays distributed."""
+def _auto(df, spec, ords, hot_rows: int, segment_rows: int):
+    """All keys with more than ``hot_rows`` events to the range form, in
+    segments of about ``segment_rows``, the rest to the one-window form.
+    Their list stays distributed."""
     from lakeledger.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     keys = list(spec.keys)
@@ -255,17 +256,19 @@ def _auto(df, spec, ords, hot_rows: int):
     cond = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
     cols = df.columns + ["__version", "__n_after", "__next_known", "__last_any"]
     cold = _fast(df.join(hot, cond, "left_anti"), spec, ords).select(*cols)
-    warm = _range(df.join(hot, cond, "left_semi"), spec, ords, -(-total // SEGMENT_ROWS)).select(*cols)
+    warm = _range(df.join(hot, cond, "left_semi"), spec, ords, -(-total // segment_rows)).select(*cols)
     return cold.unionByName(warm)
 
 
 def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None = None,
-               form: str = "auto", hot_rows: int = HOT_ROWS) -> DataFrame:
+               form: str = "auto", hot_rows: int = HOT_ROWS,
+               segment_rows: int | None = None) -> DataFrame:
     """Versions of every key of ``df``.
 
     Returns the input columns plus valid_from_ts, valid_to_ts, is_current,
     is_deleted, is_active, change_type, version.  ``built_at`` is the event
-    time of events without one (default: now, taken once on the driver).
+    time of events without one (default: now, taken once on the driver);
+    ``segment_rows`` is the size of a hot key's segments (``SEGMENT_ROWS``).
     """
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}")
@@ -274,7 +277,7 @@ def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None
     if form == "split" and spec.split <= 0:
         form = "range"
     if form == "auto":
-        body = _auto(prepared, spec, ords, hot_rows)
+        body = _auto(prepared, spec, ords, hot_rows, segment_rows or SEGMENT_ROWS)
     elif form == "range":
         n = prepared.sparkSession.conf.get("spark.sql.shuffle.partitions")
         body = _range(prepared, spec, ords, int(n))
@@ -294,7 +297,8 @@ def _astype_str(c: str) -> Column:
 
 
 def silver_from_bronze(bronze: DataFrame, built_at: str | None = None,
-                       form: str = "auto", hot_rows: int = HOT_ROWS) -> DataFrame:
+                       form: str = "auto", hot_rows: int = HOT_ROWS,
+                       segment_rows: int | None = None) -> DataFrame:
     """Silver table (schema ``SILVER``) from the Bronze event log."""
     built_at = built_at or now_iso()
     schemas.require_columns(bronze, {"item_id", "transaction_id", "event_type",
@@ -310,7 +314,7 @@ def silver_from_bronze(bronze: DataFrame, built_at: str | None = None,
          .withColumn("transaction_id", _astype_str("transaction_id"))
          .withColumn("event_id", _astype_str("event_id"))
          .withColumn("event_type", _astype_str("event_type")))
-    h = build_scd2(b, BRONZE_SPEC, built_at, form, hot_rows)
+    h = build_scd2(b, BRONZE_SPEC, built_at, form, hot_rows, segment_rows)
     tomb = F.col("is_deleted")
     payload = [F.when(~tomb, S.safe_str(c)).alias(c) for c in _STR_PAYLOAD]
     amount = F.when(~tomb, F.nanvl(F.col("amount"), F.lit(None).cast("double")))

@@ -142,7 +142,7 @@ def q_scd2_orders_hot(spark, sf):
     o = C.orders_changelog(spark, sf).withColumn(
         "o_custkey", F.when(F.col("o_custkey") % 3 == 0, F.lit(0).cast("bigint"))
         .otherwise(F.col("o_custkey")))
-    h = silver.build_scd2(o, C.ORDERS_SPEC, C.BUILT_AT, hot_rows=1000)
+    h = silver.build_scd2(o, C.ORDERS_SPEC, C.BUILT_AT, hot_rows=1000, segment_rows=1000)
     return h.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority",
                     *[c.strip() for c in _HIST.split(",")])
 
@@ -208,9 +208,10 @@ cl_hot AS (
   FROM cl)""" + O.silver_ctes("cl_hot") + f"\nSELECT {O.SILVER_COLS} FROM silver")
 def q_scd2_hot_key(spark, sf):
     """SCD2 when one key holds a third of all events: keys above 1,000
-    events are routed to the two-level form, the rest to the fast form."""
+    events are routed to the two-level form in segments of about 1,000, the
+    rest to the fast form."""
     return silver.silver_from_bronze(hot_key_changelog(spark, sf), built_at=C.BUILT_AT,
-                                     hot_rows=1000)
+                                     hot_rows=1000, segment_rows=1000)
 
 
 # ------------------------------------------------------------ views
@@ -835,7 +836,7 @@ def q_scd2_null_keys(spark, sf):
         F.element_at(F.array(*map(F.lit, ("added", "modified", "removed", "other"))), (k % 4 + 1).cast("int"))
         .alias("event_type"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("run_ts"))
-    h = silver.build_scd2(o, _NULL_KEYS_SPEC, C.BUILT_AT, hot_rows=500)
+    h = silver.build_scd2(o, _NULL_KEYS_SPEC, C.BUILT_AT, hot_rows=500, segment_rows=500)
     return h.select("k_day", "k_flag", "o_orderkey", "version", "valid_from_ts", "valid_to_ts", "is_current",
                     "is_deleted", "is_active", "change_type")
 

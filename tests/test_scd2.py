@@ -238,3 +238,18 @@ def test_level_two_rows_are_bounded_by_size(spark, monkeypatch):
     h = SV.build_scd2(df, SPEC, built_at="B", form="auto", hot_rows=100)
     assert h.where("k = 'hot'").agg(F.max("version")).first()[0] == 4000
     assert [r[0] for r in seen[0]] == ["hot"] and seen[0][0][1] <= 8
+
+
+def test_hot_key_queries_cut_the_hot_key(spark, monkeypatch):
+    """Without a patched SEGMENT_ROWS, the queries' hot key has several segments."""
+    from pyspark.sql import functions as F
+    from lakeledger.plans import queries as Q
+    split = SV._split
+    for query, keys in ((Q.q_scd2_hot_key, ["item_id", "transaction_id"]), (Q.q_scd2_orders_hot, ["o_custkey"]),
+                        (Q.q_scd2_null_keys, ["k_day", "k_flag"])):
+        seen = []
+        monkeypatch.setattr(SV, "_split", lambda df, spec, ords, segments=None: (
+            seen.append(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(*segments).alias("s"))
+                        .orderBy(F.desc("n")).first()), split(df, spec, ords, segments))[1])
+        query(spark, "/root/testdata/sf0.01")
+        assert seen and seen[0].s >= 3, (query, seen)
