@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontam, html_extract, jaccard, langid, pii, quality, urlfilter, vectors, warc
+from lakeledger.llm import bpe, decontam, html_extract, jaccard, langid, pii, quality, spelling, urlfilter, vectors, warc
 from lakeledger.llm.util import shared_path, table
 
 PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,6 +73,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -84,10 +88,12 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_quality": op10_quality,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLE: dict[str, str] = {
     "op5_warc": warc.ORACLE,
     "op6_jaccard": jaccard.ORACLE,
     "op8_decontamination": decontam.ORACLE,
+    "op12_spelling": spelling.ORACLE,
 }
