@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontam, html_extract, jaccard, langid, pii, quality, spelling, urlfilter, vectors, warc
+from lakeledger.llm import (bpe, decontam, html_extract, jaccard, langid, lexical, lines, pii, quality, spelling,
+                            urlfilter, vectors, warc)
 from lakeledger.llm.util import shared_path, table
 
 PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,10 +74,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -88,12 +98,16 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_quality": op10_quality,
+    "op11_lexical": op11_lexical,
     "op12_spelling": op12_spelling,
+    "op13_lines": op13_lines,
 }
 
 ORACLE: dict[str, str] = {
     "op5_warc": warc.ORACLE,
     "op6_jaccard": jaccard.ORACLE,
     "op8_decontamination": decontam.ORACLE,
+    "op11_lexical": lexical.ORACLE,
     "op12_spelling": spelling.ORACLE,
+    "op13_lines": lines.ORACLE,
 }
