@@ -23,9 +23,10 @@ difference of two sets from below: pairs it rules out go, and the sets that
 stars connect are compared by it.  What may still be similar forms clusters.
 Their sets are read again, shuffled once by cluster, and all pairs in a
 cluster are verified on the whole sets.  A cluster of more than ``BLOCK`` sets
-is cut into blocks: first each block with itself and with the first one; only
-pairs of blocks that are not in one component after that are compared too.
-Spanning links, not pairs, leave a task.
+is cut into blocks, for sketches and for sets alike: first each block with
+itself and with the first one, three rows a set; only pairs of blocks that are
+not in one component after that are compared too.  Spanning links, not pairs,
+leave a task.
 
 Defined results: null, empty and blank texts have no set and link with
 nothing; fewer words than a shingle are one shingle.  Rows that share an id
@@ -486,14 +487,50 @@ def block_guesses(sizes: np.ndarray, raw: list[bytes], ids: list[int], left: int
     return _spanning(ids, found)
 
 
-def _cells(cluster: DataFrame) -> DataFrame:
-    """(cluster, node, mine, i, j) from (cluster, node): a set goes to each
-    pair of blocks with its own block.  ``first`` marks a block with itself
-    and pairs with the first block."""
+def _placed(cluster: DataFrame) -> DataFrame:
+    """(cluster, node, blocks, mine): each set's block of its cluster."""
     size = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = cluster.join(size, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    return placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "cluster", "node", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    return cluster.join(size, "cluster").select("cluster", "node", "blocks", F.pmod(
+        F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine"))
+
+
+def _first_cells(placed: DataFrame) -> DataFrame:
+    """(cluster, node, mine, i, j): each block with itself and with the first
+    one, three rows a set at most on the whole."""
+    own = placed.select("cluster", "node", "mine", F.col("mine").alias("i"), F.col("mine").alias("j"))
+    to_first = placed.where("mine > 0").select("cluster", "node", "mine", F.lit(0).alias("i"), F.col("mine").alias("j"))
+    of_first = placed.where("mine = 0 and blocks > 1").select("cluster", "node", "mine", F.lit(0).alias("i"), F.explode(
+        F.sequence(F.lit(1), F.col("blocks") - 1)).alias("j"))
+    return own.unionByName(to_first).unionByName(of_first)
+
+
+def _open_cells(placed: DataFrame, done: DataFrame) -> DataFrame:
+    """The other pairs of blocks, but only those whose sets are not all in one
+    component of ``done`` (node, component) already."""
+    state = placed.join(done, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    block = state.groupBy("cluster", "mine").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = block.groupBy("cluster").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("n"))
+    block = cut(block.join(apart.where("l != h and n > 2").select("cluster"), "cluster", "left_semi"))
+    one = block.select("cluster", F.col("mine").alias("i"), F.col("low").alias("l1"), F.col("high").alias("h1"))
+    two = block.select("cluster", F.col("mine").alias("j"), F.col("low").alias("l2"), F.col("high").alias("h2"))
+    pairs = one.join(two, "cluster").where(
+        "i > 0 and i < j and not (l1 = h1 and l1 = l2 and l2 = h2)").select("cluster", "i", "j")
+    sets = placed.select("cluster", "node", "mine")
+    cols = ["cluster", "node", "mine", "i", "j"]
+    return cut(sets.join(pairs.withColumn("mine", F.col("i")), ["cluster", "mine"]).select(cols).unionByName(
+        sets.join(pairs.withColumn("mine", F.col("j")), ["cluster", "mine"]).select(cols)))
+
+
+def _connected(cluster: DataFrame, compare, sure: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) that ``compare`` finds in cells of blocks, enough to
+    connect the sets of a cluster as all pairs would."""
+    placed = cut(_placed(cluster))
+    links = compare(_first_cells(placed))
+    links = cut(links if sure is None else links.unionByName(sure))
+    if placed.where("blocks > 2").isEmpty():
+        return links
+    rest = _open_cells(placed, components(links))
+    return links if rest.isEmpty() else links.unionByName(cut(compare(rest)))
 
 
 def _ordered(table):
@@ -517,8 +554,11 @@ def guesses(stars: DataFrame, known: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()),
                          "b": pa.array([b for _, b in links], pa.int64())})
 
-    return (_cells(group).join(sk, "node").select("cluster", "i", "j", "node", "mine", "n_shingles", "sketch")
-            .groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
+    def compare(cells: DataFrame) -> DataFrame:
+        return (cells.join(sk, "node").select("cluster", "i", "j", "node", "mine", "n_shingles", "sketch")
+                .groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
+
+    return _connected(group, compare)
 
 
 def exact_links(cells: DataFrame, docs: DataFrame) -> DataFrame:
@@ -559,19 +599,7 @@ def similar_components(docs: DataFrame, known: DataFrame) -> DataFrame:
     # Rows that share an id make pairs of an id with itself nowhere: the
     # versions of an id are read together.
     cluster = cut(components(pairs).withColumnRenamed("component", "cluster"))
-    cells = _cells(cluster)
-    links = cut(exact_links(cells.where("i = j or i = 0"), docs).unionByName(sure))
-    done = components(links)
-    large = cells.where("not (i = j or i = 0)")
-    if not large.isEmpty():
-        state = large.join(done, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # Only where a pair of blocks is not connected already.
-        open_ = (state.groupBy("cluster", "i", "j").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                 .where("low != high").select("cluster", "i", "j"))
-        rest = cut(large.join(open_, ["cluster", "i", "j"]))
-        if not rest.isEmpty():
-            done = components(links.unionByName(exact_links(rest, docs)))
-    return done
+    return components(_connected(cluster, lambda cells: exact_links(cells, docs), sure))
 
 
 def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
