@@ -34,6 +34,18 @@ CASES = {
                f"{P1}\n{P2}"),
     "bare text": (f"<div>{P1}<p>{P2}</p>tail of it</div>", f"{P1}\n{P2}\ntail of it"),
     "sibling": (f"<div><p>{P1}</p><p>{P2}</p><p>Short end.</p></div>", f"{P1}\n{P2}\nShort end."),
+    "headline beside the text": (f"<div><h1>Title</h1><div><p>{P1}</p><p>{P2}</p></div></div>", f"Title\n{P1}\n{P2}"),
+    "headline further up": (f"<div id=wrap><div class=top><h1>Title</h1></div><div class=row><div class=col><p>{P1}</p><p>{P2}"
+                            f"</p></div></div></div><div class=footer>{P1}</div>", f"Title\n{P1}\n{P2}"),
+    "short section": (f"<div><div><p>{P1}</p><p>{P2}</p></div><div><h2>More</h2><p>It ends here.</p></div></div>",
+                      f"{P1}\n{P2}\nMore\nIt ends here."),
+    "list and table": (f"<div><div><p>{P1}</p><p>{P2}</p></div><ul><li>one<li>two</ul><table><tr><td>a<td>b</table>"
+                       "<ul><li><a href=1>Home</a><li><a href=2>News</a></ul></div>", f"{P1}\n{P2}\none\ntwo\na\nb"),
+    "names of an article's parts": (f"<article><p class=remark>{P1}</p><div class='search-result'><p>{P2}</p></div></article>",
+                                    f"{P1}\n{P2}"),
+    "names in parts": (f"<article><p>{P1}</p><div class='side-bar'>{P2}</div><div id=cookiebar>{P2}</div><div class=adsbox>{P2}"
+                       f"</div><div class='userComments'><p>{P2}</p></div><p>{P2}</p></article><div class=responses><p>{P1}</p>"
+                       f"<p>{P2}</p></div>", f"{P1}\n{P2}"),
     "quotes": (f"<article><p title=\"a > b\">{P1}</p><!-- <p>{P2}</p> --><p>{P2}</p></article>", f"{P1}\n{P2}"),
 }
 
@@ -60,6 +72,17 @@ def test_broken_and_very_long_pages():
     assert H.main_text("<" * 200_000)[:1] == "<"
 
 
+@pytest.mark.parametrize("bit", ["<a ", "<p title='", "<p title=\"", "<div>", "</div>", "<li>", "<b>", "<", "<!", "<script ",
+                                 "<a '\">", "<td>", "<p", "</section>", "<table><tr><td>", "<ul><li>", "&lt;", "<a b='c' "])
+def test_broken_markup_is_read_in_linear_time(bit):
+    import time
+    text = (bit * (1 + 400_000 // len(bit)))[:400_000]
+    for page_ in (text, f"<div><p>{P1}</p>" + text + "</p>"):
+        began = time.process_time()
+        H.main_text(page_)
+        assert time.process_time() - began < 6  # about one second on an idle machine
+
+
 def test_given_pages_have_their_whole_article(spark):
     """The pages hold one article each: its blocks, cut by hand."""
     def by_hand(page):
