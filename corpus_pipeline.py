@@ -9,7 +9,10 @@ each on what its predecessor wrote.
 5. ``tokens``: texts are encoded; the ids and their number are added, and the
    text is what the ids decode to.
 
-Null texts are scored as empty, link with nothing, hold no window and no
+Columns ``n_tokens`` and ``ids`` of the input are replaced by the last stage;
+others are kept, whatever their names.  Repeated rows are scored and judged
+alike; of rows with one id, which are versions of one document, all stay or go.
+Texts of any length are read whole.  Null texts are scored as empty, link with nothing, hold no window and no
 personal data, and have no ids (they come out of the last stage as empty).
 """
 
@@ -21,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeledger.llm import bpe, decontam, jaccard, pii, quality
 from lakeledger.llm.util import prepare, shared_path, table
 
+#: Entries of an encoder's tables: workers have other operators' memory beside.
+KEPT = 50_000
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
@@ -42,7 +47,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(docs, RANKS, PATTERN)
+    return bpe.round_trip(docs, RANKS, PATTERN, kept=KEPT)
 
 
 STAGES = [("quality", good), ("near_duplicates", near_duplicates), ("decontamination", decontamination),

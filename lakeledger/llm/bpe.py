@@ -329,17 +329,18 @@ class Utf8Decoder:
         return text.encode("utf-8")
 
 
-_WORKERS: dict[tuple[str, str], tuple[Encoder, Utf8Decoder]] = {}
+_WORKERS: dict[tuple[str, str, int], tuple[Encoder, Utf8Decoder]] = {}
 
 
-def _worker(name: str, pattern: str) -> tuple[Encoder, Utf8Decoder]:
+def _worker(name: str, pattern: str, kept: int = KEPT) -> tuple[Encoder, Utf8Decoder]:
     """One encoder and decoder for each Python worker."""
     claim("bpe", _WORKERS.clear)
-    if (name, pattern) not in _WORKERS:
+    if (name, pattern, kept) not in _WORKERS:
+        _WORKERS.clear()
         ranks = load_ranks(SparkFiles.get(name))
-        enc = Encoder(ranks, pattern)
-        _WORKERS[name, pattern] = enc, Utf8Decoder(enc.transducer.bytes_of)
-    return _WORKERS[name, pattern]
+        enc = Encoder(ranks, pattern, kept)
+        _WORKERS[name, pattern, kept] = enc, Utf8Decoder(enc.transducer.bytes_of)
+    return _WORKERS[name, pattern, kept]
 
 
 def send_ranks(spark, path: str) -> str:
@@ -400,14 +401,16 @@ def digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
                                  ("decoded_sha256", pa.string(), "string")], make, drop_text=True)
 
 
-def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids",
+               kept: int = KEPT) -> DataFrame:
     """``df`` with the ids of its text and their number in ``n_tokens``; the
-    text is what the ids decode to (the same, null as empty)."""
+    text is what the ids decode to (the same, null as empty).  ``kept`` bounds
+    the tables of a worker, which differ in speed alone."""
     name = send_ranks(df.sparkSession, ranks_path)
     order = [c for c in df.columns if c not in ("n_tokens", ids)]
 
     def make(texts):
-        enc, dec = _worker(name, pattern)
+        enc, dec = _worker(name, pattern, kept)
         coded = [np.frombuffer(enc.encode_bytes(t), np.uint32).astype(np.int32) for t in texts]
         back = [dec.decode_bytes(i.tolist()).decode("utf-8", "replace") for i in coded]
         return [[len(i) for i in coded], back, coded]

@@ -13,7 +13,8 @@ does the whole selection.
 Defined results: null and empty texts have no words, hit nothing and are
 clean; null item ids take part under the name ``null``; equal items each
 count.  Rows are told apart by a row number, so repeated rows and null ids
-keep one result each.  Empty tables give empty results, or no hits.
+keep one result each.  Texts of any length are read whole.  Columns are kept, whatever
+their names.  Empty tables give empty results, or no hits.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeledger.llm.util import unused
+
 #: Words of a window.
 WIDTH = 10
 #: Hashes of item windows up to which the set is part of the plan.
@@ -148,8 +151,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     if len(known) > SET_LIMIT:
         key = F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), 256)
         found = hits(docs.select(key.alias("__key"), F.col(f"`{text}`").alias("text")), windows)
-        found = found.where(F.col("item").isNotNull()).select("__key").distinct()
-        return docs.withColumn("__key", key).join(found, "__key", "left_anti").drop("__key")
+        own = unused("__key", docs.columns)
+        found = found.where(F.col("item").isNotNull()).select(F.col("__key").alias(own)).distinct()
+        return docs.withColumn(own, key).join(found, own, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
     def hit(ws: Column) -> Column:
         def of(hs: Column, n: int) -> Column:

@@ -13,7 +13,8 @@ task.  Whole texts are read, in training and in scoring.
 Defined results: null and empty texts have no words and are scored by their
 statistics.  Rows without a label, or whose label is not 0 or 1, do not
 train; with no labels at all every score is 0.5.  Rows are scored one by one;
-repeated rows get repeated results and an empty table an empty one.
+repeated rows get repeated results and an empty table an empty one; of rows that
+share a labelled id one text trains.  Other columns are kept, but for the score's.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lakeledger.llm.util import claim
+from lakeledger.llm.util import claim, unused
 
 #: Word buckets, factors of the interactions, bins of a statistic.
 WORDS, FACTORS, BINS = 1 << 14, 8, 16
@@ -166,6 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     picked = (texts.join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids
+              .groupBy("doc_id", "__y").agg(F.min("text").alias("text"))  # one text of rows that share an id
               .select(F.col("__y").cast("int").alias("y"), "text")
               .mapInArrow(run, "y int, idx array<int>, val array<double>"))
     rows = [(np.array(r.idx), np.array(r.val), r.y) for r in picked.collect()]
@@ -192,4 +194,5 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", out: str = "sco
 
 def keep_good(docs: DataFrame, machine: Machine, text: str = "text", least: float = 0.5) -> DataFrame:
     """``docs`` without the rows scored under ``least``."""
-    return score(docs, machine, text, "__score").where(F.col("__score") >= least).drop("__score")
+    own = unused("__score", docs.columns)
+    return score(docs, machine, text, own).where(F.col(own) >= least).drop(own)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeledger.session import checkpoint_dir
@@ -45,10 +47,30 @@ def claim(name: str, clear: Callable[[], None] | None = None) -> None:
         _CACHES.pop(other)()
     if others:
         gc.collect()
+        _give_back()
     if clear is not None:
         _CACHES[name] = clear
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do that;
+    an executor's next operator needs it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, with underscores until no column has it (names that differ in
+    case alone are the same to Spark)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -64,3 +64,12 @@ def test_spans_are_the_union_of_windows(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     r = decontam.scan(docs, items).first()
     assert [tuple(s) for s in r.spans] == [(1, 17), (18, 20)]
+
+
+def test_clashing_names_are_kept(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "tiny item", "a", "b"), (2, "clean", "c", "d")],
+                                 "doc_id long, text string, __key string, __KEY_ string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for limit in (decontam.SET_LIMIT, 3):
+        monkeypatch.setattr(decontam, "SET_LIMIT", limit)
+        assert [tuple(r) for r in decontam.remove_documents(docs, items).collect()] == [(2, "clean", "c", "d")]

@@ -10,3 +10,8 @@ def test_claim_empties_the_caches_of_others():
     assert mine
     util.claim("third")
     assert not mine
+
+
+def test_unused_names():
+    assert util.unused("__a", ["b"]) == "__a"
+    assert util.unused("__a", ["__A", "__a_"]) == "__a__"
