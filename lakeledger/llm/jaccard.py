@@ -31,7 +31,8 @@ leave a task.
 Defined results: null, empty and blank texts have no set and link with
 nothing; fewer words than a shingle are one shingle.  Rows that share an id
 are one document with several versions, any of which may link it; rows without
-an id link with nothing and have no component.  Two different shingles are
+an id link with nothing and have no component.  Texts of any length are read
+whole; other columns play no part, whatever their names.  Two different shingles are
 taken for one only if their 64-bit hashes collide inside one pair of texts.
 """
 

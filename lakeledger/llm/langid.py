@@ -18,7 +18,8 @@ over ``RUN`` letters are summed one by one, rescaled at each letter.
 Defined results: null texts and texts without a letter are ``und`` with score
 0, and so is everything when nothing is labelled.  Ties go to the language
 first in the alphabet.  Rows are judged one by one; repeated rows get repeated
-results and an empty table an empty one.
+results and an empty table an empty one.  Other columns are kept (``lang_pred`` and
+``score`` are replaced).
 """
 
 from __future__ import annotations

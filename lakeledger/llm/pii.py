@@ -23,8 +23,12 @@ can split.
 
 Defined results: null and empty texts have no spans.  Offsets are code points,
 ends exclusive.  Rows are told apart by a digest of their text, of which the
-spans are a function; repeated rows and null ids each keep a row.  An empty
-table gives an empty result.
+spans are a function; repeated rows and null ids each keep a row.  Texts of any
+length are read whole; of a pattern's words the first 40 characters count, of the
+text around an occurrence 120 before it and 80 behind.  Between kinds that start
+at one place the order of ``KINDS`` decides.  Columns of the input keep their names
+and values; those added replace columns of the same names.  An empty table gives
+an empty result.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ bounds that table in the same way.
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and has no words, so the prior judges it.  Among rules that
 fit, the longest text wins, then the first listed.  Rows are judged one by
-one; repeated rows get repeated results and an empty table an empty one.
+one; repeated rows get repeated results and an empty table an empty one.  Urls of
+any length are read whole.  Other columns are kept; those added replace columns of
+the same names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components link with nothing, as do vectors of different lengths
 with each other.  Rows count as vectors even if they share an id; a row
 without an id takes part in ``n_links`` of others, but is no component's name.
-An empty table gives an empty result.
+Vectors of any length are hashed and compared whole.  Other columns play no part,
+whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -17,8 +17,9 @@ Defined results: a null payload is empty.  Payloads under ``MIN_BYTES`` are
 all responses.  Rows equal in page id and payload share one role (each gets a
 record).  Rows without a page id never serve as the original; they revisit one
 if there is one.  Line ends in a URL are percent-encoded; a null URL is
-written as ``about:blank`` and read as null.  Empty tables give archives
-without records, which read as no rows.
+written as ``about:blank`` and read as null.  Payloads of any length are written
+whole.  Other columns play no part, whatever their names.  Empty tables give
+archives without records, which read as no rows.
 """
 
 from __future__ import annotations
