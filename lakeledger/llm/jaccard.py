@@ -17,7 +17,10 @@ parts, which many sets share, only when nothing else is left.
 
 Keys are sorted within partitions and streamed, so a key of any number of sets
 takes constant memory.  Up to ``FEW`` probes of one key are paired with all
-they meet.  A key with more gives a star around its smallest id.  A sketch of
+they meet.  A key with more gives a star around its smallest id.  The sets that
+stars connect meet once more, in the rarest of their own hashes (an exact prefix
+filter), so that a passage that many texts share brings none of them together;
+what is still in a star after that is much alike.  A sketch of
 one bit for about each hash (the parity of the hashes in a cell) bounds the
 difference of two sets from below: pairs it rules out go, and the sets that
 stars connect are compared by it.  What may still be similar forms clusters.
@@ -528,12 +531,44 @@ def _connected(cluster: DataFrame, compare, sure: DataFrame | None = None) -> Da
     placed = cut(_placed(cluster))
     links = compare(_first_cells(placed))
     links = cut(links if sure is None else links.unionByName(sure))
-    if placed.where("blocks > 2").isEmpty():
+    large = placed.where("blocks > 2")
+    if large.isEmpty():
         return links
-    rest = _open_cells(placed, components(links))
+    mine = links.join(large.select(F.col("node").alias("a")), "a", "left_semi")
+    rest = _open_cells(large, components(mine))
     return links if rest.isEmpty() else links.unionByName(cut(compare(rest)))
 
 
+def refined(stars: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, star) of the sets that stars connect, by their rarest hashes.
+
+    A hash that many of them share tells little.  With the hashes of every set
+    in order of how many of these sets hold them, similar sets share one among
+    the first n - 0.8 n + 1; these are the keys they meet in anew."""
+    def read(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 200):
+                part = b.slice(at, 200)
+                z = [shingles(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([xxhash.xxh3_64_intdigest(x.tobytes()) >> 1 for x in z], pa.int64()),
+                     pa.array([x.view(np.int64) for x in z], pa.list_(pa.int64()))], names=["node", "version", "z"])
+
+    nodes = cut(stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    wanted = F.broadcast(nodes) if nodes.count() <= SEND else nodes
+    sets = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(
+        read, "node long, version long, z array<long>").dropDuplicates(["node", "version"])
+    each = cut(sets.select("node", "version", F.size("z").alias("n"), F.explode("z").alias("h")))
+    held = each.groupBy("h").agg(F.count(F.lit(1)).alias("sets"))
+    ordered = each.join(held, "h").groupBy("node", "version", "n").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "h"))).alias("z"))
+    first = F.col("n") - F.ceil(F.col("n") * F.lit(NUM) / F.lit(DEN)).cast("int") + 1
+    keys = ordered.select("node", F.explode(F.slice("z", F.lit(1), first)).alias("t")).select(
+        F.shiftleft("t.h", 3).bitwiseOR(F.lit(EXACT).cast("bigint")).alias("key"), F.col("node").alias("id"),
+        F.lit(False).alias("sure"))
+    return meetings(keys).select("a", "b", "star")
+
+
 def _ordered(table):
     """Places of the left block's rows, then the others'; how many are left."""
     mine, i, j = (table.column(c).to_numpy() for c in ("mine", "i", "j"))
@@ -595,7 +630,11 @@ def similar_components(docs: DataFrame, known: DataFrame) -> DataFrame:
     pairs = likely(found.where("not sure").select("a", "b").distinct(), known)
     stars = found.where("star").select("a", "b").distinct()
     if not stars.isEmpty():
-        pairs = pairs.unionByName(guesses(stars, known))
+        again = cut(refined(stars, docs))
+        pairs = pairs.unionByName(likely(again.where("not star").select("a", "b").distinct(), known))
+        stars = again.where("star").select("a", "b").distinct()
+        if not stars.isEmpty():
+            pairs = pairs.unionByName(guesses(stars, known))
     sure = found.where("sure").select("a", "b")
     # Rows that share an id make pairs of an id with itself nowhere: the
     # versions of an id are read together.
