@@ -49,6 +49,7 @@ def main(argv=None) -> int:
     e.add_argument("--mode", default="current")
     e.add_argument("--env", default="sandbox")
     e.add_argument("--worksheet", default="transactions")
+    e.add_argument("--mark", default="text", choices=("text", "typed", "built"))
     st = sub.add_parser("stream")
     st.add_argument("--pages", required=True)
     st.add_argument("--bronze", required=True)
@@ -72,7 +73,7 @@ def main(argv=None) -> int:
         print(json.dumps(rows, indent=2))
         return 0 if all(r["passed"] for r in rows) else 1
     elif a.cmd == "export":
-        out = jobs.run_export(spark, a.silver, a.target, a.log, a.mode, a.env, a.worksheet)
+        out = jobs.run_export(spark, a.silver, a.target, a.log, a.mode, a.env, a.worksheet, mark=a.mark)
     else:
         from lakeledger.streaming import streams
         q = streams.silver_stream(spark, a.pages, a.bronze, a.silver, a.checkpoint,

@@ -114,7 +114,10 @@ def cursor_chain(pages: DataFrame) -> DataFrame:
         S.parse_iso("run_ts").asc_nulls_first(), "run_id")
     r = r.select(*RUN, F.coalesce(F.lag("cursor_end").over(w2), F.lit(""))
                  .alias("prev_run_out"))
-    j = p.join(r, RUN)
+    # Any of a run's columns may be null: inside a struct a null is a value.
+    run = F.struct(*RUN)
+    r = r.select(run.alias("__run"), "prev_run_out")
+    j = p.withColumn("__run", run).join(r, "__run").drop("__run")
     expected = F.coalesce(F.col("prev_out"), F.col("prev_run_out"))
     return j.select(*RUN, "page", "cursor_in", expected.alias("expected_cursor_in"),
                     (~F.col("cursor_in").eqNullSafe(expected)).alias("is_gap"), "page_path")

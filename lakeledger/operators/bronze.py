@@ -17,6 +17,7 @@ from lakeledger import schemas
 from lakeledger.functions import scalars as S
 from lakeledger.operators.silver import now_iso
 from lakeledger.session import checkpoint_dir
+from lakeledger.sources import layout as L
 from lakeledger.sources import pages as P
 from lakeledger.sources import tables as T
 
@@ -132,39 +133,21 @@ def raw_payload_failures(pages: DataFrame) -> DataFrame:
         F.count_if(bad_pending).alias("bad_pending"))
 
 
-def pages_in_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """(page_path, run_id) of the pages with rows in Bronze: two columns of
-    the table, reduced in the map tasks."""
-    try:
-        b = T.read_table(spark, bronze_path, schemas.BRONZE, int_partitions=("event_year",))
-    except T.TableNotFound:
-        return spark.createDataFrame([], "page_path string, run_id string")
-    return b.groupBy("page_path").agg(F.max("run_id").alias("run_id"))
-
-
-def processed_pages(spark: SparkSession, ledger_path: str,
-                    bronze_path: str | None = None) -> DataFrame:
-    """Page paths already processed: the ledger plus, to close the window
-    between a Bronze append and its ledger line, the pages found in Bronze.
-    All of Bronze counts: which batch left its pages out of the ledger, and
-    when, cannot be told from times."""
-    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path").select("page_path")
-    if bronze_path:
-        led = led.unionByName(pages_in_bronze(spark, bronze_path).select("page_path"))
-    return led
-
-
-def recover_ledger(spark: SparkSession, ledger_path: str, bronze_path: str, now: str | None = None) -> int:
-    """Marks the pages that are in Bronze but not in the ledger (a crash came
-    between the two writes); returns their number."""
-    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path").select("page_path")
-    lost = pages_in_bronze(spark, bronze_path).join(led, "page_path", "left_anti")
-    checkpoint_dir(spark)
-    lost = lost.checkpoint(eager=True)
-    n = lost.count()
-    if n:
-        mark_pages(lost, ledger_path, now)
-    return n
+def _ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    return P.read_jsonl_log(spark, ledger_path, schemas.LEDGER)
+
+
+def processed_pages(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Page paths already processed.  What a lost run appended without its
+    ledger lines is not among them: the next run replaces that batch."""
+    return _ledger(spark, ledger_path).where("page_path != ''").select("page_path")
+
+
+def next_batch(spark: SparkSession, ledger_path: str) -> int:
+    """The number of the next batch: one more than the last in the ledger.  A
+    run that was lost before its ledger lines is followed by one with the same
+    number."""
+    return (_ledger(spark, ledger_path).agg(F.max("batch")).first()[0] or 0) + 1
 
 
 def new_pages(pages: DataFrame, processed: DataFrame) -> DataFrame:
@@ -173,23 +156,37 @@ def new_pages(pages: DataFrame, processed: DataFrame) -> DataFrame:
     return pages.join(processed.select("page_path"), "page_path", "left_anti")
 
 
-def append_bronze(df: DataFrame, path: str) -> None:
-    """Append one batch, partitioned by event year.  No repartition by year:
-    that would put a whole year into one task."""
-    df.write.mode("append").partitionBy("event_year").parquet(path)
+def append_bronze(df: DataFrame, path: str, batch: int, buckets: int | None = None,
+                  counted: Observation | None = None) -> None:
+    """One batch in a folder of its own, in the key layout that Silver shares
+    and by event year below it.  A repetition replaces the folder, so a batch
+    whose writer was lost does not count twice, and nothing else is read.
+    ``counted`` gets the number of ``rows``."""
+    n = L.number(df.sparkSession, path, buckets)
+    df = L.dealt(df, n)
+    if counted is not None:
+        df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    (df.write.mode("overwrite").partitionBy(L.column(n), "event_year")
+     .parquet(f"{path.rstrip('/')}/batch_id={int(batch)}"))
 
 
-def mark_pages(pages: DataFrame, ledger_path: str, now: str | None = None) -> None:
-    """Append ledger records (ts, run_id, page_path) for the given pages."""
+def mark_pages(pages: DataFrame, ledger_path: str, now: str | None = None, batch: int = 0) -> None:
+    """Append ledger records (ts, run_id, page_path, batch) for the given pages."""
     now = now or now_iso()
     (pages.select(F.lit(now).alias("ts"),
-                  F.coalesce("run_id", F.lit("unknown")).alias("run_id"), "page_path")
+                  F.coalesce("run_id", F.lit("unknown")).alias("run_id"), "page_path",
+                  F.lit(int(batch)).cast("bigint").alias("batch"))
      .write.mode("append").json(ledger_path))
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+def _mark_files(files: DataFrame, ledger_path: str, now: str) -> None:
+    """Files of JSON lines that are read to the end and need not be opened again."""
+    files.select(F.lit(now).alias("ts"), F.col("path").alias("source")).write.mode("append").json(ledger_path)
+
+
+def read_bronze(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
     """Bronze with the declared columns (also those that only later files
-    have).  ``ingested_at`` is the run time where the table has no such
+    have), or its rows ``where``, such as those of some key buckets.  ``ingested_at`` is the run time where the table has no such
     column; a null stays null and sorts first."""
     try:
         found = T.read_table(spark, path)
@@ -199,7 +196,7 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schemas.BRONZE)  # only empty batches so far
     schemas.require_columns(found, {"item_id", "transaction_id", "event_type",
                                     "run_ts", "event_id"})
-    df = T.read_table(spark, path, schemas.BRONZE, int_partitions=("event_year",))
+    df = T.read_table(spark, path, schemas.BRONZE, int_partitions=("event_year",), where=where)
     if "ingested_at" not in found.columns:
         df = df.withColumn("ingested_at", F.col("run_ts"))
     return schemas.conform(df, schemas.BRONZE)
@@ -225,28 +222,43 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
            item_id: str | None = None, files_per_batch: int = 20_000) -> dict:
     """New pages below ``root`` -> Bronze append -> ledger.
 
-    With the ``files`` layout only paths are listed to find the new pages,
-    and only their files are opened, at most ``files_per_batch`` in one
-    batch; ``institution`` and ``item_id`` narrow the listing to a folder.
-
-    Idempotent: a second run over the same pages adds nothing, also after a
-    crash between the append and the ledger write, whose pages are marked
-    first.  Pages without events are marked all the same.  A malformed page,
-    or one whose run time cannot be read, fails the batch (``FAILFAST``);
+    Only paths are listed to find new files, and only new files are opened,
+    at most ``files_per_batch`` in one batch; ``institution`` and ``item_id``
+    narrow the listing to a folder (``files`` layout) or the pages.  With the
+    ``lines`` layout the ledger also keeps which files were read to the end;
+    a file is not written to after it landed.
+
+    Idempotent: a second run over the same pages adds nothing.  A batch has a
+    folder and a number; after a crash between the append and the ledger write
+    the next run takes the same number and replaces the folder, and no table is
+    read for that.  Pages without events are marked all the same.  A malformed
+    page, or one whose run time cannot be read, fails the batch (``FAILFAST``);
     with ``mode="PERMISSIVE"``, which needs a ``quarantine_path``, it is
     recorded there once, left out and not marked, so a repaired file is taken
     next time.  Returns counts.
     """
-    permissive = mode.upper() == "PERMISSIVE"
+    kind, permissive = layout, mode.upper() == "PERMISSIVE"
     if permissive and not quarantine_path:
         raise ValueError("PERMISSIVE needs a quarantine_path: malformed pages may not get lost")
+    if kind not in ("files", "lines"):
+        raise ValueError("layout must be 'files' or 'lines'")
     now = now or now_iso()
-    recover_ledger(spark, ledger_path, bronze_path, now)
-    done = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path").select("page_path")
     checkpoint_dir(spark)
+    ledger = _ledger(spark, ledger_path).checkpoint(eager=True)
+    done = ledger.where("page_path != ''").select("page_path")
+    number = (ledger.agg(F.max("batch")).first()[0] or 0) + 1
     out = {"pages": 0, "rows": 0} | ({"quarantined": 0} if quarantine_path else {})
-
-    def batch(pages: DataFrame) -> None:
+    if kind == "files":
+        new = new_pages(P.list_pages(spark, root, prefix, institution, item_id), done)
+    else:
+        read = ledger.where("source != ''").select(F.col("source").alias("path"))
+        new = P.list_lines(spark, root).join(read, "path", "left_anti")
+    new = new.select("path").checkpoint(eager=True)
+    paths = (r.path for r in new.toLocalIterator())
+    while files := list(itertools.islice(paths, files_per_batch)):
+        pages = P.read_pages(spark, root, prefix, mode, institution if kind == "lines" else None,
+                             item_id if kind == "lines" else None, kind, files)
+        bad = None
         if permissive:
             broken = F.col(P.CORRUPT).isNotNull() | bad_run_ts()
             bad = pages.filter(broken).withColumn(P.CORRUPT, F.coalesce(
@@ -254,29 +266,26 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
             out["quarantined"] += _quarantine(spark, bad, quarantine_path, now)
             pages = pages.filter(~F.coalesce(broken, F.lit(False))).drop(P.CORRUPT)
         # The pages of this batch, pinned in the shared folder: rows and
-        # ledger cover the same pages even if more land meanwhile.
+        # ledger cover the same pages.
         pinned = new_pages(pages, done).select("page_path", "run_id").groupBy("page_path").agg(
             F.max("run_id").alias("run_id")).checkpoint(eager=True)
         n = pinned.count()
-        obs = Observation()
-        chosen = pages.join(pinned.select("page_path"), "page_path", "left_semi")
-        if layout == "lines":
-            chosen = one_of_each_path(chosen)
-        rows = explode_pages(chosen, now, default_env).observe(obs, F.count(F.lit(1)).alias("rows"))
-        append_bronze(rows, bronze_path)
         if n:
-            mark_pages(pinned, ledger_path, now)
-        out["pages"] += n
-        out["rows"] += obs.get.get("rows", 0)
-
-    if layout == "lines":
-        batch(P.read_pages(spark, root, prefix, mode, institution, item_id, layout))
-        return out
-    new = new_pages(P.list_pages(spark, root, prefix, institution, item_id), done)
-    new = new.select("path").checkpoint(eager=True)
-    paths = (r.path for r in new.toLocalIterator())
-    while files := list(itertools.islice(paths, files_per_batch)):
-        batch(P.read_pages(spark, root, prefix, mode, layout=layout, files=files))
+            obs = Observation()
+            chosen = pages.join(pinned.select("page_path"), "page_path", "left_semi")
+            if kind == "lines":
+                chosen = one_of_each_path(chosen)
+            append_bronze(explode_pages(chosen, now, default_env), bronze_path, number, counted=obs)
+            mark_pages(pinned, ledger_path, now, number)
+            done = done.unionByName(pinned.select("page_path"))
+            number += 1
+            out["pages"] += n
+            out["rows"] += obs.get.get("rows", 0)
+        if kind == "lines" and institution is None and item_id is None:
+            whole = spark.createDataFrame([(f,) for f in files], "path string")
+            if bad is not None:
+                whole = whole.join(bad.select(F.col("source").alias("path")), "path", "left_anti")
+            _mark_files(whole, ledger_path, now)
     return out
 
 

@@ -48,6 +48,8 @@ from pyspark.sql import functions as F
 
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
+from lakeledger.operators import segments
+from lakeledger.sources import layout, tables
 
 FORMS = ("auto", "split", "range", "fast", "definition", "lead")
 
@@ -245,11 +247,11 @@ def _auto(df, spec, ords, hot_rows: int, segment_rows: int):
     from lakeledger.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     keys = list(spec.keys)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
-           .filter(F.col("__cnt") > hot_rows).checkpoint(eager=True))
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows)
     n_hot, total = hot.agg(F.count(F.lit(1)), F.sum("__cnt")).first()
     if not n_hot:
         return _fast(df, spec, ords)
+    hot = hot.checkpoint(eager=True)  # a short list, read by both sides
     if n_hot <= HOT_SEND:
         hot = F.broadcast(hot)
     hot = hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
@@ -314,7 +316,12 @@ def silver_from_bronze(bronze: DataFrame, built_at: str | None = None,
          .withColumn("transaction_id", _astype_str("transaction_id"))
          .withColumn("event_id", _astype_str("event_id"))
          .withColumn("event_type", _astype_str("event_type")))
-    h = build_scd2(b, BRONZE_SPEC, built_at, form, hot_rows, segment_rows)
+    return silver_rows(build_scd2(b, BRONZE_SPEC, built_at, form, hot_rows, segment_rows), built_at)
+
+
+def silver_rows(h: DataFrame, built_at: str) -> DataFrame:
+    """Versions of events with their payload, in the columns of Silver;
+    tombstones carry no payload."""
     tomb = F.col("is_deleted")
     payload = [F.when(~tomb, S.safe_str(c)).alias(c) for c in _STR_PAYLOAD]
     amount = F.when(~tomb, F.nanvl(F.col("amount"), F.lit(None).cast("double")))
@@ -339,20 +346,61 @@ def silver_from_bronze(bronze: DataFrame, built_at: str | None = None,
     return schemas.conform(out, schemas.SILVER)
 
 
+def collapse_unchanged(bronze: DataFrame, tracked=None, segment_rows: int | None = None) -> DataFrame:
+    """Events without those that change nothing: an event of a known type
+    whose row would equal, in the ``tracked`` payload columns (all by default)
+    and in being a tombstone or not, the one of the key's event before it.
+    An event of an unknown type closes a version, so what follows it stays.
+    History built from the rest has one version for each run of equal rows.
+
+    Gaps and islands over a hash of the payload: the hash before each event is
+    carried over the borders of range segments, so a hot key is cut as well.
+    """
+    tracked = list(schemas.PAYLOAD_COLUMNS if tracked is None else tracked)
+    own, built = bronze.columns, [o.expr for o in BRONZE_SPEC.order]
+    bronze = bronze.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schemas.BRONZE.fields
+                                 if f.name not in own})
+    kind = S.normalize_type("event_type")
+    tomb = kind.isin(list(BRONZE_SPEC.delete_types))
+    cells = [F.coalesce(S.safe_str(c) if c in _STR_PAYLOAD else F.col(c).cast("string"), F.lit("\x00"))
+             for c in tracked]
+    state = (F.when(tomb, F.lit("removed")).when(
+        kind.isin(list(BRONZE_SPEC.upsert_types)), F.sha2(F.concat_ws("\x1f", *cells), 256)).otherwise(F.lit("?")))
+    keyed = bronze.withColumns({"event_type": _astype_str("event_type"), "__k0": _astype_str("item_id"),
+                                "__k1": _astype_str("transaction_id")})
+    rows = segments.previous(keyed.withColumn("__state", state), ["__k0", "__k1"],
+                             [F.expr(e) for e in built], F.col("__state"), "__before",
+                             segment_rows or SEGMENT_ROWS)
+    stays = (F.col("__state") == "?") | ~F.col("__state").eqNullSafe(F.col("__before"))
+    return rows.where(stays).select(*own)
+
+
 # --------------------------------------------------------------- table I/O
-def write_silver(df: DataFrame, path: str, partition_by: str = "txn_year") -> str:
-    """Overwrite Silver atomically: write a new version folder, then point
-    ``_CURRENT`` at it.  Readers never see a half-written table and the
-    table being read is never the one being overwritten."""
-    from lakeledger.sources import tables
-    return tables.write_versioned(df, path, partition_by=[partition_by])
+def write_silver(df: DataFrame, path: str, buckets: int | None = None) -> str:
+    """Silver as Parquet in the key layout (``sources.layout``), each bucket
+    replaced as a whole (dynamic partition overwrite) and sorted by the year of
+    the transactions.  Keys never leave Bronze, so no bucket is left over.
+    ``df`` may not read the table itself; see ``refresh_buckets``.  Readers may
+    see the swap of a bucket folder while the job commits."""
+    spark = df.sparkSession
+    n = layout.number(spark, path, buckets)
+    w = layout.dealt(df, n).sortWithinPartitions(layout.column(n), "txn_year").write.mode("overwrite")
+    if _complete(spark, path):
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(layout.column(n)).parquet(path)
+    return path
+
+
+def _complete(spark, path: str) -> bool:
+    """Whether a first write has ended: Spark's own mark of it is there."""
+    return tables.path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def read_silver(spark, path: str) -> DataFrame:
-    """Current Silver."""
-    from lakeledger.sources import tables
-    return tables.read_versioned(spark, path, schemas.SILVER,
-                                 int_partitions={"txn_year"})
+def read_silver(spark, path: str, where: Column | None = None) -> DataFrame:
+    """Stored Silver; one whose first write did not end is no table."""
+    if not _complete(spark, path):
+        raise tables.TableNotFound(f"no complete table at: {path}")
+    return tables.read_table(spark, path, schemas.SILVER, where=where)
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -375,78 +423,36 @@ def refresh_scd2(old_silver: DataFrame | None, bronze: DataFrame, changed: DataF
     return kept.unionByName(rebuilt)
 
 
-# ------------------------------------------------------- bucketed layout
-KEY_BUCKETS = 256
-
-
-def key_bucket(buckets: int) -> Column:
-    """Hash bucket of the Silver key (item_id, transaction_id)."""
-    return F.pmod(F.xxhash64("item_id", "transaction_id"), F.lit(buckets)).cast("int")
-
-
-def bucket_count(spark, path: str) -> int | None:
-    """Number of buckets a bucketed Silver was written with, from the marker
-    that its first write leaves when it is complete; None without one."""
-    from lakeledger.sources import tables
-    marker = f"{path.rstrip('/')}/_layout"
-    if not tables.path_exists(spark, f"{marker}/_SUCCESS"):
-        return None
-    return spark.read.schema("buckets int").json(marker).first().buckets
-
-
-def write_silver_bucketed(df: DataFrame, path: str, buckets: int = KEY_BUCKETS) -> None:
-    """Silver laid out by key bucket, for in-place refreshes of the buckets
-    that new events touch (``refresh_buckets``).  The number of buckets is
-    stored with the table, after its data: without that marker a folder is no
-    table (a write that did not end is simply done again)."""
-    # REBALANCE groups rows by bucket (few files per bucket folder) and lets
-    # AQE split a bucket that a hot key makes large.
-    (df.withColumn("key_bucket", key_bucket(buckets)).hint("rebalance", "key_bucket")
-     .write.mode("overwrite").partitionBy("key_bucket").parquet(path))
-    (df.sparkSession.createDataFrame([(buckets,)], "buckets int").coalesce(1)
-     .write.mode("overwrite").json(f"{path.rstrip('/')}/_layout"))
-
-
-def read_silver_bucketed(spark, path: str) -> DataFrame:
-    from lakeledger.sources import tables
-    if bucket_count(spark, path) is None:
-        raise tables.TableNotFound(f"no complete bucketed table at: {path}")
-    return tables.read_table(spark, path, schemas.SILVER)
-
-
-def refresh_buckets(spark, bronze: DataFrame, changed: DataFrame, path: str,
+def refresh_buckets(spark, bronze: DataFrame | str, changed: DataFrame, path: str,
                     built_at: str | None = None, buckets: int | None = None,
                     form: str = "auto") -> int:
-    """Refresh a bucketed Silver in place: only the buckets holding keys of
-    ``changed`` are read (partition pruning) and rewritten (dynamic partition
-    overwrite).  The number of buckets is the table's own; another one is
-    refused.  The touched bucket numbers are at most that many ints.  The new
-    rows are staged as Parquet in the shared folder first, since a job may not
-    overwrite files it reads, and the stage is removed.  Readers may see the
-    swap of a bucket folder while the job commits.  Returns the number of
-    buckets rewritten."""
+    """Refresh a stored Silver in place for the keys of ``changed``.
+
+    Only the buckets that hold such keys are read, of Silver and, given the
+    path of a Bronze in the same layout, of Bronze as well (partition filters
+    on both scans), and only they are rewritten (dynamic partition overwrite).
+    The touched bucket numbers are at most that many ints.  The new rows are
+    staged as Parquet in the shared folder first, since a job may not overwrite
+    files it reads, and the stage is removed.  Returns the number of buckets
+    rewritten."""
+    from lakeledger.operators.bronze import read_bronze
     from lakeledger.session import checkpoint_dir
-    from lakeledger.sources import tables
-    stored = bucket_count(spark, path)
-    if stored is None:
-        raise tables.TableNotFound(f"no complete bucketed table at: {path}")
-    if buckets is not None and buckets != stored:
-        raise ValueError(f"the table has {stored} buckets, not {buckets}")
-    bucket = key_bucket(stored)
+    if not _complete(spark, path):
+        raise tables.TableNotFound(f"no complete table at: {path}")
+    n = layout.number(spark, path, buckets)
     keys = ["item_id", "transaction_id"]
-    ck = _keyed(changed.select(*keys)).distinct().withColumn("key_bucket", bucket)
-    touched = [r[0] for r in ck.select("key_bucket").distinct().collect()]  # <= stored
+    ck = _keyed(changed.select(*keys)).distinct()
+    touched = layout.touched(ck, n)
     if not touched:
         return 0
-    cols = schemas.SILVER.fieldNames() + ["key_bucket"]
-    old = tables.read_table(spark, path).filter(F.col("key_bucket").isin(touched)) \
-        .join(ck.select(*keys), keys, "left_anti")
-    rebuilt = silver_from_bronze(_keyed(bronze).join(ck.select(*keys), keys, "left_semi"),
-                                 built_at, form).withColumn("key_bucket", bucket)
+    here = layout.in_buckets(n, touched)
+    if isinstance(bronze, str):
+        same = layout.stored(spark, bronze) == n
+        bronze = read_bronze(spark, bronze, here if same else None)
+    old = read_silver(spark, path, here).join(ck, keys, "left_anti")
+    rebuilt = silver_from_bronze(_keyed(bronze).join(ck, keys, "left_semi"), built_at, form)
     stage = f"{checkpoint_dir(spark).rstrip('/')}/refresh-{uuid.uuid4().hex}"
-    old.select(*cols).unionByName(rebuilt.select(*cols)).write.parquet(stage)
-    (spark.read.parquet(stage).hint("rebalance", "key_bucket")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("key_bucket").parquet(path))
+    old.unionByName(rebuilt).write.parquet(stage)
+    write_silver(spark.read.schema(schemas.SILVER).parquet(stage), path, n)
     tables.remove(spark, stage)
     return len(touched)

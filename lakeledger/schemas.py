@@ -99,14 +99,19 @@ EXPORT_COLUMNS = [
     "source_run_ts", "silver_built_at",
 ]
 
-LEDGER = _struct("ts string, run_id string, page_path string")
+LEDGER = _struct("ts string, run_id string, page_path string, "
+                 # ours: the Bronze batch of a page; a file read to its end
+                 "batch bigint, source string")
 
 QUARANTINE = _struct("ts string, page_path string, run_id string, content string")
 
 SYNC_LOG = _struct(
     "timestamp string, plaid_env string, silver_delta_path string, "
     "spreadsheet_id string, worksheet_name string, export_mode string, "
-    "rows_synced bigint, last_synced_valid_from_ts string")
+    "rows_synced bigint, last_synced_valid_from_ts string, "
+    # ours: number and state of the run (begun, done), the watermark as an
+    # instant, and the last build that was exported from
+    "export_id bigint, state string, last_synced_key string, last_built_at string")
 
 ERROR = StructType(
     _struct("type string, message string, status bigint, reason string").fields

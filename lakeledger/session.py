@@ -41,6 +41,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # Checkpoint files go when nothing refers to them any more.
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory",
                  os.environ.get("LAKELEDGER_DRIVER_MEM", _default_driver_memory()))

@@ -33,21 +33,40 @@ PAGE_LINE = StructType(schemas.PAGE.fields + [StructField("page_name", StringTyp
                                               StructField("page_path", StringType())])
 
 
+def _escaped(path: str) -> str:
+    """A file's path as a pattern that means that file."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _with_corrupt(schema: StructType, mode: str) -> StructType:
     if mode.upper() == "PERMISSIVE":
         return StructType(schema.fields + [StructField(CORRUPT, StringType())])
     return schema
 
 
-def read_page_lines(spark: SparkSession, root: str, mode: str = "FAILFAST") -> DataFrame:
+def list_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(path) of the files of JSON lines below ``root``; none is opened."""
+    from lakeledger.sources.tables import path_exists
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "path string")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+             .option("recursiveFileLookup", True).load(root))
+    return files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
+
+
+def read_page_lines(spark: SparkSession, root: str, mode: str = "FAILFAST",
+                    files: list[str] | None = None) -> DataFrame:
     """Pages stored as JSON lines (one page per line, with page_name and
-    page_path fields), e.g. as a landing zone written by another job.  With
+    page_path fields), e.g. as a landing zone written by another job, below
+    ``root`` or in the given ``files``; ``source`` is the file.  With
     ``mode="PERMISSIVE"`` a malformed line is a row whose ``_corrupt_record``
     holds its text and whose page_path names the file and the text's hash."""
     df = (spark.read.schema(_with_corrupt(PAGE_LINE, mode)).option("mode", mode)
           .option("columnNameOfCorruptRecord", CORRUPT)
           .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
-          .json(root))
+          .json(root if files is None else [_escaped(f) for f in files]))
+    df = df.withColumn("source", F.url_decode(F.replace(F.regexp_replace(
+        "_metadata.file_path", "^file:/+", "file:/"), F.lit("+"), F.lit("%2B"))))
     if CORRUPT in df.columns:
         bad = F.concat(F.col("_metadata.file_name"), F.lit("#"), F.sha2(F.col(CORRUPT), 256))
         df = df.withColumn("page_path", F.when(F.col(CORRUPT).isNotNull(), F.coalesce("page_path", bad))
@@ -104,7 +123,7 @@ def read_pages(spark: SparkSession, root: str, prefix: str = "",
     quarantine).
     """
     if layout == "lines":
-        df = read_page_lines(spark, root, mode)
+        df = read_page_lines(spark, root, mode, files)
     elif layout == "files":
         df = (spark.read.schema(_with_corrupt(schemas.PAGE, mode))
               .option("multiLine", True)
@@ -112,7 +131,7 @@ def read_pages(spark: SparkSession, root: str, prefix: str = "",
               .option("pathGlobFilter", PAGE_GLOB)
               .option("recursiveFileLookup", True)
               .option("mode", mode)
-              .json(root if files is None else [re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in files]))
+              .json(root if files is None else [_escaped(f) for f in files]))
     else:
         raise ValueError("layout must be 'files' or 'lines'")
     if institution is not None:

@@ -1,25 +1,12 @@
-"""Table reads and writes on Parquet.
-
-Overwrite is made safe without a transactional format: every overwrite goes
-to a new version folder, and only after that write has committed a one-line
-marker ``commits/<version>`` is written.  Readers take the newest version
-that has a marker, so they never see a half-written table.  Markers are read
-with Spark itself, so this works on any Hadoop file system.
-"""
+"""Table reads on Parquet, on any Hadoop file system."""
 
 from __future__ import annotations
 
-import datetime as _dt
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
-VERSION_PREFIX = "version-"
-
-
 class TableNotFound(FileNotFoundError):
     pass
 
@@ -41,8 +28,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
-               fmt: str = "parquet", int_partitions=(), merge_schema: bool = False) -> DataFrame:
-    """Read a table; a missing path raises ``TableNotFound`` (not an
+               fmt: str = "parquet", int_partitions=(), merge_schema: bool = False,
+               where: Column | None = None) -> DataFrame:
+    """Read a table, or its rows ``where`` (which may use partition columns
+    outside the schema); a missing path raises ``TableNotFound`` (not an
     analysis error deep in a plan).  Partition columns come back as int:
     the given ones are cast to bigint.  Every writer here conforms to a fixed
     schema, so schema merging (a footer read of every file) is off unless
@@ -70,6 +59,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
         files = {f.name: f for f in df.schema.fields}
         parts = [files.get(f.name) if f.name in int_partitions else None for f in schema.fields]
         df = spark.read.schema(StructType([p or f for p, f in zip(parts, schema.fields)] + declared)).parquet(path)
+    if where is not None:
+        df = df.where(where)
     for c in int_partitions:
         if c in df.columns:
             df = df.withColumn(c, F.col(c).cast("bigint"))
@@ -77,49 +68,3 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
         from lakeledger.schemas import conform
         df = conform(df, schema)
     return df
-
-
-def _version_name() -> str:
-    now = _dt.datetime.now(_dt.UTC).strftime("%Y%m%d%H%M%S%f")
-    return f"{VERSION_PREFIX}{now}-{uuid.uuid4().hex[:8]}"
-
-
-def latest_version(spark: SparkSession, path: str) -> str | None:
-    """Newest committed version folder under ``path`` (None if none)."""
-    if not path_exists(spark, f"{path.rstrip('/')}/commits"):
-        return None
-    try:
-        m = spark.read.schema("version string, committed_at string").option(
-            "recursiveFileLookup", True).json(
-            f"{path.rstrip('/')}/commits")
-        row = m.agg(F.max("version").alias("v")).first()
-    except AnalysisException:
-        return None
-    return row["v"] if row and row["v"] else None
-
-
-def write_versioned(df: DataFrame, path: str, partition_by=()) -> str:
-    """Write ``df`` as a new version of the table at ``path``; return the
-    version folder.  The previous version stays the readable one until this
-    one's marker exists."""
-    name = _version_name()
-    target = f"{path.rstrip('/')}/{name}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    spark = df.sparkSession
-    now = _dt.datetime.now(_dt.UTC).isoformat()
-    (spark.createDataFrame([(name, now)], "version string, committed_at string")
-     .coalesce(1).write.mode("errorifexists").json(f"{path.rstrip('/')}/commits/{name}"))
-    return target
-
-
-def read_versioned(spark: SparkSession, path: str, schema: StructType | None = None,
-                   int_partitions=()) -> DataFrame:
-    """The newest committed version."""
-    v = latest_version(spark, path)
-    if v is None:
-        raise TableNotFound(f"no committed version of the table at: {path}")
-    return read_table(spark, f"{path.rstrip('/')}/{v}", schema,
-                      int_partitions=int_partitions)

@@ -1,11 +1,12 @@
 """Structured Streaming entry points.
 
-``bronze_stream``: landed pages -> Bronze through the file sink, whose own
-commit log makes the append exactly-once (a restarted query neither skips
-nor repeats a page).  ``silver_stream``: the same source with
-``foreachBatch``: each micro-batch is written to its own Bronze folder
-(overwritten when the batch is retried) and Silver is refreshed for the
-keys the batch touched, as a new table version.
+``bronze_stream``: landed pages -> Bronze.  Page files go through the file sink,
+whose own commit log makes the append exactly-once.  Pages in JSON lines may
+land again in another file: each micro-batch leaves out those of earlier batches
+by the ledger, in ``foreachBatch``, so no state grows with the pages, and writes
+a batch folder that a retry replaces.  ``silver_stream``: the same pages with
+``foreachBatch``: the batch goes to its own Bronze folder and Silver is refreshed
+in the key buckets that the batch touched.
 
 No event-time watermark is used: late pages are legitimate and are put in
 order by run time, so nothing may be dropped as late.
@@ -20,6 +21,8 @@ from lakeledger import schemas
 from lakeledger.functions import scalars as S
 from lakeledger.operators import bronze as B
 from lakeledger.operators import silver as SV
+from lakeledger.session import checkpoint_dir
+from lakeledger.sources import layout as L
 from lakeledger.sources import pages as P
 from lakeledger.sources import tables as T
 
@@ -30,9 +33,9 @@ def page_stream(spark: SparkSession, root: str, layout: str = "files",
                 prefix: str = "", max_files: int | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Streaming page rows.  ``files``: one pretty-printed page per file
     ``page_*.json`` anywhere below ``root``; ``lines``: JSON lines, one page
-    per line, with page_name and page_path fields (a page landed again is
-    dropped by its path).  A malformed page fails the stream: it must not be
-    checkpointed as done."""
+    per line, with page_name and page_path fields (a page that landed again is
+    a row again; see ``unseen_pages``).  A malformed page fails the stream: it
+    must not be checkpointed as done."""
     r = spark.readStream.option("recursiveFileLookup", True).option("mode", mode)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -43,69 +46,90 @@ def page_stream(spark: SparkSession, root: str, layout: str = "files",
                          S.relative_path(F.col("_metadata.file_path"), P.root_uri(spark, root), prefix)
                          .alias("page_path"))
     if layout == "lines":
-        return r.schema(PAGE_LINE).option("pathGlobFilter", "*.json").json(root).dropDuplicates(["page_path"])
+        return r.schema(PAGE_LINE).option("pathGlobFilter", "*.json").json(root)
     raise ValueError("layout must be 'files' or 'lines'")
 
 
+def unseen_pages(spark: SparkSession, batch: DataFrame, batch_id: int, ledger_path: str) -> DataFrame:
+    """One page for each path of a micro-batch, without those that the ledger
+    has from other batches (those of the batch itself are of a lost try)."""
+    led = P.read_jsonl_log(spark, ledger_path, schemas.LEDGER, required="page_path")
+    seen = led.where(~F.col("batch").eqNullSafe(F.lit(batch_id + 1))).select("page_path")
+    return B.new_pages(B.one_of_each_path(batch), seen)
+
+
+def bronze_batch(spark: SparkSession, batch: DataFrame, batch_id: int, bronze_path: str, ledger_path: str,
+                 now: str | None = None) -> DataFrame:
+    """One micro-batch to its own Bronze folder and the ledger; the pages
+    taken (page_path, run_id).  Batches count from 1, as those of ``ingest``."""
+    checkpoint_dir(spark)
+    pages = unseen_pages(spark, batch, batch_id, ledger_path)
+    taken = pages.select("page_path", "run_id").checkpoint(eager=True)
+    if taken.isEmpty():
+        return taken
+    rows = B.explode_pages(pages.join(taken.select("page_path"), "page_path", "left_semi"), now)
+    B.append_bronze(rows, bronze_path, batch_id + 1)
+    B.mark_pages(taken, ledger_path, now, batch_id + 1)
+    return taken
+
+
+def _triggered(w, available_now: bool, processing_time: str | None = None):
+    return w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
+
+
 def bronze_stream(spark: SparkSession, root: str, bronze_path: str, checkpoint: str,
                   now: str | None = None, layout: str = "files", prefix: str = "",
-                  available_now: bool = True, processing_time: str | None = None):
-    """Start the Bronze stream; returns the StreamingQuery."""
+                  available_now: bool = True, processing_time: str | None = None,
+                  ledger_path: str | None = None):
+    """Start the Bronze stream; returns the StreamingQuery.  The ledger of the
+    ``lines`` layout is beside Bronze by default."""
     pages = page_stream(spark, root, layout, prefix)
+    if layout == "lines":
+        ledger = ledger_path or f"{bronze_path.rstrip('/')}-ledger"
+
+        def each(batch: DataFrame, batch_id: int) -> None:
+            bronze_batch(spark, batch, batch_id, bronze_path, ledger, now)
+
+        w = pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        return _triggered(w, available_now, processing_time).start()
     # Without a fixed value every micro-batch stamps its own time
     # (current_timestamp is fixed per micro-batch).
     rows = B.explode_pages(pages, now or S.iso_text(F.current_timestamp()))
     w = (rows.writeStream.format("parquet").option("path", bronze_path)
          .option("checkpointLocation", checkpoint).partitionBy("event_year")
          .outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(
-        processingTime=processing_time or "1 minute")
-    return w.start()
+    return _triggered(w, available_now, processing_time).start()
 
 
 def silver_batch(spark: SparkSession, batch: DataFrame, batch_id: int, bronze_path: str,
                  silver_path: str, now: str | None = None, built_at: str | None = None,
-                 form: str = "auto", bucketed: bool = False) -> None:
-    """One micro-batch of ``silver_stream`` (also usable from batch jobs).
-
-    ``bucketed=False``: Silver is refreshed for the touched keys and written
-    as a new table version.  ``bucketed=True``: Silver is laid out by key
-    bucket and only the touched buckets are rewritten in place."""
-    rows = B.explode_pages(batch, now)
-    folder = f"{bronze_path.rstrip('/')}/batch_id={batch_id}"
-    rows.write.mode("overwrite").partitionBy("event_year").parquet(folder)
-    bronze_all = B.read_bronze(spark, bronze_path)
-    changed = T.read_table(spark, folder, schemas.BRONZE, int_partitions=("event_year",)).select(
-        "item_id", "transaction_id")
-    if bucketed:
-        try:
-            SV.read_silver_bucketed(spark, silver_path)
-        except T.TableNotFound:
-            SV.write_silver_bucketed(SV.silver_from_bronze(bronze_all, built_at, form),
-                                     silver_path)
-            return
-        SV.refresh_buckets(spark, bronze_all, changed, silver_path, built_at, form=form)
+                 form: str = "auto", ledger_path: str | None = None) -> None:
+    """One micro-batch of ``silver_stream`` (also usable from batch jobs): its
+    Bronze folder, then Silver in the key buckets it touched.  Repeating a
+    batch replaces its folder and refreshes the same keys again."""
+    if bronze_batch(spark, batch, batch_id, bronze_path, ledger_path or f"{bronze_path.rstrip('/')}-ledger",
+                    now).isEmpty():
         return
     try:
-        old = SV.read_silver(spark, silver_path)
+        SV.read_silver(spark, silver_path)
     except T.TableNotFound:
-        old = None
-    new = SV.refresh_scd2(old, bronze_all, changed, built_at, form)
-    SV.write_silver(new, silver_path)
+        SV.write_silver(SV.silver_from_bronze(B.read_bronze(spark, bronze_path), built_at, form), silver_path,
+                        L.stored(spark, bronze_path))
+        return
+    folder = f"{bronze_path.rstrip('/')}/batch_id={batch_id + 1}"
+    changed = T.read_table(spark, folder, schemas.BRONZE, int_partitions=("event_year",)).select(
+        "item_id", "transaction_id")
+    SV.refresh_buckets(spark, bronze_path, changed, silver_path, built_at, form=form)
 
 
 def silver_stream(spark: SparkSession, root: str, bronze_path: str, silver_path: str,
                   checkpoint: str, now: str | None = None, built_at: str | None = None,
                   layout: str = "files", prefix: str = "", available_now: bool = True,
-                  form: str = "auto", bucketed: bool = False):
+                  form: str = "auto", ledger_path: str | None = None):
     pages = page_stream(spark, root, layout, prefix)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        silver_batch(spark, batch, batch_id, bronze_path, silver_path, now, built_at, form,
-                     bucketed)
-
-    w = pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+        silver_batch(spark, batch, batch_id, bronze_path, silver_path, now, built_at, form, ledger_path)
+
+    return _triggered(pages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint),
+                      available_now).start()

@@ -60,3 +60,15 @@ def test_errors_from_runs_log(spark, tmp):
     e = A.errors(log).orderBy("error_type").collect()
     assert [(r.error_type, r.status, r.plaid_error_code) for r in e] == [
         ("ApiException", 400, "ITEM_LOGIN_REQUIRED"), ("RuntimeError", None, None)]
+
+
+def test_runs_without_a_name_keep_their_pages(spark):
+    cols = ("institution string, item_id string, run_id string, run_ts string, page_no long, cursor_in string, "
+            "cursor_out string, page_path string, has_more boolean, added array<string>, modified array<string>, "
+            "removed array<string>")
+    rows = [(inst, item, run, ts, n, "" if n == 1 else f"{ts}{n - 1}", f"{ts}{n}", f"{inst}{item}{run}{n}", False, [], [], [])
+            for inst in (None, "b") for item in (None, "i") for run, ts in ((None, "2026-01-01"), ("r", "2026-01-02"))
+            for n in (1, 2)]
+    chain = A.cursor_chain(spark.createDataFrame(rows, cols))
+    assert chain.count() == 16
+    assert {(r.run_id, r.page) for r in chain.where("is_gap").collect()} == {("r", 1)}

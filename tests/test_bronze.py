@@ -106,10 +106,11 @@ def test_empty_page_reingest_and_crash(spark, tmp):
     # crash: a new page's rows reached Bronze but its ledger line did not
     write_page(root, "bank", "i1", 3, *R2, added=[tx("t9")])
     pages = P.read_pages(spark, root, "raw/").filter(F.col("page_name").startswith("page_0003"))
-    B.append_bronze(B.explode_pages(pages, NOW), f"{tmp}/bronze")
-    # the next run has a further page; it marks the recovered one as well
+    B.append_bronze(B.explode_pages(pages, NOW), f"{tmp}/bronze", B.next_batch(spark, f"{tmp}/ledger"))
+    assert B.read_bronze(spark, f"{tmp}/bronze").count() == 2
+    # the next run has a further page; it replaces the lost run's batch
     write_page(root, "bank", "i1", 4, *R2, added=[tx("t10")])
-    assert ingest(spark, root, tmp) == {"pages": 1, "rows": 1}
+    assert ingest(spark, root, tmp) == {"pages": 2, "rows": 2}
     assert ingest(spark, root, tmp) == {"pages": 0, "rows": 0}
     assert B.read_bronze(spark, f"{tmp}/bronze").count() == 3
     assert B.processed_pages(spark, f"{tmp}/ledger").count() == 4
@@ -225,6 +226,31 @@ def test_lines_landed_twice_and_malformed_lines(spark, tmp):
     assert B.processed_pages(spark, f"{tmp}/l").count() == 1
 
 
+def test_lines_are_read_once_and_bronze_not_at_all(spark, tmp, monkeypatch):
+    os.makedirs(f"{tmp}/in")
+
+    def land(name, *ids):
+        with open(f"{tmp}/in/{name} +%.json", "w") as f:
+            for i in ids:
+                f.write(json.dumps({"run_id": "r", "run_ts": "2026-01-01T00:00:00Z", "item_id": "i", "page_path": f"p{i}",
+                                    "added": [{"transaction_id": f"t{i}"}], "page_name": f"page_{i}_r.json"}) + "\n")
+    opened = []
+    lines = P.read_page_lines
+    monkeypatch.setattr(P, "read_page_lines", lambda spark, root, mode="FAILFAST", files=None: (
+        opened.append(sorted(os.path.basename(f) for f in files)), lines(spark, root, mode, files))[1])
+    monkeypatch.setattr(B.T, "read_table", None)
+    kw = dict(now=NOW, layout="lines")
+    land("a", 1, 2)
+    assert B.ingest(spark, f"{tmp}/in", f"{tmp}/b", f"{tmp}/l", **kw) == {"pages": 2, "rows": 2}
+    land("b", 2)
+    assert B.ingest(spark, f"{tmp}/in", f"{tmp}/b", f"{tmp}/l", **kw) == {"pages": 0, "rows": 0}
+    land("c", 2, 3)
+    assert B.ingest(spark, f"{tmp}/in", f"{tmp}/b", f"{tmp}/l", files_per_batch=1, **kw) == {"pages": 1, "rows": 1}
+    assert B.ingest(spark, f"{tmp}/in", f"{tmp}/b", f"{tmp}/l", **kw) == {"pages": 0, "rows": 0}
+    assert opened == [["a +%.json"], ["b +%.json"], ["c +%.json"]]
+    assert sorted(os.listdir(f"{tmp}/b")) == ["batch_id=1", "batch_id=2"]
+
+
 def test_listing_opens_no_file_and_narrows_to_a_folder(spark, tmp, capsys):
     root = f"{tmp}/raw"
     for item in ("i1", "i2"):

@@ -112,3 +112,73 @@ def test_typed_as_of_and_missing_table(spark, tmp):
     assert V.as_of(s, "2026-01-01T12:00:00+00:00", typed=True).count() == 3
     with pytest.raises(T.TableNotFound):
         SV.read_silver(spark, f"{tmp}/nothing")
+
+
+def target_rows(spark, target, *cols):
+    return sorted(tuple(r) for r in X.read_target(spark, target).select(*cols).collect())
+
+
+def test_a_lost_run_neither_repeats_nor_skips(spark, tmp, monkeypatch):
+    import pytest
+    s = three_rows(spark, tmp)
+    target, log = f"{tmp}/target", f"{tmp}/synclog"
+    kw = dict(mode="all", table_path="silver")
+    with monkeypatch.context() as m:  # the append is done, its record is not
+        real = X.log_run
+        m.setattr(X, "log_run", lambda sp, p, r: real(sp, p, r) if r["state"] == "begun" else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            X.incremental_export(spark, s, target, log, now="T1", **kw)
+    with monkeypatch.context() as m:  # and one that is lost before its append
+        m.setattr(X, "append_aligned", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            X.incremental_export(spark, s, target, log, now="T2", **kw)
+    write_page(f"{tmp}/raw", "bank", "i1", 2, *R2, added=[tx("d")])
+    s2 = build(spark, tmp, f"{tmp}/raw")
+    assert X.incremental_export(spark, s2, target, log, now="T3", **kw) == {
+        "rows": 1, "watermark": R2[1], "previous_watermark": None}
+    assert X.incremental_export(spark, s2, target, log, now="T4", **kw)["rows"] == 0
+    assert target_rows(spark, target, "transaction_id", "version") == [
+        ("a", "1"), ("b", "1"), ("c", "1"), ("c", "2"), ("d", "1")]
+    states = sorted((r.export_id, r.state) for r in X.read_log(spark, log, begun=True).collect())
+    assert states == [(1, "begun"), (2, "begun"), (3, "begun"), (3, "done"), (4, "begun"), (4, "done")]
+
+
+def test_feed_of_builds_exports_late_rows_once(spark, tmp):
+    s = three_rows(spark, tmp).withColumn("silver_built_at", F.lit("B1"))
+    target, log = f"{tmp}/target", f"{tmp}/synclog"
+    kw = dict(mode="all", table_path="silver", mark="built")
+    assert X.incremental_export(spark, s, target, log, now="T1", **kw)["rows"] == 4
+    write_page(f"{tmp}/raw", "bank", "i1", 2, *R1, added=[tx("late")])
+    s2 = build(spark, tmp, f"{tmp}/raw").withColumn("silver_built_at", F.when(
+        F.col("transaction_id") == "late", F.lit("B2")).otherwise(F.lit("B1")))
+    for rows in (1, 0):
+        assert X.incremental_export(spark, s2, target, log, now="T2", **kw)["rows"] == rows
+    assert X.missed_rows(s2, X.read_target(spark, target), R2[1]).isEmpty()
+    assert len(target_rows(spark, target, "transaction_id", "version")) == 5
+
+
+def test_typed_mark_goes_by_the_instant(spark, tmp):
+    times = ["2026-01-01T00:00:47Z", "2026-01-01T00:00:47.5Z", "2026-01-01T01:00:47.250000+01:00", "2026-01-01T00:00:46.9Z"]
+    base = three_rows(spark, tmp).limit(1).drop("valid_from_ts", "transaction_id")
+
+    def silver(n):
+        t = spark.createDataFrame([(x, f"t{i}") for i, x in enumerate(times[:n])], "valid_from_ts string, transaction_id string")
+        return base.crossJoin(t).select(*schemas.SILVER.fieldNames())
+    target, log = f"{tmp}/target", f"{tmp}/synclog"
+    got = [X.incremental_export(spark, silver(n), target, log, "all", mark="typed", now="T")["rows"] for n in (1, 3, 4)]
+    assert got == [1, 2, 0]  # the last one is late: a typed mark misses it, as the text does
+    assert X.last_mark(X.read_log(spark, log), "sandbox", "transactions", "", "all", "typed") == "2026-01-01T00:00:47.500000Z"
+    assert [r[0] for r in target_rows(spark, target, "transaction_id")] == ["t0", "t1", "t2"]
+    import pytest
+    with pytest.raises(ValueError):
+        X.incremental_export(spark, silver(1), target, log, mark="other")
+
+
+def test_texts_with_line_ends_are_one_row(spark, tmp):
+    name = 'one\nsecond, "line"\r\n\\third\\'
+    s = three_rows(spark, tmp).withColumn("name", F.lit(name))
+    for _ in range(2):
+        X.incremental_export(spark, s, f"{tmp}/target", f"{tmp}/log", "all", now="T")
+    t = X.read_target(spark, f"{tmp}/target")
+    assert t.count() == 4 and t.columns == schemas.EXPORT_COLUMNS
+    assert {r.name.replace("\r\n", "\n") for r in t.collect()} == {name.replace("\r\n", "\n")}

@@ -1,9 +1,12 @@
+import os
 import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from lakeledger import schemas
 from lakeledger.operators import silver as SV
 from lakeledger.operators.silver import OrderItem, Scd2Spec
 from tests.walk import walk
@@ -177,11 +180,10 @@ def test_bucket_refresh_in_place_equals_rebuild(spark, tmp_path):
     b = _bronze_like(spark, rows)
     early = F.col("src_seq") % 5 != 0
     path = str(tmp_path / "silver_b")
-    SV.write_silver_bucketed(SV.silver_from_bronze(b.filter(early), built_at="B"), path,
-                             buckets=4)
+    SV.write_silver(SV.silver_from_bronze(b.filter(early), built_at="B"), path, buckets=4)
     n = SV.refresh_buckets(spark, b, b.filter(~early), path, built_at="B", buckets=4)
     assert 1 <= n <= 4
-    got = SV.read_silver_bucketed(spark, path)
+    got = SV.read_silver(spark, path)
     full = SV.silver_from_bronze(b, built_at="B")
     cols = ["transaction_id", "version", "valid_from_ts", "valid_to_ts", "is_current",
             "change_type", "source_event_id"]
@@ -195,15 +197,41 @@ def test_bucket_number_is_the_tables_own(spark, tmp_path):
     b = _bronze_like(spark, random_log(random.Random(3), 200, keys=6))
     path = str(tmp_path / "s")
     with pytest.raises(T.TableNotFound):
-        SV.read_silver_bucketed(spark, path)
+        SV.read_silver(spark, path)
     silver = SV.silver_from_bronze(b, built_at="B")
-    SV.write_silver_bucketed(silver, path, buckets=4)
+    SV.write_silver(silver, path, buckets=4)
     SV.refresh_buckets(spark, b, b, path, built_at="B")
-    assert SV.read_silver_bucketed(spark, path).count() == silver.count()
+    assert SV.read_silver(spark, path).count() == silver.count()
     with pytest.raises(ValueError):
         SV.refresh_buckets(spark, b, b, path, built_at="B", buckets=8)
 
 
+def test_refresh_reads_the_touched_buckets_of_both_tables(spark, tmp_path):
+    from lakeledger.operators import bronze as B
+    from lakeledger.sources import layout as L
+    b = _bronze_like(spark, random_log(random.Random(9), 400, keys=40))
+    bronze, path = str(tmp_path / "b"), str(tmp_path / "s")
+    B.append_bronze(b.withColumn("event_year", F.lit(2026).cast("bigint")), bronze, 1, buckets=16)
+    assert L.stored(spark, bronze) == 16 and L.stored(spark, str(tmp_path / "no")) is None
+    SV.write_silver(SV.silver_from_bronze(B.read_bronze(spark, bronze), built_at="A"), path, L.stored(spark, bronze))
+    one = B.read_bronze(spark, bronze).where("transaction_id = 'k3'").limit(1)
+    chosen = L.touched(one, 16)
+    assert len(chosen) == 1
+    here = L.in_buckets(16, chosen)
+    for df in (B.read_bronze(spark, bronze, here), SV.read_silver(spark, path, here)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "key_bucket_of_16" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert 0 < len(df.inputFiles()) < 16 or df.count() < 400
+    files = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith(L.PREFIX)}
+    assert SV.refresh_buckets(spark, bronze, one, path, built_at="C") == 1
+    changed = {d for d in files if sorted(os.listdir(f"{path}/{d}")) != files[d]}
+    assert changed == {f"{L.column(16)}={chosen[0]}"}
+    got = {r.transaction_id for r in SV.read_silver(spark, path).where("silver_built_at = 'C'").collect()}
+    assert got == {"k3"}
+    with pytest.raises(ValueError):
+        SV.write_silver(SV.read_silver(spark, path), path, buckets=8)
+
+
 def test_null_keys_and_null_against_lowest_value(spark):
     """Null and typed keys, and a null beside the lowest value in the leading
     order column, in every form."""
@@ -253,3 +281,27 @@ def test_hot_key_queries_cut_the_hot_key(spark, monkeypatch):
                         .orderBy(F.desc("n")).first()), split(df, spec, ords, segments))[1])
         query(spark, "/root/testdata/sf0.01")
         assert seen and seen[0].s >= 3, (query, seen)
+
+
+def test_collapse_unchanged_equals_a_walk(spark):
+    from pyspark.sql import functions as F
+    r = random.Random(31)
+    rows = random_log(r, 500, keys=3)
+    b = _bronze_like(spark, rows).withColumns({
+        "name": F.element_at(F.array(F.lit("x"), F.lit(""), F.lit(None)), (F.crc32("event_id") % 3 + 1).cast("int")),
+        "amount": (F.crc32("event_id") % 2).cast("double")})
+    full = schemas.conform(b, schemas.BRONZE)
+    order = [F.expr(o.expr).asc_nulls_first() for o in SV.BRONZE_SPEC.order]
+    for tracked in (None, ("name",), ("name", "amount")):
+        want, last = [], {}
+        for e in full.orderBy(*order).collect():
+            kind = (e.event_type or "None").strip().lower()
+            cells = tuple((getattr(e, c) or None) if c == "name" else getattr(e, c)
+                          for c in (tracked or ("name", "amount")))
+            state = "removed" if kind == "removed" else cells if kind in ("added", "modified") else None
+            if state is None or state != last.get((e.item_id, e.transaction_id)):
+                want.append(e.event_id)
+            last[e.item_id, e.transaction_id] = state if state is not None else ("?",)
+        got = SV.collapse_unchanged(b, tracked, segment_rows=40)
+        assert got.columns == b.columns
+        assert sorted(x.event_id for x in got.collect()) == sorted(want) and len(want) < 500
