@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeledger import schemas
 from lakeledger.functions import scalars as S
+from lakeledger.operators import jsonschema
 from lakeledger.operators.silver import now_iso
 from lakeledger.session import checkpoint_dir
 from lakeledger.sources import layout as L
@@ -219,7 +220,8 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
            now: str | None = None, prefix: str = "", default_env: str = "sandbox",
            mode: str = "FAILFAST", quarantine_path: str | None = None,
            layout: str = "files", institution: str | None = None,
-           item_id: str | None = None, files_per_batch: int = 20_000) -> dict:
+           item_id: str | None = None, files_per_batch: int = 20_000,
+           element_schema: dict | None = None) -> dict:
     """New pages below ``root`` -> Bronze append -> ledger.
 
     Only paths are listed to find new files, and only new files are opened,
@@ -235,11 +237,15 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     page, or one whose run time cannot be read, fails the batch (``FAILFAST``);
     with ``mode="PERMISSIVE"``, which needs a ``quarantine_path``, it is
     recorded there once, left out and not marked, so a repaired file is taken
-    next time.  Returns counts.
+    next time.  With an ``element_schema`` (JSON Schema, see ``jsonschema``) pages
+    with elements that break it are malformed too, and their violations are what
+    is recorded.  Returns counts.
     """
     kind, permissive = layout, mode.upper() == "PERMISSIVE"
     if permissive and not quarantine_path:
         raise ValueError("PERMISSIVE needs a quarantine_path: malformed pages may not get lost")
+    if element_schema is not None and not permissive:
+        raise ValueError("an element_schema needs PERMISSIVE and a quarantine_path")
     if kind not in ("files", "lines"):
         raise ValueError("layout must be 'files' or 'lines'")
     now = now or now_iso()
@@ -265,15 +271,20 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
                 P.CORRUPT, F.concat(F.lit("unreadable run_ts: "), "run_ts")))
             out["quarantined"] += _quarantine(spark, bad, quarantine_path, now)
             pages = pages.filter(~F.coalesce(broken, F.lit(False))).drop(P.CORRUPT)
+            if element_schema is not None:
+                pages, invalid = jsonschema.valid_pages(pages, element_schema)
+                invalid = invalid.withColumn(P.CORRUPT, F.to_json("violations")).drop("violations")
+                out["quarantined"] += _quarantine(spark, invalid, quarantine_path, now)
+                bad = bad.unionByName(invalid)
         # The pages of this batch, pinned in the shared folder: rows and
         # ledger cover the same pages.
         pinned = new_pages(pages, done).select("page_path", "run_id").groupBy("page_path").agg(
-            F.max("run_id").alias("run_id")).checkpoint(eager=True)
-        n = pinned.count()
+            F.max("run_id").alias("run_id"), F.count(F.lit(1)).alias("copies")).checkpoint(eager=True)
+        n, most = pinned.agg(F.count(F.lit(1)), F.max("copies")).first()
         if n:
             obs = Observation()
             chosen = pages.join(pinned.select("page_path"), "page_path", "left_semi")
-            if kind == "lines":
+            if most > 1:  # a page that landed again in this batch
                 chosen = one_of_each_path(chosen)
             append_bronze(explode_pages(chosen, now, default_env), bronze_path, number, counted=obs)
             mark_pages(pinned, ledger_path, now, number)

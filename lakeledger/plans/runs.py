@@ -238,6 +238,19 @@ def q_scalar_page_path(spark, sf):
     return p.select("p_partkey", S.relative_path(uri, "file:/land ing", "raw/").alias("page_path"))
 
 
+@register("scalar_bool_words", """
+WITH w AS (SELECT lower(trim(w, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13), chr(160)))) AS w
+           FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents WHERE text IS NOT NULL)),
+v AS (SELECT w, CASE WHEN w IN ('true', 't', '1', 'yes', 'y') THEN TRUE WHEN w IN ('false', 'f', '0', 'no', 'n') THEN FALSE END AS v
+      FROM w)
+SELECT v AS "value", count(*) AS n, count(DISTINCT w) AS forms FROM v GROUP BY v""")
+def q_scalar_bool_words(spark, sf):
+    """C8 over all words of the documents: how many mean true, false, neither."""
+    w = C.table(spark, sf, "documents").where("text IS NOT NULL").select(F.explode(F.split("text", " ")).alias("w"))
+    return w.select(S.normalize_bool("w").alias("value"), F.lower(S.strip("w")).alias("w")).groupBy("value").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("w").alias("forms"))
+
+
 @register("scalar_iso_date_tails", r"""
 WITH d AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 8 AS k FROM orders),
 t AS (SELECT o_orderkey, k, day, day || CASE k WHEN 0 THEN 'T' WHEN 1 THEN ' noon' WHEN 2 THEN 'T25' WHEN 3 THEN 'T10:00:00Z'

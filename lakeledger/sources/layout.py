@@ -2,7 +2,7 @@
 
 Both are plain Parquet folders partitioned by the hash bucket of a
 transaction's key.  The partition column names the number of buckets
-(``key_bucket_of_32=7``), so a table says itself how it is laid out.  What
+(``key_bucket_of_16=7``), so a table says itself how it is laid out.  What
 changes some keys finds their rows in both tables by the same partition filter.
 """
 
@@ -15,7 +15,7 @@ from lakeledger.sources import tables
 
 #: Buckets of a new table; for large ones choose a number at which a bucket of
 #: Silver is some GB.
-KEY_BUCKETS = 32
+KEY_BUCKETS = 16
 PREFIX = "key_bucket_of_"
 
 

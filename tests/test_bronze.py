@@ -168,6 +168,23 @@ def test_bad_page_fails_or_is_quarantined(spark, tmp):
     assert [r.page_path for r in q] == ["raw/bank/i1/sync_pages/page_0002_20260101_000000.json"]
 
 
+def test_pages_with_invalid_elements_go_to_quarantine(spark, tmp):
+    import pytest
+    from lakeledger.operators import jsonschema
+    root = f"{tmp}/raw"
+    write_page(root, "bank", "i1", 1, *R1, added=[tx("a")])
+    write_page(root, "bank", "i1", 2, *R1, added=[tx("b"), tx("c", amount="much", date="soon")], removed=["z"])
+    kw = dict(now=NOW, prefix="raw/", mode="PERMISSIVE", quarantine_path=f"{tmp}/q", element_schema=jsonschema.TRANSACTION)
+    for pages, rows, bad in ((1, 1, 1), (0, 0, 0)):
+        assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", **kw) == {"pages": pages, "rows": rows, "quarantined": bad}
+    (q,) = spark.read.json(f"{tmp}/q").collect()
+    assert [(v["path"], v["rule"]) for v in json.loads(q.content)] == [("$.added[1].amount", "type"), ("$.added[1].date", "format")]
+    write_page(root, "bank", "i1", 2, *R1, added=[tx("b"), tx("c")], removed=["z"])  # repaired
+    assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", **kw) == {"pages": 1, "rows": 3, "quarantined": 0}
+    with pytest.raises(ValueError):
+        B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", element_schema=jsonschema.TRANSACTION)
+
+
 def test_first_batch_without_events(spark, tmp):
     root = f"{tmp}/raw"
     write_page(root, "bank", "i1", 1, *R1)
