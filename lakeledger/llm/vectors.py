@@ -11,9 +11,13 @@ meet by chance in few buckets, and tables and probes grow with it.
 
 Equal vectors are reduced to one first.  Buckets are streamed in sorted order
 with constant memory.  Vectors of a bucket with few owners are paired one by
-one; a fuller one gives a star, and the vectors that stars connect are
-compared block by block, each pair of blocks in its own task, which returns
-counts and spanning links and not the pairs.
+one; a fuller one gives a star.  What stars connect may have no more in common
+than a direction, as all vectors of a model may.  The square of the length of
+their mean tells: it is the mean of all their cosines.  Under ``TIGHT`` they are
+hashed anew around their mean (with ``AGAIN`` times the tables, as what is left of
+near vectors is less alike), and only what is in a star then too goes on with the
+tight ones: these are compared block by block, each pair of blocks in its own
+task, which returns counts and spanning links and not the pairs.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components link with nothing, as do vectors of different lengths
@@ -44,6 +48,9 @@ COSINE = 0.9
 BLOCK = 512
 #: Axes of a hash that probes consider.
 AXES = 3
+#: Mean cosine from which vectors that stars connect are compared at once;
+#: tables for those that are hashed again, as a multiple.
+TIGHT, AGAIN = 0.8, 2
 
 
 def shape(n: int, dim: int) -> tuple[int, int, int]:
@@ -109,8 +116,9 @@ def _matrix(column) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _pairs(reps: DataFrame, n: int) -> DataFrame:
-    """(a, b, star) of vectors that share a bucket."""
+def _pairs(reps: DataFrame, n: int, centred: bool = False) -> DataFrame:
+    """(a, b, star) of vectors that share a bucket; if ``centred``, of those
+    of one cluster, hashed around its mean (columns cluster and mean)."""
     def run(batches):
         for batch in batches:
             vectors = batch.column(1).to_pylist()
@@ -121,7 +129,15 @@ def _pairs(reps: DataFrame, n: int) -> DataFrame:
                 hashes, tables, probes = shape(n, int(dim))
                 for at in range(0, len(mine), 1000):
                     part = mine[at:at + 1000]
-                    names = buckets(_matrix([vectors[i] for i in part]), tables, hashes, probes)
+                    x = _matrix([vectors[i] for i in part])
+                    if centred:
+                        means = batch.column(3)
+                        x = x - np.array([means[i].as_py() for i in part.tolist()])
+                        names = buckets(x, AGAIN * tables, hashes, probes)
+                        own = batch.column(2).to_numpy()[part].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                        names = (names ^ own[:, None, None]) >> np.uint64(3)
+                    else:
+                        names = buckets(x, tables, hashes, probes)
                     kind = np.full(names.shape, INDEX, np.uint64)
                     kind[:, :, 0] = EXACT
                     key = ((names << np.uint64(3)) | kind).ravel().view(np.int64)
@@ -129,10 +145,52 @@ def _pairs(reps: DataFrame, n: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key), pa.array(id_), pa.array(np.zeros(len(key), bool))], names=["key", "id", "sure"])
 
-    entries = reps.select("rid", "v").mapInArrow(run, "key long, id long, sure boolean")
+    columns = ["rid", "v", "cluster", "mean"] if centred else ["rid", "v"]
+    entries = reps.select(*columns).mapInArrow(run, "key long, id long, sure boolean")
     return meetings(entries).select("a", "b", "star")
 
 
+def _means(members: DataFrame) -> DataFrame:
+    """(cluster, mean, cosine): the mean of the unit vectors of a cluster, and
+    the mean of all their cosines (their lengths are equal)."""
+    def run(batches):
+        for b in batches:
+            vectors = b.column(1).to_pylist()
+            lengths = np.array([len(v) for v in vectors])
+            for dim in np.unique(lengths):
+                at = np.flatnonzero(lengths == dim)
+                x = _matrix([vectors[i] for i in at])
+                which, number = np.unique(b.column(0).to_numpy()[at], return_inverse=True)
+                total = np.zeros((len(which), int(dim)))
+                np.add.at(total, number, x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(which), pa.array(np.bincount(number)), pa.array(total.tolist(), pa.list_(pa.float64()))],
+                    names=["cluster", "n", "total"])
+
+    # One sum for each cluster and batch leaves a task.
+    parts = members.select("cluster", "v").mapInArrow(run, "cluster long, n long, total array<double>")
+    each = parts.select("cluster", "n", F.posexplode("total").alias("at", "x")).groupBy("cluster", "at").agg(
+        (F.sum("x") / F.sum("n")).alias("x"))
+    # Sums of doubles differ in their last places from run to run; buckets should not.
+    mean = F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda p: F.round(p["x"], 6))
+    return each.groupBy("cluster").agg(mean.alias("mean"), F.sum(F.col("x") * F.col("x")).alias("cosine"))
+
+
+def _tight(stars: DataFrame, reps: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Stars of vectors that are alike, and pairs of those that are less so and
+    meet again around their mean."""
+    cluster = components(stars).select(F.col("node").alias("rid"), F.col("component").alias("cluster"))
+    members = cut(cluster.join(reps.select("rid", "v"), "rid"))
+    means = cut(_means(members))
+    edges = stars.join(members.select(F.col("rid").alias("a"), "cluster"), "a")
+    tight = edges.join(means.where(F.col("cosine") >= TIGHT).select("cluster"), "cluster", "left_semi").select("a", "b")
+    loose = means.where(F.col("cosine") < TIGHT).select("cluster", "mean")
+    if loose.isEmpty():
+        return tight, stars.limit(0).select("a", "b")
+    again = cut(_pairs(members.join(loose, "cluster"), n, centred=True))
+    return tight.unionByName(again.where("star").select("a", "b")), again.where("not star").select("a", "b")
+
+
 def _verified(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
     def run(batches):
         for b in batches:
@@ -193,10 +251,14 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     reps = cut(rows.where("v is not null").groupBy("digest").agg(
         F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
         .withColumn("rid", F.monotonically_increasing_id()))
-    pairs = cut(_pairs(reps, reps.count()))
-    stars = pairs.where("star")
-    single = pairs.select("a", "b").distinct()
+    n = reps.count()
+    pairs = cut(_pairs(reps, n))
+    stars, single = pairs.where("star").select("a", "b"), pairs.select("a", "b")
     found = None
+    if not stars.isEmpty():
+        stars, more = _tight(stars, reps, n)
+        stars, single = cut(stars), single.unionByName(more)
+    single = single.distinct()
     if not stars.isEmpty():
         cluster = cut(components(stars).select(F.col("node").alias("rid"), F.col("component").alias("cluster")))
         side = lambda c: cluster.select(F.col("rid").alias(c), F.col("cluster").alias(f"c{c}"))

@@ -63,6 +63,31 @@ def test_equals_brute_force(spark, monkeypatch, seed, few, block):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("mutual", [0.5, 0.7])
+def test_a_common_direction_makes_no_groups(spark, monkeypatch, mutual):
+    """All vectors have cosines about ``mutual`` to one another; a few are near."""
+    rng = np.random.default_rng(5)
+    n, dim = 1500, 64
+    x = rng.normal(size=(n, dim)) / math.sqrt(dim)
+    x[:, 0] = 0
+    x *= math.sqrt(1 - mutual)
+    x[:, 0] = math.sqrt(mutual)
+    for i in range(0, 200, 2):
+        x[i + 1] = x[i] + rng.normal(0, 0.03, dim)
+    x[200:260] = x[200] + rng.normal(0, 0.01, (60, dim))  # and one group of copies
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    sizes = []
+    real = V._clustered
+    monkeypatch.setattr(V, "_clustered", lambda c, r, least: (
+        sizes.append(c.groupBy("cluster").count().agg({"count": "max"}).first()[0]), real(c, r, least))[1])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in V.near_duplicates(df).collect()}
+    want = {k: links for k, links, _, _ in brute(rows)}
+    assert sum(want.values()) > 60 * 59 and all(got[k] <= want[k] for k in want)
+    assert sum(got.values()) >= 0.95 * sum(want.values())
+    assert max(sizes, default=0) <= 200
+
+
 def test_given_table(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
