@@ -3,7 +3,9 @@
 A range exchange on (key, order) cuts the rows into segments of about
 ``SEGMENT_ROWS``, so a key of any size lies in several; the assignment is
 pinned in the shared checkpoint folder, so that recomputed tasks see the same
-segments.  A window runs inside each (key, segment); one row a segment, reduced
+segments.  Where segments are small, a task of the exchange holds many of them,
+so the number of tasks, and what their ranges and results send to the driver,
+does not grow with the number of segments.  A window runs inside each (key, segment); one row a segment, reduced
 in the map tasks, carries the value over the borders.  Keys may hold nulls,
 which are values like others.
 """
@@ -19,15 +21,30 @@ from lakeledger.session import checkpoint_dir
 SEGMENT_ROWS = 1_000_000
 
 
+def ranged(df: DataFrame, rows: int, segment_rows: int, order: list, name: str) -> DataFrame:
+    """``df`` of ``rows`` rows, pinned in the shared checkpoint folder, with
+    ``name``: the number, growing along ``order``, of a segment of about
+    ``segment_rows``.  At most as many ranges are made as the session has
+    shuffle partitions (more only at over ``SEGMENT_ROWS`` rows in each); if
+    that is too few, a sorted range is cut again by the place of its rows."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    wanted = max(1, -(-rows // segment_rows))
+    n = min(wanted, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // SEGMENT_ROWS)))
+    cut = df.repartitionByRange(n, *order)
+    if n == wanted:
+        return cut.withColumn(name, F.spark_partition_id().cast("bigint")).checkpoint(eager=True)
+    place = F.monotonically_increasing_id()  # the range, then the row's place in it
+    cut = cut.sortWithinPartitions(*order).withColumn("__place", place)
+    return cut.withColumn(name, F.expr(f"__place div {int(segment_rows)}")).drop("__place").checkpoint(eager=True)
+
+
 def _cut(df: DataFrame, keys: list[str], order: list[Column], segment_rows: int) -> DataFrame:
     """``df`` with __key, __ord (both structs) and __seg."""
-    checkpoint_dir(df.sparkSession)
     df = df.withColumns({
         "__key": F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]),
         "__ord": F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])})
-    n = max(1, -(-df.count() // segment_rows))
-    return (df.repartitionByRange(n, "__key", "__ord").withColumn("__seg", F.spark_partition_id())
-            .checkpoint(eager=True))
+    return ranged(df, df.count(), segment_rows, ["__key", "__ord"], "__seg")
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str,

@@ -67,3 +67,18 @@ def test_values_cross_segment_borders(spark):
             total += v
             assert got[(k, i)] == total and last[(k, i)] == prev
             prev = v
+
+
+def test_many_small_segments_share_few_tasks(spark, monkeypatch):
+    """The exchange has no more ranges than shuffle partitions, however small the segments are."""
+    cut, seen = segments._cut, []
+    monkeypatch.setattr(segments, "_cut", lambda *a: (seen.append(cut(*a)), seen[-1])[1])
+    df = spark.range(2000).select((F.col("id") % 3 == 0).alias("k"), "id", (F.col("id") % 7).alias("v"))
+    got = segments.previous(df, ["k"], [F.col("id")], F.col("v"), "p", 20)
+    assert seen[0].rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [r["count"] for r in seen[0].groupBy("__seg").count().collect()]
+    assert len(sizes) >= 100 and max(sizes) <= 20
+    last = {}
+    for r in got.orderBy("id").collect():
+        assert r.p == last.get(r.k), r
+        last[r.k] = r.v
