@@ -26,7 +26,8 @@ Forms, all equal in result (tests check it):
   "range"       "split" with segments cut by range partitioning on (key,
                 order): sampled bounds cut even one key into pieces of about
                 SEGMENT_ROWS events, whatever the order's columns hold; the
-                partition number, monotone along the order, is the segment.
+                partition number, monotone along the order, is the segment
+                (``segments.ranged`` puts many small ones into a partition).
   "split"       two levels.  Segments cut a key's chain into contiguous
                 pieces; level 1 is a window per (key, segment), level 2 a
                 window over one summary row per segment.  Here the order's
@@ -226,18 +227,13 @@ def _split(df, spec, ords, segments: list[str] | None = None):
             .withColumn("__last_any", F.coalesce("__la_after", "__la_g")))
 
 
-def _range(df, spec, ords, n_segments: int):
+def _range(df, spec, ords, rows: int, segment_rows: int):
     """Two levels with range segments.  The segment assignment is pinned in
     the shared checkpoint folder, so every later branch and any recomputed
     task sees the same segments."""
-    from lakeledger.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
     order = ([F.col(k).asc_nulls_first() for k in spec.keys]
              + [F.col(o).asc_nulls_first() for o in ords])
-    ranged = (df.repartitionByRange(max(1, n_segments), *order)
-              .withColumn("__rseg", F.spark_partition_id().cast("bigint"))
-              .checkpoint(eager=True))
-    return _split(ranged, spec, ords, segments=["__rseg"])
+    return _split(segments.ranged(df, rows, segment_rows, order, "__rseg"), spec, ords, segments=["__rseg"])
 
 
 def _auto(df, spec, ords, hot_rows: int, segment_rows: int):
@@ -258,7 +254,7 @@ def _auto(df, spec, ords, hot_rows: int, segment_rows: int):
     cond = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
     cols = df.columns + ["__version", "__n_after", "__next_known", "__last_any"]
     cold = _fast(df.join(hot, cond, "left_anti"), spec, ords).select(*cols)
-    warm = _range(df.join(hot, cond, "left_semi"), spec, ords, -(-total // segment_rows)).select(*cols)
+    warm = _range(df.join(hot, cond, "left_semi"), spec, ords, total, segment_rows).select(*cols)
     return cold.unionByName(warm)
 
 
@@ -281,8 +277,8 @@ def build_scd2(df: DataFrame, spec: Scd2Spec = BRONZE_SPEC, built_at: str | None
     if form == "auto":
         body = _auto(prepared, spec, ords, hot_rows, segment_rows or SEGMENT_ROWS)
     elif form == "range":
-        n = prepared.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        body = _range(prepared, spec, ords, int(n))
+        n = int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        body = _range(prepared, spec, ords, n, 1)  # a segment for each shuffle partition
     else:
         body = {"definition": _definition, "fast": _fast, "lead": _lead,
                 "split": _split}[form](prepared, spec, ords)

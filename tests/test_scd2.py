@@ -283,6 +283,19 @@ def test_hot_key_queries_cut_the_hot_key(spark, monkeypatch):
         assert seen and seen[0].s >= 3, (query, seen)
 
 
+def test_many_small_segments_share_few_tasks(spark, monkeypatch):
+    """The exchange has no more ranges than shuffle partitions, however small a hot key's segments are."""
+    split, seen = SV._split, []
+    monkeypatch.setattr(SV, "_split", lambda df, spec, ords, segments=None: (
+        seen.append((df.rdd.getNumPartitions(), df.select(*segments).distinct().count())),
+        split(df, spec, ords, segments))[1])
+    rows = random_log(random.Random(53), 1200, keys=3, times=1)
+    h = SV.build_scd2(spark.createDataFrame(rows, SCHEMA), SPEC, built_at="BUILT", hot_rows=100, segment_rows=20)
+    assert sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr) == expected(rows)
+    ranges, pieces = seen[0]
+    assert ranges <= int(spark.conf.get("spark.sql.shuffle.partitions")) and pieces >= 40
+
+
 def test_collapse_unchanged_equals_a_walk(spark):
     from pyspark.sql import functions as F
     r = random.Random(31)
