@@ -255,15 +255,21 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     number = (ledger.agg(F.max("batch")).first()[0] or 0) + 1
     out = {"pages": 0, "rows": 0} | ({"quarantined": 0} if quarantine_path else {})
     if kind == "files":
-        new = new_pages(P.list_pages(spark, root, prefix, institution, item_id), done)
+        new = new_pages(P.list_pages(spark, root, prefix, institution, item_id), done).select("path", "mark")
     else:
         read = ledger.where("source != ''").select(F.col("source").alias("path"))
-        new = P.list_lines(spark, root).join(read, "path", "left_anti")
-    new = new.select("path").checkpoint(eager=True)
-    paths = (r.path for r in new.toLocalIterator())
-    while files := list(itertools.islice(paths, files_per_batch)):
-        pages = P.read_pages(spark, root, prefix, mode, institution if kind == "lines" else None,
-                             item_id if kind == "lines" else None, kind, files)
+        new = P.list_lines(spark, root).join(read, "path", "left_anti").select("path")
+    new = new.checkpoint(eager=True)
+    batches = -(-new.count() // files_per_batch)
+    # A partition, and so a job of the iterator, holds about one batch of paths.
+    found = new.repartitionByRange(batches, "path").toLocalIterator() if batches else iter(())
+    scan = P.scan_pages(spark, P.scope_of(root, institution, item_id), mode) if batches and kind == "files" else None
+    while some := list(itertools.islice(found, files_per_batch)):
+        if kind == "files":
+            pages = P.read_pages(spark, root, prefix, mode, marks=[r.mark for r in some], scan=scan)
+        else:
+            files = [r.path for r in some]
+            pages = P.read_pages(spark, root, prefix, mode, institution, item_id, kind, files)
         bad = None
         if permissive:
             broken = F.col(P.CORRUPT).isNotNull() | bad_run_ts()
@@ -278,12 +284,16 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
                 bad = bad.unionByName(invalid)
         # The pages of this batch, pinned in the shared folder: rows and
         # ledger cover the same pages.
-        pinned = new_pages(pages, done).select("page_path", "run_id").groupBy("page_path").agg(
+        chosen = new_pages(pages, done)
+        if kind == "files":  # small files are opened once, and their pages pinned
+            chosen = chosen.checkpoint(eager=True)
+        pinned = chosen.select("page_path", "run_id").groupBy("page_path").agg(
             F.max("run_id").alias("run_id"), F.count(F.lit(1)).alias("copies")).checkpoint(eager=True)
         n, most = pinned.agg(F.count(F.lit(1)), F.max("copies")).first()
         if n:
             obs = Observation()
-            chosen = pages.join(pinned.select("page_path"), "page_path", "left_semi")
+            if kind == "lines":
+                chosen = pages.join(pinned.select("page_path"), "page_path", "left_semi")
             if most > 1:  # a page that landed again in this batch
                 chosen = one_of_each_path(chosen)
             append_bronze(explode_pages(chosen, now, default_env), bronze_path, number, counted=obs)

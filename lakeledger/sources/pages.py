@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
@@ -90,30 +90,50 @@ def slug(text: str) -> str:
     return re.sub(r"[^a-z0-9_\-]", "", s) or "unknown"
 
 
+def _mark() -> Column:
+    return F.xxhash64("_metadata.file_path")
+
+
+def scan_pages(spark: SparkSession, folder: str, mode: str = "FAILFAST") -> DataFrame:
+    """The page files below ``folder``, listed now and opened where they are read."""
+    return (spark.read.schema(_with_corrupt(schemas.PAGE, mode))
+            .option("multiLine", True)
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("pathGlobFilter", PAGE_GLOB)
+            .option("recursiveFileLookup", True)
+            .option("mode", mode)
+            .json(folder))
+
+
 def list_pages(spark: SparkSession, root: str, prefix: str = "", institution: str | None = None,
                item_id: str | None = None) -> DataFrame:
-    """(path, page_path) of the page files below ``root``; no file is opened.
-    A folder that does not exist has no pages."""
+    """(path, mark, page_path) of the page files below ``root``; no file is
+    opened.  A folder that does not exist has no pages.  By its mark
+    ``read_pages`` finds a file in the folder's listing."""
     from lakeledger.sources.tables import path_exists
     folder = scope_of(root, institution, item_id)
     if not path_exists(spark, folder):
-        return spark.createDataFrame([], "path string, page_path string")
+        return spark.createDataFrame([], "path string, mark long, page_path string")
     base = _qualified(spark, root).toString().rstrip("/") + "/"
     files = (spark.read.format("binaryFile").option("pathGlobFilter", PAGE_GLOB)
-             .option("recursiveFileLookup", True).load(folder).select("path"))
+             .option("recursiveFileLookup", True).load(folder).select("path", _mark().alias("mark")))
     # Local files are listed as file:/x by some readers and file:///x by others.
     path = F.regexp_replace("path", "^file:/+", "file:/")
     rel = F.substring(path, len(base) + 1, 1 << 20)
-    return files.select("path", F.concat(F.lit(prefix), F.when(path.startswith(base), rel).otherwise(path))
+    return files.select("path", "mark", F.concat(F.lit(prefix), F.when(path.startswith(base), rel).otherwise(path))
                         .alias("page_path"))
 
 
 def read_pages(spark: SparkSession, root: str, prefix: str = "",
                mode: str = "FAILFAST", institution: str | None = None,
                item_id: str | None = None, layout: str = "files",
-               files: list[str] | None = None) -> DataFrame:
+               files: list[str] | None = None, marks: list[int] | None = None,
+               scan: DataFrame | None = None) -> DataFrame:
     """One row per page file found anywhere below ``root`` (or for the given
-    ``files`` below it).
+    ``files`` of JSON lines, or the page files with the given ``marks``; those
+    of a ``scan_pages`` below it, which is then not listed again).  Spark drops
+    other files from the listing by the mark and does not open them; a file
+    whose mark is equal by chance is read too.
 
     Columns: the ``PAGE`` fields, ``page_name`` (file name) and ``page_path``
     (path relative to ``root``, percent-decoded, with ``prefix`` in front: the
@@ -125,13 +145,9 @@ def read_pages(spark: SparkSession, root: str, prefix: str = "",
     if layout == "lines":
         df = read_page_lines(spark, root, mode, files)
     elif layout == "files":
-        df = (spark.read.schema(_with_corrupt(schemas.PAGE, mode))
-              .option("multiLine", True)
-              .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("pathGlobFilter", PAGE_GLOB)
-              .option("recursiveFileLookup", True)
-              .option("mode", mode)
-              .json(root if files is None else [_escaped(f) for f in files]))
+        df = scan_pages(spark, root, mode) if scan is None else scan
+        if marks is not None:  # as text: a literal at a time takes seconds
+            df = df.where(f"xxhash64(_metadata.file_path) IN ({', '.join(f'{int(m)}L' for m in marks)})")
     else:
         raise ValueError("layout must be 'files' or 'lines'")
     if institution is not None:

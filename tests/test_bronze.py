@@ -281,6 +281,31 @@ def test_listing_opens_no_file_and_narrows_to_a_folder(spark, tmp, capsys):
     assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", now=NOW, files_per_batch=1)["pages"] == 1
 
 
+def test_new_files_are_found_in_one_listing(spark, tmp):
+    """No path of a new file is listed again by itself (a task for each), and a part of the listing is no job."""
+    root, sc = f"{tmp}/raw", spark.sparkContext
+    for n in range(80):
+        write_page(root, "bank", "i1", n, *R1, added=[tx(f"t{n}")])
+    sc.setJobGroup("one-listing", "ingest of 80 files")
+    assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", now=NOW) == {"pages": 80, "rows": 80}
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("one-listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) < 40
+
+
+def test_marks_choose_the_files_that_are_opened(spark, tmp):
+    root = f"{tmp}/raw i'n"
+    for n in (1, 2, 3):
+        write_page(root, "bank", "i +%1", n, *R1, added=[tx(f"t{n}")])
+    with open(f"{root}/bank/i +%1/sync_pages/page_0009_r.json", "w") as f:
+        f.write("{ not a page")
+    listed = {r.page_path[-len("0001_" + R1[0] + ".json"):][:4]: r.mark for r in P.list_pages(spark, root).collect()}
+    marks = [m for k, m in listed.items() if k in ("0001", "0003")]
+    got = P.read_pages(spark, root, marks=marks)  # the malformed file would fail it
+    assert sorted(r.page_name[:9] for r in got.collect()) == ["page_0001", "page_0003"]
+
+
 def test_null_ingestion_time_sorts_first_and_later_columns_are_read(spark, tmp):
     a = spark.createDataFrame([("i", "t", "added", "2026-01-01", "e1", "2026-01-02"),
                                ("i", "t", "modified", "2026-01-01", "e2", None)],
