@@ -61,6 +61,9 @@ HOT_ROWS = 2_000_000
 HOT_SEND = 10_000
 # Target size of one range segment of a hot key (events).
 SEGMENT_ROWS = 1_000_000
+# Rows that a task sorts or joins, about, where the shuffle partitions of the
+# session would hold more (a key stays whole).
+TASK_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -236,6 +239,14 @@ def _range(df, spec, ords, rows: int, segment_rows: int):
     return _split(segments.ranged(df, rows, segment_rows, order, "__rseg"), spec, ords, segments=["__rseg"])
 
 
+def spread(df: DataFrame, rows: int, keys: list[str]) -> DataFrame:
+    """``df`` of ``rows`` rows dealt by key to more tasks than the session's
+    shuffle partitions where these would get more than ``TASK_ROWS`` each."""
+    n = -(-rows // TASK_ROWS)
+    few = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[F.col(k) for k in keys]) if n > few else df
+
+
 def _auto(df, spec, ords, hot_rows: int, segment_rows: int):
     """All keys with more than ``hot_rows`` events to the range form, in
     segments of about ``segment_rows``, the rest to the one-window form.
@@ -243,17 +254,18 @@ def _auto(df, spec, ords, hot_rows: int, segment_rows: int):
     from lakeledger.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     keys = list(spec.keys)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col("__cnt") > hot_rows)
-    n_hot, total = hot.agg(F.count(F.lit(1)), F.sum("__cnt")).first()
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
+    is_hot = F.col("__cnt") > hot_rows
+    n_hot, total, rows = sizes.agg(F.count_if(is_hot), F.sum(F.when(is_hot, F.col("__cnt"))), F.sum("__cnt")).first()
     if not n_hot:
-        return _fast(df, spec, ords)
-    hot = hot.checkpoint(eager=True)  # a short list, read by both sides
+        return _fast(spread(df, rows or 0, keys), spec, ords)
+    hot = sizes.filter(is_hot).checkpoint(eager=True)  # a short list, read by both sides
     if n_hot <= HOT_SEND:
         hot = F.broadcast(hot)
     hot = hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
     cond = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
     cols = df.columns + ["__version", "__n_after", "__next_known", "__last_any"]
-    cold = _fast(df.join(hot, cond, "left_anti"), spec, ords).select(*cols)
+    cold = _fast(spread(df.join(hot, cond, "left_anti"), rows - total, keys), spec, ords).select(*cols)
     warm = _range(df.join(hot, cond, "left_semi"), spec, ords, total, segment_rows).select(*cols)
     return cold.unionByName(warm)
 
@@ -445,8 +457,9 @@ def refresh_buckets(spark, bronze: DataFrame | str, changed: DataFrame, path: st
     if isinstance(bronze, str):
         same = layout.stored(spark, bronze) == n
         bronze = read_bronze(spark, bronze, here if same else None)
-    old = read_silver(spark, path, here).join(ck, keys, "left_anti")
-    rebuilt = silver_from_bronze(_keyed(bronze).join(ck, keys, "left_semi"), built_at, form)
+    old, bronze = (spread(t, t.count(), keys) for t in (read_silver(spark, path, here), _keyed(bronze)))
+    old = old.join(ck, keys, "left_anti")
+    rebuilt = silver_from_bronze(bronze.join(ck, keys, "left_semi"), built_at, form)
     stage = f"{checkpoint_dir(spark).rstrip('/')}/refresh-{uuid.uuid4().hex}"
     old.unionByName(rebuilt).write.parquet(stage)
     write_silver(spark.read.schema(schemas.SILVER).parquet(stage), path, n)

@@ -283,6 +283,19 @@ def test_hot_key_queries_cut_the_hot_key(spark, monkeypatch):
         assert seen and seen[0].s >= 3, (query, seen)
 
 
+def test_more_rows_get_more_tasks_than_shuffle_partitions(spark, monkeypatch):
+    """A task of the window holds about TASK_ROWS, however large the table."""
+    fast, seen = SV._fast, []
+    monkeypatch.setattr(SV, "TASK_ROWS", 50, raising=False)
+    monkeypatch.setattr(SV, "_fast", lambda df, spec, ords: (seen.append(df.rdd.getNumPartitions()), fast(df, spec, ords))[1])
+    rows = random_log(random.Random(54), 1500, keys=60, times=3)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for hot_rows in (10 ** 9, 25):
+        h = SV.build_scd2(df, SPEC, built_at="BUILT", hot_rows=hot_rows)
+        assert sorted((tuple(r) for r in h.select(*COLS).collect()), key=repr) == expected(rows)
+    assert seen[0] == 30
+
+
 def test_many_small_segments_share_few_tasks(spark, monkeypatch):
     """The exchange has no more ranges than shuffle partitions, however small a hot key's segments are."""
     split, seen = SV._split, []
