@@ -41,7 +41,9 @@ from lakeledger.streaming.streams import _triggered, page_stream
 KEYS = ["item_id", "transaction_id"]
 _OUT = ("item_id string, transaction_id string, kind string, row string, version long, valid_from_ts string, "
         "valid_to_ts string, is_current boolean, change_type string")
-_COLUMNS = [c.split()[0] for c in _OUT.split(", ")]
+_RECORDS = f"array<struct<{', '.join(c.replace(' ', ': ') for c in _OUT.split(', ')[2:])}>>"
+#: Records of a key in one text.
+TOLD = 1000
 
 
 def _order() -> Column:
@@ -68,24 +70,27 @@ class History:
         self.base: int = got.get("base", 0)  # place of the open version
         self.open: dict | None = got.get("open")  # order, row, ts, type
         self.after: list = got.get("after", [])  # (order, ts) of unknown types behind it
+        self.open_place = _place(self.open["order"]) if self.open is not None else None
+        self.places = [_place(o) for o, _ in self.after]
 
     def dump(self) -> str:
         return json.dumps({"base": self.base, "open": self.open, "after": self.after})
 
-    def take(self, event: dict, known: bool) -> tuple[bool, list[tuple]]:
-        """Whether the event is late; versions that it ends: (version, open
-        event, valid_to)."""
-        at = _place(event["order"])
-        if self.open is not None and at < _place(self.open["order"]):
+    def take(self, at: list, event: dict, known: bool) -> tuple[bool, list[tuple]]:
+        """Whether the event, whose place is ``at``, is late; versions that it
+        ends: (version, open event, valid_to)."""
+        if self.open is not None and at < self.open_place:
             self.base += 1
             return True, []
-        k = bisect.bisect_right([_place(o) for o, _ in self.after], at)
+        k = bisect.bisect_right(self.places, at)
         late = k < len(self.after)
         if not known:
             self.after.insert(k, [event["order"], event["ts"]])
+            self.places.insert(k, at)
             return late, []
         ended = [(self.base, self.open, event["ts"])] if self.open is not None else []
         self.base, self.open, self.after = self.base + k + 1, event, self.after[k:]
+        self.open_place, self.places = at, self.places[k:]
         return late, ended
 
     def present(self) -> tuple | None:
@@ -96,26 +101,27 @@ class History:
 
 def _advance(known: tuple[str, ...]):
     def step(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = [r for p in parts for r in p[["order", "ts", "kind", "row"]].itertuples(index=False)]
-        rows.sort(key=lambda r: _place(r.order))
+        rows = [(_place(order), order, ts, kind, row) for p in parts
+                for order, ts, kind, row in zip(*(p[c].tolist() for c in ("order", "ts", "kind", "row")))]
+        rows.sort(key=lambda r: r[0])
         history = History(state.get[0] if state.exists else None)
         late, told = False, {}
-        for r in rows:
-            event = {"order": r.order, "row": r.row, "ts": r.ts, "kind": r.kind}
-            was_late, ended = history.take(event, r.kind in known)
+        for at, order, ts, kind, row in rows:
+            was_late, ended = history.take(at, {"order": order, "row": row, "ts": ts, "kind": kind}, kind in known)
             late = late or was_late
             told.update((v, (e, to, False)) for v, e, to in ended)
         if (now := history.present()) is not None:
             told[now[0]] = (now[1], now[2], now[2] is None)
         state.update((history.dump(),))
-        out = [(*key, "event", r.row, None, None, None, None, None) for r in rows]
+        out = [{"kind": "event", "row": r[4]} for r in rows]
         if late:
-            out.append((*key, "late", None, None, None, None, None, None))
+            out.append({"kind": "late"})
         else:
-            out += [(*key, "version", e["row"], v, e["ts"], to, current, e["kind"])
-                    for v, (e, to, current) in told.items()]
-        frame = pd.DataFrame(out, columns=_COLUMNS)
-        yield frame.astype({"version": "Int64", "is_current": "boolean"})
+            out += [{"kind": "version", "row": e["row"], "version": v, "valid_from_ts": e["ts"], "valid_to_ts": to,
+                     "is_current": current, "change_type": e["kind"]} for v, (e, to, current) in told.items()]
+        # One text for many records: a frame of them for each key costs more than all else.
+        texts = [json.dumps(out[i:i + TOLD]) for i in range(0, len(out), TOLD)]
+        yield pd.DataFrame({"item_id": [key[0]] * len(texts), "transaction_id": [key[1]] * len(texts), "told": texts})
     return step
 
 
@@ -159,7 +165,9 @@ def version_stream(rows: DataFrame, bronze_path: str, feed_path: str, checkpoint
     query."""
     spark, built_at = rows.sparkSession, built_at or SV.now_iso()
     changes = _events(rows, built_at).groupBy(*KEYS).applyInPandasWithState(
-        _advance(SV.BRONZE_SPEC.known_types), _OUT, "state string", "append", GroupStateTimeout.NoTimeout)
+        _advance(SV.BRONZE_SPEC.known_types), "item_id string, transaction_id string, told string", "state string",
+        "append", GroupStateTimeout.NoTimeout)
+    changes = changes.select(*KEYS, F.explode(F.from_json("told", _RECORDS)).alias("r")).select(*KEYS, "r.*")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         version_batch(spark, batch, batch_id, bronze_path, feed_path, built_at)

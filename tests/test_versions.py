@@ -1,5 +1,7 @@
+import json
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lakeledger import schemas
@@ -53,3 +55,23 @@ def test_a_batch_that_is_tried_again_replaces_itself(spark, tmp):
     stage = spark.createDataFrame([], V._OUT)
     V.version_batch(spark, stage, 0, f"{tmp}/b", f"{tmp}/f", "B")
     assert V.read_history(spark, f"{tmp}/f").count() == 0
+
+
+def test_records_of_a_key_leave_the_worker_in_few_rows(monkeypatch):
+    """Many records are one row of text, and an unknown type's place is read once."""
+    class State:
+        exists = False
+        def update(self, row):
+            self.text, = row
+    place, read = V._place, []
+    monkeypatch.setattr(V, "_place", lambda text: (read.append(text), place(text))[1])
+    order = [json.dumps([str(i), "", "p", "0", "0", f"e{i}"]) for i in range(200)]
+    rows = pd.DataFrame({"order": order[::-1], "ts": [f"t{i}" for i in range(200)][::-1],
+                         "kind": ["odd" if i else "added" for i in range(200)][::-1], "row": ["{}"] * 200})
+    state = State()
+    frame, = V._advance(("added",))(("i", None), [rows], state)
+    assert len(frame) == 1 and len(read) == 200
+    records = json.loads(frame.told[0])
+    assert [r["kind"] for r in records] == ["event"] * 200 + ["version"]
+    assert records[-1]["version"] == 1 and records[-1]["valid_to_ts"] == "t199" and not records[-1]["is_current"]
+    assert len(json.loads(state.text)["after"]) == 199
