@@ -8,6 +8,7 @@ partitioned batch and then records the pages in the ledger.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -87,15 +88,17 @@ def explode_pages(pages: DataFrame, now=None, default_env: str = "sandbox") -> D
     that order, skipping non-objects in added/modified and elements without
     an id.  Removed rows carry no payload and no raw JSON.  ``now`` is a text
     or a column."""
+    return exploder(pages, now, default_env)(pages)
+
+
+def exploder(pages: DataFrame, now=None, default_env: str = "sandbox") -> Callable[[DataFrame], DataFrame]:
+    """``explode_pages`` for all pages of the same columns as ``pages``.  Its
+    expressions are built here, once, and not for each batch."""
     now = now_iso() if now is None else now
-    ev = pages.select(*page_header(pages, now, default_env),
-                      F.explode(_elements(pages)).alias("e"))
     j, tx = F.col("e.j"), F.col("e.tx")
     removed = F.col("e.event_type") == "removed"
     # removed: an object's id or a string; added/modified: objects only
     tx_id = F.when(removed, F.col("e.id")).otherwise(tx["transaction_id"])
-    ev = ev.select("*", tx_id.alias("transaction_id"))
-    ev = ev.filter(F.col("transaction_id").isNotNull() & (F.col("transaction_id") != ""))
     payload = {
         "account_id": tx["account_id"], "amount": tx["amount"].try_cast("double"),
         "iso_currency_code": tx["iso_currency_code"], "date": tx["date"],
@@ -109,8 +112,12 @@ def explode_pages(pages: DataFrame, now=None, default_env: str = "sandbox") -> D
         "city": tx["location"]["city"], "region": tx["location"]["region"],
         "country": tx["location"]["country"],
     }
-    out = ev.select(
-        *[c for c in ev.columns if c not in ("e",)],
+    elements = [*page_header(pages, now, default_env), F.explode(_elements(pages)).alias("e")]
+    with_id = [F.col("*"), tx_id.alias("transaction_id")]
+    has_id = F.col("transaction_id").isNotNull() & (F.col("transaction_id") != "")
+    header = [c for c in pages.select(*elements).columns if c != "e"]
+    columns = [
+        *header, "transaction_id",
         F.col("e.event_type").alias("event_type"),
         S.event_id("item_id", "run_id", "page_path", F.col("e.event_type"),
                    "transaction_id").alias("event_id"),
@@ -119,8 +126,13 @@ def explode_pages(pages: DataFrame, now=None, default_env: str = "sandbox") -> D
         (now if isinstance(now, Column) else F.lit(now)).alias("ingested_at"),
         F.col("e.type_ord").alias("type_ord"),
         F.col("e.pos").alias("pos"),
-    )
-    return schemas.conform(out, schemas.BRONZE)
+    ]
+
+    def explode(some: DataFrame) -> DataFrame:
+        ev = some.select(*elements).select(*with_id).filter(has_id)
+        return schemas.conform(ev.select(*columns), schemas.BRONZE)
+
+    return explode
 
 
 def raw_payload_failures(pages: DataFrame) -> DataFrame:
@@ -255,7 +267,7 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     number = (ledger.agg(F.max("batch")).first()[0] or 0) + 1
     out = {"pages": 0, "rows": 0} | ({"quarantined": 0} if quarantine_path else {})
     if kind == "files":
-        new = new_pages(P.list_pages(spark, root, prefix, institution, item_id), done).select("path", "mark")
+        new = new_pages(P.list_pages(spark, root, prefix, institution, item_id), done).select("path", "mark", "size")
     else:
         read = ledger.where("source != ''").select(F.col("source").alias("path"))
         new = P.list_lines(spark, root).join(read, "path", "left_anti").select("path")
@@ -264,9 +276,11 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     # A partition, and so a job of the iterator, holds about one batch of paths.
     found = new.repartitionByRange(batches, "path").toLocalIterator() if batches else iter(())
     scan = P.scan_pages(spark, P.scope_of(root, institution, item_id), mode) if batches and kind == "files" else None
+    explode = None
     while some := list(itertools.islice(found, files_per_batch)):
         if kind == "files":
-            pages = P.read_pages(spark, root, prefix, mode, marks=[r.mark for r in some], scan=scan)
+            pages = P.in_few_tasks(P.read_pages(spark, root, prefix, mode, marks=[r.mark for r in some], scan=scan),
+                                   sum(r.size for r in some))
         else:
             files = [r.path for r in some]
             pages = P.read_pages(spark, root, prefix, mode, institution, item_id, kind, files)
@@ -296,7 +310,8 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
                 chosen = pages.join(pinned.select("page_path"), "page_path", "left_semi")
             if most > 1:  # a page that landed again in this batch
                 chosen = one_of_each_path(chosen)
-            append_bronze(explode_pages(chosen, now, default_env), bronze_path, number, counted=obs)
+            explode = explode or exploder(chosen, now, default_env)
+            append_bronze(explode(chosen), bronze_path, number, counted=obs)
             mark_pages(pinned, ledger_path, now, number)
             done = done.unionByName(pinned.select("page_path"))
             number += 1

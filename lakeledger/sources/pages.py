@@ -33,6 +33,15 @@ PAGE_LINE = StructType(schemas.PAGE.fields + [StructField("page_name", StringTyp
                                               StructField("page_path", StringType())])
 
 
+def in_few_tasks(files: DataFrame, size: int = 0) -> DataFrame:
+    """``files`` read by a few tasks a core, and by more where they hold
+    ``size`` bytes that ask for it.  A scan of small files has a task for each
+    32 of them, which costs more than its files, also as a part of a
+    checkpoint or a shuffle."""
+    few = 4 * files.sparkSession.sparkContext.defaultParallelism
+    return files.coalesce(max(few, size >> 27))
+
+
 def _escaped(path: str) -> str:
     """A file's path as a pattern that means that file."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
@@ -51,7 +60,7 @@ def list_lines(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], "path string")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
              .option("recursiveFileLookup", True).load(root))
-    return files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
+    return in_few_tasks(files).select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
 
 
 def read_page_lines(spark: SparkSession, root: str, mode: str = "FAILFAST",
@@ -107,21 +116,23 @@ def scan_pages(spark: SparkSession, folder: str, mode: str = "FAILFAST") -> Data
 
 def list_pages(spark: SparkSession, root: str, prefix: str = "", institution: str | None = None,
                item_id: str | None = None) -> DataFrame:
-    """(path, mark, page_path) of the page files below ``root``; no file is
+    """(path, mark, size, page_path) of the page files below ``root``; no file is
     opened.  A folder that does not exist has no pages.  By its mark
     ``read_pages`` finds a file in the folder's listing."""
     from lakeledger.sources.tables import path_exists
     folder = scope_of(root, institution, item_id)
     if not path_exists(spark, folder):
-        return spark.createDataFrame([], "path string, mark long, page_path string")
+        return spark.createDataFrame([], "path string, mark long, size long, page_path string")
     base = _qualified(spark, root).toString().rstrip("/") + "/"
     files = (spark.read.format("binaryFile").option("pathGlobFilter", PAGE_GLOB)
-             .option("recursiveFileLookup", True).load(folder).select("path", _mark().alias("mark")))
+             .option("recursiveFileLookup", True).load(folder)
+             .select("path", _mark().alias("mark"), F.col("_metadata.file_size").alias("size")))
     # Local files are listed as file:/x by some readers and file:///x by others.
     path = F.regexp_replace("path", "^file:/+", "file:/")
     rel = F.substring(path, len(base) + 1, 1 << 20)
-    return files.select("path", "mark", F.concat(F.lit(prefix), F.when(path.startswith(base), rel).otherwise(path))
-                        .alias("page_path"))
+    return in_few_tasks(files).select(
+        "path", "mark", "size",
+        F.concat(F.lit(prefix), F.when(path.startswith(base), rel).otherwise(path)).alias("page_path"))
 
 
 def read_pages(spark: SparkSession, root: str, prefix: str = "",

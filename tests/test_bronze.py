@@ -294,6 +294,34 @@ def test_new_files_are_found_in_one_listing(spark, tmp):
     assert stages and max(s.numTasks for s in stages if s) < 40
 
 
+def test_many_small_files_are_a_few_tasks(spark, tmp):
+    """A scan has a task for each 32 files; a listing and a batch have a few a core, and every page is there."""
+    few, root = 4 * spark.sparkContext.defaultParallelism, f"{tmp}/raw"
+    for n in range(files := 32 * (few + 4)):
+        write_page(root, "bank", "i1", n, *R1, added=[tx(f"t{n}")])
+    listed = P.list_pages(spark, root)
+    assert listed.rdd.getNumPartitions() <= few < P.read_pages(spark, root).rdd.getNumPartitions()
+    assert listed.select("page_path").distinct().count() == files and listed.where("size > 0").count() == files
+    scans = []
+    pages = P.read_pages(spark, root, marks=[r.mark for r in listed.collect()], scan=P.scan_pages(spark, root))
+    for size in (0, 1 << 40):  # large files keep the tasks of the scan
+        scans.append(P.in_few_tasks(pages, size))
+        assert scans[-1].count() == files
+    assert scans[0].rdd.getNumPartitions() <= few < scans[1].rdd.getNumPartitions()
+
+
+def test_expressions_of_rows_are_built_once_for_all_batches(spark, tmp, monkeypatch):
+    root, built = f"{tmp}/raw", []
+    for n in range(4):
+        write_page(root, "bank", "i1", n, *R1, added=[tx(f"t{n}")], removed=[f"r{n}", {"transaction_id": f"s{n}"}])
+    elements = B._elements
+    monkeypatch.setattr(B, "_elements", lambda pages: (built.append(1), elements(pages))[1])
+    assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", now=NOW, files_per_batch=1) == {"pages": 4, "rows": 12}
+    assert len(built) == 1
+    got = {(r.event_type, r.transaction_id) for r in B.read_bronze(spark, f"{tmp}/b").collect()}
+    assert got == {(t, f"{c}{n}") for n in range(4) for t, c in (("added", "t"), ("removed", "r"), ("removed", "s"))}
+
+
 def test_marks_choose_the_files_that_are_opened(spark, tmp):
     root = f"{tmp}/raw i'n"
     for n in (1, 2, 3):
