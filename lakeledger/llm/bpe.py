@@ -43,10 +43,21 @@ from lakeledger.llm.util import claim
 
 #: Arcs that a worker keeps before it starts anew (matches: twice, words:
 #: half as many).
-KEPT = 200_000
+KEPT = 500_000
 
-#: White space beside a space: such texts are split by the pattern alone.
-_BESIDE = re.compile(r" \s|\s ")
+#: The trie node in a path.
+_NODE = (1 << 24) - 1
+
+#: The pattern that lets texts be cut at spaces.
+_CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+#: A space between two characters that are not white space.
+_SINGLE = re.compile(r"(?<=\S) (?=\S)")
+
+#: Letters of Latin-1, then marks of ASCII other than the apostrophe, and the
+#: same once more after a line's end.
+_PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@[-`{-~]+)?"
+                    "(?:(\n)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@[-`{-~]+)?)?")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -78,28 +89,33 @@ class Transducer:
         self.block = 4 * max(map(len, ranks))
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.lengths = {r: len(b) for b, r in ranks.items()}
-        # Byte trie of the vocabulary: a node is a number, arcs by (node, byte).
-        self.arcs: dict[tuple[int, int], int] = {}
+        # Byte trie of the vocabulary: a node is a number, arcs by node * 256 + byte.
+        self.arcs: dict[int, int] = {}
         self.ends: dict[int, int] = {}
         self.depth = [0]
+        #: Whether a node has arcs.
+        self.inner = bytearray(1)
         for b, r in ranks.items():
             at = 0
             for x in b:
-                nxt = self.arcs.get((at, x))
+                nxt = self.arcs.get(at << 8 | x)
                 if nxt is None:
-                    nxt = self.arcs[at, x] = len(self.depth)
+                    nxt = self.arcs[at << 8 | x] = len(self.depth)
                     self.depth.append(self.depth[at] + 1)
+                    self.inner.append(0)
+                    self.inner[at] = 1
                 at = nxt
             self.ends[at] = r
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.spines: dict[tuple[int, int], list] = {}
         self.made: dict[int, int] = {}
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
         self._new_table()
 
     def _new_table(self) -> None:
-        # A determinised state: ((last id, trie node), ...), earliest start first.
-        self.states: list[tuple] = [((-1, 0),)]
+        # A determinised state: the live paths, earliest start first; a path
+        # is (last id + 1) * 2**24 + trie node.
+        self.states: list[tuple[int, ...]] = [(0,)]
         self.number = {self.states[0]: 0}
         #: state * 256 + byte -> next state * 2**32 + token.
         self.table: dict[int, int] = {}
@@ -159,24 +175,31 @@ class Transducer:
     # -- the determinised transducer -----------------------------------------
 
     def _arc(self, state: int, byte: int) -> int:
-        paths, done = [], -1
-        for last, node in self.states[state >> 8]:
-            node = self.arcs.get((node, byte))
+        paths, done, step, inner = [], -1, self.arcs.get, self.inner
+        for path in self.states[state >> 8]:
+            node = step((path & _NODE) << 8 | byte)
             if node is None:
                 continue
-            paths.append((last, node))
+            last = path & ~_NODE
+            # Where the trie ends, the path does with the next byte.
+            if inner[node]:
+                paths.append(last | node)
             # A string has one segmentation: the first found is the only one.
-            if done < 0 and (t := self._end(node)) >= 0:
-                apart = last < 0 or self.apart.get((last, t))
-                if apart is None:
-                    if len(self.apart) >= self.kept:
-                        self.apart.clear()
-                    apart = self.apart[last, t] = self.stay_apart(last, t)
-                if apart:
-                    done = t
+            if done < 0:
+                t = self.made.get(node)
+                if t is None:
+                    t = self._end(node)
+                if t >= 0:
+                    apart = not last or self.apart.get(last | t)
+                    if apart is None:
+                        if len(self.apart) >= self.kept:
+                            self.apart.clear()
+                        apart = self.apart[last | t] = self.stay_apart((last >> 24) - 1, t)
+                    if apart:
+                        done = t
         if done < 0:
             raise ValueError("the vocabulary lacks a byte of the text")
-        paths.append((done, 0))
+        paths.append(done + 1 << 24)
         new = tuple(paths)
         number = self.number.get(new)
         if number is None:
@@ -193,24 +216,23 @@ class Transducer:
         if len(self.table) >= self.kept:
             self._new_table()
         out: list[int] = []
-        state, known, block = 0, self.table.get, self.block
+        state, known, make = 0, self.table.get, self._arc
         marks: list[int] = []  # arcs over the bytes that are not emitted yet
-        for byte in piece:
-            arc = known(state | byte)
-            if arc is None:
-                arc = self._arc(state, byte)
-            state = arc >> 24
-            marks.append(arc)
-            if len(marks) == block:
+        mark = marks.append
+        for at in range(0, len(piece), self.block):
+            if at:
                 final = self._agreed(state, marks)
                 out += self._back(marks, final)
                 del marks[:final]
-                block = len(marks) + self.block
+            for byte in piece[at:at + self.block]:
+                arc = known(state | byte) or make(state, byte)  # no arc is 0
+                state = arc >> 24
+                mark(arc)
         return out + self._back(marks, len(marks))
 
     def _agreed(self, state: int, marks: list[int]) -> int:
         """Up to which byte all live paths have the same tokens."""
-        ends = {len(marks) - self.depth[node] for _, node in self.states[state >> 8]}
+        ends = {len(marks) - self.depth[path & _NODE] for path in self.states[state >> 8]}
         while len(ends) > 1:
             last = max(ends)
             ends.remove(last)
@@ -228,43 +250,76 @@ class Transducer:
 
 
 class _Kept(dict):
-    """Strings already encoded, as little-endian bytes; bounded."""
+    """Strings already encoded, as little-endian bytes; bounded.  When half of
+    the room is full, those of the half before that were not asked for since go."""
 
     def __init__(self, make, kept: int):
         super().__init__()
-        self.make, self.kept = make, kept
+        self.make, self.half, self.old = make, max(kept // 2, 1), {}
 
     def __missing__(self, s: str) -> bytes:
-        ids = self.make(s)
+        ids = self.old.get(s)
+        if ids is None:
+            ids = self.make(s)
         if len(s) <= 64:
-            if len(self) >= self.kept:
+            if len(self) >= self.half:
+                self.old = dict(self)
                 self.clear()
             self[s] = ids
         return ids
 
 
+class _Beside(Exception):
+    """A space that stands beside white space or at an end of the text."""
+
+
 class Encoder:
     """Texts to ids, each match of the splitting pattern on its own."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int = KEPT):
         self.pattern = regex.compile(pattern)
+        self.cuts = pattern == _CUT_PATTERN
         self.transducer = Transducer(ranks, kept)
         self.matches = _Kept(lambda m: array("I", self.transducer.encode(m.encode("utf-8"))).tobytes(), 2 * kept)
-        self.words = _Kept(lambda w: self._by_pattern(" " + w), kept // 2)
+        self.words = _Kept(self._word, kept // 2)
 
     def _by_pattern(self, text: str) -> bytes:
         return b"".join(map(self.matches.__getitem__, self.pattern.findall(text)))
 
+    def _word(self, word: str) -> bytes:
+        """A space and the word after it."""
+        plain = _PLAIN.fullmatch(word)
+        if plain:
+            # One match each: the space and letters, marks, a line's end, letters, marks.
+            first, *more = plain.groups()
+            ids = self.matches[" " + first]
+            for m in more:
+                if m:
+                    ids += self.matches[m]
+            return ids
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise _Beside
+        return self._by_pattern(" " + word)
+
     def encode_bytes(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
         No match of the pattern goes on over a single space that stands
         between two characters that are not white space; it starts there.
-        So texts with only such spaces are cut at them first."""
-        if _BESIDE.search(text) or text[:1].isspace() or text[-1:].isspace():
+        So texts are cut at such spaces first (not for other patterns)."""
+        if not self.cuts:
             return self._by_pattern(text)
-        first, *rest = text.split(" ")
-        return self._by_pattern(first) + b"".join(map(self.words.__getitem__, rest))
+        word = self.words.__getitem__
+        try:
+            first, *rest = text.split(" ")
+            if not first or first[0].isspace() or first[-1].isspace():
+                raise _Beside
+            return self._by_pattern(first) + b"".join(map(word, rest))
+        except _Beside:
+            first, *rest = _SINGLE.split(text)
+            if not rest:
+                return self._by_pattern(first)
+            return self._by_pattern(first) + b"".join(map(word, rest[:-1])) + self._by_pattern(" " + rest[-1])
 
     def encode(self, text: str) -> list[int]:
         return array("I", self.encode_bytes(text)).tolist()

@@ -80,3 +80,57 @@ def test_table_with_nulls_repeats_and_clashing_names(spark):
     back = bpe.round_trip(df, PATH, PATTERN)
     assert [f.name for f in back.schema] == ["doc_id", "text", "n_tokens", "ids"]
     assert [r.ids for r in back.where("doc_id = 1").collect()] == [[]]
+
+
+def test_cut_texts_equal_the_library(encoder):
+    rnd = random.Random(7)
+    parts = ["Haus", "été", "x", "don't", "'s", "12", "³", "-", "...", "|", "ſt", "日本", "ÿ÷ß", "\x1c", "\x85", "\t",
+             " ", "  ", "\n", "\n\n", " \n", ",", "!?", "'", "\u00a0", "_", "e\u0301", "the"]
+    small = bpe.Encoder(RANKS, PATTERN, kept=20)
+    for _ in range(4000):
+        text = "".join(rnd.choice(parts) + rnd.choice(["", " ", " ", "\n"]) for _ in range(rnd.randint(0, 12)))
+        assert encoder.encode(text) == small.encode(text) == TIKTOKEN.encode_ordinary(text)
+
+
+def test_other_patterns_are_not_cut_at_spaces():
+    pattern = r"\p{L}+ \p{L}+|\s+|\S"
+    own = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=RANKS, special_tokens={})
+    for text in ("of the house", "a b, c d", ""):
+        assert bpe.Encoder(RANKS, pattern).encode(text) == own.encode_ordinary(text)
+
+
+def test_letters_and_marks_need_no_pattern():
+    enc = bpe.Encoder(RANKS, PATTERN)
+
+    class Counted:
+        calls = 0
+
+        def findall(self, text):
+            Counted.calls += 1
+            return bpe.regex.findall(PATTERN, text)
+
+    enc.pattern = Counted()
+    text = "In Häusern, wohnen (sie.\nDann gehen\nalle: fort."
+    assert enc.encode(text) == TIKTOKEN.encode_ordinary(text)
+    # The first word, and the bracket before letters.
+    assert Counted.calls == 2
+
+
+def test_words_in_use_stay_kept():
+    made = []
+
+    def make(s):
+        made.append(s)
+        return s.encode()
+
+    kept = bpe._Kept(make, 20)
+    for i in range(300):
+        assert kept["the"] == b"the" and kept[str(i)] == str(i).encode()
+        assert len(kept) + len(kept.old) <= 20
+    assert made.count("the") == 1
+
+
+def test_fewer_states_where_the_trie_ends():
+    tr = bpe.Transducer(RANKS)
+    tr.encode(b" Undeinheitschonnd")
+    assert all(tr.inner[path & bpe._NODE] for state in tr.states for path in state)
