@@ -7,8 +7,8 @@ partitioned batch and then records the pages in the ledger.
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -228,6 +228,34 @@ def _quarantine(spark: SparkSession, bad: DataFrame, path: str, now: str) -> int
     return n
 
 
+def _in_batches(new: DataFrame, most: int) -> Iterator[tuple[DataFrame, int]]:
+    """The pinned listing ``new`` in the order of paths, in parts of ``most``
+    files, with the bytes that a part is known to hold.  Parts lie in the
+    checkpoint folder, so a batch reads its own part only."""
+    size = F.sum("size") if "size" in new.columns else F.lit(0)
+    n, total = new.agg(F.count(F.lit(1)), size).first()
+    if n <= most:
+        if n:
+            yield new, total
+        return
+    spark = new.sparkSession
+    ranges = max(-(-n // most), 4 * spark.sparkContext.defaultParallelism)
+    at = (new.repartitionByRange(ranges, "path").sortWithinPartitions("path")
+          .select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id")).checkpoint(eager=True))
+    # A row's number: those in the ranges before its own, and before it in its own.
+    before, rows = {}, 0
+    for r in at.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).orderBy("part").collect():
+        before[r.part], rows = rows - r.id, rows + r.n
+    number = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("part")) + F.col("id")
+    at = at.select(*new.columns, F.floor(number / most).cast("int").alias("batch"))
+    home = f"{checkpoint_dir(spark).rstrip('/')}/listing-{uuid.uuid4().hex}"
+    at.write.partitionBy("batch").parquet(home)
+    sizes = {r.batch: r.bytes for r in at.groupBy("batch").agg(size.alias("bytes")).collect()}
+    for batch in sorted(sizes):
+        yield spark.read.schema(new.schema).parquet(f"{home}/batch={batch}"), sizes[batch]
+    T.remove(spark, home)
+
+
 def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
            now: str | None = None, prefix: str = "", default_env: str = "sandbox",
            mode: str = "FAILFAST", quarantine_path: str | None = None,
@@ -271,18 +299,18 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     else:
         read = ledger.where("source != ''").select(F.col("source").alias("path"))
         new = P.list_lines(spark, root).join(read, "path", "left_anti").select("path")
-    new = new.checkpoint(eager=True)
-    batches = -(-new.count() // files_per_batch)
-    # A partition, and so a job of the iterator, holds about one batch of paths.
-    found = new.repartitionByRange(batches, "path").toLocalIterator() if batches else iter(())
-    scan = P.scan_pages(spark, P.scope_of(root, institution, item_id), mode) if batches and kind == "files" else None
+    scope = P.scope_of(root, institution, item_id)
+    in_tasks, scan = kind == "files" and P.in_tasks(spark, scope), None
+    few = 4 * spark.sparkContext.defaultParallelism
     explode = None
-    while some := list(itertools.islice(found, files_per_batch)):
-        if kind == "files":
-            pages = P.in_few_tasks(P.read_pages(spark, root, prefix, mode, marks=[r.mark for r in some], scan=scan),
-                                   sum(r.size for r in some))
+    for some, size in _in_batches(new.checkpoint(eager=True), files_per_batch):
+        if in_tasks:
+            pages = P.read_pages(spark, root, prefix, mode, scan=some.repartition(max(few, size >> 27), "path"))
+        elif kind == "files":
+            scan = P.scan_pages(spark, scope, mode) if scan is None else scan
+            pages = P.in_few_tasks(P.read_pages(spark, root, prefix, mode, marks=[r.mark for r in some.collect()], scan=scan), size)
         else:
-            files = [r.path for r in some]
+            files = [r.path for r in some.collect()]
             pages = P.read_pages(spark, root, prefix, mode, institution, item_id, kind, files)
         bad = None
         if permissive:
@@ -297,8 +325,9 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
                 out["quarantined"] += _quarantine(spark, invalid, quarantine_path, now)
                 bad = bad.unionByName(invalid)
         # The pages of this batch, pinned in the shared folder: rows and
-        # ledger cover the same pages.
-        chosen = new_pages(pages, done)
+        # ledger cover the same pages.  A path that tasks listed is one file's
+        # and not in the ledger.
+        chosen = pages if in_tasks else new_pages(pages, done)
         if kind == "files":  # small files are opened once, and their pages pinned
             chosen = chosen.checkpoint(eager=True)
         pinned = chosen.select("page_path", "run_id").groupBy("page_path").agg(
@@ -313,7 +342,8 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
             explode = explode or exploder(chosen, now, default_env)
             append_bronze(explode(chosen), bronze_path, number, counted=obs)
             mark_pages(pinned, ledger_path, now, number)
-            done = done.unionByName(pinned.select("page_path"))
+            if not in_tasks:
+                done = done.unionByName(pinned.select("page_path"))
             number += 1
             out["pages"] += n
             out["rows"] += obs.get.get("rows", 0)

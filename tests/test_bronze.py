@@ -310,6 +310,84 @@ def test_many_small_files_are_a_few_tasks(spark, tmp):
     assert scans[0].rdd.getNumPartitions() <= few < scans[1].rdd.getNumPartitions()
 
 
+def test_no_page_file_is_in_an_index_of_the_driver(spark, tmp):
+    root = f"{tmp}/raw"
+    for n in range(3):
+        write_page(root, "bank", "i1", n, *R1, added=[tx(f"t{n}")])
+    for df in (P.list_pages(spark, root), P.scan_pages(spark, root), P.read_pages(spark, root), P.read_pages(spark, root, mode="PERMISSIVE")):
+        assert not [f for f in df.inputFiles() if "page_" in f]
+        assert df.count() == 3
+
+
+def test_tasks_list_what_spark_lists(spark, tmp, monkeypatch):
+    """Also when a task looks into one folder only and leaves the rest to the next round."""
+    root = f"{tmp}/raw +%x"
+    for institution, item in (("bank", "i1"), ("bank", "i2"), ("_hidden", "i"), (".hidden", "i"), ("_k=1", "i"), ("x._COPYING_", "i"), ("ü", "[i] %20")):
+        write_page(root, institution, item, 1, *R1)
+    write_page(root, "", "", 7, *R1)  # beside the folders
+    os.makedirs(f"{root}/empty/page_folder.json")
+    for name in ("page_1.txt", ".page_2.json", "Page_3.json", "xpage_4.json"):
+        with open(f"{root}/bank/{name}", "w") as f:
+            f.write("no page")
+    theirs = spark.read.format("binaryFile").option("pathGlobFilter", P.PAGE_GLOB).option("recursiveFileLookup", True).load(root)
+    theirs = {(r.path.replace("file:///", "file:/"), r.length) for r in theirs.select("path", "length").collect()}
+    assert len(theirs) == 5
+    for entries in (P.ENTRIES, 1):
+        monkeypatch.setattr(P, "ENTRIES", entries)
+        ours = P.list_pages(spark, root, "raw/").collect()
+        assert {(r.path, r.size) for r in ours} == theirs and len(ours) == len(theirs)
+        assert {r.page_path for r in ours} == {"raw/" + p.removeprefix(f"file:{root}/") for p, _ in theirs}
+
+
+def test_tasks_read_what_spark_reads(spark, tmp):
+    """Pages of files of every form are those of Spark's reader, in each mode."""
+    page = {"run_id": "r", "added": [{"transaction_id": "ä", "amount": 1.50}, "x"], "removed": ["a", {"transaction_id": 1}, None], "has_more": True}
+    text = json.dumps(page, ensure_ascii=False)
+    odd = """{"run_id" : 1.50, "item_id": [1,  "x"], "x": {"added": [1.0]}, "mode": true, "cursor_in":null, "added":
+        [ {"amount" : 12345678901234567890.1234500, "b": "\\u00e4 ] }"},1e3 , null, [ 1.0 ], false, "t", "" ] , "modified" : [], "added ": [1.0]}"""
+    twice = '{"added": [1.0], "added": [{"x":  2.0}], "run_id": "a", "run_id": null}'
+    good = {"object": text, "array": f" \n[{text}, {text}]", "none": "[]", "empty": "", "blank": " \r\n\t", "more": f"{text} {text}", "bom": "\ufeff" + text,
+            "wide": '{"run_id": "ü"}'.encode("utf-16"), "little": '{"run_id": "ü"}'.encode("utf-16-le"), "single": "{'run_id': 'q'}", "other": '{"x": 1}',
+            "odd": odd, "ödd +%&'()[]=@~#^\u00a0\u3000.😀": odd, "odd array": f"[{odd}, {odd}]", "twice": twice, "lone": '{"added": [{"x": "\\ud800"}]}', "nan": '{"added": [NaN, {"a": -Infinity}]}'}
+    bad = {"open": '{"run_id": "r", "added": [', "null": "null", "text": '"x"', "word": "page", "type": '{"run_id": "r", "has_more": "soon"}', "bytes": b'{"run_id": "\xff"}',
+           "open array": '[{"run_id": "r"}, {', "array of types": '[{"run_id": "r"}, {"run_id": "s", "has_more": []}]', "nulls": "[null]", "deep": "[[1]]",
+           "element": '{"run_id": "r", "added": [{"a": 1, }]}', "comma": '{"run_id": "r", "added": [{"a": 1.0}, ]}', "no list": '{"added": {"a": 1}}',
+           "control": '{"added": [{"a": "\n"}]}', "zero": '{"added": [{"a": 01}]}', "half": '{"added": [{"a": 1.0}], "mode": tru}'}
+
+    def land(root, files):
+        os.makedirs(root)
+        for name, content in files.items():
+            with open(f"{root}/page_{name}.json", "wb") as f:
+                f.write(content if isinstance(content, bytes) else content.encode())
+
+    def rows(df):
+        return sorted(str((r.page_name, *[r[c] for c in df.columns if c not in ("page_name", "page_path", P.CORRUPT)],
+                           *([r[P.CORRUPT]] if P.CORRUPT in df.columns else []))) for r in df.withColumn("removed", F.col("removed").cast("array<string>")).collect())
+
+    def theirs(root, mode):
+        read = spark.read.schema(P._with_corrupt(P.schemas.PAGE, mode)).options(multiLine=True, mode=mode, columnNameOfCorruptRecord=P.CORRUPT)
+        return read.json(root).select("*", F.col("_metadata.file_name").alias("page_name"))
+
+    import pytest
+    land(f"{tmp}/good", good)
+    land(f"{tmp}/bad", bad)
+    for root, mode in (("good", "FAILFAST"), ("good", "DROPMALFORMED"), ("good", "PERMISSIVE"), ("bad", "PERMISSIVE")):
+        ours, want = rows(P.read_pages(spark, f"{tmp}/{root}", mode=mode)), rows(theirs(f"{tmp}/{root}", mode))
+        assert ours == want, (mode, [x for x in zip(ours, want) if x[0] != x[1]])
+    assert P.read_pages(spark, f"{tmp}/bad", mode="DROPMALFORMED").collect() == []
+    for name in ("open", "null", "type", "bytes", "nulls", "element"):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            P.open_files(spark.createDataFrame([(f"file:{tmp}/bad/page_{name}.json",)], "path string")).collect()
+
+
+def test_batches_hold_the_most_files_in_order_of_paths(spark, tmp):
+    files = spark.createDataFrame([(f"p{n:03d}", n) for n in range(103)], "path string, size long").checkpoint(eager=True)
+    got = [(sorted(r.path for r in some.collect()), size) for some, size in B._in_batches(files, 10)]
+    assert [p for paths, _ in got for p in paths] == [f"p{n:03d}" for n in range(103)]
+    assert [len(paths) for paths, _ in got] == [10] * 10 + [3] and [size for _, size in got][:2] == [45, 145]
+    assert [n.size for n, _ in B._in_batches(files.limit(0), 10)] == []
+
+
 def test_expressions_of_rows_are_built_once_for_all_batches(spark, tmp, monkeypatch):
     root, built = f"{tmp}/raw", []
     for n in range(4):
