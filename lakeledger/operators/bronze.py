@@ -175,7 +175,11 @@ def append_bronze(df: DataFrame, path: str, batch: int, buckets: int | None = No
     and by event year below it.  A repetition replaces the folder, so a batch
     whose writer was lost does not count twice, and nothing else is read.
     ``counted`` gets the number of ``rows``."""
-    n = L.number(df.sparkSession, path, buckets)
+    _append(df, path, batch, L.number(df.sparkSession, path, buckets), counted)
+
+
+def _append(df: DataFrame, path: str, batch: int, n: int, counted: Observation | None) -> None:
+    """``append_bronze`` to a table that has, or gets, ``n`` buckets."""
     df = L.dealt(df, n)
     if counted is not None:
         df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
@@ -302,7 +306,7 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
     scope = P.scope_of(root, institution, item_id)
     in_tasks, scan = kind == "files" and P.in_tasks(spark, scope), None
     few = 4 * spark.sparkContext.defaultParallelism
-    explode = None
+    explode = buckets = None
     for some, size in _in_batches(new.checkpoint(eager=True), files_per_batch):
         if in_tasks:
             pages = P.read_pages(spark, root, prefix, mode, scan=some.repartition(max(few, size >> 27), "path"))
@@ -331,7 +335,9 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
         if kind == "files":  # small files are opened once, and their pages pinned
             chosen = chosen.checkpoint(eager=True)
         pinned = chosen.select("page_path", "run_id").groupBy("page_path").agg(
-            F.max("run_id").alias("run_id"), F.count(F.lit(1)).alias("copies")).checkpoint(eager=True)
+            F.max("run_id").alias("run_id"), F.count(F.lit(1)).alias("copies"))
+        if not in_tasks:
+            pinned = pinned.checkpoint(eager=True)
         n, most = pinned.agg(F.count(F.lit(1)), F.max("copies")).first()
         if n:
             obs = Observation()
@@ -340,7 +346,8 @@ def ingest(spark: SparkSession, root: str, bronze_path: str, ledger_path: str,
             if most > 1:  # a page that landed again in this batch
                 chosen = one_of_each_path(chosen)
             explode = explode or exploder(chosen, now, default_env)
-            append_bronze(explode(chosen), bronze_path, number, counted=obs)
+            buckets = buckets or L.number(spark, bronze_path)
+            _append(explode(chosen), bronze_path, number, buckets, obs)
             mark_pages(pinned, ledger_path, now, number)
             if not in_tasks:
                 done = done.unionByName(pinned.select("page_path"))

@@ -759,9 +759,13 @@ def _land_pages(pages: DataFrame, landing: str) -> int:
         import pyarrow as pa
         from pyarrow import fs
         system, folder = fs.FileSystem.from_uri(home)
+        made = set()
         for b in batches:
             for path, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                system.create_dir(f"{folder}/{path}".rsplit("/", 1)[0], recursive=True)
+                at = f"{folder}/{path}".rsplit("/", 1)[0]
+                if at not in made:
+                    system.create_dir(at, recursive=True)
+                    made.add(at)
                 with system.open_output_stream(f"{folder}/{path}") as out:
                     out.write(text.encode())
             yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})

@@ -227,10 +227,11 @@ def open_files(files: DataFrame, mode: str = "FAILFAST") -> DataFrame:
         import unicodedata
         import pyarrow as pa
         from urllib.parse import quote
-        blank, decode = re.compile(r"[ \t\n\r]*").match, json.JSONDecoder(parse_float=str, parse_int=str).raw_decode
+        blank, decode = re.compile(r"[ \t\n\r]*").match, json.JSONDecoder(parse_float=str, parse_int=str).scan_once
+        plain = re.compile(r"[\w.!~'()*,;:$&+=@-]*", re.ASCII).fullmatch
 
         def after(text, i):
-            return blank(text, i).end()
+            return blank(text, i).end() if text[i] in " \t\n\r" else i
 
         def following(text, i, close):
             """Where the next member begins, or ``close`` stands."""
@@ -243,25 +244,18 @@ def open_files(files: DataFrame, mode: str = "FAILFAST") -> DataFrame:
                 return i
             raise ValueError("no JSON")
 
-        def as_written(text):
-            """``text`` with texts in the place of other values."""
-            parts, last = [], 0
-
-            def value(i):
-                nonlocal last
-                found, end = decode(text, i)
-                if text[i] != '"' and found is not None:
-                    parts.extend((text[last:i], json.dumps(text[i:end], ensure_ascii=False)))
-                    last = end
-                return end
-
-            def members(i, close, member):
-                i = after(text, i + 1)
-                while text[i] != close:
-                    i = following(text, member(i), close)
-                return i + 1
-
-            def field(i):
+        def value(text, i, found):
+            """The end of a value, which is ``found`` if it is no text."""
+            what, end = decode(text, i)
+            if text[i] != '"' and what is not None:
+                found.append((i, end))
+            return end
+
+        def page(text, i, found):
+            if text[i] != "{":
+                return decode(text, i)[1]
+            i = after(text, i + 1)
+            while text[i] != "}":
                 if text[i] != '"':
                     raise ValueError("no JSON")
                 name, i = decode(text, i)
@@ -269,23 +263,40 @@ def open_files(files: DataFrame, mode: str = "FAILFAST") -> DataFrame:
                 if text[i] != ":":
                     raise ValueError("no JSON")
                 i, kind = after(text, i + 1), of_type.get(name)
-                if kind == "array<string>" and text[i] == "[":
-                    return members(i, "]", value)
-                return value(i) if kind == "string" else decode(text, i)[1]
-
-            def page(i):
-                return members(i, "}", field) if text[i] == "{" else decode(text, i)[1]
+                if kind == "string":
+                    i = value(text, i, found)
+                elif kind == "array<string>" and text[i] == "[":
+                    i = after(text, i + 1)
+                    while text[i] != "]":
+                        i = following(text, value(text, i, found), "]")
+                    i += 1
+                else:
+                    i = decode(text, i)[1]
+                i = following(text, i, "}")
+            return i + 1
 
+        def as_written(text):
+            """``text`` with texts in the place of other values."""
+            found, parts, last = [], [], 0
             try:
-                i = after(text, 0)
-                members(i, "]", page) if text[i] == "[" else page(i)
-            except (ValueError, IndexError, RecursionError):
+                i = blank(text, 0).end()
+                if text[i] == "[":
+                    i = after(text, i + 1)
+                    while text[i] != "]":
+                        i = following(text, page(text, i, found), "]")
+                else:
+                    page(text, i, found)
+            except (ValueError, IndexError, StopIteration, RecursionError):
                 return text
+            for i, end in found:
+                parts += text[last:i], json.dumps(text[i:end], ensure_ascii=False)
+                last = end
             return "".join((*parts, text[last:]))
 
         def in_uri(path):
-            return "".join(c if c > "\x7f" and unicodedata.category(c) not in ("Cc", "Zs", "Zl", "Zp") else
-                           quote(c, safe="!~'()*,;:$&+=@") for c in path.rsplit("/", 1)[-1])
+            name = path.rsplit("/", 1)[-1]
+            return name if plain(name) else "".join(c if c > "\x7f" and unicodedata.category(c) not in ("Cc", "Zs", "Zl", "Zp") else
+                                                    quote(c, safe="!~'()*,;:$&+=@") for c in name)
 
         def rows(paths, read, valid):
             return pa.RecordBatch.from_pydict({"path": paths, "page_name": [in_uri(p) for p in paths], "text": read, "written": [
@@ -300,8 +311,9 @@ def open_files(files: DataFrame, mode: str = "FAILFAST") -> DataFrame:
                     text, ok = data.decode(json.detect_encoding(data)), True
                 except UnicodeDecodeError:
                     text, ok = data.decode(errors="replace"), False
-                for column, value in ((paths, p), (read, text), (valid, ok)):
-                    column.append(value)
+                paths.append(p)
+                read.append(text)
+                valid.append(ok)
                 size += len(data)
                 if size > 1 << 22:
                     yield rows(paths, read, valid)

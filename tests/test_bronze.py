@@ -388,6 +388,17 @@ def test_batches_hold_the_most_files_in_order_of_paths(spark, tmp):
     assert [n.size for n, _ in B._in_batches(files.limit(0), 10)] == []
 
 
+def test_the_layout_of_the_table_is_asked_for_once(spark, tmp, monkeypatch):
+    root, asked, number = f"{tmp}/raw", [], B.L.number
+    for n in range(3):
+        write_page(root, "bank", "i1", n, *R1, added=[tx(f"t{n}")])
+    monkeypatch.setattr(B.L, "number", lambda *a: (asked.append(1), number(*a))[1])
+    assert B.ingest(spark, root, f"{tmp}/b", f"{tmp}/l", now=NOW, files_per_batch=1) == {"pages": 3, "rows": 3}
+    assert len(asked) == 1 and sorted(os.listdir(f"{tmp}/b")) == ["batch_id=1", "batch_id=2", "batch_id=3"]
+    assert {(r.page_path, r.batch) for r in spark.read.json(f"{tmp}/l").collect()} == {
+        (f"bank/i1/sync_pages/page_{n:04d}_{R1[0]}.json", n + 1) for n in range(3)}
+
+
 def test_expressions_of_rows_are_built_once_for_all_batches(spark, tmp, monkeypatch):
     root, built = f"{tmp}/raw", []
     for n in range(4):
